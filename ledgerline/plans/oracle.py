@@ -97,3 +97,161 @@ SELECT
 FROM l JOIN o ON l.l_orderkey = o.o_orderkey
 LEFT JOIN st ON st.merchant = o.store_name
 """
+
+FIRST10 = f"""
+f10 AS (
+  SELECT l_orderkey,
+         string_agg(CASE WHEN p_name IS NULL THEN 'null' ELSE '"' || p_name || '"' END, ', ' ORDER BY line_key) AS names,
+         string_agg(CASE WHEN p_brand IS NULL THEN 'null' ELSE '"' || p_brand || '"' END, ', ' ORDER BY line_key) AS vendors
+  FROM (SELECT l.l_orderkey, p.p_name, p.p_brand, {LINE_KEY} AS line_key,
+               row_number() OVER (PARTITION BY l.l_orderkey ORDER BY {LINE_KEY}) AS rn
+        FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey)
+  WHERE rn <= 10
+  GROUP BY l_orderkey
+)"""
+
+ORACLE["orders_flat"] = f"""
+WITH {STORES_CTE}, {ORDERS_CTE}, {FIRST10}
+SELECT
+  o.store_name,
+  {ORDER_HEADER},
+  o.processed AS processed_at,
+  o.processed AS processed_at_shopify_timezone,
+  {LOCAL_DATE} AS processed_at_store_date,
+  CASE o.o_orderpriority WHEN '1-URGENT' THEN '["URGENT10"]' WHEN '2-HIGH' THEN '["HIGH5", "VIP"]'
+       WHEN '5-LOW' THEN '' ELSE '[]' END AS discount_codes,
+  CASE o.o_orderpriority WHEN '1-URGENT' THEN '["shopify_payments", "gift_card"]'
+       WHEN '2-HIGH' THEN '["shopify_payments"]' WHEN '3-MEDIUM' THEN '["manual"]'
+       WHEN '4-NOT SPECIFIED' THEN '[]' ELSE '' END AS payment_gateway_names,
+  CASE WHEN o.o_orderstatus = 'F' THEN {money('o.o_totalprice * 0.1')} ELSE 0.0 END AS total_refunded,
+  CASE WHEN o.o_orderkey % 7 = 0 THEN '' WHEN o.o_orderstatus = 'O' THEN 'Standard' ELSE 'Express' END
+    AS shipping_line_title,
+  CASE WHEN o.o_orderkey % 7 = 0 THEN 0.0 ELSE {money('o.o_totalprice * 0.01')} END AS shipping_line_price,
+  CASE WHEN o.o_orderkey % 7 = 0 OR o.o_orderkey % 3 = 0 THEN NULL ELSE 0.05 END AS shipping_line_tax_rate,
+  CASE WHEN o.o_orderkey % 7 = 0 OR o.o_orderkey % 3 = 0 THEN 0.0 ELSE {money('o.o_totalprice * 0.02')} END
+    AS shipping_line_tax_amount,
+  CASE WHEN o.o_orderstatus = 'P' AND o.o_orderkey % 5 = 0
+       THEN strftime(o.o_orderdate + INTERVAL 3 DAY, '%Y-%m-%dT%H:%M:%SZ') ELSE '' END AS cancelled_at,
+  'C' || CAST(o.o_orderkey AS VARCHAR) AS confirmation_number,
+  CASE o.o_orderstatus WHEN 'F' THEN 'FULFILLED' WHEN 'O' THEN 'UNFULFILLED' ELSE 'PARTIALLY_FULFILLED' END
+    AS display_fulfillment_status,
+  CASE WHEN o.o_orderkey % 4 = 0 THEN '' ELSE '/products/p' || CAST(o.o_orderkey % 50 AS VARCHAR) END
+    AS landing_page_url,
+  CASE WHEN o.o_orderkey % 9 = 0 THEN 'gift wrap' ELSE '' END AS note,
+  CASE WHEN o.o_orderstatus = 'P'
+       THEN '["status-P", "' || o.o_orderpriority || '", "réduit"]'
+       ELSE '["status-' || o.o_orderstatus || '", "' || o.o_orderpriority || '"]' END AS tags,
+  CASE WHEN o.o_orderkey % 10 = 0 THEN 0.0 ELSE {money('o.o_totalprice * 0.01')} END AS total_tip_received,
+  CASE WHEN o.o_custkey % 19 = 0 THEN '' ELSE CAST(o.o_custkey AS VARCHAR) END AS customer_id,
+  CASE WHEN o.o_custkey % 19 = 0 THEN '' ELSE coalesce(n.n_name, '') END AS customer_country,
+  coalesce('[' || f10.names || ']', '[]') AS line_items,
+  coalesce('[' || f10.vendors || ']', '[]') AS vendor,
+  CAST(CAST(o.o_totalprice * 0.05 AS DECIMAL(18,4))
+       + CASE WHEN o.o_orderstatus = 'F' THEN CAST(o.o_totalprice * 0.01 AS DECIMAL(18,4)) ELSE 0 END AS DOUBLE)
+    AS order_level_tax_amount,
+  CASE WHEN o.o_orderkey % 6 = 0 THEN {money('o.o_totalprice * 0.02')} ELSE 0.0 END AS duties,
+  CASE WHEN o.o_orderkey % 8 = 0 THEN 1.5 ELSE 0.0 END AS additional_fees
+FROM o
+LEFT JOIN st ON st.merchant = o.store_name
+LEFT JOIN nation n ON n.n_nationkey = o.c_nationkey
+LEFT JOIN f10 ON f10.l_orderkey = o.o_orderkey
+"""
+
+CUSTOMER_CTE = """
+agg AS (
+  SELECT o_custkey, count(*) AS n_orders, SUM(CAST(o_totalprice AS DECIMAL(18,4))) AS spent,
+         max(CASE WHEN rn = 1 THEN o_orderkey END) AS last_key
+  FROM (SELECT o_custkey, o_orderkey, o_totalprice,
+               row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+        FROM orders)
+  GROUP BY o_custkey
+),
+cu AS (
+  SELECT c.*, n.n_name, agg.n_orders, agg.spent, agg.last_key,
+         TIMESTAMP '2015-01-01 00:00:00' + to_days(CAST(c.c_custkey % 2000 AS INTEGER)) AS created
+  FROM customer c LEFT JOIN agg ON agg.o_custkey = c.c_custkey
+  LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
+)"""
+
+CUSTOMER_BASE = """
+  'store-' || CAST(c_nationkey % 5 AS VARCHAR) || '.myshopify.com' AS store_name,
+  CASE WHEN c_custkey % 23 = 0 THEN NULL ELSE created END AS created_at,
+  created + INTERVAL 1 DAY AS updated_at,
+  CAST(c_custkey AS VARCHAR) AS id,
+  CAST(coalesce(spent, 0) AS DOUBLE) AS total_spent,
+  coalesce(CAST(last_key AS VARCHAR), '') AS last_order_id,
+  coalesce('#' || CAST(last_key + 1000 AS VARCHAR), '') AS last_order_name,
+  coalesce(n_orders, 0) AS orders_count,
+  CASE c_nationkey % 5 WHEN 0 THEN 'USD' WHEN 1 THEN 'USD' WHEN 2 THEN 'EUR'
+       WHEN 3 THEN 'JPY' WHEN 4 THEN 'AUD' END AS currency_code"""
+
+ADDRESS_COLS = ["id", "first_name", "last_name", "company", "address1", "address2", "city",
+                "province", "country", "zip", "phone", "name"]
+
+ORACLE["customers_flat"] = f"""
+WITH {CUSTOMER_CTE}
+SELECT {CUSTOMER_BASE},
+  lower(replace(c_name, '#', '')) || '@example.com' AS email,
+  'First' || CAST(c_custkey AS VARCHAR) AS first_name,
+  c_name AS display_name,
+  CASE WHEN c_custkey % 3 = 0 THEN '' ELSE '+1-555-' || lpad(CAST(c_custkey AS VARCHAR), 4, '0') END AS phone,
+  CASE WHEN c_custkey % 4 = 0 THEN '' ELSE c_mktsegment END AS note,
+  CASE WHEN c_custkey % 5 IN (0, 1) THEN CAST([] AS VARCHAR[])
+       ELSE [c_mktsegment, 'n' || CAST(c_nationkey AS VARCHAR)] END AS tags,
+  CASE WHEN c_custkey % 7 = 0 THEN '' ELSE 'gid://shop/MailingAddress/' || CAST(c_custkey AS VARCHAR) END AS default_address_id,
+  CASE WHEN c_custkey % 7 = 0 THEN '' ELSE 'First' || CAST(c_custkey AS VARCHAR) END AS default_address_first_name,
+  CASE WHEN c_custkey % 7 = 0 THEN '' ELSE 'Last' || CAST(c_custkey AS VARCHAR) END AS default_address_last_name,
+  CASE WHEN c_custkey % 7 = 0 OR c_custkey % 2 <> 0 THEN '' ELSE c_mktsegment END AS default_address_company,
+  CASE WHEN c_custkey % 7 = 0 THEN '' ELSE CAST(c_custkey % 997 AS VARCHAR) || ' Main St' END AS default_address_address1,
+  '' AS default_address_address2,
+  CASE WHEN c_custkey % 7 = 0 THEN '' ELSE 'City' || CAST(c_custkey % 50 AS VARCHAR) END AS default_address_city,
+  CASE WHEN c_custkey % 7 = 0 THEN '' ELSE 'Province' || CAST(c_custkey % 10 AS VARCHAR) END AS default_address_province,
+  CASE WHEN c_custkey % 7 = 0 THEN '' ELSE coalesce(n_name, '') END AS default_address_country,
+  CASE WHEN c_custkey % 7 = 0 THEN '' ELSE lpad(CAST(c_custkey % 100000 AS VARCHAR), 5, '0') END AS default_address_zip,
+  '' AS default_address_phone,
+  CASE WHEN c_custkey % 7 = 0 THEN '' ELSE c_name END AS default_address_name
+FROM cu
+"""
+
+ORACLE["customers_flat_no_pii"] = f"""
+WITH {CUSTOMER_CTE}
+SELECT {CUSTOMER_BASE},
+  '' AS email, '' AS first_name, '' AS display_name, '' AS phone, '' AS note,
+  CAST([] AS VARCHAR[]) AS tags,
+  {", ".join(f"'' AS default_address_{c}" for c in ADDRESS_COLS)}
+FROM cu
+"""
+
+ORACLE["products_flat"] = """
+WITH pb AS (
+  SELECT p.*, CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS INTEGER) AS b,
+         TIMESTAMP '2019-01-01 00:00:00'
+           + to_days(CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS INTEGER)) AS created
+  FROM part p
+)
+SELECT
+  'store-' || CAST(b % 5 AS VARCHAR) || '.myshopify.com' AS store_name,
+  created AS created_at,
+  created + INTERVAL 30 DAY AS updated_at,
+  CAST(b AS VARCHAR) AS id,
+  p_brand AS title,
+  CASE WHEN b % 2 = 0 THEN 'Hardware' ELSE 'Apparel' END AS product_type,
+  lower(replace(p_brand, '#', '-')) AS handle,
+  CASE WHEN b % 7 = 0 THEN 'DRAFT' ELSE 'ACTIVE' END AS status,
+  CASE WHEN b % 7 = 0 THEN NULL ELSE created + INTERVAL 1 DAY END AS published_at,
+  CASE WHEN b % 3 = 0 THEN '' ELSE 'brand, b' || CAST(b AS VARCHAR) END AS tags,
+  'Vendor ' || CAST(b AS VARCHAR) AS vendor,
+  CAST(p_partkey AS VARCHAR) AS variant_id,
+  'SKU-' || CAST(p_partkey AS VARCHAR) AS variant_sku,
+  p_name AS variant_title,
+  CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) AS variant_price,
+  CASE WHEN p_partkey % 3 = 0 THEN '' ELSE CAST(CAST(p_retailprice * 2 AS DECIMAL(18,2)) AS VARCHAR) END
+    AS "variant_compareAtPrice",
+  CASE WHEN p_partkey % 5 = 0 THEN '' ELSE CAST(p_partkey AS VARCHAR) END AS "variant_inventoryItem_id",
+  CASE WHEN p_partkey % 17 = 0 THEN 0 ELSE CAST(p_size AS BIGINT) END AS "variant_inventoryQuantity",
+  CASE WHEN p_partkey % 2 = 0 THEN 'https://cdn.example.com/v/' || CAST(p_partkey AS VARCHAR) || '.png'
+       WHEN b % 4 = 0 THEN '' ELSE 'https://cdn.example.com/p/' || CAST(b AS VARCHAR) || '.jpg' END
+    AS variant_image_url
+FROM pb
+WHERE b <> 13 AND p_partkey % 29 <> 0
+"""

@@ -213,7 +213,7 @@ def order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(st == "O", "Standard").otherwise("Express").alias("title"),
             (tp * 0.01).cast("decimal(18,4)").cast("string").alias("price"),
             F.when(k % 3 == 0, F.array()).otherwise(F.array(F.struct(
-                F.lit(0.05).alias("rate"), money_struct(tp * 0.0005).alias("priceSet")))).alias("taxLines"))).alias("shippingLine"),
+                F.lit(0.05).alias("rate"), money_struct(tp * 0.02).alias("priceSet")))).alias("taxLines"))).alias("shippingLine"),
         F.when((st == "P") & (k % 5 == 0), iso(F.col("o_orderdate") + F.expr("INTERVAL 3 DAYS"))).alias("cancelledAt"),
         F.concat(F.lit("C"), k.cast("string")).alias("confirmationNumber"),
         F.when(st == "F", "FULFILLED").when(st == "O", "UNFULFILLED").otherwise("PARTIALLY_FULFILLED").alias("displayFulfillmentStatus"),
@@ -228,7 +228,7 @@ def order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.when(st == "F", F.array(F.struct(m(tp * 0.01).alias("priceSet"), F.lit(0.01).alias("rate"))))
                  .otherwise(F.array())).alias("taxLines"),
         F.when(k % 10 == 0, F.lit(None)).otherwise(
-            F.struct((tp * 0.001).cast("decimal(18,4)").cast("string").alias("amount"))).alias("totalTipReceived"),
+            F.struct((tp * 0.01).cast("decimal(18,4)").cast("string").alias("amount"))).alias("totalTipReceived"),
         F.when(F.col("o_custkey") % 19 == 0, F.lit(None)).otherwise(F.struct(
             F.concat(F.lit("gid://shop/Customer/"), F.col("o_custkey").cast("string")).alias("id"),
             F.struct(F.col("n_name").alias("country")).alias("defaultAddress"))).alias("customer"),
@@ -303,7 +303,7 @@ def product_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("title"),
         F.col("p_retailprice").cast("decimal(18,2)").cast("string").alias("price"),
         F.when(pk % 3 == 0, F.lit(None)).otherwise(
-            (F.col("p_retailprice") * 1.2).cast("decimal(18,2)").cast("string")).alias("compareAtPrice"),
+            (F.col("p_retailprice") * 2).cast("decimal(18,2)").cast("string")).alias("compareAtPrice"),
         iso(F.to_timestamp(F.lit("2020-01-01")) + F.make_interval(days=(pk % 1000).cast("int"))).alias("createdAt"),
         F.when(pk % 5 == 0, F.lit(None)).otherwise(F.struct(
             F.concat(F.lit("gid://shop/InventoryItem/"), pk.cast("string")).alias("id"))).alias("inventoryItem"),
