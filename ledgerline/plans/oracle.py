@@ -255,3 +255,11 @@ SELECT
 FROM pb
 WHERE b <> 13 AND p_partkey % 29 <> 0
 """
+
+
+def _merge():
+    from . import oracle_jobs
+    ORACLE.update(oracle_jobs.ORACLE)
+
+
+_merge()

@@ -20,7 +20,7 @@ def query(name: str):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             configure(spark)
-            return fn(spark, sf_dir)
+            return publish(fn(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
@@ -28,6 +28,18 @@ def query(name: str):
     return deco
 
 
+def publish(df: DataFrame) -> DataFrame:
+    """Published timestamps are UTC wall clock (TIMESTAMP_NTZ), as the loaders
+    store them; the session time zone is UTC, so the cast keeps the value."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import TimestampType
+    if not any(isinstance(f.dataType, TimestampType) for f in df.schema.fields):
+        return df
+    return df.select(*[F.col(f"`{f.name}`").cast("timestamp_ntz").alias(f.name)
+                       if isinstance(f.dataType, TimestampType) else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # import for registration side effects
     from . import entities, jobviews, stores_plans, quality_plans, stream_plans  # noqa: F401

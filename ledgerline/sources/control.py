@@ -5,7 +5,7 @@ and benchmarks they are derived by Spark from the driver's tables:
 
 * ``store_config``: one row per nation, merchant ``store-{n}.myshopify.com``
   (stores 5-24 never get orders or jobs, exercising the left joins).
-* ``pipeline_jobs``: one event per ``events`` row, job ``job-{user_id}``,
+* ``pipeline_jobs``: one event per ``events`` row, job ``job-{user_id}-{week}``,
   store ``store-{user_id % 12}``; signup creates the job (historical_load,
   pending), click/view -> running, purchase -> completed, error -> failed
   (all three status_update). ``event_seq`` = event_id breaks started_at ties.
@@ -72,6 +72,12 @@ def _events(spark, sf_dir) -> DataFrame:
     return read(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def job_of(user_id: Column, ts: Column) -> Column:
+    """A user's events of one calendar week (day-of-year buckets of 7) form one job."""
+    return F.concat(F.lit("job-"), user_id.cast("string"), F.lit("-"),
+                    F.floor((F.dayofyear(ts) - 1) / 7).cast("string"))
+
+
 def pipeline_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _events(spark, sf_dir)
     t = F.col("event_type")
@@ -82,7 +88,7 @@ def pipeline_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
               .when(t == "purchase", "completed").otherwise("failed"))
     store = merchant_of(store_k)
     return e.select(
-        F.concat(F.lit("job-"), u.cast("string")).alias("job_id"),
+        job_of(u, F.col("ts")).alias("job_id"),
         # status events sometimes carry '' for store/dataset (filled later from the job)
         F.when(is_create | (F.col("event_id") % 4 != 0), store).otherwise(F.lit("")).alias("store_url"),
         F.when(is_create | (F.col("event_id") % 4 != 0),
@@ -117,7 +123,7 @@ def pipeline_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     msg = _log_message(t, k, store)
     lines = e.select(
         F.concat(F.lit("log-"), F.col("event_id").cast("string")).alias("log_id"),
-        F.concat(F.lit("job-"), u.cast("string")).alias("job_id"),
+        job_of(u, F.col("ts")).alias("job_id"),
         F.col("ts").alias("timestamp"),
         X.log_level(msg).alias("log_level"),
         msg.alias("message"),
@@ -127,7 +133,7 @@ def pipeline_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("error_type"))
     markers = e.where((t == "signup") & (u % 2 == 0)).select(
         F.concat(F.lit("mark-"), F.col("event_id").cast("string")).alias("log_id"),
-        F.concat(F.lit("job-"), u.cast("string")).alias("job_id"),
+        job_of(u, F.col("ts")).alias("job_id"),
         F.col("ts").alias("timestamp"),
         F.lit("INFO").alias("log_level"),
         F.concat(F.lit(K.JOB_NAME_MARKER), runner_name(u)).alias("message"),
