@@ -258,8 +258,9 @@ WHERE b <> 13 AND p_partkey % 29 <> 0
 
 
 def _merge():
-    from . import oracle_jobs
+    from . import oracle_jobs, oracle_stores
     ORACLE.update(oracle_jobs.ORACLE)
+    ORACLE.update(oracle_stores.ORACLE)
 
 
 _merge()
