@@ -258,7 +258,8 @@ WHERE b <> 13 AND p_partkey % 29 <> 0
 
 
 def _merge():
-    from . import oracle_jobs, oracle_stores
+    from . import oracle_jobs, oracle_quality, oracle_stores
+    ORACLE.update(oracle_quality.ORACLE)
     ORACLE.update(oracle_jobs.ORACLE)
     ORACLE.update(oracle_stores.ORACLE)
 

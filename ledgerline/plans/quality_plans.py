@@ -1 +1,60 @@
-"""Placeholder."""
+"""Data-quality and catalog queries (DQ2-DQ6, A6-A8, A10, A13, L4, SRC9-SRC11)."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators import quality as Q
+from ..sources import control as C
+from ..sources.tables import TABLES, read
+from .registry import query
+
+PROFILED = ["customer", "lineitem"]
+SCHEMA_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "pages"]
+
+
+@query("log_classify")
+def log_classify(spark, sf_dir):
+    """DQ2 DQ6 FLT14: level, component and progress stage of every log line."""
+    logs = C.pipeline_logs(spark, sf_dir)
+    return Q.classify(logs).select("log_id", "level", F.col("component_guess").alias("component"), "stage")
+
+
+@query("job_progress")
+def job_progress(spark, sf_dir):
+    """DQ6: progress of every job from its latest tagged line."""
+    return Q.job_progress(Q.classify(C.pipeline_logs(spark, sf_dir)))
+
+
+@query("table_profile")
+def table_profile(spark, sf_dir):
+    """DQ3 A6 A7 A8 A13: per-column dtype, nulls, distinct values, max length."""
+    parts = [Q.profile(read(spark, sf_dir, t)).select(F.lit(t).alias("table_name"), "*") for t in PROFILED]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("table_counts")
+def table_counts(spark, sf_dir):
+    """SRC9 A1: row count of every table."""
+    return Q.table_counts({t: read(spark, sf_dir, t) for t in TABLES})
+
+
+@query("table_expected")
+def table_expected(spark, sf_dir):
+    """SRC10: expected tables with their count, or a missing mark."""
+    return Q.expected_tables(spark, Q.table_counts({t: read(spark, sf_dir, t) for t in TABLES}))
+
+
+@query("table_schema")
+def table_schema(spark, sf_dir):
+    """SRC11: column names and types of each table, with non-null counts."""
+    return Q.table_schema({t: read(spark, sf_dir, t) for t in SCHEMA_TABLES})
+
+
+@query("run_summary")
+def run_summary(spark, sf_dir):
+    """A10 DQ4 DQ5: per run records, failed components, status, first errors."""
+    return Q.run_summary(C.pipeline_jobs(spark, sf_dir), C.pipeline_logs(spark, sf_dir))
