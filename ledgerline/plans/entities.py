@@ -39,3 +39,103 @@ def customers_flat_no_pii(spark, sf_dir):
 def products_flat(spark, sf_dir):
     """SRC4 UNN3 P4 P7 FLT5 FN3 FN10: product documents -> one row per variant."""
     return flatten.products(landing.product_docs(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# P10 / SRC12 / FLT1 / FLT2 / J9 / V13 / FN9 / SNK1-SNK7
+# ---------------------------------------------------------------------------
+RANGE_START, RANGE_END = "1997-01-01", "1997-12-31"
+
+
+@query("order_items_legacy_names")
+def order_items_legacy_names(spark, sf_dir):
+    """P10: the order-items table conformed to the older schema set's names."""
+    from .. import schemas
+    return schemas.conform(order_items_flat(spark, sf_dir), schemas.ORDER_ITEMS_LEGACY)
+
+
+def _error_for(page):
+    r = page % 17
+    return (F.when(r == 3, "rate_limited").when(r == 5, "access_denied")
+            .when(r == 7, "error").when(r == 11, "missing_data"))
+
+
+@query("page_triage")
+def page_triage(spark, sf_dir):
+    """SRC1 SRC12 UNN1 SET1: orders landed as API pages (JSON, by store/month),
+    read back with the page schema, triaged; page and edge counts per class."""
+    from ..session import fresh_path
+    from ..sources import pages as PG
+    docs = landing.order_docs(spark, sf_dir).withColumn("month", F.substring("createdAt", 1, 7))
+    node_cols = [c for c in docs.columns if c not in ("store_name", "order_key", "month")]
+    env = PG.envelope(docs, "orders", F.floor(F.col("order_key") / 100), node_cols, _error_for)
+    path = PG.land(env, fresh_path(spark, "landing-orders"))
+    t = PG.triage(PG.read_pages(spark, path, "orders"), "orders")
+    return t.groupBy("store_name", "page_class").agg(
+        F.count(F.lit(1)).alias("pages"),
+        F.sum(F.coalesce(F.size("data.orders.edges"), F.lit(0))).cast("bigint").alias("edges"))
+
+
+@query("orders_in_range")
+def orders_in_range(spark, sf_dir):
+    """FLT1: orders processed in a closed date range (half-open by day)."""
+    from ..functions import exprs as X
+    docs = landing.order_docs(spark, sf_dir)
+    ts = X.parse_ts("processedAt")
+    docs = docs.where((ts >= F.to_timestamp(F.lit(RANGE_START)))
+                      & (ts < F.to_timestamp(F.lit(RANGE_END)) + F.expr("INTERVAL 1 DAY")))
+    return flatten.orders(docs, control.store_config(spark, sf_dir)) \
+        .select("store_name", "name", "processed_at", "processed_at_store_date")
+
+
+@query("backfill_by_store")
+def backfill_by_store(spark, sf_dir):
+    """FLT2 J9 SRC7 P12: each store's orders from its own backfill start date."""
+    from ..operators import stores as S
+    from ..operators.nesting import sized_broadcast
+    flat = flatten.orders(landing.order_docs(spark, sf_dir), control.store_config(spark, sf_dir))
+    cfg = S.config_records(control.store_config(spark, sf_dir)).select(
+        F.col("merchant").alias("store_name"),
+        F.to_date(F.col("config")["BACKFILL_START_DATE"]).alias("backfill_start"))
+    j = flat.join(sized_broadcast(cfg), "store_name").where(F.col("processed_at") >= F.col("backfill_start").cast("timestamp_ntz"))
+    return j.groupBy("store_name").agg(F.count(F.lit(1)).alias("orders"),
+                                       F.min("processed_at").alias("first_processed"),
+                                       F.max("processed_at").alias("last_processed"))
+
+
+@query("orders_on_date")
+def orders_on_date(spark, sf_dir):
+    """V13 FLT11 FN17 A1: orders created on the latest day ("today") per store."""
+    flat = flatten.orders(landing.order_docs(spark, sf_dir), control.store_config(spark, sf_dir))
+    day = F.to_date("created_at")
+    today = flat.select(F.max(day)).scalar()
+    return flat.where(day == today).groupBy("store_name").agg(F.count(F.lit(1)).alias("orders"))
+
+
+@query("month_windows")
+def month_windows(spark, sf_dir):
+    """FN9: per store, calendar-month load windows from the first to the last
+    processed month, with the number of orders in each window."""
+    from ..functions import exprs as X
+    flat = flatten.orders(landing.order_docs(spark, sf_dir), control.store_config(spark, sf_dir))
+    d = F.col("processed_at_store_date")
+    bounds = flat.groupBy("store_name").agg(F.min(d).alias("_s"), F.max(d).alias("_e")).where(F.col("_s").isNotNull())
+    windows = bounds.select("store_name", F.explode(X.month_starts("_s", "_e")).alias("window_start"))
+    counts = flat.where(d.isNotNull()).groupBy("store_name", F.trunc(d, "month").alias("window_start")) \
+        .agg(F.count(F.lit(1)).alias("orders"))
+    return (windows.join(counts, ["store_name", "window_start"], "left")
+            .select("store_name", "window_start", F.last_day("window_start").alias("window_end"),
+                    F.coalesce("orders", F.lit(0).cast("bigint")).alias("orders")))
+
+
+@query("load_roundtrip")
+def load_roundtrip(spark, sf_dir):
+    """SNK1 SNK3 SNK5 DQ5: order items written as a (store, day)-partitioned,
+    clustered Parquet table, read back with partition discovery."""
+    from ..session import fresh_path
+    from .load import load_full_refresh
+    path = fresh_path(spark, "order_items_insights")
+    load_full_refresh(order_items_flat(spark, sf_dir), path)
+    back = spark.read.parquet(path)
+    return back.groupBy("store_name", "processed_at_store_date").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("line_item_quantity").alias("quantity"))

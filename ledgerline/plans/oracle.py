@@ -265,3 +265,79 @@ def _merge():
 
 
 _merge()
+
+_LEGACY = [("date", "CAST(NULL AS DATE)"), ("created_at", "created_at"), ("updated_at", "updated_at"),
+           ("processed_at", "CAST(NULL AS TIMESTAMP)"), ("processed_at_store_date", "processed_at_store_date")]
+
+
+def _legacy_select() -> str:
+    from ..schemas import ORDER_ITEMS_LEGACY
+    cols = []
+    for name, _typ, src in ORDER_ITEMS_LEGACY:
+        if name in dict(_LEGACY):
+            cols.append(f"{dict(_LEGACY)[name]} AS {name}")
+        else:
+            cols.append(f"{src} AS {name}")
+    return ", ".join(cols)
+
+
+ORACLE["order_items_legacy_names"] = f"SELECT {_legacy_select()} FROM ({ORACLE['order_items_flat']}) t"
+
+ORACLE["page_triage"] = f"""
+WITH {ORDERS_CTE},
+p AS (
+  SELECT store_name, strftime(o_orderdate, '%Y-%m') AS month, o_orderkey // 100 AS page, COUNT(*) AS n
+  FROM o GROUP BY 1, 2, 3
+)
+SELECT store_name,
+  CASE page % 17 WHEN 3 THEN 'rate_limited' WHEN 5 THEN 'access_denied' WHEN 7 THEN 'error'
+       WHEN 11 THEN 'missing_data' ELSE 'good' END AS page_class,
+  COUNT(*) AS pages,
+  CAST(SUM(CASE WHEN page % 17 IN (3, 5, 11) THEN 0 ELSE n END) AS BIGINT) AS edges
+FROM p GROUP BY 1, 2
+"""
+
+ORACLE["orders_in_range"] = f"""
+WITH {STORES_CTE}, {ORDERS_CTE}
+SELECT o.store_name, '#' || CAST(o.o_orderkey + 1000 AS VARCHAR) AS name, o.processed AS processed_at,
+       {LOCAL_DATE} AS processed_at_store_date
+FROM o LEFT JOIN st ON st.merchant = o.store_name
+WHERE o.processed >= TIMESTAMP '1997-01-01 00:00:00' AND o.processed < TIMESTAMP '1998-01-01 00:00:00'
+"""
+
+ORACLE["backfill_by_store"] = f"""
+WITH {ORDERS_CTE},
+cfg AS (
+  SELECT 'store-' || CAST(n_nationkey AS VARCHAR) || '.myshopify.com' AS merchant,
+         CASE WHEN n_nationkey % 4 = 0 THEN DATE '2020-01-01'
+              ELSE DATE '1995-01-01' + CAST(n_nationkey * 30 AS INTEGER) END AS backfill_start
+  FROM nation WHERE n_nationkey % 6 <> 5
+)
+SELECT o.store_name, COUNT(*) AS orders, MIN(o.processed) AS first_processed, MAX(o.processed) AS last_processed
+FROM o JOIN cfg ON cfg.merchant = o.store_name
+WHERE o.processed >= CAST(cfg.backfill_start AS TIMESTAMP)
+GROUP BY o.store_name
+"""
+
+ORACLE["orders_on_date"] = f"""
+WITH {ORDERS_CTE}
+SELECT store_name, COUNT(*) AS orders FROM o
+WHERE CAST(o_orderdate AS DATE) = (SELECT MAX(CAST(o_orderdate AS DATE)) FROM orders)
+GROUP BY store_name
+"""
+
+ORACLE["month_windows"] = f"""
+WITH {STORES_CTE}, {ORDERS_CTE},
+f AS (SELECT o.store_name, {LOCAL_DATE} AS d FROM o LEFT JOIN st ON st.merchant = o.store_name),
+b AS (SELECT store_name, CAST(date_trunc('month', MIN(d)) AS DATE) AS s, CAST(date_trunc('month', MAX(d)) AS DATE) AS e
+      FROM f WHERE d IS NOT NULL GROUP BY 1),
+w AS (SELECT store_name, CAST(unnest(generate_series(s, e, INTERVAL 1 MONTH)) AS DATE) AS window_start FROM b),
+c AS (SELECT store_name, CAST(date_trunc('month', d) AS DATE) AS m, COUNT(*) AS n FROM f WHERE d IS NOT NULL GROUP BY 1, 2)
+SELECT w.store_name, w.window_start, CAST(last_day(w.window_start) AS DATE) AS window_end, coalesce(c.n, 0) AS orders
+FROM w LEFT JOIN c ON c.store_name = w.store_name AND c.m = w.window_start
+"""
+
+ORACLE["load_roundtrip"] = f"""
+SELECT store_name, processed_at_store_date, COUNT(*) AS rows, CAST(SUM(line_item_quantity) AS BIGINT) AS quantity
+FROM ({ORACLE['order_items_flat']}) t GROUP BY 1, 2
+"""

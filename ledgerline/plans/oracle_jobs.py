@@ -372,7 +372,7 @@ h AS (
   SELECT date_trunc('hour', started_at) AS hour,
          COUNT(CASE WHEN status = 'completed' THEN 1 END) AS jobs_completed,
          COUNT(CASE WHEN status = 'failed' THEN 1 END) AS jobs_failed,
-         SUM(records_processed) AS records_processed
+         CAST(SUM(records_processed) AS BIGINT) AS records_processed
   FROM jobs GROUP BY 1
 ),
 e AS (SELECT date_trunc('hour', "timestamp") AS hour, COUNT(*) AS error_logs FROM logs WHERE log_level = 'ERROR' GROUP BY 1)

@@ -74,7 +74,7 @@ ORACLE["table_schema"] = "\nUNION ALL\n".join(
 
 ORACLE["run_summary"] = f"""
 WITH {BASE},
-rec AS (SELECT job_id, coalesce(SUM(records_processed), 0) AS total_records FROM jobs GROUP BY job_id),
+rec AS (SELECT job_id, CAST(coalesce(SUM(records_processed), 0) AS BIGINT) AS total_records FROM jobs GROUP BY job_id),
 err AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY job_id ORDER BY "timestamp", log_id) AS r
         FROM logs WHERE log_level = 'ERROR'),
 comps AS (SELECT job_id, string_agg(DISTINCT component, ', ' ORDER BY component) AS comps FROM err GROUP BY job_id),
