@@ -341,3 +341,27 @@ ORACLE["load_roundtrip"] = f"""
 SELECT store_name, processed_at_store_date, COUNT(*) AS rows, CAST(SUM(line_item_quantity) AS BIGINT) AS quantity
 FROM ({ORACLE['order_items_flat']}) t GROUP BY 1, 2
 """
+
+_J = __import__("ledgerline.plans.oracle_jobs", fromlist=["BASE", "LEVEL", "COMPONENT"])
+
+ORACLE["stream_log_classify"] = f"""
+WITH {_J.BASE}
+SELECT 'log-' || CAST(event_id AS VARCHAR) AS log_id,
+       'job-' || CAST(user_id AS VARCHAR) || '-' || CAST((dayofyear(ts) - 1) // 7 AS VARCHAR) AS job_id,
+       ts AS "timestamp", {_J.LEVEL} AS level, {_J.COMPONENT} AS component,
+       CASE WHEN contains(msg, '[PROCESSING]') THEN 25 WHEN contains(msg, '[FETCHING]') THEN 50
+            WHEN contains(msg, '[SUCCESS]') THEN 75 WHEN contains(msg, '[COMPLETED]') THEN 100 END AS stage
+FROM msgs
+"""
+
+ORACLE["stream_job_status"] = f"""
+WITH {_J.BASE}
+SELECT job_id, status, started_at AS status_at, event_seq FROM job_timeline WHERE rn = 1
+"""
+
+ORACLE["stream_incremental_sync"] = """
+SELECT 'store-' || CAST(c.c_nationkey % 5 AS VARCHAR) || '.myshopify.com' AS store_name, o.o_orderkey AS order_id,
+       CASE WHEN o.o_orderstatus = 'O' THEN 'pending' ELSE o.o_orderstatus END AS status,
+       CASE WHEN o.o_orderstatus = 'O' THEN o.o_orderdate ELSE o.o_orderdate + INTERVAL 5 DAY END AS updated_at
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+"""

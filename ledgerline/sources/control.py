@@ -79,7 +79,11 @@ def job_of(user_id: Column, ts: Column) -> Column:
 
 
 def pipeline_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _events(spark, sf_dir)
+    return job_events_from(_events(spark, sf_dir))
+
+
+def job_events_from(e: DataFrame) -> DataFrame:
+    """Job event rows from an events DataFrame (batch or stream)."""
     t = F.col("event_type")
     u = F.col("user_id")
     store_k = u % JOB_STORES
@@ -116,12 +120,17 @@ def _log_message(t: Column, k: Column, store: Column) -> Column:
 
 def pipeline_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _events(spark, sf_dir)
+    return log_lines_from(e).unionByName(marker_lines_from(e))
+
+
+def log_lines_from(e: DataFrame) -> DataFrame:
+    """One log line per event (batch or stream)."""
     t = F.col("event_type")
     u = F.col("user_id")
     k = F.get_json_object("props", "$.k")
     store = merchant_of(u % JOB_STORES)
     msg = _log_message(t, k, store)
-    lines = e.select(
+    return e.select(
         F.concat(F.lit("log-"), F.col("event_id").cast("string")).alias("log_id"),
         job_of(u, F.col("ts")).alias("job_id"),
         F.col("ts").alias("timestamp"),
@@ -131,7 +140,14 @@ def pipeline_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         X.log_component(msg).alias("component"),
         F.lit(None).cast("boolean").alias("is_error"),
         F.lit(None).cast("string").alias("error_type"))
-    markers = e.where((t == "signup") & (u % 2 == 0)).select(
+
+
+def marker_lines_from(e: DataFrame) -> DataFrame:
+    """Runner marker line for every signup of an even user."""
+    t = F.col("event_type")
+    u = F.col("user_id")
+    store = merchant_of(u % JOB_STORES)
+    return e.where((t == "signup") & (u % 2 == 0)).select(
         F.concat(F.lit("mark-"), F.col("event_id").cast("string")).alias("log_id"),
         job_of(u, F.col("ts")).alias("job_id"),
         F.col("ts").alias("timestamp"),
@@ -141,7 +157,6 @@ def pipeline_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("system").alias("component"),
         F.lit(None).cast("boolean").alias("is_error"),
         F.lit(None).cast("string").alias("error_type"))
-    return lines.unionByName(markers)
 
 
 def runner_name(user_id: Column) -> Column:
