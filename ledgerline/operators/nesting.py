@@ -26,18 +26,33 @@ def sized_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
 
 def nest_split(children: DataFrame, keys: list[str], child: Column, sort_key: Column,
                extra_aggs: list[Column] | None = None, per_doc: int = ITEMS_PER_DOC,
-               name: str = "items") -> DataFrame:
+               name: str = "items", count_source: DataFrame | None = None,
+               max_hot_broadcast: int = 1_000_000) -> DataFrame:
     """Group child rows into arrays per parent, at most ~per_doc per document.
 
-    Returns ``keys + [doc_part, <name>, *extra_aggs]``. ``<name>`` is sorted by
-    ``sort_key`` (deterministic order inside a document). The per-parent child
-    count is a map-side-combined aggregate, so hot keys cost nothing extra.
+    Returns ``keys + [doc_part, <name>, *extra_aggs]``; ``<name>`` is sorted by
+    ``sort_key``. Parents with more than ``per_doc`` children ("hot" parents)
+    are found first with a map-side-combined count over the key columns
+    (``count_source``, default ``children``). With no hot parent the grouping
+    runs as one shuffle on the keys. Otherwise every hot parent's children are
+    spread over ceil(n / per_doc) parts by a hash of the sort key; the hot set
+    is broadcast when its size is within ``max_hot_broadcast`` rows (else a
+    shuffle join), and rows are repartitioned on (keys, doc_part) so one hot
+    parent is processed by many tasks instead of one.
     """
-    counts = children.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    tagged = (children.join(counts, keys)
-              .withColumn("doc_part", F.when(F.col("_n") <= per_doc, F.lit(0)).otherwise(
-                  F.pmod(F.xxhash64(sort_key), F.ceil(F.col("_n") / per_doc)).cast("int")))
-              .withColumn("_child", F.struct(sort_key.alias("k"), child.alias("v"))))
+    src = (count_source if count_source is not None else children).select(*keys)
+    hot = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > per_doc)
+    n_hot = hot.count()
+    if n_hot == 0:
+        tagged = children.withColumn("doc_part", F.lit(0))
+    else:
+        side = F.broadcast(hot) if n_hot <= max_hot_broadcast else hot
+        tagged = (children.join(side, keys, "left")
+                  .withColumn("doc_part", F.when(F.col("_n").isNull(), F.lit(0)).otherwise(
+                      F.pmod(F.xxhash64(sort_key), F.ceil(F.col("_n") / per_doc)).cast("int")))
+                  .drop("_n")
+                  .repartition(*keys, "doc_part"))
+    tagged = tagged.withColumn("_child", F.struct(sort_key.alias("k"), child.alias("v")))
     aggs = [F.array_sort(F.collect_list("_child")).alias("_sorted")] + list(extra_aggs or [])
     return (tagged.groupBy(*keys, "doc_part").agg(*aggs)
             .withColumn(name, F.transform("_sorted", lambda x: x["v"]))

@@ -134,8 +134,8 @@ def load_roundtrip(spark, sf_dir):
     clustered Parquet table, read back with partition discovery."""
     from ..session import fresh_path
     from .load import load_full_refresh
-    path = fresh_path(spark, "order_items_insights")
-    load_full_refresh(order_items_flat(spark, sf_dir), path)
+    root = fresh_path(spark, "order_items_insights")
+    _, path = load_full_refresh(order_items_flat(spark, sf_dir), root)
     back = spark.read.parquet(path)
     return back.groupBy("store_name", "processed_at_store_date").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("line_item_quantity").alias("quantity"))

@@ -54,11 +54,29 @@ def write_table(df: DataFrame, path: str, partition_cols: list[str] = (), cluste
     return int(obs.get.get("rows", 0))
 
 
-def load_full_refresh(df: DataFrame, path: str, layout=ORDER_ITEMS_LAYOUT) -> int:
-    """SNK1 + SNK3: replace the whole table; empty input leaves it untouched."""
-    if df.isEmpty():
-        return 0
-    return write_table(with_month(df), path, *layout)
+def load_full_refresh(df: DataFrame, table_root: str, layout=ORDER_ITEMS_LAYOUT) -> tuple[int, str | None]:
+    """SNK1 + SNK3: full refresh as a new table version.
+
+    The rows are written once into a fresh version folder under table_root
+    and counted by an observation of that same write (no separate emptiness
+    probe, which would run the whole upstream plan a second time). A version
+    with rows becomes current (its path is returned and recorded in
+    ``_CURRENT``); empty input leaves the current version untouched (SNK3).
+    """
+    import uuid
+    spark = df.sparkSession
+    path = f"{table_root.rstrip('/')}/version={uuid.uuid4().hex[:12]}"
+    rows = write_table(with_month(df), path, *layout)
+    if rows == 0:
+        return 0, None
+    spark.createDataFrame([(path,)], "path string").coalesce(1).write.mode("overwrite").text(
+        f"{table_root.rstrip('/')}/_CURRENT")
+    return rows, path
+
+
+def current_version(spark: SparkSession, table_root: str) -> str:
+    """Path of the current version written by load_full_refresh."""
+    return spark.read.text(f"{table_root.rstrip('/')}/_CURRENT").first()[0]
 
 
 def load_store(df: DataFrame, table_path: str, store: str, layout=ORDER_ITEMS_LAYOUT) -> int:
@@ -66,9 +84,10 @@ def load_store(df: DataFrame, table_path: str, store: str, layout=ORDER_ITEMS_LA
     days that vanished from the source disappear too."""
     part, cluster = layout
     d = with_month(df.where(F.col(part[0]) == store).drop(part[0]))
-    if d.isEmpty():
+    staged = d.checkpoint(eager=True)          # one computation; emptiness probe reads the checkpoint
+    if staged.isEmpty():
         return 0
-    return write_table(d, f"{table_path.rstrip('/')}/{part[0]}={store}", part[1:], cluster)
+    return write_table(staged, f"{table_path.rstrip('/')}/{part[0]}={store}", part[1:], cluster)
 
 
 def load_chunked(df: DataFrame, path: str, rows: int | None = None) -> int:

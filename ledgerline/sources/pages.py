@@ -62,7 +62,13 @@ def envelope(docs: DataFrame, entity: str, page_key: Column, node_cols: list[str
     """
     field = schemas.ENTITY_FIELD[entity]
     node = F.struct(*[F.col(c) for c in node_cols])
+    # Range partitioning on the page key also satisfies the grouping's
+    # clustering, so the aggregation adds no second shuffle, and each task then
+    # holds a contiguous range of store-months: the landing write produces
+    # few files per partition and a hot store-month spreads over several tasks.
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     g = (docs.withColumn("_page", page_key)
+         .repartitionByRange(n, "store_name", "month", "_page")
          .groupBy("store_name", "month", "_page")
          .agg(F.sort_array(F.collect_list(F.struct(F.col("order_key").alias("k"), node.alias("n")))).alias("_items")))
     cls = error_for(F.col("_page"))
