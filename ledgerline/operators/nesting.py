@@ -44,7 +44,16 @@ def nest_split(children: DataFrame, keys: list[str], child: Column, sort_key: Co
     hot = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > per_doc)
     n_hot = hot.count()
     if n_hot == 0:
-        tagged = children.withColumn("doc_part", F.lit(0))
+        # group on the keys alone: the result stays hash-partitioned on them,
+        # so a following join on the same keys needs no second shuffle
+        # shuffle first: collect_list gains nothing from a map-side partial
+        # aggregate, and the nested structs are then built in parallel
+        tagged = children.repartition(*keys).withColumn("_child", F.struct(sort_key.alias("k"), child.alias("v")))
+        aggs = [F.array_sort(F.collect_list("_child")).alias("_sorted")] + list(extra_aggs or [])
+        return (tagged.groupBy(*keys).agg(*aggs)
+                .withColumn("doc_part", F.lit(0))
+                .withColumn(name, F.transform("_sorted", lambda x: x["v"]))
+                .drop("_sorted"))
     else:
         side = F.broadcast(hot) if n_hot <= max_hot_broadcast else hot
         tagged = (children.join(side, keys, "left")

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import constants as K
 from ..functions import exprs as X
@@ -163,13 +162,13 @@ def validate(candidates: DataFrame, existing_datasets: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- FN22 / W3
-def versioned_job_names(stores: DataFrame, name_col: str = "store_name", order_col: str = "created") -> DataFrame:
+def versioned_job_names(stores: DataFrame, name_col: str = "store_name", order: list[str] = ("created",)) -> DataFrame:
     """Runner job names, unique per base name: base, base-v2, base-v3, ...
-    in order of creation."""
-    base = X.job_name(F.col(name_col))
-    w = Window.partitionBy("base_name").orderBy(order_col)
-    n = F.row_number().over(w)
-    return (stores.withColumn("base_name", base)
-            .withColumn("version", n)
+    in order of creation (``order`` must be unique within a base name). The
+    numbering is a split row number, so one very common base name is
+    numbered by many tasks."""
+    from .ranking import split_row_number
+    named = stores.withColumn("base_name", X.job_name(F.col(name_col)))
+    return (split_row_number(named, ["base_name"], list(order), out="version")
             .withColumn("job_name", F.when(F.col("version") == 1, F.col("base_name"))
                         .otherwise(F.concat(F.col("base_name"), F.lit("-v"), F.col("version").cast("string")))))

@@ -5,9 +5,8 @@ date) and sorted by (day, clustering columns) inside each partition. Day-level
 Hive partitions would mean stores x days directories (millions at scale, and
 tiny files at small scale); month partitions plus sorted days give the same
 pruning through partition filters and row-group min/max statistics. Rows are
-range partitioned on the sort key before the write, so a hot store-month is
-split over many tasks (each writing a contiguous range) instead of one task
-writing the whole partition.
+rebalanced on the partition columns before the write; AQE splits a hot
+store-month over several tasks instead of one task writing the whole partition.
 """
 
 from __future__ import annotations
@@ -31,11 +30,16 @@ def with_month(df: DataFrame, date_col: str = "processed_at_store_date") -> Data
 
 
 def _layout(df: DataFrame, partition_cols: list[str], cluster_cols: list[str], files: int | None) -> DataFrame:
+    """Rebalance on the partition columns (AQE splits a skewed store-month over
+    several tasks and merges small ones from runtime shuffle statistics, with
+    no sampling pass), then sort each task's rows by partition + cluster keys."""
     keys = partition_cols + cluster_cols
     if not keys:
         return df
-    n = files or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    return df.repartitionByRange(int(n), *keys).sortWithinPartitions(*keys)
+    d = df.hint("rebalance", *partition_cols) if partition_cols else df.hint("rebalance")
+    if files:
+        d = d.repartition(files, *partition_cols)
+    return d.sortWithinPartitions(*keys)
 
 
 def write_table(df: DataFrame, path: str, partition_cols: list[str] = (), cluster_cols: list[str] = (),

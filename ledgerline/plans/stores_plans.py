@@ -128,4 +128,5 @@ def job_names(spark, sf_dir):
             .when(k % 4 == 2, F.concat(F.lit("shopify-"), seg, F.lit("-"), nk))
             .otherwise(F.concat(F.lit("--"), seg, F.lit(".."), nk, F.lit("--"))))
     s = c.select("c_custkey", name.alias("store_name"), F.col("c_custkey").alias("created"))
-    return S.versioned_job_names(s).select("c_custkey", "store_name", "base_name", "version", "job_name")
+    return S.versioned_job_names(s, order=["created", "c_custkey"]) \
+        .select("c_custkey", "store_name", "base_name", "version", "job_name")
