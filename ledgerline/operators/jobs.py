@@ -173,6 +173,24 @@ def keyword_search(logs: DataFrame, patterns: list[str] = K.RELEVANT_LOG_PATTERN
         .orderBy("job_id", "timestamp")
 
 
+def logs_containing(logs: DataFrame, text: str, level: str | None = None) -> DataFrame:
+    """FLT14: substring filter on the message, optionally on the level too."""
+    cond = F.col("message").contains(text)
+    if level is not None:
+        cond = cond | F.col("log_level").contains(level)
+    return logs.where(cond)
+
+
+def job_logs_sql(logs: DataFrame, job_id: str, limit: int = 100) -> DataFrame:
+    """FLT12 + L2 as parameterised SQL: values are bound as named parameters
+    (never spliced into the text), the table is passed as a DataFrame."""
+    spark = logs.sparkSession
+    return spark.sql(
+        "SELECT timestamp, log_level, message, component FROM {logs} "
+        "WHERE job_id = :job_id ORDER BY timestamp DESC, log_id DESC LIMIT :lim",
+        args={"job_id": job_id, "lim": limit}, logs=logs)
+
+
 # --------------------------------------------------------------------------- V10
 def latest_job_per_store(jobs: DataFrame, logs: DataFrame) -> DataFrame:
     r = recent_jobs(jobs, logs, limit=None)

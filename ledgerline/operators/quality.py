@@ -32,21 +32,28 @@ def job_progress(classified: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- DQ3 / A6-A8 / A13
-def profile(df: DataFrame, approx: bool = False) -> DataFrame:
+def profile(df: DataFrame, approx: bool = False, samples: bool = False) -> DataFrame:
     """One aggregation over all columns (nulls, distinct, max string length),
     unpivoted to one row per column. ``approx=True`` uses HyperLogLog++ for
-    the distinct counts (no expand/shuffle of every distinct value)."""
+    the distinct counts (no expand/shuffle of every distinct value).
+    ``samples=True`` adds L4: a first non-null value and the min and max as
+    text (each a bounded aggregation buffer, never a collected list)."""
     aggs, names = [], []
     for i, f in enumerate(df.schema.fields):
         c = F.col(f"`{f.name}`")
         names.append((f.name, f.dataType.simpleString()))
+        if samples:
+            aggs += [F.first(c, ignorenulls=True).cast("string").alias(f"s{i}"),
+                     F.min(c).cast("string").alias(f"lo{i}"), F.max(c).cast("string").alias(f"hi{i}")]
         aggs += [F.count_if(c.isNull()).alias(f"n{i}"),
                  (F.approx_count_distinct(c) if approx else F.count_distinct(c)).alias(f"d{i}"),
                  (F.max(F.length(c)) if isinstance(f.dataType, StringType) else F.lit(None).cast("int")).alias(f"l{i}")]
     wide = df.agg(*aggs)
+    extra = lambda i: ([F.col(f"s{i}").alias("sample"), F.col(f"lo{i}").alias("min_value"),
+                        F.col(f"hi{i}").alias("max_value")] if samples else [])
     rows = F.array(*[F.struct(F.lit(n).alias("column_name"), F.lit(t).alias("dtype"),
                               F.col(f"n{i}").alias("null_count"), F.col(f"d{i}").cast("bigint").alias("distinct_count"),
-                              F.col(f"l{i}").alias("max_length"))
+                              F.col(f"l{i}").alias("max_length"), *extra(i))
                      for i, (n, t) in enumerate(names)])
     return wide.select(F.inline(rows))
 

@@ -66,6 +66,42 @@ def config_text(records: DataFrame) -> DataFrame:
                           .alias("config_text"))
 
 
+# --------------------------------------------------------------------------- SRC6
+CONFIG_RECORD_DDL = ("MERCHANT string, TOKEN string, GCP_PROJECT_ID string, BIGQUERY_DATASET string, "
+                     "BACKFILL_START_DATE string, is_active boolean, metadata string")
+
+
+def resolve_configs(spark, inline_json: str | None = None, table_path: str | None = None,
+                    file_path: str | None = None) -> DataFrame:
+    """SRC6: config source precedence: inline JSON (one config or a list),
+    else the config table, else a JSON file. The choice is made on the driver
+    from what is given; the data itself is read by Spark."""
+    if inline_json:
+        one = spark.createDataFrame([(inline_json,)], "j string")
+        arr = F.when(F.trim("j").startswith("["), F.from_json("j", f"array<struct<{_colon(CONFIG_RECORD_DDL)}>>")) \
+            .otherwise(F.array(F.from_json("j", f"struct<{_colon(CONFIG_RECORD_DDL)}>")))
+        recs = one.select(F.inline(arr))
+        return recs.select(F.col("MERCHANT").alias("merchant"), F.col("TOKEN").alias("token"),
+                           F.col("GCP_PROJECT_ID").alias("gcp_project_id"),
+                           F.col("BIGQUERY_DATASET").alias("bigquery_dataset"),
+                           F.to_date("BACKFILL_START_DATE").alias("backfill_start_date"),
+                           F.coalesce("is_active", F.lit(True)).alias("is_active"), "metadata")
+    if table_path:
+        return spark.read.parquet(table_path)
+    if file_path:
+        recs = spark.read.schema(CONFIG_RECORD_DDL).option("multiLine", True).json(file_path)
+        return recs.select(F.col("MERCHANT").alias("merchant"), F.col("TOKEN").alias("token"),
+                           F.col("GCP_PROJECT_ID").alias("gcp_project_id"),
+                           F.col("BIGQUERY_DATASET").alias("bigquery_dataset"),
+                           F.to_date("BACKFILL_START_DATE").alias("backfill_start_date"),
+                           F.coalesce("is_active", F.lit(True)).alias("is_active"), "metadata")
+    raise ValueError("no store configuration source given")
+
+
+def _colon(ddl: str) -> str:
+    return ", ".join(f"{p.strip().split(' ')[0]}:{p.strip().split(' ')[1]}" for p in ddl.split(","))
+
+
 # --------------------------------------------------------------------------- MUT1 / J8 / A12
 def insert_absent(target: DataFrame, incoming: DataFrame) -> DataFrame:
     """MUT1: insert configs whose merchant is absent; existing rows stay as they are."""

@@ -91,6 +91,14 @@ def logs_keyword_search(spark, sf_dir):
     return J.keyword_search(logs)
 
 
+@query("logs_fetch_search")
+def logs_fetch_search(spark, sf_dir):
+    """V9 (second search): fetch-related log lines."""
+    from ..functions import constants as K
+    _, logs = _tables(spark, sf_dir)
+    return J.keyword_search(logs, K.FETCH_LOG_PATTERNS)
+
+
 @query("stores_connected")
 def stores_connected(spark, sf_dir):
     """V10 J6 P13 FN24 FN25: active stores with their latest job's status."""
