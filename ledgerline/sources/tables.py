@@ -30,10 +30,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     configure(spark)
     df = spark.read.parquet(table_path(sf_dir, name))
-    target = spark.sparkContext.defaultParallelism
-    if name not in FIXED_SIZE and df.rdd.getNumPartitions() < target:
-        df = df.repartition(target)
-    return df
+    if name in FIXED_SIZE:
+        return df
+    try:
+        target = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD view: keep the scan
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=None) -> None:
