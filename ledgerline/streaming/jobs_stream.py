@@ -4,8 +4,11 @@
 All three read the landed tables as file streams (new files = new data),
 checkpoint in the shared work folder, and are exactly-once: ST1 through the
 Parquet file sink's commit log, ST2/ST3 through ``foreachBatch`` writes that
-are idempotent per batch id (a replayed batch rewrites the same version /
-the same partitions with the same rows).
+are idempotent per batch id (a replayed batch rewrites the same partitions
+with the same rows).
+
+Both stateful sinks use :func:`merge_latest`: latest wins per key, only the
+touched partitions are rewritten.
 
 ``run_available_now`` drives a query over everything available and stops,
 which is how tests and the registry compare a stream with its batch form.
@@ -65,37 +68,53 @@ def status_stream(events: DataFrame) -> DataFrame:
                 F.col("s.event_seq").alias("event_seq"))
 
 
-def _versioned_merge(root: str, key: str, order: list[str]):
-    """foreachBatch sink: version v=<batch_id> = previous version with the
-    batch's keys replaced (latest wins). Re-running a batch id rewrites the
-    same version, so replays are idempotent."""
+STATUS_BUCKETS = 64
+
+
+def _table_exists(spark: SparkSession, path: str) -> bool:
+    from pyspark.errors import AnalysisException
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except AnalysisException:
+        return False
+
+
+def merge_latest(target: str, keys: list[str], order: list[str], part_col: str):
+    """foreachBatch sink: latest wins per key (by ``order``), rewriting only
+    the touched ``part_col`` partitions (dynamic partition overwrite). The
+    merged rows are checkpointed first, so the overwrite never reads the
+    files it replaces; replaying a batch id gives the same rows (idempotent)."""
+    def latest(df: DataFrame) -> DataFrame:
+        cols = [c for c in df.columns if c not in keys]
+        return (df.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_r"))
+                .select(*keys, "_r.*"))
+
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev = None
-        try:
-            versions = spark.read.parquet(root).select("v").where(F.col("v") < batch_id).distinct()
-            last = versions.agg(F.max("v")).first()[0]
-            if last is not None:
-                prev = spark.read.parquet(root).where(F.col("v") == last).drop("v")
-        except Exception:  # noqa: BLE001 - first batch: no table yet
-            prev = None
-        new = batch if prev is None else prev.join(batch.select(key), key, "left_anti").unionByName(batch)
-        (new.withColumn("v", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("v").parquet(root))
+        b = latest(batch)
+        if _table_exists(spark, target):
+            touched = b.select(part_col).distinct()
+            old = spark.read.parquet(target).join(touched, part_col, "left_semi").select(*b.columns)
+            merged = latest(old.unionByName(b))
+        else:
+            merged = b
+        merged = merged.checkpoint(eager=True)
+        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(part_col).parquet(target))
     return fn
 
 
-def latest_version(spark: SparkSession, root: str) -> DataFrame:
-    t = spark.read.parquet(root)
-    return t.where(F.col("v") == t.select(F.max("v")).scalar()).drop("v")
-
-
 def stream_job_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST2 sink: the status table is bucketed by a hash of job_id, so a batch
+    rewrites only the buckets of the jobs it updated."""
     out = fresh_path(spark, "stream-job-status")
-    w = (status_stream(table_stream(spark, sf_dir, "events")).writeStream.outputMode("update")
-         .foreachBatch(_versioned_merge(out + "/table", "job_id", ["status_at", "event_seq"])))
+    src = status_stream(table_stream(spark, sf_dir, "events")) \
+        .withColumn("bucket", F.pmod(F.xxhash64("job_id"), F.lit(STATUS_BUCKETS)).cast("int"))
+    w = (src.writeStream.outputMode("update")
+         .foreachBatch(merge_latest(out + "/table", ["job_id"], ["status_at", "event_seq"], "bucket")))
     run_available_now(w, out + "/_checkpoint")
-    return latest_version(spark, out + "/table")
+    return spark.read.parquet(out + "/table").drop("bucket")
 
 
 # --------------------------------------------------------------------------- ST3
@@ -112,31 +131,10 @@ def order_versions(orders: DataFrame, customers: DataFrame) -> DataFrame:
         .where(F.col("r").isNotNull()).select("store_name", "order_id", "r.status", "r.updated_at")
 
 
-def _sync_batch(target: str):
-    """foreachBatch: latest-wins per (store, id) by updated_at, then rewrite only
-    the touched store partitions (dynamic partition overwrite). The merged rows
-    are checkpointed first so the overwrite never reads the files it replaces."""
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        latest = lambda df: df.groupBy("store_name", "order_id").agg(
-            F.max_by(F.struct("status", "updated_at"), "updated_at").alias("r")) \
-            .select("store_name", "order_id", "r.status", "r.updated_at")
-        b = latest(batch)
-        touched = b.select("store_name").distinct()
-        try:
-            old = spark.read.parquet(target).join(touched, "store_name", "left_semi")
-            merged = latest(old.unionByName(b))
-        except Exception:  # noqa: BLE001 - first batch: no table yet
-            merged = b
-        merged = merged.checkpoint(eager=True)
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("store_name").parquet(target))
-    return fn
-
-
 def stream_incremental_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fresh_path(spark, "stream-sync")
     src = order_versions(table_stream(spark, sf_dir, "orders"), read(spark, sf_dir, "customer"))
-    w = src.writeStream.outputMode("append").foreachBatch(_sync_batch(out + "/table"))
+    w = src.writeStream.outputMode("append").foreachBatch(
+        merge_latest(out + "/table", ["store_name", "order_id"], ["updated_at"], "store_name"))
     run_available_now(w, out + "/_checkpoint")
     return spark.read.parquet(out + "/table")

@@ -105,3 +105,19 @@ def test_incremental_sync_is_idempotent(spark, sf_small):
     assert a.count() == a.select("store_name", "order_id").distinct().count()
     assert a.where("status = 'pending'").count() == spark.read.parquet(f"{sf_small}/orders.parquet").where(
         "o_orderstatus = 'O'").count()
+
+
+def test_merge_latest_touches_only_updated_partitions_and_replays(spark):
+    import datetime as dt
+    target = fresh_path(spark, "t-merge") + "/table"
+    fn = ST.merge_latest(target, ["store_name", "order_id"], ["updated_at"], "store_name")
+    d = lambda day: dt.datetime(2024, 1, day)
+    b0 = spark.createDataFrame([("s1", 1, "pending", d(1)), ("s1", 1, "paid", d(2)), ("s2", 7, "pending", d(1))],
+                               "store_name string, order_id bigint, status string, updated_at timestamp")
+    fn(b0, 0)
+    b1 = spark.createDataFrame([("s1", 1, "late-old", d(1)), ("s1", 2, "pending", d(3))],
+                               "store_name string, order_id bigint, status string, updated_at timestamp")
+    fn(b1, 1)
+    fn(b1, 1)                                                       # replay of the same batch
+    got = {(r.store_name, r.order_id): r.status for r in spark.read.parquet(target).collect()}
+    assert got == {("s1", 1): "paid", ("s1", 2): "pending", ("s2", 7): "pending"}
