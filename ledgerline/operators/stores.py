@@ -72,10 +72,11 @@ CONFIG_RECORD_DDL = ("MERCHANT string, TOKEN string, GCP_PROJECT_ID string, BIGQ
 
 
 def resolve_configs(spark, inline_json: str | None = None, table_path: str | None = None,
-                    file_path: str | None = None) -> DataFrame:
+                    file_path: str | None = None, multi_line: bool = False) -> DataFrame:
     """SRC6: config source precedence: inline JSON (one config or a list),
     else the config table, else a JSON file. The choice is made on the driver
-    from what is given; the data itself is read by Spark."""
+    from what is given; the data itself is read by Spark. Files are JSON Lines
+    (as SNK7 writes them) unless ``multi_line`` (one pretty-printed array)."""
     if inline_json:
         one = spark.createDataFrame([(inline_json,)], "j string")
         arr = F.when(F.trim("j").startswith("["), F.from_json("j", f"array<struct<{_colon(CONFIG_RECORD_DDL)}>>")) \
@@ -89,7 +90,7 @@ def resolve_configs(spark, inline_json: str | None = None, table_path: str | Non
     if table_path:
         return spark.read.parquet(table_path)
     if file_path:
-        recs = spark.read.schema(CONFIG_RECORD_DDL).option("multiLine", True).json(file_path)
+        recs = spark.read.schema(CONFIG_RECORD_DDL).option("multiLine", multi_line).json(file_path)
         return recs.select(F.col("MERCHANT").alias("merchant"), F.col("TOKEN").alias("token"),
                            F.col("GCP_PROJECT_ID").alias("gcp_project_id"),
                            F.col("BIGQUERY_DATASET").alias("bigquery_dataset"),

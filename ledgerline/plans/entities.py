@@ -139,3 +139,15 @@ def load_roundtrip(spark, sf_dir):
     back = spark.read.parquet(path)
     return back.groupBy("store_name", "processed_at_store_date").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("line_item_quantity").alias("quantity"))
+
+
+@query("products_chunked_load")
+def products_chunked_load(spark, sf_dir):
+    """SNK2: variants written with bounded files (chunked upload as one
+    atomic write), read back and counted per store."""
+    from ..session import fresh_path
+    from .load import load_chunked
+    path = fresh_path(spark, "products_insights")
+    load_chunked(products_flat(spark, sf_dir), path)
+    return spark.read.parquet(path).groupBy("store_name").agg(
+        F.count(F.lit(1)).alias("variants"), F.count_distinct("id").alias("products"))

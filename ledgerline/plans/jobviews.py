@@ -178,3 +178,27 @@ def jobs_hourly(spark, sf_dir):
     """Hourly completed/failed/success rate/records/error lines."""
     jobs, logs = _tables(spark, sf_dir)
     return J.hourly(jobs, logs)
+
+
+@query("error_lines")
+def error_lines(spark, sf_dir):
+    """FLT14: log lines whose text contains '[ERROR]'."""
+    _, logs = _tables(spark, sf_dir)
+    return J.logs_containing(logs, "[ERROR]").select("log_id", "job_id", "log_level")
+
+
+@query("jobs_after_sweep")
+def jobs_after_sweep(spark, sf_dir):
+    """MUT9 + SNK4 + W1: stuck jobs' failed events appended to a copy of the job
+    table, then every job's latest status derived again from the stored rows."""
+    from ..session import fresh_path
+    from .load import append
+    jobs, _ = _tables(spark, sf_dir)
+    path = fresh_path(spark, "pipeline_jobs")
+    append(jobs, path)
+    sweep = EV.sweep_events(J.stuck_jobs(jobs, C.as_of_col(), HOURS_STUCK), C.as_of_col(), HOURS_STUCK)
+    from pyspark.sql import functions as F
+    append(sweep.withColumn("event_seq", F.lit(None).cast("bigint")), path)
+    stored = spark.read.parquet(path).withColumn("event_seq", F.coalesce("event_seq", F.lit(2 ** 62)))
+    return J.job_state(stored).select("job_id", F.col("last.status").alias("status"),
+                                      F.col("last.started_at").alias("status_at"))

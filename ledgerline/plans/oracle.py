@@ -365,3 +365,35 @@ SELECT 'store-' || CAST(c.c_nationkey % 5 AS VARCHAR) || '.myshopify.com' AS sto
        CASE WHEN o.o_orderstatus = 'O' THEN o.o_orderdate ELSE o.o_orderdate + INTERVAL 5 DAY END AS updated_at
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 """
+
+ORACLE["products_chunked_load"] = """
+SELECT 'store-' || CAST(b % 5 AS VARCHAR) || '.myshopify.com' AS store_name, COUNT(*) AS variants,
+       COUNT(DISTINCT b) AS products
+FROM (SELECT p_partkey, CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS INTEGER) AS b FROM part)
+WHERE b <> 13 AND p_partkey % 29 <> 0
+GROUP BY 1
+"""
+
+ORACLE["config_json_roundtrip"] = """
+SELECT 'store-' || CAST(n_nationkey AS VARCHAR) || '.myshopify.com' AS merchant,
+       'shopify_store_' || CAST(n_nationkey AS VARCHAR) AS bigquery_dataset,
+       DATE '1995-01-01' + CAST(n_nationkey * 30 AS INTEGER) AS backfill_start_date,
+       n_nationkey % 6 <> 5 AS is_active
+FROM nation
+"""
+
+ORACLE["error_lines"] = f"""
+WITH {_J.BASE}
+SELECT log_id, job_id, log_level FROM logs WHERE contains(message, '[ERROR]')
+"""
+
+ORACLE["jobs_after_sweep"] = f"""
+WITH {_J.BASE},
+stuck AS (SELECT job_id FROM job_timeline
+          WHERE rn = 1 AND status = 'pending' AND started_at < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 1 HOUR)
+SELECT t.job_id,
+       CASE WHEN s.job_id IS NOT NULL THEN 'failed' ELSE t.status END AS status,
+       CASE WHEN s.job_id IS NOT NULL THEN TIMESTAMP '2024-01-31 00:00:00' ELSE t.started_at END AS status_at
+FROM job_timeline t LEFT JOIN stuck s ON s.job_id = t.job_id
+WHERE t.rn = 1
+"""

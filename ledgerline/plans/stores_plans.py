@@ -130,3 +130,19 @@ def job_names(spark, sf_dir):
     s = c.select("c_custkey", name.alias("store_name"), F.col("c_custkey").alias("created"))
     return S.versioned_job_names(s, order=["created", "c_custkey"]) \
         .select("c_custkey", "store_name", "base_name", "version", "job_name")
+
+
+@query("config_json_roundtrip")
+def config_json_roundtrip(spark, sf_dir):
+    """SNK7 + SRC6: config records written to a JSON file (the file fallback)
+    and read back through the file source."""
+    from ..session import fresh_path
+    from .load import write_config_json
+    recs = C.store_config(spark, sf_dir).select(
+        F.col("merchant").alias("MERCHANT"), F.col("token").alias("TOKEN"),
+        F.col("gcp_project_id").alias("GCP_PROJECT_ID"), F.col("bigquery_dataset").alias("BIGQUERY_DATASET"),
+        F.date_format("backfill_start_date", "yyyy-MM-dd").alias("BACKFILL_START_DATE"),
+        F.col("is_active"), F.col("metadata"))
+    path = write_config_json(recs, fresh_path(spark, "store_config_json"))
+    back = S.resolve_configs(spark, file_path=path)
+    return back.select("merchant", "bigquery_dataset", "backfill_start_date", "is_active")

@@ -53,7 +53,7 @@ def test_config_source_precedence(spark, sf_small):
     os.makedirs(path)
     with open(os.path.join(path, "cfg.json"), "w") as f:
         json.dump([{"MERCHANT": "c", "TOKEN": "t", "is_active": False}], f, indent=2)
-    r = S.resolve_configs(spark, file_path=path).first()
+    r = S.resolve_configs(spark, file_path=path, multi_line=True).first()
     assert r.merchant == "c" and r.is_active is False
 
 
