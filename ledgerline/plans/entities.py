@@ -60,17 +60,35 @@ def _error_for(page):
             .when(r == 7, "error").when(r == 11, "missing_data"))
 
 
-@query("page_triage")
-def page_triage(spark, sf_dir):
-    """SRC1 SRC12 UNN1 SET1: orders landed as API pages (JSON, by store/month),
-    read back with the page schema, triaged; page and edge counts per class."""
+def _landed_order_pages(spark, sf_dir):
+    """Order documents landed as API pages (JSON lines by store/month, some
+    pages carrying errors), read back through the page source with its schema."""
     from ..session import fresh_path
     from ..sources import pages as PG
     docs = landing.order_docs(spark, sf_dir).withColumn("month", F.substring("createdAt", 1, 7))
     node_cols = [c for c in docs.columns if c not in ("store_name", "order_key", "month")]
     env = PG.envelope(docs, "orders", F.floor(F.col("order_key") / 100), node_cols, _error_for)
     path = PG.land(env, fresh_path(spark, "landing-orders"))
-    t = PG.triage(PG.read_pages(spark, path, "orders"), "orders")
+    return PG.read_pages(spark, path, "orders")
+
+
+@query("orders_from_pages")
+def orders_from_pages(spark, sf_dir):
+    """SRC1 SRC12 UNN1 P1 end to end: landed pages -> triage -> good pages'
+    nodes -> order flatten (error pages stay in quarantine)."""
+    from ..sources import pages as PG
+    nodes = PG.nodes(_landed_order_pages(spark, sf_dir), "orders")
+    return flatten.orders(nodes, control.store_config(spark, sf_dir)) \
+        .select("store_name", "name", "processed_at_store_date", "total_price", "order_level_tax_amount",
+                "line_items", "tags", "customer_id")
+
+
+@query("page_triage")
+def page_triage(spark, sf_dir):
+    """SRC1 SRC12 UNN1 SET1: orders landed as API pages (JSON, by store/month),
+    read back with the page schema, triaged; page and edge counts per class."""
+    from ..sources import pages as PG
+    t = PG.triage(_landed_order_pages(spark, sf_dir), "orders")
     return t.groupBy("store_name", "page_class").agg(
         F.count(F.lit(1)).alias("pages"),
         F.sum(F.coalesce(F.size("data.orders.edges"), F.lit(0))).cast("bigint").alias("edges"))
