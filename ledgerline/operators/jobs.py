@@ -199,13 +199,13 @@ def latest_job_per_store(jobs: DataFrame, logs: DataFrame) -> DataFrame:
 
 
 def connected_stores(stores: DataFrame, jobs: DataFrame, logs: DataFrame) -> DataFrame:
-    from .nesting import sized_broadcast
     lj = latest_job_per_store(jobs, logs)
     meta = F.from_json(F.col("metadata"), "map<string,string>")
     active = stores.where(F.col("is_active"))
-    # the stores side is the small one here; the per-store job summary is
-    # bounded by the number of stores, so it is broadcast after a size check
-    return (active.join(sized_broadcast(lj), active.merchant == lj.store_url, "left")
+    # the per-store job summary is derived (one row per store): AQE measures it
+    # at runtime and turns the join into a broadcast when it is small, without
+    # computing the summary twice as an eager size probe would
+    return (active.join(lj, active.merchant == lj.store_url, "left")
             .select(F.col("merchant").alias("store_url"),
                     F.col("bigquery_dataset").alias("dataset"),
                     F.coalesce(meta["BACKFILL_START_DATE"], F.date_format("backfill_start_date", "yyyy-MM-dd")).alias("start_date"),

@@ -19,7 +19,9 @@ ITEMS_PER_DOC = 250
 def sized_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast a dimension only after checking its size; otherwise a normal
     shuffle join is planned. The check is a bounded count (reads at most
-    max_rows + 1 rows)."""
+    max_rows + 1 rows). Meant for cheap base dimensions (store config); for
+    derived aggregates the engine leaves the choice to AQE's runtime
+    statistics instead of computing them twice."""
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 

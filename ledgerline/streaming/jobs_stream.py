@@ -25,9 +25,16 @@ from ..sources import control as C
 from ..sources.tables import read
 
 
+# Keyed streaming state (one buffer per job / entity key) can reach millions of
+# keys; the RocksDB provider keeps it off the JVM heap with incremental checkpoints.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
     """A driver table as a file stream (schema taken from the table, no inference)."""
     configure(spark)
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) != STATE_STORE:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     schema = read(spark, sf_dir, name).schema
     r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
     if max_files:
