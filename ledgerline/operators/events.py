@@ -105,3 +105,19 @@ def clear_history(jobs: DataFrame, logs: DataFrame) -> tuple[DataFrame, DataFram
     so no stale 'pending' row resurfaces) and their logs (J4 as anti joins)."""
     done = jobs.where(F.col("status").isin(*K.TERMINAL_STATUSES)).select("job_id").distinct()
     return jobs.join(done, "job_id", "left_anti"), logs.join(done, "job_id", "left_anti")
+
+
+LOG_COLUMNS = ["log_id", "job_id", "timestamp", "log_level", "message", "store_url", "component",
+               "is_error", "error_type"]
+LOG_MESSAGE_MAX = 1000
+
+
+def log_events(lines: DataFrame) -> DataFrame:
+    """SNK4 rows for pipeline_logs from (job_id, timestamp, log_level, message,
+    store_url, component) requests: message cut at 1,000 characters (FN18),
+    deterministic log_id (FN27)."""
+    msg = X.left("message", LOG_MESSAGE_MAX)
+    lid = F.sha2(F.concat_ws("|", F.col("job_id"), F.col("timestamp").cast("string"), F.col("message")), 256)
+    return lines.select(lid.alias("log_id"), "job_id", F.col("timestamp").cast("timestamp").alias("timestamp"),
+                        "log_level", msg.alias("message"), "store_url", "component",
+                        F.lit(None).cast("boolean").alias("is_error"), F.lit(None).cast("string").alias("error_type"))
