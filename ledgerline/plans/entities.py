@@ -124,10 +124,13 @@ def backfill_by_store(spark, sf_dir):
 @query("orders_on_date")
 def orders_on_date(spark, sf_dir):
     """V13 FLT11 FN17 A1: orders created on the latest day ("today") per store."""
+    from pyspark.sql.window import Window
     flat = flatten.orders(landing.order_docs(spark, sf_dir), control.store_config(spark, sf_dir))
-    day = F.to_date("created_at")
-    today = flat.select(F.max(day)).scalar()
-    return flat.where(day == today).groupBy("store_name").agg(F.count(F.lit(1)).alias("orders"))
+    # one pass: counts per (store, day), then the latest day over that small
+    # table (stores x days rows) instead of a second pass for max(day)
+    per_day = flat.groupBy("store_name", F.to_date("created_at").alias("day")).agg(F.count(F.lit(1)).alias("orders"))
+    latest = per_day.withColumn("_today", F.max("day").over(Window.partitionBy()))
+    return latest.where(F.col("day") == F.col("_today")).select("store_name", "orders")
 
 
 @query("month_windows")
@@ -137,10 +140,12 @@ def month_windows(spark, sf_dir):
     from ..functions import exprs as X
     flat = flatten.orders(landing.order_docs(spark, sf_dir), control.store_config(spark, sf_dir))
     d = F.col("processed_at_store_date")
-    bounds = flat.groupBy("store_name").agg(F.min(d).alias("_s"), F.max(d).alias("_e")).where(F.col("_s").isNotNull())
-    windows = bounds.select("store_name", F.explode(X.month_starts("_s", "_e")).alias("window_start"))
+    # one pass over the orders: counts per (store, month); the per-store bounds
+    # come from that small table
     counts = flat.where(d.isNotNull()).groupBy("store_name", F.trunc(d, "month").alias("window_start")) \
         .agg(F.count(F.lit(1)).alias("orders"))
+    bounds = counts.groupBy("store_name").agg(F.min("window_start").alias("_s"), F.max("window_start").alias("_e"))
+    windows = bounds.select("store_name", F.explode(X.month_starts("_s", "_e")).alias("window_start"))
     return (windows.join(counts, ["store_name", "window_start"], "left")
             .select("store_name", "window_start", F.last_day("window_start").alias("window_end"),
                     F.coalesce("orders", F.lit(0).cast("bigint")).alias("orders")))

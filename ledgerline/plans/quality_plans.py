@@ -39,19 +39,19 @@ def table_profile(spark, sf_dir):
 @query("table_counts")
 def table_counts(spark, sf_dir):
     """SRC9 A1: row count of every table."""
-    return Q.table_counts({t: read(spark, sf_dir, t) for t in TABLES})
+    return Q.table_counts({t: read(spark, sf_dir, t, spread=False) for t in TABLES})
 
 
 @query("table_expected")
 def table_expected(spark, sf_dir):
     """SRC10: expected tables with their count, or a missing mark."""
-    return Q.expected_tables(spark, Q.table_counts({t: read(spark, sf_dir, t) for t in TABLES}))
+    return Q.expected_tables(spark, Q.table_counts({t: read(spark, sf_dir, t, spread=False) for t in TABLES}))
 
 
 @query("table_schema")
 def table_schema(spark, sf_dir):
     """SRC11: column names and types of each table, with non-null counts."""
-    return Q.table_schema({t: read(spark, sf_dir, t) for t in SCHEMA_TABLES})
+    return Q.table_schema({t: read(spark, sf_dir, t, spread=False) for t in SCHEMA_TABLES})
 
 
 @query("run_summary")

@@ -18,7 +18,7 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """Parquet scan; projections and filters applied later are pushed into it
     (Catalyst pushes them below the repartition).
 
@@ -30,7 +30,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     configure(spark)
     df = spark.read.parquet(table_path(sf_dir, name))
-    if name in FIXED_SIZE:
+    if name in FIXED_SIZE or not spread:           # e.g. counts gain nothing from spreading
         return df
     try:
         target = spark.sparkContext.defaultParallelism
