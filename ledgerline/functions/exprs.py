@@ -126,19 +126,29 @@ def tags_from_text(c) -> Column:
     return F.when(c.isNull() | (c == ""), F.array().cast("array<string>")).otherwise(F.array(c))
 
 
+# JSON string escaping as the loaders' serializer writes it: backslash and
+# quote, the five short escapes, every other control character (below 0x20)
+# as a lower-case \\u00xx escape; everything else (non-ASCII included) as is.
+_SHORT_ESCAPES = {"\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
+_JSON_ESCAPES = [("\\", "\\\\"), ('"', '\\"')] + [
+    (chr(i), _SHORT_ESCAPES.get(chr(i), "\\u%04x" % i)) for i in range(0x20)]
+
+
+def json_string(x) -> Column:
+    """JSON text of one string value; null -> 'null'."""
+    v = col(x)
+    for raw, esc in _JSON_ESCAPES:
+        v = F.replace(v, F.lit(raw), F.lit(esc))
+    return F.when(col(x).isNull(), F.lit("null")).otherwise(F.concat(F.lit('"'), v, F.lit('"')))
+
+
 def json_list_text(arr) -> Column:
-    """FN13: JSON text of a list with ', ' separators and non-ASCII kept.
-
-    ``to_json`` renders without spaces, so each element is rendered alone
-    (``to_json(array(x))`` minus the brackets) and the parts joined with ', '.
-    A null list stays null (the caller decides the fill).
-    """
-    def one(x):
-        j = F.to_json(F.array(x))
-        return F.substring(j, F.lit(2), F.length(j) - 2)
+    """FN13: JSON text of a list of strings with ', ' separators, non-ASCII
+    kept (the loaders' serializer with ensure_ascii off). A null list stays
+    null (the caller decides the fill)."""
     a = col(arr)
     return F.when(a.isNull(), F.lit(None).cast("string")).otherwise(
-        F.concat(F.lit("["), F.array_join(F.transform(a, one), ", "), F.lit("]")))
+        F.concat(F.lit("["), F.array_join(F.transform(a, json_string), ", "), F.lit("]")))
 
 
 def left(c, n: int) -> Column:
