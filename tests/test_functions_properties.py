@@ -85,3 +85,42 @@ def test_gid_digits(spark, ids):
         m = re.search(r"(\d+)$", x)
         return m.group(1) if m else None
     assert _eval(spark, [(i,) for i in ids], "x string", X.gid_digits("x")) == [ref(i) for i in ids]
+
+
+def _expected_refund(item_id, refunds):
+    """The rule, stated plainly: walk refunds in order; inside a refund the first
+    entry for the item sets (restock, subtotal); stop after a refund whose
+    restock is non-empty; a later matching refund overwrites otherwise."""
+    restock, subtotal = None, None
+    for r in refunds:
+        for e in r:
+            if e[0] == item_id:
+                restock, subtotal = e[1], e[2]
+                break
+        if restock:
+            break
+    return (restock or "", subtotal if subtotal is not None else 0.0)
+
+
+refund_entry = st.tuples(st.integers(1, 4), st.sampled_from([None, "", "RETURN", "NO_RESTOCK", "CANCEL"]),
+                         st.sampled_from([None, 1.0, 2.5, 7.25]))
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.lists(refund_entry, max_size=4), max_size=3), min_size=1, max_size=25))
+def test_refund_fold_matches_rule(spark, orders):
+    from helpers import docs_from_json, money
+    from ledgerline import schemas
+    from ledgerline.operators import flatten
+    docs = []
+    for n, refunds in enumerate(orders):
+        items = [{"node": {"id": f"gid://shop/LineItem/{n}0{i}", "quantity": 1}} for i in range(1, 5)]
+        rs = [{"id": f"r{j}", "refundLineItems": {"edges": [
+            {"node": {"lineItem": {"id": f"gid://shop/LineItem/{n}0{li}"}, "restockType": rt,
+                      "subtotalSet": money(sub)}} for li, rt, sub in r]}} for j, r in enumerate(refunds)]
+        docs.append({"name": f"#{n}", "lineItems": {"edges": items}, "refunds": rs})
+    d = docs_from_json(spark, schemas.ORDER_ITEMS_NODE, docs)
+    got = {r.line_item_id: (r.refund_restock_type, r.refund_subtotal) for r in flatten.order_items(d).collect()}
+    for n, refunds in enumerate(orders):
+        for i in range(1, 5):
+            assert got[f"{n}0{i}"] == _expected_refund(i, refunds), (n, i, refunds)
