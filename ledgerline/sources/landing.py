@@ -147,7 +147,8 @@ def order_item_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
                       _refund_item(F.lit("NO_RESTOCK"), F.col("l_extendedprice") * F.col("l_tax")))
     sk = line_key()
     grouped = nest_split(
-        items, ["l_orderkey"], _item_node(), sk, count_source=li,
+        items, ["l_orderkey"], _item_node(), sk,
+        count_source=read(spark, sf_dir, "lineitem", spread=False),   # map-side combined count: no spread needed
         extra_aggs=[F.array_sort(F.collect_list(F.when(is_r, F.struct(sk.alias("k"), refund_a.alias("v"))))).alias("_ra"),
                     F.array_sort(F.collect_list(F.when(is_r & (F.col("l_linestatus") == "F"),
                                                        F.struct(sk.alias("k"), refund_b.alias("v"))))).alias("_rb")])
@@ -311,7 +312,8 @@ def product_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(pk % 2 == 0, F.struct(F.concat(F.lit("https://cdn.example.com/v/"), pk.cast("string"), F.lit(".png")).alias("url")))
         .alias("image")))
     parts = p.withColumn("brand_no", brand_no)
-    grouped = nest_split(parts, ["brand_no", "p_brand"], variant, F.lpad(pk.cast("string"), 12, "0"), name="variants")
+    grouped = nest_split(parts, ["brand_no", "p_brand"], variant, F.lpad(pk.cast("string"), 12, "0"), name="variants",
+                         count_source=read(spark, sf_dir, "part", spread=False).withColumn("brand_no", brand_no))
     # product documents of more than 250 variants are split into parts; each part repeats the product
     b = F.col("brand_no")
     created = F.to_timestamp(F.lit("2019-01-01")) + F.make_interval(days=b.cast("int"))

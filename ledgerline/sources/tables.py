@@ -12,6 +12,8 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 # dimensions whose size is fixed by definition (5 regions, 25 nations)
 FIXED_SIZE = {"region", "nation"}
+# split count per (session, table path): the driver's input tables are immutable
+_SPLITS: dict[tuple, tuple[int, int]] = {}
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -32,11 +34,13 @@ def read(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> Da
     df = spark.read.parquet(table_path(sf_dir, name))
     if name in FIXED_SIZE or not spread:           # e.g. counts gain nothing from spreading
         return df
-    try:
-        target = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD view: keep the scan
-        return df
+    key = (id(spark), table_path(sf_dir, name))
+    if key not in _SPLITS:
+        try:
+            _SPLITS[key] = (df.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
+        except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD view: keep the scan
+            _SPLITS[key] = (1 << 30, 0)
+    splits, target = _SPLITS[key]
     return df.repartition(target) if splits < target else df
 
 
