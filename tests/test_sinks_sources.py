@@ -90,3 +90,25 @@ def test_component_isolation():
     status, msg, total = load.run_status(res)
     assert status == "failed" and total == 7
     assert msg.startswith("Failed components: orders. orders: bad page")
+
+
+def test_output_contracts(spark, sf_small):
+    from ledgerline.operators import events as EV
+    from ledgerline.sources import pages as PG
+    jobs = C.pipeline_jobs(spark, sf_small)
+    as_of = C.as_of_col()
+    assert EV.sweep_events(J.stuck_jobs(jobs, as_of, 1), as_of).columns == EV.EVENT_COLUMNS
+    assert EV.cancel_events(jobs, as_of).columns == EV.EVENT_COLUMNS
+    assert EV.complete_running(jobs, as_of).columns == EV.EVENT_COLUMNS
+    logs = C.pipeline_logs(spark, sf_small)
+    assert logs.columns == EV.LOG_COLUMNS
+    assert EV.log_events(logs.select("job_id", "timestamp", "log_level", "message", "store_url",
+                                     "component")).columns == EV.LOG_COLUMNS
+    from ledgerline.plans import entities
+    flat = entities.orders_flat(spark, sf_small)
+    rows, path = load.load_full_refresh(flat, fresh_path(spark, "t-orders"), load.ORDERS_LAYOUT)
+    assert rows == flat.count() and "processed_month=" in str(os.listdir(f"{path}/{os.listdir(path)[0]}"))
+    env = spark.createDataFrame([(None, [("Throttled",)]), (None, None)],
+                                "data struct<orders:struct<edges:array<string>>>, errors array<struct<message:string>>")
+    classes = {r[0] for r in PG.triage(env, "orders").select("page_class").collect()}
+    assert classes <= set(PG.PAGE_CLASSES) and classes == {"rate_limited", "missing_data"}
