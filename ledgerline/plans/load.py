@@ -114,15 +114,44 @@ def replace_table(df: DataFrame, name: str) -> str:
     return path
 
 
-def create_tables(spark: SparkSession, root: str, database: str) -> list[str]:
-    """SNK5/SNK6: namespace + tables if absent, day-partitioned."""
+def table_contracts(spark: SparkSession) -> dict:
+    """Schema registry of the published tables, taken from the flatten
+    operators themselves (each applied to an empty DataFrame with its page
+    node schema), so the declared tables can never drift from what is written."""
+    from .. import schemas
+    from ..operators import flatten
+    empty = lambda node, top=True: spark.createDataFrame(
+        [], (node if top else f"node struct<{schemas._fields(node)}>") + ", store_name string")
+    return {
+        "order_items_insights": flatten.order_items(empty(schemas.ORDER_ITEMS_NODE)).schema,
+        "order_insights": flatten.orders(empty(schemas.ORDER_NODE)).schema,
+        "customer_insights": flatten.customers(empty(schemas.CUSTOMER_NODE)).schema,
+        "products_insights": flatten.products(empty(schemas.PRODUCT_NODE, top=False)).schema,
+    }
+
+
+TABLE_LAYOUTS = {"order_items_insights": ("store_name", "processed_month"),
+                 "order_insights": ("store_name", "processed_month"),
+                 "customer_insights": ("store_name",), "products_insights": ("store_name",)}
+
+
+def create_tables(spark: SparkSession, root: str, database: str, legacy: bool = False) -> list[str]:
+    """SNK5/SNK6: namespace + tables if absent, partitioned as they are written.
+    ``legacy=True`` also declares the order-items table under the older schema set's names."""
     from .. import schemas
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    cols = ", ".join(f"`{n}` {t}" for n, t in schemas.ORDER_ITEMS_INSIGHTS if n != "processed_at_store_date")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.order_items_insights (processed_at_store_date date, {cols}, "
-              f"store_name string, processed_month string) USING parquet PARTITIONED BY (store_name, processed_month) "
-              f"LOCATION '{root.rstrip('/')}/order_items_insights'")
-    return [t.name for t in spark.catalog.listTables(database)]
+    tables = dict(table_contracts(spark))
+    if legacy:
+        from pyspark.sql.types import StructType
+        tables["order_items_insights_legacy"] = StructType.fromDDL(
+            ", ".join(f"`{n}` {t}" for n, t, _ in schemas.ORDER_ITEMS_LEGACY) + ", store_name string")
+    for name, schema in tables.items():
+        parts = list(TABLE_LAYOUTS.get(name, ("store_name",)))
+        cols = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name not in parts]
+        cols += [f"`{p}` string" for p in parts]
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({', '.join(cols)}) USING parquet "
+                  f"PARTITIONED BY ({', '.join(parts)}) LOCATION '{root.rstrip('/')}/{name}'")
+    return sorted(t.name for t in spark.catalog.listTables(database))
 
 
 def write_config_json(df: DataFrame, path: str) -> str:
