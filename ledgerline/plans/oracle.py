@@ -63,8 +63,8 @@ SELECT
   o.store_name,
   {LOCAL_DATE} AS processed_at_store_date,
   {ORDER_HEADER},
-  CASE o.o_orderpriority WHEN '1-URGENT' THEN 'shopify_payments, gift_card'
-       WHEN '2-HIGH' THEN 'shopify_payments' WHEN '3-MEDIUM' THEN 'manual' ELSE '' END
+  CASE o.o_orderpriority WHEN '1-URGENT' THEN 'card_payments, gift_card'
+       WHEN '2-HIGH' THEN 'card_payments' WHEN '3-MEDIUM' THEN 'manual' ELSE '' END
     AS payment_gateway_names,
   l.line_key AS line_item_id,
   CASE WHEN l.l_returnflag = 'R' THEN 0 ELSE CAST(l.l_quantity AS BIGINT) END AS line_item_current_quantity,
@@ -120,8 +120,8 @@ SELECT
   {LOCAL_DATE} AS processed_at_store_date,
   CASE o.o_orderpriority WHEN '1-URGENT' THEN '["URGENT10"]' WHEN '2-HIGH' THEN '["HIGH5", "VIP"]'
        WHEN '5-LOW' THEN '' ELSE '[]' END AS discount_codes,
-  CASE o.o_orderpriority WHEN '1-URGENT' THEN '["shopify_payments", "gift_card"]'
-       WHEN '2-HIGH' THEN '["shopify_payments"]' WHEN '3-MEDIUM' THEN '["manual"]'
+  CASE o.o_orderpriority WHEN '1-URGENT' THEN '["card_payments", "gift_card"]'
+       WHEN '2-HIGH' THEN '["card_payments"]' WHEN '3-MEDIUM' THEN '["manual"]'
        WHEN '4-NOT SPECIFIED' THEN '[]' ELSE '' END AS payment_gateway_names,
   CASE WHEN o.o_orderstatus = 'F' THEN {money('o.o_totalprice * 0.1')} ELSE 0.0 END AS total_refunded,
   CASE WHEN o.o_orderkey % 7 = 0 THEN '' WHEN o.o_orderstatus = 'O' THEN 'Standard' ELSE 'Express' END

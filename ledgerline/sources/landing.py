@@ -123,8 +123,8 @@ def _order_header(o: DataFrame) -> list[Column]:
         F.when(F.col("o_orderstatus") == "F", "PAID").when(F.col("o_orderstatus") == "O", "PENDING")
         .otherwise("PARTIALLY_REFUNDED").alias("displayFinancialStatus"),
         F.concat(F.lit("#"), (k + 1000).cast("string")).alias("name"),
-        F.when(pri == "1-URGENT", F.array(F.lit("shopify_payments"), F.lit("gift_card")))
-        .when(pri == "2-HIGH", F.array(F.lit("shopify_payments")))
+        F.when(pri == "1-URGENT", F.array(F.lit("card_payments"), F.lit("gift_card")))
+        .when(pri == "2-HIGH", F.array(F.lit("card_payments")))
         .when(pri == "3-MEDIUM", F.array(F.lit("manual")))
         .when(pri == "4-NOT SPECIFIED", F.array().cast("array<string>"))
         .otherwise(F.lit(None).cast("array<string>")).alias("paymentGatewayNames"),
