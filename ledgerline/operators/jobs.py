@@ -269,8 +269,16 @@ def hourly(jobs: DataFrame, logs: DataFrame) -> DataFrame:
         F.sum("records_processed").alias("records_processed"))
     e = logs.where(F.col("log_level") == "ERROR").groupBy(
         F.window("timestamp", "1 hour").start.alias("hour")).agg(F.count(F.lit(1)).alias("error_logs"))
+    # average processing time: jobs whose latest record is terminal, from the
+    # creation record to that record, by hour of completion
+    s = job_state(jobs).where(F.col("last.status").isin("completed", "failed") & F.col("first").isNotNull())
+    secs = X.seconds_between(F.col("first.started_at"), F.col("last.completed_at"))
+    # exact integer sum / count (a floating-point running sum would depend on order)
+    dur = s.groupBy(F.window("last.completed_at", "1 hour").start.alias("hour")).agg(
+        (F.sum(secs).cast("double") / F.count(secs)).alias("avg_duration_seconds"))
     done = F.col("jobs_completed") + F.col("jobs_failed")
-    return (h.join(e, "hour", "left")
+    return (h.join(e, "hour", "left").join(dur, "hour", "left")
             .select("hour", "jobs_completed", "jobs_failed",
                     F.when(done > 0, F.col("jobs_completed") / done).alias("success_rate"),
-                    "records_processed", F.coalesce("error_logs", F.lit(0).cast("bigint")).alias("error_logs")))
+                    "records_processed", F.coalesce("error_logs", F.lit(0).cast("bigint")).alias("error_logs"),
+                    "avg_duration_seconds"))

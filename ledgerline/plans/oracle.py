@@ -127,7 +127,7 @@ SELECT
   CASE WHEN o.o_orderkey % 7 = 0 THEN '' WHEN o.o_orderstatus = 'O' THEN 'Standard' ELSE 'Express' END
     AS shipping_line_title,
   CASE WHEN o.o_orderkey % 7 = 0 THEN 0.0 ELSE {money('o.o_totalprice * 0.01')} END AS shipping_line_price,
-  CASE WHEN o.o_orderkey % 7 = 0 OR o.o_orderkey % 3 = 0 THEN NULL ELSE 0.05 END AS shipping_line_tax_rate,
+  CASE WHEN o.o_orderkey % 7 = 0 OR o.o_orderkey % 3 = 0 THEN NULL ELSE CAST(0.05 AS DOUBLE) END AS shipping_line_tax_rate,
   CASE WHEN o.o_orderkey % 7 = 0 OR o.o_orderkey % 3 = 0 THEN 0.0 ELSE {money('o.o_totalprice * 0.02')} END
     AS shipping_line_tax_amount,
   CASE WHEN o.o_orderstatus = 'P' AND o.o_orderkey % 5 = 0
@@ -150,7 +150,7 @@ SELECT
        + CASE WHEN o.o_orderstatus = 'F' THEN CAST(o.o_totalprice * 0.01 AS DECIMAL(18,4)) ELSE 0 END AS DOUBLE)
     AS order_level_tax_amount,
   CASE WHEN o.o_orderkey % 6 = 0 THEN {money('o.o_totalprice * 0.02')} ELSE 0.0 END AS duties,
-  CASE WHEN o.o_orderkey % 8 = 0 THEN 1.5 ELSE 0.0 END AS additional_fees
+  CAST(CASE WHEN o.o_orderkey % 8 = 0 THEN 1.5 ELSE 0.0 END AS DOUBLE) AS additional_fees
 FROM o
 LEFT JOIN st ON st.merchant = o.store_name
 LEFT JOIN nation n ON n.n_nationkey = o.c_nationkey

@@ -385,9 +385,18 @@ h AS (
          CAST(SUM(records_processed) AS BIGINT) AS records_processed
   FROM jobs GROUP BY 1
 ),
-e AS (SELECT date_trunc('hour', "timestamp") AS hour, COUNT(*) AS error_logs FROM logs WHERE log_level = 'ERROR' GROUP BY 1)
+e AS (SELECT date_trunc('hour', "timestamp") AS hour, COUNT(*) AS error_logs FROM logs WHERE log_level = 'ERROR' GROUP BY 1),
+fr AS (SELECT job_id, started_at FROM (
+         SELECT *, ROW_NUMBER() OVER (PARTITION BY job_id ORDER BY started_at, event_seq) AS ra
+         FROM jobs WHERE job_type != 'status_update' OR job_type IS NULL) WHERE ra = 1),
+d AS (SELECT date_trunc('hour', t.completed_at) AS hour,
+             CAST(SUM((epoch_us(t.completed_at) - epoch_us(fr.started_at)) // 1000000) AS DOUBLE)
+               / COUNT(*) AS avg_duration_seconds
+      FROM job_timeline t JOIN fr ON fr.job_id = t.job_id
+      WHERE t.rn = 1 AND t.status IN ('completed', 'failed')
+      GROUP BY 1)
 SELECT h.hour, jobs_completed, jobs_failed,
        CASE WHEN jobs_completed + jobs_failed > 0 THEN jobs_completed / (jobs_completed + jobs_failed) END AS success_rate,
-       records_processed, coalesce(error_logs, 0) AS error_logs
-FROM h LEFT JOIN e ON e.hour = h.hour
+       records_processed, coalesce(error_logs, 0) AS error_logs, d.avg_duration_seconds
+FROM h LEFT JOIN e ON e.hour = h.hour LEFT JOIN d ON d.hour = h.hour
 """
