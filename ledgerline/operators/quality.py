@@ -47,7 +47,7 @@ def profile(df: DataFrame, approx: bool = False, samples: bool = False) -> DataF
                      F.min(c).cast("string").alias(f"lo{i}"), F.max(c).cast("string").alias(f"hi{i}")]
         aggs += [F.count_if(c.isNull()).alias(f"n{i}"),
                  (F.approx_count_distinct(c) if approx else F.count_distinct(c)).alias(f"d{i}"),
-                 (F.max(F.length(c)) if isinstance(f.dataType, StringType) else F.lit(None).cast("int")).alias(f"l{i}")]
+                 (F.max(F.length(c)) if isinstance(f.dataType, StringType) else F.lit(None)).cast("bigint").alias(f"l{i}")]
     wide = df.agg(*aggs)
     extra = lambda i: ([F.col(f"s{i}").alias("sample"), F.col(f"lo{i}").alias("min_value"),
                         F.col(f"hi{i}").alias("max_value")] if samples else [])

@@ -31,5 +31,5 @@ def split_row_number(df: DataFrame, keys: list[str], order: list[str], out: str
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0))).drop("_cnt")
     return (local.join(offsets, ["_slice", *keys])
-            .withColumn(out, (F.col("_local") + F.col("_off")).cast("int"))
+            .withColumn(out, (F.col("_local") + F.col("_off")).cast("bigint"))          # may exceed int at scale
             .drop("_slice", "_local", "_off"))
