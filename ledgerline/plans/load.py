@@ -139,7 +139,7 @@ def create_tables(spark: SparkSession, root: str, database: str, legacy: bool =
     """SNK5/SNK6: namespace + tables if absent, partitioned as they are written.
     ``legacy=True`` also declares the order-items table under the older schema set's names."""
     from .. import schemas
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root.rstrip('/')}/_{database}.db'")
     tables = dict(table_contracts(spark))
     if legacy:
         from pyspark.sql.types import StructType
