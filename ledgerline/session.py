@@ -8,10 +8,14 @@ map key de-duplication (config overlay), AQE with skew-join handling.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime (session-level) settings; safe to set on a live session.
 RUNTIME_CONF = {
@@ -23,7 +27,7 @@ RUNTIME_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "static",
 }
 
-_WORK_DIR: dict[int, str] = {}
+_WORK_DIR: dict[str, str] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -55,25 +59,36 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for written tables and checkpoints.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one. Only when it is
-    unset (local tests) a fresh folder under the system temp dir is created and
-    registered as the checkpoint dir.
+    Uses ``spark.checkpoint.dir`` when the cluster names one. A temporary
+    folder stands in only for a ``local`` master (tests, one machine); it is
+    removed when the process ends. Any other master without a shared folder is
+    an error: executors could not read each other's files.
     """
-    key = id(spark.sparkContext)
+    sc = spark.sparkContext
+    key = sc.applicationId
     if key in _WORK_DIR:
         return _WORK_DIR[key]
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) \
-        or spark.conf.get("spark.checkpoint.dir", None)
+    base = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if base:
         base = base.rstrip("/") + "/ledgerline"
-    else:
+    elif re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         base = tempfile.mkdtemp(prefix="ledgerline-")
-    spark.sparkContext.setCheckpointDir(base + "/checkpoints")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    sc.setCheckpointDir(base + "/checkpoints")
     _WORK_DIR[key] = base
     return base
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused sub-path of the work dir (each run writes a new folder)."""
-    import uuid
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a new folder of the work dir as Parquet and read it
+    back: cuts the lineage with files that outlive any executor."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
