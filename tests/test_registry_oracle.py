@@ -9,7 +9,7 @@ from ledgerline.sources.tables import TABLES, table_path
 from tools.compare import rows_of
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(E.queries())
+NAMES = sorted(E.all_queries())
 
 
 @pytest.fixture(scope="module")
