@@ -151,3 +151,11 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.coalesce("n_items", F.lit(0)).cast("bigint").alias("n_items"),
         F.sha2(F.coalesce("_items", F.lit("")), 256).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
+
+
+def uncontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
+                   item_text: str = "text", size: int = WINDOW) -> DataFrame:
+    """Rows of ``docs``, with all their columns, in which no window of any item occurs."""
+    hits = materialize(_matches(docs, items, id_col, text_col, item_id, item_text, size, 0, True).select(
+        F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).distinct(), "matches")
+    return docs.join(hits, (F.xxhash64(docs[id_col]) == F.col("_k1")) & (F.xxhash64(docs[text_col].cast("string")) == F.col("_k2")), "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arc_warc, compression_rules, decontam, langid, near_dup, packing, shards, site_lines, toxicity
+from . import arc_warc, brown_lm, compression_rules, decontam, langid, near_dup, packing, shards, site_lines, toxicity
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op1_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_languages(table(spark, sf_dir, "documents"))
 
 
+def op2_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown_lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op3_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -55,4 +59,4 @@ def op10_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), token_file()).drop("ids")
 
 
-QUERIES = {f.__name__: f for f in (op1_ppm_language, op3_positional_index, op4_byte_prefix_shards, op5_nnpu_toxicity, op6_site_lines, op7_arc_to_warc, op8_compression_bands, op9_bayes_minhash, op10_hilbert_packing)}
+QUERIES = {f.__name__: f for f in (op1_ppm_language, op2_brown_classes, op3_positional_index, op4_byte_prefix_shards, op5_nnpu_toxicity, op6_site_lines, op7_arc_to_warc, op8_compression_bands, op9_bayes_minhash, op10_hilbert_packing)}
