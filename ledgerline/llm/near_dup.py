@@ -8,11 +8,18 @@ a uniform prior, the similarity is Beta(m + 1, n - m + 1) distributed, and a
 pair whose posterior chance of reaching the threshold falls below the miss
 probability is dropped. Survivors are verified on their full sets.
 
-Pairs within a bucket are not all compared. In star rounds each member meets
-one centre; members that were found to be in one component need no further
-comparison. After the rounds, all pairs of a bucket's members that still lie
-in different components are compared, so no link that would join components
-is left out.
+Pairs within a bucket are not all compared: each member meets the bucket's
+centre, the one that shares buckets with the most others. Where the members of
+a centre still lie in different components, links between them are found as
+follows. Of x and y, each with a known overlap with the centre, the common
+shingles are at most min(overlap of x, overlap of y) plus the common ones among
+those that the centre lacks, and a link needs a share of the sum of their
+sizes. So either the overlaps alone suffice, which few pairs across components
+pass, or x and y share a number of shingles that the centre lacks; ordered
+alike, the first ones of each, up to that number less one from the end, must
+then have one in common (prefix filter), and that is a join on shingles. No
+link that would join components is left out, and no pairs of a whole group are
+made.
 """
 
 from __future__ import annotations
@@ -26,13 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import text_pieces
+from .common import small_side, text_pieces
 
 BANDS = 28
 ROWS = 5
 BATCH = 28  # hashes compared at a time
 MISS = 1e-6  # posterior chance of a link below which a pair is dropped
-STAR_ROUNDS = 2
 CACHE = 500_000
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -137,8 +143,14 @@ def band_rows(nodes: DataFrame, bands: int, rows: int) -> DataFrame:
     return nodes.select("node", "signature").mapInArrow(run, "bucket bigint, node bigint")
 
 
+def ends(pairs: DataFrame, name: str) -> DataFrame:
+    """Distinct nodes of pairs (a, b), to thin out a table before it is shuffled."""
+    return small_side(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), name)
+
+
 def likely(pairs: DataFrame, nodes: DataFrame, percent: int, batch: int, miss: float) -> DataFrame:
     """Pairs (a, b) that sizes and signatures do not rule out."""
+    nodes = nodes.join(ends(pairs, "pair-ends"), "node", "left_semi")
     a = nodes.select(F.col("node").alias("a"), F.col("n_shingles").alias("_na"), F.col("signature").alias("_sa"))
     b = nodes.select(F.col("node").alias("b"), F.col("n_shingles").alias("_nb"), F.col("signature").alias("_sb"))
     both = pairs.join(a, "a").join(b, "b").where(100 * F.least("_na", "_nb") >= percent * F.greatest("_na", "_nb"))
@@ -157,21 +169,25 @@ def likely(pairs: DataFrame, nodes: DataFrame, percent: int, batch: int, miss: f
     return both.select("a", "b", "_sa", "_sb").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
-    """Pairs whose full sets reach the threshold."""
+def with_sets(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """Pairs (a, b, ...) with their full sets _a, _b, cut from the texts of the documents that are in a pair."""
 
     def cut_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = Shingler(shingle)
         for batch in batches:
             for part in text_pieces(batch):
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([cut(t).tobytes() for t in part.column("text").to_pylist()], pa.binary())],
-                                                 ["doc_id", "set"])
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([cut(t).tobytes() for t in part.column("text").to_pylist()], pa.binary())],
+                                                 ["node", "set"])
+
+    texts = docs.select(F.col(id_col).cast("bigint").alias("node"), F.col(text_col).cast("string").alias("text")).where("text is not null") \
+        .join(ends(pairs, "set-ends"), "node", "left_semi")
+    sets = materialize(texts.mapInArrow(cut_sets, "node bigint, set binary").where(F.octet_length("set") > 0), "sets")
+    return pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("_a")), "a") \
+        .join(sets.select(F.col("node").alias("b"), F.col("set").alias("_b")), "b")
+
 
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    sets = texts.join(needed, "doc_id", "left_semi").mapInArrow(cut_sets, "doc_id bigint, set binary")
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("_a")), "a") \
-        .join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("_b")), "b")
+def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
+    """Pairs whose full sets reach the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,7 +198,56 @@ def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, shin
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")], ["a", "b"])
 
-    return both.select("a", "b", "_a", "_b").mapInArrow(run, "a bigint, b bigint").distinct()
+    return with_sets(pairs, docs, id_col, text_col, shingle).select("a", "b", "_a", "_b").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def across(met: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of members of one centre in different components that may be linked.
+
+    ``met``: centre, node. With sizes s, overlaps o with the centre, and q =
+    percent / (100 + percent), a link has q * (s of x + s of y) common shingles
+    at least, so x must share ``need`` = q * (s of x + least s in the group) - o
+    shingles that the centre lacks, or none if that is not positive.
+    """
+    named = met.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")) \
+        .join(nodes.select("node", "n_shingles"), "node")
+    named = materialize(named, "named")
+    spread = named.groupBy("centre").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.min("n_shingles").alias("least")) \
+        .where("_lo <> _hi").select("centre", "least")
+    sizes = named.groupBy("centre", "component").agg(F.count(F.lit(1)).alias("_n"))
+    main = sizes.groupBy("centre").agg(F.max(F.struct("_n", "component")).alias("_m")).select("centre", F.col("_m.component").alias("main"))
+    open_ = materialize(named.join(spread, "centre").join(main, "centre")
+                        .select("centre", "node", "component", "least", (F.col("component") == F.col("main")).alias("in_main")), "open")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            overlaps, lengths, firsts = [], [], []
+            for one, two, least in zip(batch.column("_a"), batch.column("_b"), batch.column("least").to_pylist(), strict=True):
+                centre, own = np.frombuffer(one.as_buffer(), np.uint64), np.frombuffer(two.as_buffer(), np.uint64)
+                other = np.setdiff1d(own, centre, assume_unique=True)
+                overlap = len(own) - len(other)
+                need = -(-percent * (len(own) + least) // (100 + percent)) - overlap
+                overlaps.append(overlap)
+                lengths.append(len(own))
+                firsts.append(other[:max(0, len(other) - max(need, 1) + 1)].view(np.int64))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "component", "least", "in_main")), pa.array(overlaps, pa.int64()),
+                                              pa.array(lengths, pa.int64()), pa.array(firsts, pa.list_(pa.int64()))],
+                                             ["centre", "node", "component", "least", "in_main", "overlap", "size", "firsts"])
+
+    known = with_sets(open_.withColumnsRenamed({"centre": "a", "node": "b"}), docs, id_col, text_col, shingle) \
+        .select("a", "b", "component", "least", "in_main", "_a", "_b").mapInArrow(
+            compare, "centre bigint, node bigint, component bigint, least bigint, in_main boolean, overlap bigint, size bigint, firsts array<bigint>")
+    known = materialize(known, "overlaps")
+    apart = (F.col("x.component") != F.col("y.component")) & (F.col("y.in_main") | (F.col("x.node") < F.col("y.node")))
+    pair = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
+    # Members that can be linked without a shingle that the centre lacks: few of them are outside the main component.
+    near = known.where(F.col("overlap") * (100 + percent) >= (F.col("size") + F.col("least")) * percent).drop("firsts")
+    enough = F.least("x.overlap", "y.overlap") * (100 + percent) >= (F.col("x.size") + F.col("y.size")) * percent
+    by_centre = near.where("not in_main").alias("x").join(near.alias("y"), (F.col("x.centre") == F.col("y.centre")) & apart & enough).select(*pair)
+    parts = known.select("centre", "node", "component", "in_main", F.explode("firsts").alias("shingle"))
+    by_shingle = parts.where("not in_main").alias("x").join(
+        parts.alias("y"), (F.col("x.centre") == F.col("y.centre")) & (F.col("x.shingle") == F.col("y.shingle")) & apart).select(*pair)
+    return by_centre.unionByName(by_shingle).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -210,7 +275,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def find_components(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
-                    bands: int = BANDS, rows: int = ROWS, batch: int = BATCH, miss: float = MISS, star_rounds: int = STAR_ROUNDS) -> DataFrame:
+                    bands: int = BANDS, rows: int = ROWS, batch: int = BATCH, miss: float = MISS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``.
 
     Words are lower-cased (A-Z) and parted by ASCII white space; a text with
@@ -235,50 +300,22 @@ def find_components(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     members = materialize(members.join(many, "bucket"), "buckets")
     # The member with the most company over all its buckets is the likeliest to be near the rest.
     company = members.groupBy("node").agg(F.sum("size").alias("company"))
-    members = materialize(members.join(company, "node").select("bucket", "node", "company"), "members")
-
-    links, labels = None, None
-    left = members  # members that their bucket's centres have not met
-    for _ in range(star_rounds):
-        centres = left.groupBy("bucket").agg(F.max(F.struct("company", -F.col("node"))).alias("_c"), F.count(F.lit(1)).alias("_n")) \
-            .where("_n > 1").select("bucket", (-F.col("_c")["col2"]).alias("centre"))
-        met = materialize(left.join(centres, "bucket").where("node <> centre"), "met")
-        pairs = met.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-        if labels is not None:
-            pairs = _apart(pairs, labels)
-        links, labels = _extend(pairs.distinct(), links, classes, docs, id_col, text_col, shingle, percent, batch, miss)
-        left = _open(met.select("bucket", "node", "company"), labels)
-    one, two = left.select("bucket", F.col("node").alias("a"), F.col("component").alias("_ca")), \
-        left.select("bucket", F.col("node").alias("b"), F.col("component").alias("_cb"))
-    rest = one.join(two, "bucket").where("a < b and _ca <> _cb").select("a", "b").distinct()
-    links, labels = _extend(rest, links, classes, docs, id_col, text_col, shingle, percent, batch, miss)
+    members = members.join(company, "node")
+    centres = members.groupBy("bucket").agg(F.max(F.struct("company", (-F.col("node")).alias("minus"))).alias("_c")) \
+        .select("bucket", (-F.col("_c.minus")).alias("centre"))
+    met = materialize(members.join(centres, "bucket").where("node <> centre").select("centre", "node").distinct(), "met")
+
+    def check(pairs: DataFrame) -> DataFrame:
+        kept = materialize(likely(pairs, classes, percent, batch, miss), "likely")
+        return materialize(verified(kept, docs, id_col, text_col, shingle, percent), "links")
+
+    links = check(met.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
+    labels = materialize(components(links), "labels")
+    rest = materialize(across(met, labels, classes.groupBy("node").agg(F.min("n_shingles").alias("n_shingles")),
+                              docs, id_col, text_col, shingle, percent), "across")
+    labels = materialize(components(links.unionByName(check(rest))), "labels")
 
     return rows_of.select("doc_id", "n_shingles", "set_key").join(classes.select("set_key", "node"), "set_key", "left") \
         .join(labels, "node", "left").withColumn("_id", F.coalesce("component", "node", "doc_id")) \
         .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("_id")).alias("component_id"),
                 F.coalesce(F.col("doc_id") == F.col("_id"), F.lit(True)).alias("kept"))
-
-
-def _extend(pairs, links, classes, docs, id_col, text_col, shingle, percent, batch, miss):
-    """Links and component labels after the pairs have been checked."""
-    checked = materialize(likely(pairs, classes, percent, batch, miss), "likely")
-    new = materialize(verified(checked, docs, id_col, text_col, shingle, percent), "links")
-    links = new if links is None else links.unionByName(new)
-    return links, materialize(components(links), "labels")
-
-
-def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    return members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-
-
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose ends lie in different components."""
-    a, b = (labels.select(F.col("node").alias(c), F.col("component").alias(f"_{c}")) for c in "ab")
-    return pairs.join(a, "a", "left").join(b, "b", "left").where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
-
-
-def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of buckets in which more than one component is left."""
-    named = materialize(_labelled(members, labels), "open")
-    several = named.groupBy("bucket").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo <> _hi").select("bucket")
-    return named.join(several, "bucket")
