@@ -15,8 +15,8 @@ follows. Of x and y, each with a known overlap with the centre, the common
 shingles are at most min(overlap of x, overlap of y) plus the common ones among
 those that the centre lacks, and a link needs a share of the sum of their
 sizes. So either the overlaps alone suffice, which few pairs across components
-pass, or x and y share a number of shingles that the centre lacks; ordered
-alike, the first ones of each, up to that number less one from the end, must
+pass, or x and y share a number of shingles that the centre lacks; with the
+rarest first, all but the last ones of each, one fewer than that number, must
 then have one in common (prefix filter), and that is a join on shingles. No
 link that would join components is left out, and no pairs of a whole group are
 made.
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -145,7 +145,7 @@ def band_rows(nodes: DataFrame, bands: int, rows: int) -> DataFrame:
 
 def ends(pairs: DataFrame, name: str) -> DataFrame:
     """Distinct nodes of pairs (a, b), to thin out a table before it is shuffled."""
-    return small_side(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), name)
+    return small_side(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), name)
 
 
 def likely(pairs: DataFrame, nodes: DataFrame, percent: int, batch: int, miss: float) -> DataFrame:
@@ -221,7 +221,7 @@ def across(met: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame,
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            overlaps, lengths, firsts = [], [], []
+            overlaps, lengths, others, firsts = [], [], [], []
             for one, two, least in zip(batch.column("_a"), batch.column("_b"), batch.column("least").to_pylist(), strict=True):
                 centre, own = np.frombuffer(one.as_buffer(), np.uint64), np.frombuffer(two.as_buffer(), np.uint64)
                 other = np.setdiff1d(own, centre, assume_unique=True)
@@ -229,24 +229,33 @@ def across(met: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame,
                 need = -(-percent * (len(own) + least) // (100 + percent)) - overlap
                 overlaps.append(overlap)
                 lengths.append(len(own))
-                firsts.append(other[:max(0, len(other) - max(need, 1) + 1)].view(np.int64))
+                first = max(0, len(other) - max(need, 1) + 1)
+                others.append(other.view(np.int64) if first else [])
+                firsts.append(first)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "component", "least", "in_main")), pa.array(overlaps, pa.int64()),
-                                              pa.array(lengths, pa.int64()), pa.array(firsts, pa.list_(pa.int64()))],
-                                             ["centre", "node", "component", "least", "in_main", "overlap", "size", "firsts"])
+                                              pa.array(lengths, pa.int64()), pa.array(others, pa.list_(pa.int64())), pa.array(firsts, pa.int64())],
+                                             ["centre", "node", "component", "least", "in_main", "overlap", "size", "others", "first"])
 
     known = with_sets(open_.withColumnsRenamed({"centre": "a", "node": "b"}), docs, id_col, text_col, shingle) \
         .select("a", "b", "component", "least", "in_main", "_a", "_b").mapInArrow(
-            compare, "centre bigint, node bigint, component bigint, least bigint, in_main boolean, overlap bigint, size bigint, firsts array<bigint>")
+            compare, "centre bigint, node bigint, component bigint, least bigint, in_main boolean, overlap bigint, size bigint, others array<bigint>, first bigint")
     known = materialize(known, "overlaps")
     apart = (F.col("x.component") != F.col("y.component")) & (F.col("y.in_main") | (F.col("x.node") < F.col("y.node")))
     pair = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
     # Members that can be linked without a shingle that the centre lacks: few of them are outside the main component.
-    near = known.where(F.col("overlap") * (100 + percent) >= (F.col("size") + F.col("least")) * percent).drop("firsts")
+    near = known.where(F.col("overlap") * (100 + percent) >= (F.col("size") + F.col("least")) * percent).drop("others", "first")
     enough = F.least("x.overlap", "y.overlap") * (100 + percent) >= (F.col("x.size") + F.col("y.size")) * percent
     by_centre = near.where("not in_main").alias("x").join(near.alias("y"), (F.col("x.centre") == F.col("y.centre")) & apart & enough).select(*pair)
-    parts = known.select("centre", "node", "component", "in_main", F.explode("firsts").alias("shingle"))
+    parts = known.select("centre", "node", "component", "in_main", "overlap", "size", "first", F.explode("others").alias("shingle"))
+    # The order that the first ones are taken in: rarest in the group first.
+    held = parts.groupBy("centre", "shingle").agg(F.count(F.lit(1)).alias("held"))
+    rank = F.row_number().over(Window.partitionBy("centre", "node").orderBy("held", "shingle"))
+    parts = materialize(parts.join(held, ["centre", "shingle"]).withColumn("_rank", rank)
+                        .where("_rank <= first and held > 1").drop("_rank", "held", "first"), "parts")
+    beside = F.least(F.col("x.size") - F.col("x.overlap"), F.col("y.size") - F.col("y.overlap"))  # common shingles that the centre lacks, at most
+    possible = (F.least("x.overlap", "y.overlap") + beside) * (100 + percent) >= (F.col("x.size") + F.col("y.size")) * percent
     by_shingle = parts.where("not in_main").alias("x").join(
-        parts.alias("y"), (F.col("x.centre") == F.col("y.centre")) & (F.col("x.shingle") == F.col("y.shingle")) & apart).select(*pair)
+        parts.alias("y"), (F.col("x.centre") == F.col("y.centre")) & (F.col("x.shingle") == F.col("y.shingle")) & apart & possible).select(*pair)
     return by_centre.unionByName(by_shingle).distinct()
 
 
