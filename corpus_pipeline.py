@@ -43,10 +43,11 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     the one whose text has the smallest hash stays; rows without an id stay."""
     found = near_dup.find_components(docs, shingle=5, percent=80)
     ids = found.where("kept and doc_id is not null").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    named = docs.where(F.col("doc_id").isNotNull()).join(ids, "doc_id", "left_semi") \
-        .withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
-    return named.unionByName(docs.where(F.col("doc_id").isNull())).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", F.xxhash64("text").alias("_hash"))
+    first = Window.partitionBy("doc_id").orderBy("_hash")
+    named = rows.where(F.col("doc_id").isNotNull()).join(ids, "doc_id", "left_semi") \
+        .withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
+    return named.select("_row").union(rows.where(F.col("doc_id").isNull()).select("_row")).select("_row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -117,7 +117,7 @@ def best_class(table: np.ndarray, out: np.ndarray, into: np.ndarray, own: float,
     """The class (of the first k) that gives class bigrams ``table`` the
     highest likelihood with a word of which ``out`` counts the classes after
     and ``into`` those before it, and ``own`` the pairs of itself."""
-    rows, cols = table.sum(axis=1)[:k], table.sum(axis=0)[:k]
+    rows, cols = (table.sum(axis=1) + into)[:k], (table.sum(axis=0) + out)[:k]  # the words around it keep their classes
     gain = (_h(table[:k] + out) - _h(table[:k])).sum(axis=1) + (_h(table[:, :k] + into[:, None]) - _h(table[:, :k])).sum(axis=0)
     at = np.arange(k)  # the cell (c, c) changes in both and by the word's own pairs
     cell = table[at, at]

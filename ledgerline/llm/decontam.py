@@ -158,4 +158,4 @@ def uncontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", te
     """Rows of ``docs``, with all their columns, in which no window of any item occurs."""
     hits = materialize(_matches(docs, items, id_col, text_col, item_id, item_text, size, 0, True).select(
         F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).distinct(), "matches")
-    return docs.join(hits, (F.xxhash64(docs[id_col]) == F.col("_k1")) & (F.xxhash64(docs[text_col].cast("string")) == F.col("_k2")), "left_anti")
+    return docs.join(hits, (F.xxhash64(docs[id_col]) == hits["_k1"]) & (F.xxhash64(docs[text_col].cast("string")) == hits["_k2"]), "left_anti")
