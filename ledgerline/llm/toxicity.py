@@ -78,10 +78,14 @@ def nnpu_fit(x: np.ndarray, positive: np.ndarray, prior: float, steps: int = STE
 
 def fit_texts(texts: list[str], positive: np.ndarray, prior: float) -> tuple[dict[bytes, float], float]:
     """Choose features, fit, and return their weights and the bias."""
-    rows = [features(t) for t in texts]
-    in_p, in_u = Counter(), Counter()
-    for row, p in zip(rows, positive, strict=True):
-        (in_p if p else in_u).update(row.keys())
+    in_p, in_u = Counter(), Counter()  # texts with a feature; only those of positives can be kept
+    for text, p in zip(texts, positive, strict=True):
+        if p:
+            in_p.update(features(text).keys())
+    in_p = Counter({f: n for f, n in in_p.items() if n >= LEAST_POSITIVES})
+    for text, p in zip(texts, positive, strict=True):
+        if not p:
+            in_u.update(in_p.keys() & features(text).keys())
     n_p, n_u = int(positive.sum()), int((~positive).sum())
 
     def apart(f: bytes) -> float:
@@ -89,11 +93,11 @@ def fit_texts(texts: list[str], positive: np.ndarray, prior: float) -> tuple[dic
         mean = (in_p[f] + in_u[f] + 1) / (n_p + n_u + 2)
         return (a - b) / (mean * (1 - mean) * (1 / n_p + 1 / n_u)) ** 0.5
 
-    by = sorted((-apart(f), f) for f in in_p if in_p[f] >= LEAST_POSITIVES)[:FEATURES]
+    by = sorted((-apart(f), f) for f in in_p)[:FEATURES]
     at = {f: i for i, f in enumerate(f for z, f in by if z <= -LEAST_APART)}
-    x = np.zeros((len(rows), len(at)), np.float32)
-    for out, row in zip(x, rows, strict=True):
-        for f, value in row.items():
+    x = np.zeros((len(texts), len(at)), np.float32)
+    for out, text in zip(x, texts, strict=True):
+        for f, value in features(text).items():
             if f in at:
                 out[at[f]] = value
     w, bias = nnpu_fit(x, positive, prior)
