@@ -276,8 +276,12 @@ def hourly(jobs: DataFrame, logs: DataFrame) -> DataFrame:
     # exact integer sum / count (a floating-point running sum would depend on order)
     dur = s.groupBy(F.window("last.completed_at", "1 hour").start.alias("hour")).agg(
         (F.sum(secs).cast("double") / F.count(secs)).alias("avg_duration_seconds"))
+    # full outer: an hour with only error lines, or only completions, is an hour too
+    zero = F.lit(0).cast("bigint")
     done = F.col("jobs_completed") + F.col("jobs_failed")
-    return (h.join(e, "hour", "left").join(dur, "hour", "left")
+    return (h.join(e, "hour", "full").join(dur, "hour", "full")
+            .withColumn("jobs_completed", F.coalesce("jobs_completed", zero))
+            .withColumn("jobs_failed", F.coalesce("jobs_failed", zero))
             .select("hour", "jobs_completed", "jobs_failed",
                     F.when(done > 0, F.col("jobs_completed") / done).alias("success_rate"),
                     "records_processed", F.coalesce("error_logs", F.lit(0).cast("bigint")).alias("error_logs"),

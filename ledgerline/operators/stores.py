@@ -105,8 +105,10 @@ def _colon(ddl: str) -> str:
 
 # --------------------------------------------------------------------------- MUT1 / J8 / A12
 def insert_absent(target: DataFrame, incoming: DataFrame) -> DataFrame:
-    """MUT1: insert configs whose merchant is absent; existing rows stay as they are."""
-    new = incoming.join(target.select("merchant"), "merchant", "left_anti")
+    """MUT1: insert configs whose merchant is absent; existing rows stay as they are.
+    Of several configs of one merchant in the batch, the smallest (by its columns in order) is inserted."""
+    one = incoming.groupBy("merchant").agg(F.min(F.struct(*CONFIG_COLUMNS)).alias("_c")).select("_c.*")
+    new = one.join(target.select("merchant"), "merchant", "left_anti")
     return target.select(*CONFIG_COLUMNS).unionByName(new.select(*CONFIG_COLUMNS))
 
 
