@@ -8,7 +8,7 @@ TOKEN_PREFIX = "shpat_"
 DATASET_PREFIX = "shopify_"
 JOB_NAME_PREFIX = "shopify-"
 JOB_NAME_MARKER = "CLOUD_RUN_JOB_NAME:"
-JOB_NAME_VERSIONS = ["", "-v2", "-v3", "-v4", "-v5"]
+JOB_NAME_VERSION = "^(.+)-v([2-9]|[1-9][0-9]{1,37})$"
 MEMORY_CHOICES = ["2Gi", "4Gi", "8Gi"]
 
 # --- fixed values: job model -------------------------------------------------
@@ -71,5 +71,4 @@ EXPECTED_TABLES = ["orders", "customers", "products", "order_items"]
 
 # --- fixed values: defaults ------------------------------------------------------
 DEFAULT_BACKFILL_START = "2024-01-01"
-PRODUCTS_CHUNK_THRESHOLD = 10000
 PRODUCTS_CHUNK_ROWS = 5000

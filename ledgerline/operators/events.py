@@ -6,7 +6,7 @@ inputs) so a retried task or re-run produces the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
@@ -14,17 +14,24 @@ from ..functions import exprs as X
 from .jobs import job_state, runner_match
 
 EVENT_COLUMNS = ["job_id", "store_url", "dataset_name", "job_type", "status", "started_at",
-                 "completed_at", "error_message", "records_processed", "duration_seconds", "created_by"]
+                 "completed_at", "error_message", "records_processed", "duration_seconds", "created_by",
+                 "event_seq"]
 
 
 def _event(job_id: Column, store: Column, dataset: Column, job_type: Column, status: Column,
            started: Column, completed: Column, error: Column, records: Column, duration: Column,
-           created_by: Column) -> list[Column]:
+           created_by: Column, event_seq: Column) -> list[Column]:
     return [job_id.alias("job_id"), store.alias("store_url"), dataset.alias("dataset_name"),
             job_type.alias("job_type"), status.alias("status"), started.alias("started_at"),
             completed.cast("timestamp").alias("completed_at"), error.cast("string").alias("error_message"),
             records.cast("bigint").alias("records_processed"), duration.cast("bigint").alias("duration_seconds"),
-            created_by.alias("created_by")]
+            created_by.alias("created_by"), event_seq.cast("bigint").alias("event_seq")]
+
+
+def _next_seq(nth: Column | int = 1) -> Column:
+    """event_seq of an event appended to a job: above all the job has, so that
+    the event wins the tie on started_at that it inherits."""
+    return F.coalesce(F.col("max_seq"), F.lit(0)) + nth
 
 
 def _inherit(col: str) -> Column:
@@ -35,15 +42,18 @@ def _inherit(col: str) -> Column:
 def status_events(jobs: DataFrame, requests: DataFrame, as_of: Column) -> DataFrame:
     """MUT7: status events for (job_id, status, error_message, records_processed)
     requests; they inherit store/dataset/started_at from the job's latest record;
-    completed_at and duration only for completed/failed."""
+    completed_at and duration only for completed/failed. Of several requests for
+    one job, those with a terminal status come last (then by their columns)."""
     s = job_state(jobs)
-    r = requests.join(s, "job_id")
     done = F.col("status").isin("completed", "failed")
+    nth = F.row_number().over(Window.partitionBy("job_id").orderBy(
+        F.col("status").isin(*K.TERMINAL_STATUSES), "status", "error_message", "records_processed"))
+    r = requests.join(s, "job_id").withColumn("_nth", nth)
     return r.select(*_event(
         F.col("job_id"), _inherit("store_url"), _inherit("dataset_name"), F.lit(K.STATUS_UPDATE),
         F.col("status"), F.col("last.started_at"), F.when(done, as_of), F.col("error_message"),
         F.col("records_processed"), F.when(done, X.seconds_between(F.col("last.started_at"), as_of)),
-        F.lit("system")))
+        F.lit("system"), _next_seq(F.col("_nth"))))
 
 
 def complete_running(jobs: DataFrame, as_of: Column) -> DataFrame:
@@ -61,7 +71,8 @@ def cancel_events(jobs: DataFrame, as_of: Column, job_ids: DataFrame | None = No
     return s.select(*_event(
         F.col("job_id"), F.coalesce(F.col("first.store_url"), F.lit("unknown")),
         F.coalesce(F.col("first.dataset_name"), F.lit("unknown")), F.lit(K.STATUS_UPDATE), F.lit("cancelled"),
-        as_of, F.lit(None), F.lit(K.CANCEL_MESSAGE), F.lit(None), F.lit(None), F.lit(K.CANCEL_CREATED_BY)))
+        as_of, F.lit(None), F.lit(K.CANCEL_MESSAGE), F.lit(None), F.lit(None), F.lit(K.CANCEL_CREATED_BY),
+        _next_seq()))
 
 
 def sweep_events(stuck: DataFrame, as_of: Column, hours: int = 1) -> DataFrame:
@@ -69,7 +80,7 @@ def sweep_events(stuck: DataFrame, as_of: Column, hours: int = 1) -> DataFrame:
     return stuck.select(*_event(
         F.col("job_id"), F.col("store_url"), F.col("dataset_name"), F.lit(K.STATUS_UPDATE), F.lit("failed"),
         as_of, F.lit(None), F.lit(K.SWEEP_MESSAGE.format(hours=hours)), F.lit(None), F.lit(None),
-        F.lit(K.SWEEP_CREATED_BY)))
+        F.lit(K.SWEEP_CREATED_BY), _next_seq()))
 
 
 def create_events(requests: DataFrame, as_of: Column, job_type: str = "historical_load") -> DataFrame:
@@ -77,14 +88,17 @@ def create_events(requests: DataFrame, as_of: Column, job_type: str = "historica
     jid = F.sha2(F.concat_ws("|", F.col("store_url"), F.col("dataset_name"), as_of.cast("string")), 256)
     return requests.select(*_event(
         jid, F.col("store_url"), F.col("dataset_name"), F.lit(job_type), F.lit("pending"), as_of,
-        F.lit(None), F.lit(None), F.lit(None), F.lit(None), F.coalesce(F.col("created_by"), F.lit("system"))))
+        F.lit(None), F.lit(None), F.lit(None), F.lit(None), F.coalesce(F.col("created_by"), F.lit("system")), F.lit(1)))
 
 
 def guarded_create(requests: DataFrame, jobs: DataFrame, as_of: Column) -> DataFrame:
-    """MUT10: refuse stores that already have an active job (A11 as an anti join)."""
+    """MUT10: refuse stores that already have an active job (A11 as an anti join).
+    Of several requests of one store, the smallest (dataset, then requester) is taken."""
     from .jobs import active_guard
     busy = active_guard(jobs).where("has_active").select("store_url")
-    return create_events(requests.join(busy, "store_url", "left_anti"), as_of)
+    one = requests.groupBy("store_url").agg(F.min(F.struct("dataset_name", "created_by")).alias("_r")) \
+        .select("store_url", "_r.*")
+    return create_events(one.join(busy, "store_url", "left_anti"), as_of)
 
 
 def reconcile_events(jobs: DataFrame, logs: DataFrame, runner: DataFrame, as_of: Column) -> DataFrame:

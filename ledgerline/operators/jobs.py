@@ -33,6 +33,7 @@ def job_state(jobs: DataFrame) -> DataFrame:
     * ``last``: the latest record (status, completion, error, ...)
     * ``first``: the earliest creation record (non status_update)
     * ``orig_*``: per-column minima over creation records (as V1 reads them)
+    * ``max_seq``: the job's highest event_seq; an appended event takes the next one
     """
     last = F.struct("status", "store_url", "dataset_name", "job_type", "started_at", "completed_at",
                     "error_message", "duration_seconds", "records_processed")
@@ -44,6 +45,7 @@ def job_state(jobs: DataFrame) -> DataFrame:
         F.min(F.when(c, F.col("started_at"))).alias("orig_started_at"),
         F.min(F.when(c, F.col("store_url"))).alias("orig_store_url"),
         F.min(F.when(c, F.col("dataset_name"))).alias("orig_dataset_name"),
+        F.max("event_seq").alias("max_seq"),
     )
 
 
@@ -134,7 +136,8 @@ def stuck_jobs(jobs: DataFrame, as_of: Column, hours: int = 1) -> DataFrame:
     s = job_state(jobs)
     return (s.where((F.col("last.status") == "pending") & (F.col("last.started_at") < X.hours_before(as_of, hours)))
             .select("job_id", F.col("last.store_url").alias("store_url"),
-                    F.col("last.dataset_name").alias("dataset_name"), F.col("last.started_at").alias("started_at")))
+                    F.col("last.dataset_name").alias("dataset_name"), F.col("last.started_at").alias("started_at"),
+                    F.col("max_seq")))
 
 
 # --------------------------------------------------------------------------- V7 / V8
@@ -225,18 +228,25 @@ def runner_match(jobs_df: DataFrame, logs: DataFrame, runner: DataFrame) -> Data
     """Runner job name and display status per job.
 
     1. the latest marker line in the job's logs names the runner job;
-    2. else the first of base, base-v2 .. base-v5 (base from the store URL)
-       that has an execution.
+    2. else, of the runner jobs named base, base-v2, base-v3, ... (base from
+       the store URL) that have an execution, the one with the lowest version.
+
+    Names carry no upper version. Each runner name is split once: it is version
+    1 of itself and, if it ends in -vN, version N of the rest; the lowest
+    version of each base is one row, so a job joins one row on its base.
     """
     marks = (logs.where(F.col("message").contains(K.JOB_NAME_MARKER))
              .groupBy("job_id").agg(F.max_by(X.marker_job_name("message"), F.struct("timestamp", "log_id")).alias("marker_name")))
     rs = runner.select(F.col("job_name").alias("rname"), X.runner_state_label("state").alias("rlabel"))
-    cand = (jobs_df.select("job_id", F.posexplode(F.transform(F.array(*[F.lit(v) for v in K.JOB_NAME_VERSIONS]),
-                                                                lambda v: F.concat(X.job_name(F.col("store_url")), v)))
-                           .alias("rank", "rname"))
-            .join(rs, "rname")
-            .groupBy("job_id").agg(F.min_by(F.struct("rname", "rlabel"), "rank").alias("cand")))
-    j = (jobs_df.join(marks, "job_id", "left").join(cand, "job_id", "left")
+    version = F.regexp_extract("rname", K.JOB_NAME_VERSION, 2)
+    named = rs.select(F.explode(F.array_compact(F.array(
+        F.struct(F.col("rname").alias("base"), F.lit(1).cast("decimal(38,0)").alias("version")),
+        F.when(version != "", F.struct(F.regexp_extract("rname", K.JOB_NAME_VERSION, 1).alias("base"),
+                                       version.cast("decimal(38,0)").alias("version")))))).alias("n"), "rname", "rlabel")
+    cand = (named.groupBy(F.col("n.base").alias("_base"))
+            .agg(F.min_by(F.struct("rname", "rlabel"), F.struct("n.version", "rname")).alias("cand")))
+    j = (jobs_df.withColumn("_base", X.job_name(F.col("store_url")))
+         .join(marks, "job_id", "left").join(cand, "_base", "left")
          .join(rs, F.col("marker_name") == rs.rname, "left"))
     name = F.coalesce("marker_name", "cand.rname")
     label = F.when(F.col("marker_name").isNotNull(), F.coalesce("rlabel", F.lit("No executions found"))) \

@@ -127,13 +127,17 @@ MERGE_COLUMNS = ["token", "gcp_project_id", "bigquery_dataset", "backfill_start_
 def merge(target: DataFrame, source: DataFrame, as_of: Column, user: str = "system",
           insert: bool = True) -> DataFrame:
     """MUT2 (WHEN MATCHED UPDATE by merchant) and, with insert=True, MUT11
-    (replace-or-append). A null source value overwrites: the matched flag, not
-    coalesce, picks the side."""
-    s = source.select("merchant", *[F.col(c).alias(f"_s_{c}") for c in MERGE_COLUMNS], F.lit(True).alias("_hit"))
+    (replace-or-append). A null source value overwrites: the flags of the two
+    sides, not coalesce, pick the value. An inserted store keeps its metadata;
+    an updated one keeps the target's. Of several source rows of one merchant,
+    the smallest (by its columns in order) is taken."""
+    taken = MERGE_COLUMNS + ["metadata"]
+    s = (source.groupBy("merchant").agg(F.min(F.struct(*taken)).alias("_c"))
+         .select("merchant", *[F.col(f"_c.{c}").alias(f"_s_{c}") for c in taken], F.lit(True).alias("_hit")))
     how = "full_outer" if insert else "left"
-    j = target.join(s, "merchant", how)
+    j = target.withColumn("_known", F.lit(True)).join(s, "merchant", how)
     hit = F.coalesce(F.col("_hit"), F.lit(False))
-    known = F.col("created_at").isNotNull()
+    known = F.coalesce(F.col("_known"), F.lit(False))
     out = [F.col("merchant")]
     for c in MERGE_COLUMNS:
         out.append(F.when(hit, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c))
@@ -141,7 +145,7 @@ def merge(target: DataFrame, source: DataFrame, as_of: Column, user: str = "syst
             F.when(hit, as_of).otherwise(F.col("updated_at")).alias("updated_at"),
             F.when(known, F.col("created_by")).otherwise(F.lit(user)).alias("created_by"),
             F.when(hit, F.lit(user)).otherwise(F.col("updated_by")).alias("updated_by"),
-            F.col("metadata")]
+            F.when(known, F.col("metadata")).otherwise(F.col("_s_metadata")).alias("metadata")]
     return j.select(*out).select(*CONFIG_COLUMNS)
 
 

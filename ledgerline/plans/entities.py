@@ -74,8 +74,8 @@ def _landed_order_pages(spark, sf_dir):
 
 @query("orders_from_pages")
 def orders_from_pages(spark, sf_dir):
-    """SRC1 SRC12 UNN1 P1 end to end: landed pages -> triage -> good pages'
-    nodes -> order flatten (error pages stay in quarantine)."""
+    """SRC1 SRC12 UNN1 P1 end to end: landed pages -> nodes of all pages with
+    data -> order flatten (pages without data stay in quarantine)."""
     from ..sources import pages as PG
     nodes = PG.nodes(_landed_order_pages(spark, sf_dir), "orders")
     return flatten.orders(nodes, control.store_config(spark, sf_dir)) \
@@ -83,6 +83,20 @@ def orders_from_pages(spark, sf_dir):
                 "line_items", "tags", "customer_id")
 
 
+@query("products_from_pages")
+def products_from_pages(spark, sf_dir):
+    """SRC4 UNN1 UNN3 P4 end to end: product documents landed as API pages (some
+    with an error beside their data), read back, unnested and flattened."""
+    from ..session import fresh_path
+    from ..sources import pages as PG
+    docs = landing.product_docs(spark, sf_dir).withColumn("month", F.lit("all")) \
+        .withColumn("order_key", F.coalesce(F.xxhash64("node.id"), F.lit(0)))
+    env = PG.envelope(docs, "products", F.pmod("order_key", F.lit(8)), F.col("node"),
+                      lambda page: F.when(page == 3, "error"))
+    path = PG.land(env, fresh_path(spark, "landing-products"))
+    return flatten.products(PG.nodes(PG.read_pages(spark, path, "products"), "products"))
+
+
 @query("page_triage")
 def page_triage(spark, sf_dir):
     """SRC1 SRC12 UNN1 SET1: orders landed as API pages (JSON, by store/month),
@@ -124,13 +138,11 @@ def backfill_by_store(spark, sf_dir):
 @query("orders_on_date")
 def orders_on_date(spark, sf_dir):
     """V13 FLT11 FN17 A1: orders created on the latest day ("today") per store."""
-    from pyspark.sql.window import Window
     flat = flatten.orders(landing.order_docs(spark, sf_dir), control.store_config(spark, sf_dir))
-    # one pass: counts per (store, day), then the latest day over that small
-    # table (stores x days rows) instead of a second pass for max(day)
+    # counts per (store, day); the latest day is a one-row aggregate of them that
+    # reuses their shuffle, joined on the day
     per_day = flat.groupBy("store_name", F.to_date("created_at").alias("day")).agg(F.count(F.lit(1)).alias("orders"))
-    latest = per_day.withColumn("_today", F.max("day").over(Window.partitionBy()))
-    return latest.where(F.col("day") == F.col("_today")).select("store_name", "orders")
+    return per_day.join(per_day.agg(F.max("day").alias("day")), "day").select("store_name", "orders")
 
 
 @query("month_windows")

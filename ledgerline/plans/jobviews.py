@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import events as EV
 from ..operators import jobs as J
 from ..sources import control as C
@@ -60,14 +62,14 @@ def job_history(spark, sf_dir):
 def jobs_stuck(spark, sf_dir):
     """V6 W1 FLT7: jobs whose latest status is pending for over an hour."""
     jobs, _ = _tables(spark, sf_dir)
-    return J.stuck_jobs(jobs, C.as_of_col(), HOURS_STUCK)
+    return J.stuck_jobs(jobs, C.as_of_col(), HOURS_STUCK).drop("max_seq")
 
 
 @query("jobs_stuck_sweep")
 def jobs_stuck_sweep(spark, sf_dir):
     """MUT9: failed events for the stuck jobs."""
     jobs, _ = _tables(spark, sf_dir)
-    return EV.sweep_events(J.stuck_jobs(jobs, C.as_of_col(), HOURS_STUCK), C.as_of_col(), HOURS_STUCK)
+    return EV.sweep_events(J.stuck_jobs(jobs, C.as_of_col(), HOURS_STUCK), C.as_of_col(), HOURS_STUCK).drop("event_seq")
 
 
 @query("store_recent_job_logs")
@@ -124,7 +126,7 @@ def jobs_board(spark, sf_dir):
 def status_reconcile(spark, sf_dir):
     """MUT12: running jobs whose runner finished -> status events."""
     jobs, logs = _tables(spark, sf_dir)
-    return EV.reconcile_events(jobs, logs, C.runner_status(spark, sf_dir), C.as_of_col())
+    return EV.reconcile_events(jobs, logs, C.runner_status(spark, sf_dir), C.as_of_col()).drop("event_seq")
 
 
 @query("active_guard")
@@ -142,21 +144,21 @@ def guarded_create(spark, sf_dir):
     req = C.store_config(spark, sf_dir).where("is_active").select(
         F.col("merchant").alias("store_url"), F.col("bigquery_dataset").alias("dataset_name"),
         F.lit("onboarding").alias("created_by"))
-    return EV.guarded_create(req, jobs, C.as_of_col())
+    return EV.guarded_create(req, jobs, C.as_of_col()).drop("event_seq")
 
 
 @query("job_status_append")
 def job_status_append(spark, sf_dir):
     """MUT7 J10 FN15: running jobs complete at as_of (inherited fields, duration)."""
     jobs, _ = _tables(spark, sf_dir)
-    return EV.complete_running(jobs, C.as_of_col())
+    return EV.complete_running(jobs, C.as_of_col()).drop("event_seq")
 
 
 @query("job_cancel")
 def job_cancel(spark, sf_dir):
     """MUT8: pending jobs are cancelled by the user."""
     jobs, _ = _tables(spark, sf_dir)
-    return EV.cancel_events(jobs, C.as_of_col())
+    return EV.cancel_events(jobs, C.as_of_col()).drop("event_seq")
 
 
 @query("history_cleared")
@@ -187,18 +189,42 @@ def error_lines(spark, sf_dir):
     return J.logs_containing(logs, "[ERROR]").select("log_id", "job_id", "log_level")
 
 
-@query("jobs_after_sweep")
-def jobs_after_sweep(spark, sf_dir):
-    """MUT9 + SNK4 + W1: stuck jobs' failed events appended to a copy of the job
-    table, then every job's latest status derived again from the stored rows."""
+def _state_after(spark, jobs, events):
+    """SNK4 + W1: events appended to a copy of the job table, then every job's
+    latest status derived again from the stored rows."""
     from ..session import fresh_path
     from .load import append
-    jobs, _ = _tables(spark, sf_dir)
     path = fresh_path(spark, "pipeline_jobs")
-    append(jobs, path)
-    sweep = EV.sweep_events(J.stuck_jobs(jobs, C.as_of_col(), HOURS_STUCK), C.as_of_col(), HOURS_STUCK)
-    from pyspark.sql import functions as F
-    append(sweep.withColumn("event_seq", F.lit(None).cast("bigint")), path)
-    stored = spark.read.parquet(path).withColumn("event_seq", F.coalesce("event_seq", F.lit(2 ** 62)))
-    return J.job_state(stored).select("job_id", F.col("last.status").alias("status"),
-                                      F.col("last.started_at").alias("status_at"))
+    append(jobs.select(*EV.EVENT_COLUMNS), path)
+    append(events, path)
+    return J.job_state(spark.read.parquet(path)).select(
+        "job_id", F.col("last.status").alias("status"), F.col("last.started_at").alias("status_at"))
+
+
+@query("jobs_after_sweep")
+def jobs_after_sweep(spark, sf_dir):
+    """MUT9 + SNK4 + W1: every job's status once the stuck jobs' failed events are stored."""
+    jobs, _ = _tables(spark, sf_dir)
+    stuck = J.stuck_jobs(jobs, C.as_of_col(), HOURS_STUCK)
+    return _state_after(spark, jobs, EV.sweep_events(stuck, C.as_of_col(), HOURS_STUCK))
+
+
+@query("job_status_after_append")
+def job_status_after_append(spark, sf_dir):
+    """MUT7 + SNK4 + W1: every job's status once the running jobs' completions are stored."""
+    jobs, _ = _tables(spark, sf_dir)
+    return _state_after(spark, jobs, EV.complete_running(jobs, C.as_of_col()))
+
+
+@query("job_cancel_after_append")
+def job_cancel_after_append(spark, sf_dir):
+    """MUT8 + SNK4 + W1: every job's status once the pending jobs' cancellations are stored."""
+    jobs, _ = _tables(spark, sf_dir)
+    return _state_after(spark, jobs, EV.cancel_events(jobs, C.as_of_col()))
+
+
+@query("reconcile_after_append")
+def reconcile_after_append(spark, sf_dir):
+    """MUT12 + SNK4 + W1: every job's status once the runner's outcomes are stored."""
+    jobs, logs = _tables(spark, sf_dir)
+    return _state_after(spark, jobs, EV.reconcile_events(jobs, logs, C.runner_status(spark, sf_dir), C.as_of_col()))

@@ -94,12 +94,10 @@ def load_store(df: DataFrame, table_path: str, store: str, layout=ORDER_ITEMS_LA
     return write_table(staged, f"{table_path.rstrip('/')}/{part[0]}={store}", part[1:], cluster)
 
 
-def load_chunked(df: DataFrame, path: str, rows: int | None = None) -> int:
-    """SNK2: the chunked upload becomes one atomic overwrite with bounded files
-    (above the threshold, files of at most 5,000 rows)."""
-    n = rows if rows is not None else df.count()
-    per_file = K.PRODUCTS_CHUNK_ROWS if n > K.PRODUCTS_CHUNK_THRESHOLD else None
-    return write_table(df, path, ["store_name"], ["id", "variant_id"], max_records_per_file=per_file)
+def load_chunked(df: DataFrame, path: str, max_rows_per_file: int = K.PRODUCTS_CHUNK_ROWS) -> int:
+    """SNK2: the chunked upload becomes one overwrite with files of at most
+    ``max_rows_per_file`` rows, the same rule at every size (pass more for large tables)."""
+    return write_table(df, path, ["store_name"], ["id", "variant_id"], max_records_per_file=max_rows_per_file)
 
 
 def append(df: DataFrame, path: str) -> int:

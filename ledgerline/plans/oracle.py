@@ -398,8 +398,10 @@ FROM job_timeline t LEFT JOIN stuck s ON s.job_id = t.job_id
 WHERE t.rn = 1
 """
 
+ORACLE["products_from_pages"] = ORACLE["products_flat"]
+
 ORACLE["orders_from_pages"] = f"""
 SELECT store_name, name, processed_at_store_date, total_price, order_level_tax_amount, line_items, tags, customer_id
 FROM ({ORACLE['orders_flat']}) t
-WHERE (CAST(substr(name, 2) AS BIGINT) - 1000) // 100 % 17 NOT IN (3, 5, 7, 11)
+WHERE (CAST(substr(name, 2) AS BIGINT) - 1000) // 100 % 17 NOT IN (3, 5, 11)
 """

@@ -272,13 +272,15 @@ marker AS (
   WHERE r = 1
 ),
 cand AS (
-  SELECT job_id, name AS cand_name, label AS cand_label FROM (
-    SELECT rc.job_id, v.i, rc.base || v.suffix AS name, ru.label,
-           ROW_NUMBER() OVER (PARTITION BY rc.job_id ORDER BY v.i) AS r
-    FROM (SELECT job_id, {job_name_sql('store_url')} AS base FROM recent) rc
-    CROSS JOIN (VALUES (0, ''), (1, '-v2'), (2, '-v3'), (3, '-v4'), (4, '-v5')) v(i, suffix)
-    JOIN runner ru ON ru.job_name = rc.base || v.suffix)
-  WHERE r = 1
+  SELECT rc.job_id, arg_min(ru.job_name, ru.version) AS cand_name, arg_min(ru.label, ru.version) AS cand_label
+  FROM (SELECT job_id, {job_name_sql('store_url')} AS base FROM recent) rc
+  JOIN (SELECT job_name, label, job_name AS base, 1 AS version FROM runner
+        UNION ALL
+        SELECT job_name, label, regexp_replace(job_name, '-v[0-9]+$', ''),
+               CAST(regexp_extract(job_name, '-v([0-9]+)$', 1) AS BIGINT)
+        FROM runner WHERE regexp_matches(job_name, '-v[1-9][0-9]*$') AND NOT regexp_matches(job_name, '-v1$')) ru
+    ON ru.base = rc.base
+  GROUP BY rc.job_id
 ),
 matched AS (
   SELECT rc.*, coalesce(m.marker_name, c.cand_name) AS runner_job,
@@ -364,6 +366,25 @@ SELECT job_id, coalesce(first_store, 'unknown') AS store_url, coalesce(first_dat
 FROM st WHERE last_status = 'pending'
 """
 
+_AFTER = """
+SELECT job_id, {changed} AS status, CASE WHEN {hit} THEN {at} ELSE started_at END AS status_at
+FROM (SELECT job_id, arg_max(status, (started_at, event_seq)) AS status, max(started_at) AS started_at
+      FROM jobs GROUP BY job_id) j
+"""
+
+ORACLE["job_status_after_append"] = f"WITH {BASE}" + _AFTER.format(
+    changed="CASE WHEN status = 'running' THEN 'completed' ELSE status END", hit="false", at="started_at")
+
+ORACLE["job_cancel_after_append"] = f"WITH {BASE}" + _AFTER.format(
+    changed="CASE WHEN status = 'pending' THEN 'cancelled' ELSE status END", hit="status = 'pending'", at=AS_OF)
+
+ORACLE["reconcile_after_append"] = f"""{RECENT_BODY},
+{RUNNER}""" + _AFTER.format(
+    changed="""coalesce((SELECT CASE m.runner_status WHEN 'Completed' THEN 'completed' WHEN 'Failed' THEN 'failed'
+                                                 WHEN 'Cancelled' THEN 'cancelled' END
+                  FROM matched m WHERE m.job_id = j.job_id AND m.status = 'running'), j.status)""",
+    hit="false", at="started_at")
+
 ORACLE["history_cleared"] = f"""
 WITH {BASE}
 SELECT job_id, status, started_at, event_seq FROM jobs

@@ -95,9 +95,11 @@ FROM incoming GROUP BY 1
 
 ORACLE["store_merge"] = f"""
 WITH {CFG}
-SELECT i.merchant, i.bigquery_dataset, i.backfill_start_date, i.is_active, {AS_OF} AS updated_at,
-       coalesce(e.created_by, 'admin') AS created_by, 'admin' AS updated_by
-FROM incoming i LEFT JOIN existing e ON e.merchant = i.merchant
+SELECT c.merchant, c.token, c.gcp_project_id, i.bigquery_dataset, i.backfill_start_date, i.is_active,
+       {AS_OF} AS updated_at, CASE WHEN c.n_regionkey <> 4 THEN c.created_by ELSE 'admin' END AS created_by,
+       'admin' AS updated_by,
+       CASE WHEN c.n_regionkey <> 4 THEN c.metadata ELSE 'from ' || c.merchant END AS metadata
+FROM incoming i JOIN cfg c ON c.merchant = i.merchant
 """
 
 ORACLE["store_soft_delete"] = f"""

@@ -62,9 +62,11 @@ def store_migration_summary(spark, sf_dir):
 
 @query("store_merge")
 def store_merge(spark, sf_dir):
-    """MUT2 MUT11: update matched stores (nulls overwrite), append the others."""
-    return S.merge(_existing(spark, sf_dir), _incoming(spark, sf_dir), C.as_of_col(), user="admin") \
-        .select("merchant", "bigquery_dataset", "backfill_start_date", "is_active", "updated_at", "created_by", "updated_by")
+    """MUT2 MUT11: update matched stores (nulls overwrite, metadata stays), append the others with their metadata."""
+    incoming = _incoming(spark, sf_dir).withColumn("metadata", F.concat(F.lit("from "), F.col("merchant")))
+    return S.merge(_existing(spark, sf_dir), incoming, C.as_of_col(), user="admin") \
+        .select("merchant", "token", "gcp_project_id", "bigquery_dataset", "backfill_start_date", "is_active",
+                "updated_at", "created_by", "updated_by", "metadata")
 
 
 @query("store_soft_delete")

@@ -129,7 +129,7 @@ def log_lines_from(e: DataFrame) -> DataFrame:
     u = F.col("user_id")
     k = F.get_json_object("props", "$.k")
     store = merchant_of(u % JOB_STORES)
-    msg = X.left(_log_message(t, k, store), 1000)          # stored messages are cut at 1,000 chars
+    msg = _log_message(t, k, store)          # classified and stored whole
     return e.select(
         F.concat(F.lit("log-"), F.col("event_id").cast("string")).alias("log_id"),
         job_of(u, F.col("ts")).alias("job_id"),

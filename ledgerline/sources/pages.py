@@ -43,25 +43,28 @@ def triage(pages: DataFrame, entity: str) -> DataFrame:
 
 
 def nodes(pages: DataFrame, entity: str) -> DataFrame:
-    """UNN1: good pages -> one row per node (edges concatenated over pages)."""
+    """UNN1: one row per node of every page that has data (edges concatenated
+    over pages). A page that reports errors beside its data loads its data and is
+    quarantined as well. Null nodes are skipped (FLT5). Products keep the node as
+    one column, as their flatten reads it; the other entities spread its fields."""
     field = schemas.ENTITY_FIELD[entity]
-    good = triage(pages, entity).where(F.col("page_class") == "good")
-    return good.select("store_name", F.explode(f"data.{field}.edges").alias("_e")).select("store_name", "_e.node.*")
+    edges = pages.select("store_name", F.explode(f"data.{field}.edges").alias("_e")).where(F.col("_e.node").isNotNull())
+    return edges.select("store_name", F.col("_e.node").alias("node") if entity == "products" else F.col("_e.node.*"))
 
 
 def quarantine(pages: DataFrame, entity: str) -> DataFrame:
-    """Pages that did not load, kept for replay (instead of silently ending a month)."""
+    """Pages that reported an error or lack data, kept for replay (instead of silently ending a month)."""
     return triage(pages, entity).where(F.col("page_class") != "good")
 
 
-def envelope(docs: DataFrame, entity: str, page_key: Column, node_cols: list[str], error_for: Column) -> DataFrame:
+def envelope(docs: DataFrame, entity: str, page_key: Column, node_cols: list[str] | Column, error_for: Column) -> DataFrame:
     """Group documents into API-shaped pages (page_key bounds the page size).
 
     ``error_for`` yields a page class to inject ('rate_limited', 'access_denied',
     'error', 'missing_data') or null for a good page.
     """
     field = schemas.ENTITY_FIELD[entity]
-    node = F.struct(*[F.col(c) for c in node_cols])
+    node = node_cols if isinstance(node_cols, Column) else F.struct(*[F.col(c) for c in node_cols])
     # Range partitioning on the page key also satisfies the grouping's
     # clustering, so the aggregation adds no second shuffle, and each task then
     # holds a contiguous range of store-months: the landing write produces
