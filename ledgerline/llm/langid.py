@@ -20,11 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import in_fold, string_bytes, text_pieces
 
 ORDER = 3
 #: Model bound: longest contexts with a next byte kept over all languages
-#: together, the most frequent of each language first.
+#: together, an equal share a language, the most frequent of each first.
 MAX_GRAMS = 1 << 20
 PAD = 10
 
@@ -140,6 +141,23 @@ class Model:
         return out
 
 
+def most_frequent(counts: DataFrame, kept: int) -> DataFrame:
+    """About ``kept`` rows (lang, gram, n) of each language: all that are more
+    frequent than some count, and of those with just that count a share by a
+    hash of the string. The count is found in the table of how many strings
+    have which count, so no task reads all strings of a language. All rows of a
+    language with ``kept`` strings or fewer are returned.
+    """
+    sizes = counts.groupBy("lang", "n").agg(F.count(F.lit(1)).alias("_ties"))
+    upto = F.sum("_ties").over(Window.partitionBy("lang").orderBy(F.desc("n")))
+    edges = sizes.withColumn("_above", upto - F.col("_ties")).where((F.col("_above") < kept) & (F.col("_above") + F.col("_ties") > kept)) \
+        .select("lang", F.col("n").alias("_edge"), ((kept - F.col("_above")) / F.col("_ties")).alias("_share"))
+    part = F.pmod(F.xxhash64("gram"), F.lit(1 << 30)) / F.lit(1 << 30)
+    return counts.join(edges, "lang", "left").where(
+        F.col("_edge").isNull() | (F.col("n") > F.col("_edge")) | ((F.col("n") == F.col("_edge")) & (part < F.col("_share")))) \
+        .select("lang", "gram", "n")
+
+
 def train(labelled: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS) -> Model | None:
     """Count all of ``labelled`` (lang, text); None if it has no bytes."""
 
@@ -153,11 +171,10 @@ def train(labelled: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS) -
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(key), pa.string()), pa.array(key, pa.int64()), pa.array(n, pa.int64())],
                                                      ["lang", "gram", "n"])
 
-    counts = labelled.select("lang", "text").mapInArrow(count, "lang string, gram bigint, n bigint") \
-        .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    kept = max(1, max_grams // max(1, labelled.select("lang").distinct().count()))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    rows = counts.withColumn("_rank", rank).where(F.col("_rank") <= kept).drop("_rank").toPandas()
+    counts = materialize(labelled.select("lang", "text").mapInArrow(count, "lang string, gram bigint, n bigint")
+                         .groupBy("lang", "gram").agg(F.sum("n").alias("n")), "ppm-counts")
+    kept = max(1, max_grams // max(1, counts.select("lang").distinct().count()))
+    rows = most_frequent(counts, kept).toPandas()
     if not len(rows):
         return None
     languages = sorted(rows["lang"].unique())
