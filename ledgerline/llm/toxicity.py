@@ -104,10 +104,13 @@ def fit_texts(texts: list[str], positive: np.ndarray, prior: float) -> tuple[dic
     return {f: float(w[i]) for f, i in at.items()}, bias
 
 
-def sample(rows: DataFrame, most: int, key: str) -> DataFrame:
-    """All rows if at most ``most``, else about that many, by a hash of ``key``."""
+def sample(rows: DataFrame, most: int) -> DataFrame:
+    """Rows (doc_id, text) without repeats: all if they are at most ``most``,
+    else about that many, by a hash of both columns, so that neither repeats of
+    a row nor many texts of one id make the sample larger."""
     share = min(1.0, most / max(1, rows.count()))
-    return rows if share >= 1 else rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int(share * (1 << 30)))
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    return (rows if share >= 1 else rows.where(part < int(share * (1 << 30)))).dropDuplicates(["doc_id", "text"])
 
 
 def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> list[tuple[dict[bytes, float], float]]:
@@ -124,12 +127,10 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> lis
         prior = min(0.5, known[1] / known[0])
     texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text")
     ids = marks.where("toxic").select("doc_id")
-    positives = texts.join(sample(ids, MAX_POSITIVES, "doc_id"), "doc_id", "left_semi")
-    others = sample(texts.select("doc_id", "text"), MAX_UNLABELLED, "doc_id").join(ids, "doc_id", "left_anti")
+    positives = sample(texts.join(ids, "doc_id", "left_semi"), MAX_POSITIVES)
     n = F.lit(CLASSIFIERS)
-    # The positives stay in the unlabelled sample as well, for that is drawn from all texts.
-    unlabelled = others.withColumn("positive", F.lit(False)).unionByName(
-        sample(texts, MAX_UNLABELLED, "doc_id").join(ids, "doc_id", "left_semi").withColumn("positive", F.lit(False))) \
+    # Positives stay among the unlabelled texts as well, for the prior is that of all texts.
+    unlabelled = sample(texts, MAX_UNLABELLED).withColumn("positive", F.lit(False)) \
         .withColumn("part", F.pmod(F.xxhash64(F.col("doc_id"), F.lit(1)), n).cast("int"))
     rows = unlabelled.unionByName(positives.withColumn("positive", F.lit(True)).withColumn(
         "part", F.explode(F.sequence(F.lit(0), n - 1))))

@@ -293,3 +293,21 @@ def test_pieces_rebuild_the_ids(spark):
             assert offset == at
             at += length
         assert at == 512 or s == len(rows) - 1
+
+
+def test_most_frequent_strings_of_each_language(spark):
+    rows = [("a", g, 100 - g if g < 20 else 1) for g in range(2000)] + [("b", g, 1) for g in range(30)] + [("c", g, 2) for g in range(4000)]
+    counts = spark.createDataFrame(rows, "lang string, gram long, n long")
+    got = langid.most_frequent(counts, 1000).toPandas()
+    assert got["lang"].value_counts()["b"] == 30  # fewer than asked for: all
+    a = got[got["lang"] == "a"]
+    assert set(range(20)) <= set(a["gram"])  # all that are more frequent than the ties
+    for lang in ("a", "c"):  # only ties: a share of them
+        assert 900 < (got["lang"] == lang).sum() < 1100
+
+
+def test_toxicity_sample_is_bounded_with_a_repeated_id(spark):
+    rows = [(1, f"text {i}") for i in range(3000)] + [(2, "same")] * 3000
+    got = toxicity.sample(spark.createDataFrame(rows, "doc_id long, text string"), 500)
+    assert got.count() < 700
+    assert got.where("doc_id = 2").count() <= 1
