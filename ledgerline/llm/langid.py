@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import in_fold, string_bytes, text_pieces
+from .common import in_fold, small_side, string_bytes, text_pieces
 
 ORDER = 3
 #: Model bound: longest contexts with a next byte kept over all languages
@@ -145,15 +145,16 @@ def most_frequent(counts: DataFrame, kept: int) -> DataFrame:
     """About ``kept`` rows (lang, gram, n) of each language: all that are more
     frequent than some count, and of those with just that count a share by a
     hash of the string. The count is found in the table of how many strings
-    have which count, so no task reads all strings of a language. All rows of a
-    language with ``kept`` strings or fewer are returned.
+    have which count, so no task reads all strings of a language; the result of that
+    (one row a language at most) is sent to all tasks if it is small. All rows
+    of a language with ``kept`` strings or fewer are returned.
     """
     sizes = counts.groupBy("lang", "n").agg(F.count(F.lit(1)).alias("_ties"))
     upto = F.sum("_ties").over(Window.partitionBy("lang").orderBy(F.desc("n")))
     edges = sizes.withColumn("_above", upto - F.col("_ties")).where((F.col("_above") < kept) & (F.col("_above") + F.col("_ties") > kept)) \
         .select("lang", F.col("n").alias("_edge"), ((kept - F.col("_above")) / F.col("_ties")).alias("_share"))
     part = F.pmod(F.xxhash64("gram"), F.lit(1 << 30)) / F.lit(1 << 30)
-    return counts.join(edges, "lang", "left").where(
+    return counts.join(small_side(edges, "ppm-edges"), "lang", "left").where(
         F.col("_edge").isNull() | (F.col("n") > F.col("_edge")) | ((F.col("n") == F.col("_edge")) & (part < F.col("_share")))) \
         .select("lang", "gram", "n")
 
