@@ -9,6 +9,7 @@ that is cut every ``seq_len`` ids. Only the last sequence has padding.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -32,7 +33,9 @@ class Encoder:
     """Ids of whole texts, as the byte-level BPE of a tokenizer file gives them.
 
     Merges are done by tiktoken, which is several times as fast and takes the
-    file's own vocabulary: its ids are in the order of the merges.
+    file's own vocabulary: its ids are in the order of the merges. The file's
+    added tokens are cut out of the text first, the longest at each place, as
+    `tokenizers` does whether special tokens are added or not.
     """
 
     #: Fixed value: the pattern that byte-level pre-tokenizers part texts by.
@@ -44,13 +47,27 @@ class Encoder:
             file = json.load(f)
         if file["model"]["type"] != "BPE" or file["pre_tokenizer"]["type"] != "ByteLevel" or file["pre_tokenizer"]["add_prefix_space"]:
             raise ValueError(f"{path} is no byte-level BPE without a space before the text")
-        special = {t["content"] for t in file["added_tokens"]}
+        if file["normalizer"] or any(t[k] for t in file["added_tokens"] for k in ("lstrip", "rstrip", "single_word", "normalized")):
+            raise ValueError(f"{path} normalizes texts or has added tokens that take more or less than their own characters")
+        special = {t["content"]: t["id"] for t in file["added_tokens"] if t["content"]}
         of = byte_characters()
         ranks = {bytes(map(of.__getitem__, t)): i for t, i in file["model"]["vocab"].items() if t not in special}
         self.encoding = tiktoken.Encoding("file", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.special = special
+        self.parts = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(self.encoding.encode_ordinary(t), np.uint32) for t in texts]
+        return [np.array(self.ids(t), np.uint32) for t in texts]
+
+    def ids(self, text: str) -> list[int]:
+        out: list[int] = []
+        last = 0
+        for m in self.parts.finditer(text) if self.parts else ():
+            out += self.encoding.encode_ordinary(text[last:m.start()])
+            out.append(self.special[m.group()])
+            last = m.end()
+        rest = self.encoding.encode_ordinary(text[last:])
+        return out + rest if out else rest
 
 
 def byte_characters() -> dict[str, int]:

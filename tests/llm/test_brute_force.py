@@ -295,6 +295,30 @@ def test_pieces_rebuild_the_ids(spark):
         assert at == 512 or s == len(rows) - 1
 
 
+def test_added_tokens_have_their_ids(spark, tmp_path):
+    import json
+
+    import pytest
+    from tokenizers import Tokenizer
+    coder = Tokenizer.from_file(token_file())
+    texts = ["a<|endoftext|>b", "<|endoftext|>", " <|endoftext|> x  <|endoftext|><|endoftext|>\n", "<|endoftext|", "<<|endoftext|>>", "it's <|pad|>"]
+    assert coder.encode(texts[0], add_special_tokens=False).ids == [64, 50256, 65]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: list(np.frombuffer(r.ids, "<u4")) for r in packing.pack(df, token_file(), seq_len=512).collect()}
+    assert got == {i: [*coder.encode(t, add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
+    with open(token_file(), encoding="utf-8") as f:
+        file = json.load(f)
+    file["added_tokens"].append({**file["added_tokens"][0], "id": 50257, "content": "<|endoftext|>x"})
+    (tmp_path / "two.json").write_text(json.dumps(file))
+    two = Tokenizer.from_file(f"{tmp_path}/two.json")
+    for t in ("a<|endoftext|>xy", "<|endoftext|> x<|endoftext|>x"):  # one begins another: the longer one
+        assert packing.Encoder(f"{tmp_path}/two.json").ids(t) == two.encode(t, add_special_tokens=False).ids
+    file["added_tokens"][0]["lstrip"] = True
+    (tmp_path / "strip.json").write_text(json.dumps(file))
+    with pytest.raises(ValueError):
+        packing.Encoder(f"{tmp_path}/strip.json")
+
+
 def test_most_frequent_strings_of_each_language(spark):
     rows = [("a", g, 100 - g if g < 20 else 1) for g in range(2000)] + [("b", g, 1) for g in range(30)] + [("c", g, 2) for g in range(4000)]
     counts = spark.createDataFrame(rows, "lang string, gram long, n long")
