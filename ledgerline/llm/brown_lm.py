@@ -7,15 +7,15 @@ exchange clustering:
 1. the SEEDS most frequent words are clustered by exchange (each word moves to
    the class that raises the likelihood of the class bigrams most, until none
    moves) from their bigram counts, a bounded matrix;
-2. each of the next words up to CLUSTERED goes to the class that does so given
-   the seeds' classes, by counts of the classes to its left and right;
-   words are dealt out over tasks for this;
-3. all other words get the class that words with the same ending mostly have
-   (three bytes, else two, else one), so a class is known wherever a word turns
-   up, without a table of all words.
-
-Counts of every word are kept: those of the HEAD most frequent words are sent
-to all tasks, and rarer words meet theirs in a join, in which no word is hot.
+2. every other training word goes to the class that does so given the seeds'
+   classes, by counts of the classes to its left and right; words are dealt out
+   over tasks for this, and their classes stay in a table;
+3. words that training lacks get the class that training words with the same
+   ending mostly have (three bytes, else two, else one).
+
+Counts and classes of the HEAD most frequent words are sent to all tasks, and
+rarer words meet theirs in a join, in which no word is hot. Texts are read once
+for their paths of classes, from which transitions and scores follow.
 """
 
 from __future__ import annotations
@@ -24,20 +24,21 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import in_fold, text_pieces
+from .common import in_fold, small_side, string_bytes, text_pieces
 
 CLASSES = 32  # besides that of text ends
 SEEDS = 1024
-CLUSTERED = 16384
 HEAD = 131072
 ROUNDS = 12  # of exchange over the seeds
-BLOCK = 512  # words of one exchange task
+BLOCK = 2048  # words of one array of the exchange step
+HELD = 600_000  # counts of (word, neighbour class) that a task holds before it hands them on
+PATH_BYTES = 1 << 20  # of paths (a byte a token) that a task works on at once
+HOLE = 255  # in a path: a word whose class comes from the join
 SMOOTH = 20.0  # weight of the class unigram in a class transition, in counts
 PARTIAL = 400_000  # words that a counting task holds before it hands them on
 END = b""  # the token after the last word; no word is empty
@@ -127,27 +128,19 @@ def best_class(table: np.ndarray, out: np.ndarray, into: np.ndarray, own: float,
     return int(gain.argmax())
 
 
-class Classes:
-    """Class of any word: END has class CLASSES; clustered words their own; others by their ending."""
+def best_classes(table: np.ndarray, out: np.ndarray, into: np.ndarray, k: int) -> np.ndarray:
+    """``best_class`` of many words (rows of ``out`` and ``into``, none empty) without pairs of themselves."""
+    def change(cells: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        word, place = np.nonzero(counts)
+        old = cells[:, place].T
+        return np.add.reduceat(_h(old + counts[word, place][:, None]) - _h(old), np.searchsorted(word, np.arange(len(counts))), axis=0)
 
-    def __init__(self, words: list[bytes], counts: np.ndarray, classes: np.ndarray):
-        self.known = dict(zip(words, classes.tolist(), strict=True))
-        votes: dict[bytes, np.ndarray] = {}
-        for word, n, c in zip(words, counts, classes, strict=True):
-            for size in (1, 2, 3):
-                votes.setdefault(word[-size:], np.zeros(CLASSES))[c] += n
-        self.endings = {e: int(v.argmax()) for e, v in votes.items()}
-        total = np.bincount(classes, counts, CLASSES) if len(classes) else np.zeros(CLASSES)
-        self.usual = int(total.argmax())
-
-    def __call__(self, word: bytes) -> int:
-        if word == END:
-            return CLASSES
-        c = self.known.get(word)
-        for size in (3, 2, 1):
-            if c is None:
-                c = self.endings.get(word[-size:])
-        return self.usual if c is None else c
+    gain = change(table[:k], out) + change(table[:, :k].T, into)
+    rows, cols = table.sum(axis=1)[:k] + into[:, :k], table.sum(axis=0)[:k] + out[:, :k]
+    cell = np.diagonal(table)[:k]
+    gain += _h(cell + out[:, :k] + into[:, :k]) - _h(cell + out[:, :k]) - _h(cell + into[:, :k]) + _h(cell)
+    gain -= _h(rows + out.sum(axis=1, keepdims=True)) - _h(rows) + _h(cols + into.sum(axis=1, keepdims=True)) - _h(cols)
+    return gain.argmax(axis=1)
 
 
 class Ids(dict):
@@ -184,121 +177,153 @@ def seed_bigrams(texts: DataFrame, seeds: list[bytes]) -> np.ndarray:
     return table.reshape(n, n)
 
 
-def assign_others(texts: DataFrame, seeds: list[bytes], seed_classes: np.ndarray, others: list[bytes], table: np.ndarray) -> np.ndarray:
-    """One exchange step for ``others``. ``table``: class bigrams, with a class
-    for all words without one and one for the end."""
+class Numbers(dict):
+    """Number of each word in the order in which words are met, after ``first``."""
+
+    def __init__(self, first: list[bytes]):
+        super().__init__((w, i) for i, w in enumerate(first))
+
+    def __missing__(self, word: bytes) -> int:
+        i = self[word] = len(self)
+        return i
+
+
+def assign_others(texts: DataFrame, seeds: list[bytes], seed_classes: np.ndarray, table: np.ndarray) -> DataFrame:
+    """word, n and class of every word but the seeds, by one exchange step.
+    ``table``: class bigrams, with a class for all words without one and one
+    for the end. Tasks sum a word's neighbour classes (those after it, then
+    those before it) and hand them on as pairs of place and count."""
     context = CLASSES + 2
-    sent = texts.sparkSession.sparkContext.broadcast((seeds, seed_classes, others))
+    sent = texts.sparkSession.sparkContext.broadcast((seeds, seed_classes))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, classes = sent.value
+        n, class_of = len(first), np.concatenate([classes, [CLASSES, CLASSES + 1]])  # -1 is the end
+        ids, held = Numbers(first), []
+
+        def handed() -> Iterator[pa.RecordBatch]:
+            key, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+            times = np.bincount(at, np.concatenate([c for _, c in held])).astype("<i4")
+            word, place = np.divmod(key, 2 * context)
+            edges = np.append(np.flatnonzero(np.diff(word, prepend=-1)), len(word)).astype(np.int32)
+            words = list(ids)[n:]  # each has a count
+            for i in range(0, len(words), 20000):
+                cut = edges[i:i + 20001]
+                sizes = cut - cut[0]
+                yield pa.RecordBatch.from_arrays([pa.array(words[i:i + 20000], pa.binary()), *(
+                    pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer(sizes * width), pa.py_buffer(values[cut[0]:cut[-1]].tobytes())])
+                    for values, width in ((place.astype(np.uint8), np.int32(1)), (times, np.int32(4))))], ["word", "places", "times"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, classes, later = sent.value
-        ids = Ids([*first, *later], len(first) + len(later))
-        class_of = np.concatenate([classes, np.full(len(later) + 1, CLASSES), [CLASSES + 1]])
-        end, n = len(class_of) - 1, len(first)
-        counts = np.zeros((len(later) + 2, 2 * context), np.int32)  # the last row but one and the last are dropped
-        flat_counts = counts.reshape(-1)
         for batch in batches:
             for part in text_pieces(batch):
-                flat = [np.array([end])]
+                flat = [np.array([-1])]
                 for text in part.column("text").to_pylist():
-                    flat.append(np.array([*map(ids.__getitem__, words_of(text)), end]))
+                    flat.append(np.array([*map(ids.__getitem__, words_of(text)), -1]))
                 row = np.concatenate(flat)
-                around = class_of[row]
-                at = np.flatnonzero((row >= n) & (row < n + len(later)))
-                for side, shift in ((0, 1), (context, -1)):
-                    key = (row[at] - n) * (2 * context) + side + around[at + shift]
-                    flat_counts += np.bincount(key, minlength=len(flat_counts)).astype(np.int32)
-        blocks = range(0, len(later), BLOCK)
-        yield pa.RecordBatch.from_arrays([pa.array([b // BLOCK for b in blocks], pa.int32()),
-                                          pa.array([counts[b:min(b + BLOCK, len(later))].tobytes() for b in blocks], pa.binary())], ["block", "counts"])
-
-    def step(block: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(c, np.int32).astype(np.int64) for c in block["counts"]).reshape(-1, 2 * context).astype(float)
-        best = [best_class(table, row[:context], row[context:], 0.0, CLASSES) for row in total]
-        return pd.DataFrame({"place": int(block["block"].iloc[0]) * BLOCK + np.arange(len(best)), "class": best})
-
-    found = texts.select("text").mapInArrow(run, "block int, counts binary").groupBy("block") \
-        .applyInPandas(step, "place bigint, class int").toPandas()
-    out = np.zeros(len(others), np.int64)
-    out[found["place"].to_numpy()] = found["class"].to_numpy()
-    return out
-
-
-def transitions(texts: DataFrame, classes: Classes) -> np.ndarray:
-    """Counts of (class, next class) over all texts; a text begins after an end."""
-    size = CLASSES + 1
-    sent = texts.sparkSession.sparkContext.broadcast(classes)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = ClassCache(sent.value)
-        table = np.zeros(size * size, np.int64)
+                around = class_of[np.minimum(row, n)]
+                at = np.flatnonzero(row >= n)
+                if len(at):
+                    base = (row[at] - n) * (2 * context)
+                    held.append(np.unique(np.concatenate([base + around[at + 1], base + context + around[at - 1]]), return_counts=True))
+                if len(ids) - n > PARTIAL or sum(len(k) for k, _ in held) > HELD:
+                    yield from handed()
+                    ids, held = Numbers(first), []
+        if held:
+            yield from handed()
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def judged(words: list[bytes], counts: np.ndarray) -> pa.RecordBatch:
+            best = [best_classes(table, c[:, :context], c[:, context:], CLASSES) for c in (counts[i:i + BLOCK] for i in range(0, len(counts), BLOCK))]
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(counts[:, :context].sum(axis=1).astype(np.int64)),
+                                               pa.array(np.concatenate(best), pa.int32())], ["word", "n", "class"])
+
+        words: list[bytes] = []
+        last = np.zeros((0, 2 * context))  # the last word's counts, which may go on in the next batch
         for batch in batches:
-            for part in text_pieces(batch):
-                flat = [np.array([CLASSES])]
-                for text in part.column("text").to_pylist():
-                    flat.append(np.array([*map(cache.__getitem__, words_of(text)), CLASSES]))
-                cache.trim()
-                row = np.concatenate(flat)
-                table += np.bincount(row[:-1] * size + row[1:], minlength=size * size)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size * size)), pa.array(table)], ["pair", "n"])
+            if not batch.num_rows:
+                continue
+            coded = batch.column("word").dictionary_encode()
+            places, sizes = string_bytes(batch.column("places"))
+            times = np.frombuffer(string_bytes(batch.column("times"))[0].tobytes(), "<i4")
+            key = np.repeat(coded.indices.to_numpy().astype(np.int64), sizes) * (2 * context) + places
+            new = coded.dictionary.to_pylist()
+            counts = np.bincount(key, times, len(new) * 2 * context).reshape(-1, 2 * context)
+            if words and words[0] == new[0]:
+                counts[0] += last[0]
+            elif words:
+                new, counts = words + new, np.concatenate([last, counts])
+            if len(new) > 1:
+                yield judged(new[:-1], counts[:-1])
+            words, last = new[-1:], counts[-1:].copy()
+        if words:
+            yield judged(words, last)
+
+    return texts.select("text").mapInArrow(count, "word binary, places binary, times binary") \
+        .repartition("word").sortWithinPartitions("word").mapInArrow(step, "word binary, n bigint, class int")
+
+
+def train(texts: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """word, n and class of every word of ``texts``."""
+    spark = texts.sparkSession
+    schema = "word binary, n bigint, class int"
+    top = vocabulary.where(F.octet_length("word") > 0).orderBy(F.desc("n"), "word").limit(SEEDS).toPandas()
+    seeds, n = [bytes(w) for w in top["word"]], len(top)
+    if not n:
+        return spark.createDataFrame([], schema)
+    bigrams = seed_bigrams(texts, seeds)
+    classes = exchange(bigrams, np.arange(n) % CLASSES, CLASSES)
+    own = np.concatenate([classes, [CLASSES, CLASSES + 1]])
+    table = np.zeros((CLASSES + 2, CLASSES + 2))
+    np.add.at(table, (own[:, None], own[None, :]), bigrams)
+    first = spark.createDataFrame(list(zip(seeds, top["n"].tolist(), classes.tolist(), strict=True)), schema)
+    return materialize(assign_others(texts, seeds, classes, table).unionByName(first), "word-classes")
 
-    rows = texts.select("text").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
-    table = np.zeros(size * size)
-    table[rows["pair"].to_numpy()] = rows["n"].to_numpy()
-    return table.reshape(size, size)
 
+def ending(size: int) -> Column:
+    """The last bytes of a word, all of a shorter one."""
+    return F.substring("word", -size, size)
 
-class ClassCache(dict):
-    """Classes of words met so far, held within a bound."""
 
-    def __init__(self, classes: Classes):
-        super().__init__()
-        self.classes = classes
+def endings(classes: DataFrame) -> DataFrame:
+    """ending (of one to three bytes) and the class that most tokens with it have, the first of equals."""
+    return classes.select(F.explode(F.array_distinct(F.array(*map(ending, (1, 2, 3))))).alias("ending"), "class", "n") \
+        .groupBy("ending", "class").agg(F.sum("n").alias("votes")) \
+        .groupBy("ending").agg(F.max_by("class", F.struct("votes", -F.col("class"))).alias("class"))
 
-    def __missing__(self, word: bytes) -> int:
-        c = self[word] = self.classes(word)
-        return c
 
-    def trim(self) -> None:
-        if len(self) > PARTIAL:
-            self.clear()
+def with_classes(words: DataFrame, classes: DataFrame, usual: int) -> DataFrame:
+    """``words`` (with a column word) with n in training, 0 if unseen, and class."""
+    out = words.join(classes, "word", "left")
+    by_ending = small_side(endings(classes), "endings")
+    for size in (3, 2, 1):
+        side = by_ending.select(F.col("ending").alias(f"_end{size}"), F.col("class").alias(f"_class{size}"))
+        out = out.join(side, ending(size) == F.col(f"_end{size}"), "left").drop(f"_end{size}")
+    found = F.coalesce("class", "_class3", "_class2", "_class1", F.lit(usual))
+    return out.select(*words.columns, F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), found.alias("class"))
+
 
+def path_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of texts end to end, an end before the first and after each, and tokens of each text."""
+    raw, lengths = string_bytes(column)
+    return np.concatenate([[CLASSES], np.insert(raw, np.cumsum(lengths), CLASSES)]).astype(np.int64), lengths + 1
 
-def class_masses(vocabulary: DataFrame, classes: Classes) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens and distinct words of each class."""
-    sent = vocabulary.sparkSession.sparkContext.broadcast(classes)
+
+def transitions(paths: DataFrame) -> np.ndarray:
+    """Counts of (class, next class) over all texts; a text begins after an end."""
+    size = CLASSES + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, kinds = np.zeros(CLASSES + 1, np.int64), np.zeros(CLASSES + 1, np.int64)
+        table = np.zeros(size * size, np.int64)
         for batch in batches:
-            c = np.fromiter(map(sent.value, batch.column("word").to_pylist()), np.int64, batch.num_rows)
-            np.add.at(tokens, c, batch.column("n").to_numpy())
-            kinds += np.bincount(c, minlength=CLASSES + 1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES + 1)), pa.array(tokens), pa.array(kinds)], ["class", "tokens", "kinds"])
-
-    rows = vocabulary.select("word", "n").mapInArrow(run, "class bigint, tokens bigint, kinds bigint") \
-        .groupBy("class").agg(F.sum("tokens").alias("tokens"), F.sum("kinds").alias("kinds")).toPandas()
-    tokens, kinds = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
-    tokens[rows["class"]], kinds[rows["class"]] = rows["tokens"], rows["kinds"]
-    return tokens, kinds
-
-
-def train(texts: DataFrame, vocabulary: DataFrame) -> tuple[list[bytes], np.ndarray, Classes]:
-    """The HEAD most frequent words with their counts, and classes of all words."""
-    top = vocabulary.where(F.octet_length("word") > 0).orderBy(F.desc("n"), "word").limit(HEAD).toPandas()
-    words, counts = [bytes(w) for w in top["word"]], top["n"].to_numpy(np.int64)
-    n = min(SEEDS, len(words))
-    if not n:
-        return words, counts, Classes([], counts, np.zeros(0, np.int64))
-    bigrams = seed_bigrams(texts, words[:n])
-    seed_classes = exchange(bigrams, np.arange(n) % CLASSES, CLASSES)
-    own = np.concatenate([seed_classes, [CLASSES, CLASSES + 1]])
-    table = np.zeros((CLASSES + 2, CLASSES + 2))
-    np.add.at(table, (own[:, None], own[None, :]), bigrams)
-    others = words[n:CLUSTERED]
-    more = assign_others(texts, words[:n], seed_classes, others, table) if others else np.zeros(0, np.int64)
-    classes = np.concatenate([seed_classes, more]).astype(np.int64)
-    return words, counts, Classes(words[:len(classes)], counts[:len(classes)], classes)
+            for part in text_pieces(batch, "path", PATH_BYTES):
+                row, _ = path_of(part.column("path"))
+                table += np.bincount(row[:-1] * size + row[1:], minlength=size * size)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size * size)), pa.array(table)], ["pair", "n"])
+
+    rows = paths.select("path").mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    table = np.zeros(size * size)
+    table[rows["pair"].to_numpy()] = rows["n"].to_numpy()
+    return table.reshape(size, size)
 
 
 def score_texts(docs: DataFrame, folds: int = 7, held: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -323,53 +348,75 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2, id_col: str = "d
     vocabulary = materialize(count_words(texts), "vocabulary")
     total, kinds = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     ends = vocabulary.where(F.octet_length("word") == 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    words, counts, classes = train(texts, vocabulary)
-    pairs = transitions(texts, classes)
-    share = (pairs.sum(axis=0) + 1) / (pairs.sum() + CLASSES + 1)
-    step = np.log10((pairs + SMOOTH * share) / (pairs.sum(axis=1, keepdims=True) + SMOOTH))
-    tokens, own_kinds = class_masses(vocabulary, classes)
-    below = np.log10(tokens + own_kinds + 1)  # of a word's chance in its class
-    base_below = float(np.log10(total + kinds + 1))
-    sent = spark.sparkContext.broadcast((words, counts, classes, step, below, ends))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, n_of, class_of, moves, under, n_ends = sent.value
-        ids, cache, rare = Ids(head, len(head)), ClassCache(class_of), len(head)
-        head_class = np.fromiter(map(class_of, head), np.int64, len(head))
-        head_classes = np.append(head_class, 0)
-        log_n = np.append(np.log10(n_of + 1.0), 0.0)
+    classes = train(texts, vocabulary)
+    tokens, own_kinds = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)  # of each class
+    for c, n, k in classes.groupBy("class").agg(F.sum("n"), F.count(F.lit(1))).collect():
+        tokens[c], own_kinds[c] = n, k
+    usual = int(tokens.argmax())
+    tokens[CLASSES], own_kinds[CLASSES] = ends, ends > 0
+    top = classes.orderBy(F.desc("n"), "word").limit(HEAD).toPandas()
+    head = spark.sparkContext.broadcast(([bytes(w) for w in top["word"]], top["n"].to_numpy(np.int64), top["class"].to_numpy(np.uint8)))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, counts, own_classes = head.value
+        ids, rare = Ids(words, len(words)), len(words)
+        class_of, log_n = np.append(own_classes, np.uint8(HOLE)), np.append(np.log10(counts + 1.0), 0.0)
         for batch in batches:
             for part in text_pieces(batch):
-                out: list[list] = [[] for _ in range(6)]
+                out: list[list] = [[] for _ in range(5)]
                 for text in part.column("text").to_pylist():
                     own = words_of(text)
                     at = np.fromiter(map(ids.__getitem__, own), np.int64, len(own))
-                    c = head_classes[at]
-                    far = np.flatnonzero(at == rare)
-                    tail = [own[i] for i in far]
-                    c[far] = [cache[w] for w in tail]
-                    path = np.concatenate([[CLASSES], c, [CLASSES]])
-                    known = log_n[at].sum() + np.log10(n_ends + 1.0)  # the tail's counts come later
-                    times = Counter(tail)
-                    for values, v in zip(out, (len(own) + 1, len(own) - len(tail) + (n_ends > 0), float(known),
-                                               float(moves[path[:-1], path[1:]].sum() - under[path[1:]].sum()),
-                                               list(times.keys()), list(times.values())), strict=True):
+                    tail = Numbers([])
+                    holes = [tail[own[i]] for i in np.flatnonzero(at == rare)]
+                    for values, v in zip(out, (len(own) - len(holes) + (ends > 0), float(log_n[at].sum() + np.log10(ends + 1.0)),
+                                               class_of[at].tobytes(), np.array(holes, "<i4").tobytes(), list(tail)), strict=True):
                         values.append(v)
-                cache.trim()
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), part.column("held_out"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64()),
-                    pa.array(out[3], pa.float64()), pa.array(out[4], pa.list_(pa.binary())), pa.array(out[5], pa.list_(pa.int32()))],
-                    ["doc_id", "held_out", "n_tokens", "n_head", "log_counts", "log_rest", "tail", "times"])
+                    part.column("doc_id"), part.column("held_out"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.float64()),
+                    pa.array(out[2], pa.binary()), pa.array(out[3], pa.binary()), pa.array(out[4], pa.list_(pa.binary()))],
+                    ["doc_id", "held_out", "n_head", "log_counts", "path", "holes", "tail"])
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_pieces(batch, "path", PATH_BYTES):
+                out: list[list] = [[] for _ in range(3)]
+                for n_head, known, raw, holes, c, n in zip(*(part.column(x).to_pylist() for x in (
+                        "n_head", "log_counts", "path", "holes", "classes", "counts")), strict=True):
+                    path, at, n = np.frombuffer(raw, np.uint8).copy(), np.frombuffer(holes, "<i4"), np.array(n, np.int64)
+                    path[path == HOLE] = np.array(c, np.uint8)[at]
+                    for values, v in zip(out, (n_head + int((n[at] > 0).sum()), known + float(np.log10(n[at] + 1.0).sum()), path.tobytes()), strict=True):
+                        values.append(v)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(out[0], pa.int64()),
+                                                  pa.array(out[1], pa.float64()), pa.array(out[2], pa.binary())],
+                                                 ["doc_id", "held_out", "n_known", "log_counts", "path"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    scored = materialize(rows.mapInArrow(
-        run, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_head bigint, log_counts double, log_rest double, tail array<binary>, times array<int>")
-        .withColumn("_row", F.monotonically_increasing_id()), "scored")
-    tail = scored.select("_row", F.explode(F.arrays_zip("tail", "times")).alias("t")).select("_row", F.col("t.tail").alias("word"), F.col("t.times").alias("times"))
-    met = tail.join(vocabulary, "word").groupBy("_row").agg(
-        F.sum("times").alias("n_tail"), F.sum(F.col("times") * F.log10(F.col("n") + F.lit(1.0))).alias("tail_counts"))
-    counts_sum = F.col("log_counts") + F.coalesce("tail_counts", F.lit(0.0))
-    return scored.drop("tail", "times").join(met, "_row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_head") + F.coalesce("n_tail", F.lit(0))).cast("bigint").alias("n_known"),
-        F.lit(int(total)).cast("bigint").alias("train_tokens"), (counts_sum - F.col("n_tokens") * F.lit(base_below)).alias("base_score"),
-        (counts_sum + F.col("log_rest")).alias("score")).withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
+    begun = materialize(rows.mapInArrow(
+        read, f"doc_id {kind}, held_out boolean, n_head bigint, log_counts double, path binary, holes binary, tail array<binary>")
+        .withColumn("_row", F.monotonically_increasing_id()), "paths-begun")
+    tail = with_classes(begun.select("_row", F.posexplode("tail").alias("at", "word")), classes, usual)
+    met = tail.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("at", "class", "n"))).alias("met")) \
+        .select("_row", F.col("met.class").alias("classes"), F.col("met.n").alias("counts"))
+    paths = materialize(begun.drop("tail").join(met, "_row", "left").drop("_row")
+                        .withColumns({"classes": F.coalesce("classes", F.array().cast("array<int>")), "counts": F.coalesce("counts", F.array().cast("array<bigint>"))})
+                        .mapInArrow(fill, f"doc_id {kind}, held_out boolean, n_known bigint, log_counts double, path binary"), "paths")
+    pairs = transitions(paths.where(~F.col("held_out")))
+    share = (pairs.sum(axis=0) + 1) / (pairs.sum() + CLASSES + 1)
+    moves = np.log10((pairs + SMOOTH * share) / (pairs.sum(axis=1, keepdims=True) + SMOOTH))
+    moves -= np.log10(tokens + own_kinds + 1)  # below a word's count, of its chance in its class
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_pieces(batch, "path", PATH_BYTES):
+                row, sizes = path_of(part.column("path"))
+                rest = np.add.reduceat(moves[row[:-1], row[1:]], np.cumsum(sizes) - sizes)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "held_out", "n_known", "log_counts")),
+                                                  pa.array(sizes.astype(np.int64)), pa.array(rest)],
+                                                 ["doc_id", "held_out", "n_known", "log_counts", "n_tokens", "log_rest"])
+
+    base_below = float(np.log10(total + kinds + 1))
+    return paths.mapInArrow(score, f"doc_id {kind}, held_out boolean, n_known bigint, log_counts double, n_tokens bigint, log_rest double").select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(int(total)).cast("bigint").alias("train_tokens"),
+        (F.col("log_counts") - F.col("n_tokens") * F.lit(base_below)).alias("base_score"),
+        (F.col("log_counts") + F.col("log_rest")).alias("score")).withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))

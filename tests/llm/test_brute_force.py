@@ -113,6 +113,38 @@ def test_class_step_gain_is_the_change_of_likelihood():
     assert math.isclose(likelihood(got), likelihood(plain), rel_tol=1e-9)
 
 
+def test_every_training_word_has_the_class_of_its_contexts(spark, monkeypatch):
+    rng = random.Random(4)
+    monkeypatch.setattr(brown_lm, "SEEDS", 40)
+    monkeypatch.setattr(brown_lm, "HELD", 500)
+    common = [[f"{k}{i}" for i in range(20)] for k in "ab"]  # a word of one kind follows one of the other
+    rare = [[f"{k}{i}same" for i in range(300)] for k in "rs"]  # all once and with one ending
+    texts = []
+    for i in range(300):
+        row = [rng.choice(common[j % 2]) for j in range(40)]
+        row[10], row[21] = rare[0][i], rare[1][i]
+        texts.append((i, " ".join(row)))
+    df = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
+    vocabulary = brown_lm.count_words(df.select("text"))
+    got = {bytes(r.word): (r.n, r["class"]) for r in brown_lm.train(df.select("text"), vocabulary).collect()}
+    want = Counter(w for _, t in texts for w in t.encode().split())
+    assert {w: n for w, (n, _) in got.items()} == want
+    seeds = [w.encode() for w in common[0] + common[1]]
+    of_seeds = [{got[w][1] for w in seeds if w.startswith(k)} for k in (b"a", b"b")]
+    assert not of_seeds[0] & of_seeds[1]
+    of_rare = [Counter(got[w.encode()][1] for w in words) for words in rare]
+    assert not of_rare[0].keys() & of_rare[1].keys()  # by their contexts, not by their ending
+
+
+def test_exchange_step_of_many_words_equals_that_of_one():
+    rng = np.random.RandomState(3)
+    table_ = rng.randint(0, 50, (6, 6)).astype(float)
+    out, into = rng.randint(0, 4, (2, 40, 6)).astype(float)
+    out[:, 5] += 1
+    into[:, 5] += 1
+    assert brown_lm.best_classes(table_, out, into, 4).tolist() == [brown_lm.best_class(table_, a, b, 0.0, 4) for a, b in zip(out, into, strict=True)]
+
+
 # ---- decontamination ---------------------------------------------------------------------------
 
 
