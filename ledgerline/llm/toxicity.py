@@ -105,12 +105,14 @@ def fit_texts(texts: list[str], positive: np.ndarray, prior: float) -> tuple[dic
 
 
 def sample(rows: DataFrame, most: int) -> DataFrame:
-    """Rows (doc_id, text) without repeats: all if they are at most ``most``,
-    else about that many, by a hash of both columns, so that neither repeats of
-    a row nor many texts of one id make the sample larger."""
-    share = min(1.0, most / max(1, rows.count()))
-    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
-    return (rows if share >= 1 else rows.where(part < int(share * (1 << 30)))).dropDuplicates(["doc_id", "text"])
+    """Rows (doc_id, text), one of each text, with its smallest id: all if they
+    are at most ``most``, else about that many, by a hash of the text. Texts
+    are counted without repeats, so copies of a text, under one id or many,
+    make the sample neither larger nor smaller."""
+    part = F.xxhash64("text")
+    share = min(1.0, most / max(1, rows.select(part.alias("part")).distinct().count()))
+    rows = rows if share >= 1 else rows.where(F.pmod(part, F.lit(1 << 30)) < int(share * (1 << 30)))
+    return rows.groupBy("text").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "text")
 
 
 def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> list[tuple[dict[bytes, float], float]]:

@@ -367,3 +367,9 @@ def test_toxicity_sample_is_bounded_with_a_repeated_id(spark):
     got = toxicity.sample(spark.createDataFrame(rows, "doc_id long, text string"), 500)
     assert got.count() < 700
     assert got.where("doc_id = 2").count() <= 1
+
+
+def test_toxicity_sample_is_not_made_smaller_by_repeats(spark):
+    rows = [(i, f"text {i}") for i in range(3000)] + [(1, "same")] * 30000 + [(i, "copy") for i in range(30000)]
+    got = toxicity.sample(spark.createDataFrame(rows, "doc_id long, text string"), 500).collect()
+    assert 400 < len(got) < 600 and len({r.text for r in got}) == len(got)
