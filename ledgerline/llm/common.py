@@ -78,7 +78,9 @@ def small_side(df: DataFrame, name: str, most: int = 64 << 20) -> DataFrame:
     kept = materialize(df, name)
     size = F.lit(16)
     for f in kept.schema.fields:
-        size = size + (F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType.simpleString() == "string" else F.lit(16))
+        kind = f.dataType.typeName()
+        size = size + (F.coalesce(F.octet_length(f.name), F.lit(0)) if kind in ("string", "binary")
+                       else 16 * F.greatest(F.size(f.name), F.lit(1)) if kind == "array" else F.lit(16))
     held = kept.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     return F.broadcast(kept) if held <= most else kept
 

@@ -89,4 +89,85 @@ SELECT sets.doc_id, len(shingles)::BIGINT AS n_shingles, component_id, sets.doc_
 FROM sets JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1) USING (doc_id)
 """
 
-ORACLE = {"op3_positional_index": OP3, "op4_byte_prefix_shards": OP4, "op6_site_lines": OP6, "op7_arc_to_warc": OP7, "op9_bayes_minhash": OP9}
+
+def _accents() -> str:
+    """DuckDB's levenshtein compares bytes: each accented letter stands for one ASCII character that no word has."""
+    free = [chr(c) for c in range(1, 127) if not chr(c).islower() and chr(c) != "'"]
+    return f"translate({{0}}, '{''.join(map(chr, range(0xC0, 0x100)))}', {' || '.join(f'chr({ord(c)})' for c in free[:64])})"
+
+
+OP11 = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS k
+  FROM (SELECT doc_id, unnest(regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (SELECT *, {CRC32.format("encode(doc_id::VARCHAR || ':' || run)")}::BIGINT AS h FROM runs),
+read AS (SELECT CASE WHEN h % 199 = 0 THEN run[1 : h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word, k FROM hashed),
+words AS MATERIALIZED (
+  SELECT word, sum(k)::BIGINT AS n, {_accents().format("word")} AS plain FROM read WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+cut AS (SELECT word, n, plain, plain AS key FROM words
+  UNION ALL SELECT DISTINCT word, n, plain, plain[1 : i] || plain[i + 2 :]
+  FROM (SELECT *, unnest(range(length(plain))) AS i FROM words)),
+near AS (
+  SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n
+  FROM cut a JOIN cut b ON a.key = b.key AND a.word <> b.word WHERE levenshtein(a.plain, b.plain) = 1),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, encode(other)) AS other, max(other_n) AS other_n FROM near GROUP BY word),
+forms AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN other_n >= 5 * n THEN other END AS form,
+         CASE WHEN other_n >= 5 * n THEN other_n END::BIGINT AS form_n
+  FROM words LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS here, 0 AS step FROM forms
+  UNION ALL SELECT chain.word, forms.form, step + 1 FROM chain JOIN forms ON forms.word = chain.here WHERE forms.form IS NOT NULL)
+SELECT word, n, n_near, form, form_n, root FROM forms JOIN (SELECT word, arg_max(here, step) AS root FROM chain GROUP BY word) USING (word)
+"""
+
+
+def _levels(name: str, start: str, key: str, count: int) -> str:
+    """CTEs name0, name1, ...: nodes (key, pos, h) of each level with the
+    siblings before and after; a group's lone node goes up as it is."""
+    out = [f"{name}0 AS MATERIALIZED ({start})"]
+    for i in range(count):
+        out.append(f"""{name}run{i} AS MATERIALIZED (
+  SELECT *, count(*) OVER (PARTITION BY {key}) AS many,
+         CASE WHEN many > 1 THEN coalesce(string_agg(h, '') OVER (PARTITION BY {key}, pos // 3 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') END AS l,
+         CASE WHEN many > 1 THEN coalesce(string_agg(h, '') OVER (PARTITION BY {key}, pos // 3 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') END AS r
+  FROM {name}{i})""")
+        out.append(f"""{name}{i + 1} AS MATERIALIZED (
+  SELECT {key}, pos // 3 AS pos, CASE WHEN any_value(many) > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE any_value(h) END AS h
+  FROM {name}run{i} GROUP BY {key}, pos // 3)""")
+    return ",\n".join(out)
+
+
+def op12(inner: int = 11, outer: int = 6) -> str:
+    """SQL for sources of up to 3 ** inner rows and up to 3 ** outer sources."""
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(f"coalesce(octet_length(encode({c}::VARCHAR))::VARCHAR || ':' || {c}::VARCHAR, '-')"
+                                       for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    steps, joins = [], []
+    for name, count, key, at in (("a", inner, "gpos", "pos"), ("b", outer, "one", "gpos")):
+        for i in range(count):
+            joins.append(f"JOIN {name}run{i} {name}{i}r ON {name}{i}r.{key} = x.{key} AND {name}{i}r.pos = x.{at} // {3 ** i}")
+            steps.append(f"CASE WHEN {name}{i}r.many > 1 THEN {name}{i}r.l || '|' || {name}{i}r.r END")
+    return f"""
+WITH leaves AS MATERIALIZED (
+  SELECT doc_id, dense_rank() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS gpos, 1 AS one, {leaf("text")} AS h,
+         CASE WHEN {CRC32.format("encode(doc_id::VARCHAR)")} % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS claimed,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos FROM documents),
+{_levels("a", "SELECT gpos, pos, h FROM leaves", "gpos", inner)},
+{_levels("b", f"SELECT 1 AS one, gpos AS pos, h FROM a{inner}", "one", outer)},
+x AS (SELECT l.*, s.h AS subroot, b.h AS root FROM leaves l JOIN a{inner} s USING (gpos) JOIN b{outer} b USING (one)),
+y AS (SELECT x.*, list_filter([{", ".join(steps)}], lambda e: e IS NOT NULL) AS steps FROM x {" ".join(joins)}),
+z AS (SELECT *, list_reduce(list_prepend(claimed, steps), lambda h, e: sha256(split_part(e, '|', 1) || h || split_part(e, '|', 2))) AS folded_root FROM y)
+SELECT doc_id, h AS leaf, subroot, root, sha256(replace(array_to_string(steps, ''), '|', '')) AS proof_sha256, folded_root,
+       folded_root = root AS verified FROM z
+"""
+
+OP13 = f"""
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, {LOWER.format("coalesce(text, '')")} AS t FROM documents) WINDOW same AS (PARTITION BY t)
+"""
+
+ORACLE = {"op3_positional_index": OP3, "op4_byte_prefix_shards": OP4, "op6_site_lines": OP6, "op7_arc_to_warc": OP7, "op9_bayes_minhash": OP9,
+          "op11_frequency_trie": OP11, "op12_merkle_rollup": op12(), "op13_chunk_recipes": OP13}

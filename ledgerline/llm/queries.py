@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arc_warc, brown_lm, compression_rules, decontam, langid, near_dup, packing, shards, site_lines, toxicity
+from . import arc_warc, brown_lm, compression_rules, decontam, langid, merkle, near_dup, packing, recipes, shards, site_lines, toxicity, variants
 from .common import table
 
 
@@ -59,4 +59,18 @@ def op10_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), token_file()).drop("ids")
 
 
-QUERIES = {f.__name__: f for f in (op1_ppm_language, op2_brown_classes, op3_positional_index, op4_byte_prefix_shards, op5_nnpu_toxicity, op6_site_lines, op7_arc_to_warc, op8_compression_bands, op9_bayes_minhash, op10_hilbert_packing)}
+def op11_frequency_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"), merkle.without_line_feeds())
+
+
+def op13_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recipes.exact_copies(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_ppm_language, op2_brown_classes, op3_positional_index, op4_byte_prefix_shards, op5_nnpu_toxicity, op6_site_lines, op7_arc_to_warc,
+    op8_compression_bands, op9_bayes_minhash, op10_hilbert_packing, op11_frequency_trie, op12_merkle_rollup, op13_chunk_recipes)}
