@@ -41,6 +41,9 @@ class Encoder:
     #: Fixed value: the pattern that byte-level pre-tokenizers part texts by.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+    #: The characters that the pattern's \\s stands for; a run of this length or more is long.
+    LONG_SPACE = re.compile("[\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
+
     def __init__(self, path: str):
         import tiktoken
         with open(path, encoding="utf-8") as f:
@@ -63,12 +66,31 @@ class Encoder:
         out: list[int] = []
         last = 0
         for m in self.parts.finditer(text) if self.parts else ():
-            out += self.encoding.encode_ordinary(text[last:m.start()])
+            out += self.plain(text[last:m.start()])
             out.append(self.special[m.group()])
             last = m.end()
+        rest = self.plain(text[last:])
+        return out + rest if out else rest
+
+    def plain(self, text: str) -> list[int]:
+        """Ids of a text without added tokens. The pattern takes a run of white
+        space whole, or all of it but the last character where something
+        follows, and its search needs stack for each character; so a long run
+        is cut out first and merged as that one part."""
+        out: list[int] = []
+        last = 0
+        for m in self.LONG_SPACE.finditer(text):
+            end = m.end() if m.end() == len(text) else m.end() - 1
+            out += self.encoding.encode_ordinary(text[last:m.start()])
+            out += self.merged(text[m.start():end])
+            last = end
         rest = self.encoding.encode_ordinary(text[last:])
         return out + rest if out else rest
 
+    def merged(self, run: str) -> list[int]:
+        """Ids of one part, however long."""
+        return self.encoding._encode_single_piece(run)
+
 
 def byte_characters() -> dict[str, int]:
     """The byte that each character of a byte-level vocabulary stands for:
