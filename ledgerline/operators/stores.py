@@ -2,8 +2,8 @@
 
 The store_config table is a small control table (one row per store). Plain
 Parquet has no MERGE, so each mutation returns the *new version* of the table
-as a DataFrame; :func:`ledgerline.plans.load.replace_table` writes it to a new
-folder and swaps (readers never see a half-written table).
+as a DataFrame, to be written to a new
+folder (readers never see a half-written table).
 """
 
 from __future__ import annotations

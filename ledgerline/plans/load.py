@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..session import fresh_path
 
 ORDER_ITEMS_LAYOUT = (["store_name", "processed_month"], ["processed_at_store_date", "name", "line_item_sku"])
 ORDERS_LAYOUT = (["store_name", "processed_month"], ["processed_at_store_date", "customer_id", "display_financial_status"])
@@ -64,23 +63,26 @@ def load_full_refresh(df: DataFrame, table_root: str, layout=ORDER_ITEMS_LAYOUT)
     The rows are written once into a fresh version folder under table_root
     and counted by an observation of that same write (no separate emptiness
     probe, which would run the whole upstream plan a second time). A version
-    with rows becomes current (its path is returned and recorded in
-    ``_CURRENT``); empty input leaves the current version untouched (SNK3).
+    with rows becomes current (its path is returned and a record of it added
+    to ``_PUBLISHED``); empty input leaves the current version untouched (SNK3).
     """
+    import time
     import uuid
     spark = df.sparkSession
-    path = f"{table_root.rstrip('/')}/version={uuid.uuid4().hex[:12]}"
+    root = table_root.rstrip("/")
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    path = f"{root}/version={version}"
     rows = write_table(with_month(df), path, *layout)
     if rows == 0:
         return 0, None
-    spark.createDataFrame([(path,)], "path string").coalesce(1).write.mode("overwrite").text(
-        f"{table_root.rstrip('/')}/_CURRENT")
+    spark.createDataFrame([(version, path)], "version string, path string").coalesce(1).write.mode("append").parquet(f"{root}/_PUBLISHED")
     return rows, path
 
 
 def current_version(spark: SparkSession, table_root: str) -> str:
-    """Path of the current version written by load_full_refresh."""
-    return spark.read.text(f"{table_root.rstrip('/')}/_CURRENT").first()[0]
+    """Path of the latest version that load_full_refresh has published. Each
+    version adds a record and none is rewritten, so a reader always finds one."""
+    return spark.read.parquet(f"{table_root.rstrip('/')}/_PUBLISHED").agg(F.max_by("path", "version")).first()[0]
 
 
 def load_store(df: DataFrame, table_path: str, store: str, layout=ORDER_ITEMS_LAYOUT) -> int:
@@ -105,17 +107,10 @@ def append(df: DataFrame, path: str) -> int:
     return write_table(df, path, mode="append")
 
 
-def replace_table(df: DataFrame, name: str) -> str:
-    """New version of a small control table in a fresh folder; returns its path."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
-    return path
-
-
 def table_contracts(spark: SparkSession) -> dict:
-    """Schema registry of the published tables, taken from the flatten
-    operators themselves (each applied to an empty DataFrame with its page
-    node schema), so the declared tables can never drift from what is written."""
+    """Schemas that the flatten operators produce (each applied to an empty
+    DataFrame with its page node schema), to be held against the declared
+    ones (:func:`ledgerline.schemas.drift`)."""
     from .. import schemas
     from ..operators import flatten
     empty = lambda node, top=True: spark.createDataFrame(
@@ -128,30 +123,6 @@ def table_contracts(spark: SparkSession) -> dict:
     }
 
 
-TABLE_LAYOUTS = {"order_items_insights": ("store_name", "processed_month"),
-                 "order_insights": ("store_name", "processed_month"),
-                 "customer_insights": ("store_name",), "products_insights": ("store_name",)}
-
-
-def create_tables(spark: SparkSession, root: str, database: str, legacy: bool = False) -> list[str]:
-    """SNK5/SNK6: namespace + tables if absent, partitioned as they are written.
-    ``legacy=True`` also declares the order-items table under the older schema set's names."""
-    from .. import schemas
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root.rstrip('/')}/_{database}.db'")
-    tables = dict(table_contracts(spark))
-    if legacy:
-        from pyspark.sql.types import StructType
-        tables["order_items_insights_legacy"] = StructType.fromDDL(
-            ", ".join(f"`{n}` {t}" for n, t, _ in schemas.ORDER_ITEMS_LEGACY) + ", store_name string")
-    for name, schema in tables.items():
-        parts = list(TABLE_LAYOUTS.get(name, ("store_name",)))
-        cols = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name not in parts]
-        cols += [f"`{p}` string" for p in parts]
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({', '.join(cols)}) USING parquet "
-                  f"PARTITIONED BY ({', '.join(parts)}) LOCATION '{root.rstrip('/')}/{name}'")
-    return sorted(t.name for t in spark.catalog.listTables(database))
-
-
 def write_config_json(df: DataFrame, path: str) -> str:
     """SNK7: config records to JSON (file fallback)."""
     df.coalesce(1).write.mode("overwrite").json(path)

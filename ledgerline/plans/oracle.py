@@ -405,3 +405,11 @@ SELECT store_name, name, processed_at_store_date, total_price, order_level_tax_a
 FROM ({ORACLE['orders_flat']}) t
 WHERE (CAST(substr(name, 2) AS BIGINT) - 1000) // 100 % 17 NOT IN (3, 5, 11)
 """
+
+
+def _derived() -> None:
+    from . import oracle_declared
+    ORACLE.update(oracle_declared.build(ORACLE))
+
+
+_derived()

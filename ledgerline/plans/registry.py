@@ -42,5 +42,5 @@ def publish(df: DataFrame) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # import for registration side effects
-    from . import entities, jobviews, stores_plans, quality_plans, stream_plans  # noqa: F401
+    from . import declared_plans, entities, jobviews, quality_plans, stores_plans, stream_plans  # noqa: F401
     return dict(QUERIES)

@@ -3,9 +3,9 @@ contracts, plus ``conform`` (P10: cast, order, fill, rename)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 MONEY = "struct<shopMoney:struct<amount:string>>"
 
@@ -83,17 +83,41 @@ def _fields(ddl: str) -> str:
 
 
 # --------------------------------------------------------------------------- published contracts
-ORDER_ITEMS_INSIGHTS = [
-    ("processed_at_store_date", "date"), ("created_at", "timestamp_ntz"), ("updated_at", "timestamp_ntz"),
-    ("currency_code", "string"), ("email", "string"), ("display_financial_status", "string"), ("name", "string"),
-    ("payment_gateway_names", "string"), ("total_discounts", "double"), ("total_price", "double"),
-    ("line_item_id", "string"), ("line_item_current_quantity", "bigint"), ("line_item_pre_tax_price", "double"),
-    ("line_item_price", "double"), ("line_item_discount", "double"), ("line_item_product_id", "string"),
-    ("line_item_quantity", "bigint"), ("line_item_sku", "string"), ("line_item_title", "string"),
-    ("line_item_variant_id", "string"), ("line_item_variant_title", "string"), ("line_item_tax_rate", "double"),
-    ("line_item_vendor", "string"), ("line_item_tax_price", "double"), ("shipping_line_code", "string"),
-    ("shipping_line_discounted_price", "double"), ("discount_code", "string"), ("refund_restock_type", "string"),
-    ("refund_subtotal", "double")]
+# Columns and types of the four published tables, as their owner
+# declares them. They are stated here, apart from the code that produces the
+# tables, so that a difference between the two can show (:func:`drift`).
+CONTRACTS = {
+    "order_items_insights": (
+        "processed_at_store_date date, created_at timestamp_ntz, updated_at timestamp_ntz, currency_code string, email string, "
+        "display_financial_status string, name string, payment_gateway_names string, total_discounts double, total_price double, "
+        "line_item_id string, line_item_current_quantity bigint, line_item_pre_tax_price double, line_item_price double, "
+        "line_item_discount double, line_item_product_id string, line_item_quantity bigint, line_item_sku string, "
+        "line_item_title string, line_item_variant_id string, line_item_variant_title string, line_item_tax_rate double, "
+        "line_item_vendor string, line_item_tax_price double, shipping_line_code string, shipping_line_discounted_price double, "
+        "discount_code string, refund_restock_type string, refund_subtotal double"),
+    "order_insights": (
+        "store_name string, created_at timestamp_ntz, updated_at timestamp_ntz, processed_at timestamp_ntz, "
+        "processed_at_shopify_timezone timestamp_ntz, processed_at_store_date date, currency_code string, discount_codes string, "
+        "email string, display_financial_status string, name string, payment_gateway_names string, total_refunded double, "
+        "shipping_line_title string, shipping_line_price double, shipping_line_tax_rate double, shipping_line_tax_amount double, "
+        "total_discounts double, total_price double, cancelled_at string, confirmation_number string, "
+        "display_fulfillment_status string, landing_page_url string, note string, tags string, total_tip_received double, "
+        "customer_id string, customer_country string, line_items string, vendor string, order_level_tax_amount double, "
+        "duties double, additional_fees double"),
+    "customer_insights": (
+        "store_name string, created_at timestamp_ntz, updated_at timestamp_ntz, id string, email string, first_name string, "
+        "display_name string, total_spent double, last_order_id string, last_order_name string, orders_count bigint, "
+        "currency_code string, phone string, note string, tags array<string>, default_address_id string, "
+        "default_address_first_name string, default_address_last_name string, default_address_company string, "
+        "default_address_address1 string, default_address_address2 string, default_address_city string, "
+        "default_address_province string, default_address_country string, default_address_zip string, "
+        "default_address_phone string, default_address_name string"),
+    "products_insights": (
+        "store_name string, created_at timestamp_ntz, updated_at timestamp_ntz, id string, title string, product_type string, "
+        "handle string, status string, published_at timestamp_ntz, tags string, vendor string, variant_id string, "
+        "variant_sku string, variant_title string, variant_price string, variant_compareAtPrice string, "
+        "variant_inventoryItem_id string, variant_inventoryQuantity bigint, variant_image_url string"),
+}
 
 # Older schema set of the same table: fixed column names of the legacy contract,
 # with the current column each one is filled from (None: not produced, null).
@@ -138,5 +162,86 @@ def conform(df: DataFrame, contract: list[tuple]) -> DataFrame:
     return df.select(*cols)
 
 
-def struct_type(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
+# The older schema set of the other tables, as differences from
+# the current one (column, type; the older set has each of them so).
+LEGACY_CHANGES = {"order_insights": [],
+                  "customer_insights": [("tags", "string"), ("default_address_country_name", "string")],
+                  "products_insights": [("variant_inventoryQuantity", "string")]}
+
+
+def contract(table: str, legacy: bool = False) -> StructType:
+    """Declared columns of a published table, of the older schema set if ``legacy``."""
+    if legacy and table == "order_items_insights":
+        return StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t, _ in ORDER_ITEMS_LEGACY))
+    current = StructType.fromDDL(CONTRACTS[table])
+    if not legacy:
+        return current
+    changes = dict(LEGACY_CHANGES[table])
+    kept = [(f.name, changes.pop(f.name, f.dataType.simpleString())) for f in current]
+    return StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in [*kept, *changes.items()]))
+
+
+def renames(table: str, legacy_to_current: bool) -> dict[str, str]:
+    """Target column -> the source column that it is renamed from."""
+    if table != "order_items_insights":
+        return {}
+    pairs = [(old, new) for old, _, new in ORDER_ITEMS_LEGACY if new is not None and new != old]
+    return {new: old for old, new in pairs} if legacy_to_current else dict(pairs)
+
+
+def _convert(value: Column, have: DataType, want: DataType) -> Column:
+    """A value as another type of the same column: lists become joined text and
+    text a list of one (none if empty); everything else is a cast, null where
+    the text is no such value."""
+    if have == want:
+        return value
+    if isinstance(have, ArrayType) and isinstance(want, StringType):
+        return F.array_join(F.coalesce(value, F.array()), ", ")
+    if isinstance(have, StringType) and isinstance(want, ArrayType):
+        return F.when(F.coalesce(value, F.lit("")) == "", F.array().cast(want)).otherwise(F.array(value))
+    return value.try_cast(want)
+
+
+def reconcile(df: DataFrame, target: StructType, renamed: dict[str, str] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` as ``target``: its columns in order, each from the column of that
+    name or the one it is renamed from, converted where the types differ, null
+    where there is none. ``keep`` names further columns to pass on."""
+    renamed, have = renamed or {}, {f.name: f.dataType for f in df.schema}
+    out = []
+    for f in target:
+        source = f.name if f.name in have else renamed.get(f.name)
+        out.append((_convert(F.col(f"`{source}`"), have[source], f.dataType) if source in have else F.lit(None).cast(f.dataType)).alias(f.name))
+    return df.select(*out, *(F.col(f"`{c}`") for c in keep if c not in target.names))
+
+
+def drift(produced: StructType, declared: StructType, renamed: dict[str, str] | None = None) -> list[tuple]:
+    """(column, change, produced type, declared type) of every difference:
+    ``missing`` (declared only), ``extra`` (produced only), ``type``, ``renamed``."""
+    renamed, have, out = renamed or {}, {f.name: f.dataType.simpleString() for f in produced}, []
+    for f in declared:
+        want = f.dataType.simpleString()
+        source = f.name if f.name in have else renamed.get(f.name)
+        if source not in have:
+            out.append((f.name, "missing", None, want))
+        elif source != f.name:
+            out.append((f.name, "renamed", f"{source} {have[source]}", want))
+        elif have[source] != want:
+            out.append((f.name, "type", have[source], want))
+    used = {renamed.get(n, n) for n in declared.names} | set(declared.names)
+    return out + [(n, "extra", t, None) for n, t in have.items() if n not in used]
+
+
+def read_mixed(spark: SparkSession, table: str, parts: list[tuple[str, bool]], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Files of both schema sets as one current table. ``parts`` are (path,
+    legacy); each is read with the schema that it was declared with (no
+    inference, absent columns null) and reconciled; ``keep`` are partition columns."""
+    target = contract(table)
+    out = None
+    for path, legacy in parts:
+        own = contract(table, legacy)
+        for c in keep:
+            if c not in own.names:
+                own = own.add(c, "string")
+        df = reconcile(spark.read.schema(own).parquet(path), target, renames(table, True) if legacy else None, keep)
+        out = df if out is None else out.unionByName(df)
+    return out

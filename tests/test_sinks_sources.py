@@ -34,21 +34,6 @@ def test_append_and_json_config_write(spark, sf_small):
     assert spark.read.json(out).count() == C.store_config(spark, sf_small).where("is_active").count()
 
 
-def test_create_tables(spark):
-    root = fresh_path(spark, "t-ddl")
-    names = load.create_tables(spark, root, "ledgerline_test", legacy=True)
-    assert names == ["customer_insights", "order_insights", "order_items_insights",
-                     "order_items_insights_legacy", "products_insights"]
-    cols = [c.name for c in spark.catalog.listColumns("ledgerline_test.order_items_insights")]
-    assert "processed_month" in cols and "line_item_sku" in cols
-    legacy = [c.name for c in spark.catalog.listColumns("ledgerline_test.order_items_insights_legacy")]
-    assert "orders_line_items_sku" in legacy
-    # the declared contract is exactly what the flatten writes
-    from ledgerline.plans import entities
-    flat = entities.customers_flat(spark, "/root/testdata/sf0.001")
-    assert flat.schema == load.table_contracts(spark)["customer_insights"]
-
-
 def test_config_source_precedence(spark, sf_small):
     inline = json.dumps([{"MERCHANT": "a.myshopify.com", "TOKEN": "shpat_x", "BIGQUERY_DATASET": "shopify_a",
                           "BACKFILL_START_DATE": "2024-01-01"}])
