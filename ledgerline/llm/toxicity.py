@@ -7,7 +7,8 @@ p * loss(positives as 0)): the second part estimates the risk on clean texts,
 and where it would fall below zero (the scorer has started to fit single
 texts), a step goes the other way. A few classifiers, each with all positives
 and its own share of the unlabelled texts, are trained in numpy by one task
-each; a text's score is the logistic of their mean.
+each; a text's score is the logistic of their mean. The sample that they learn
+from is chosen by hashes of texts, so only its own texts are ever moved.
 
 Features of a text are its words and the first bytes of its words (for
 compounds), as square roots of their shares of the words, so that short and
@@ -23,22 +24,25 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import in_fold, text_pieces
+from ..session import materialize
+from .common import in_fold, small_side, text_pieces
 
 THRESHOLD = 0.7
 CLASSIFIERS = 4
 #: Bounds of the training sample: positives in all, unlabelled texts in all.
 MAX_POSITIVES = 4096
 MAX_UNLABELLED = 16384
+SAMPLE_PARTS = 64  # tasks that read the sample
 PREFIXES = (4, 5)
 FEATURES = 512  # kept by a classifier, at most
 LEAST_POSITIVES = 3  # texts with a feature
 LEAST_APART = 3.0  # standard errors by which a feature's share of the positives is the larger
 STEPS = 1000
-CACHE = 500_000
+CACHE = 100_000  # words of at most CACHED bytes whose features a task remembers
+CACHED = 64
 
 
 def word_features(word: bytes) -> list[bytes]:
@@ -76,50 +80,78 @@ def nnpu_fit(x: np.ndarray, positive: np.ndarray, prior: float, steps: int = STE
     return w[:n], float(w[n])
 
 
-def fit_texts(texts: list[str], positive: np.ndarray, prior: float) -> tuple[dict[bytes, float], float]:
-    """Choose features, fit, and return their weights and the bias."""
-    in_p, in_u = Counter(), Counter()  # texts with a feature; only those of positives can be kept
-    for text, p in zip(texts, positive, strict=True):
-        if p:
-            in_p.update(features(text).keys())
-    in_p = Counter({f: n for f, n in in_p.items() if n >= LEAST_POSITIVES})
-    for text, p in zip(texts, positive, strict=True):
-        if not p:
-            in_u.update(in_p.keys() & features(text).keys())
-    n_p, n_u = int(positive.sum()), int((~positive).sum())
-
-    def apart(f: bytes) -> float:
-        a, b = in_p[f] / n_p, in_u[f] / n_u
-        mean = (in_p[f] + in_u[f] + 1) / (n_p + n_u + 2)
-        return (a - b) / (mean * (1 - mean) * (1 / n_p + 1 / n_u)) ** 0.5
-
-    by = sorted((-apart(f), f) for f in in_p)[:FEATURES]
-    at = {f: i for i, f in enumerate(f for z, f in by if z <= -LEAST_APART)}
-    x = np.zeros((len(texts), len(at)), np.float32)
-    for out, text in zip(x, texts, strict=True):
-        for f, value in features(text).items():
-            if f in at:
-                out[at[f]] = value
-    w, bias = nnpu_fit(x, positive, prior)
-    return {f: float(w[i]) for f, i in at.items()}, bias
-
-
-def sample(rows: DataFrame, most: int) -> DataFrame:
-    """Rows (doc_id, text), one of each text, with its smallest id: all if they
-    are at most ``most``, else about that many, by a hash of the text. Texts
-    are counted without repeats, so copies of a text, under one id or many,
-    make the sample neither larger nor smaller."""
-    part = F.xxhash64("text")
-    share = min(1.0, most / max(1, rows.select(part.alias("part")).distinct().count()))
-    rows = rows if share >= 1 else rows.where(F.pmod(part, F.lit(1 << 30)) < int(share * (1 << 30)))
-    return rows.groupBy("text").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "text")
-
-
-def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> list[tuple[dict[bytes, float], float]]:
+def sample(hashes: DataFrame, most: int) -> DataFrame:
+    """Distinct hashes of texts: all if they are at most ``most``, else about
+    that many, by their own value. Copies of a text, under one id or many, make
+    the sample neither larger nor smaller."""
+    hashes = hashes.select("hash").distinct()
+    share = min(1.0, most / max(1, hashes.count()))
+    return hashes if share >= 1 else hashes.where(F.pmod("hash", F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
+def sampled_texts(docs: DataFrame, toxic_ids: DataFrame, most_positives: int, most_unlabelled: int) -> DataFrame:
+    """hash, text, positive, part of the bounded training sample, a row for each
+    classifier that takes it. Texts are chosen by their hashes; only those
+    chosen are read as texts, where they lie. Positives are also among the
+    unlabelled texts, for the prior is that of all texts."""
+    texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text", F.xxhash64("text").alias("hash"))
+    rows = materialize(texts.select("doc_id", "hash"), "toxicity-hashes")
+    toxic = materialize(rows.join(toxic_ids, "doc_id", "left_semi").select("hash").distinct(), "toxicity-toxic")
+    chosen = sample(toxic, most_positives).withColumn("positive", F.lit(True)) \
+        .unionByName(sample(rows, most_unlabelled).withColumn("positive", F.lit(False))) \
+        .groupBy("hash").agg(F.array_sort(F.collect_set("positive")).alias("kinds"))
+    texts = texts.join(small_side(chosen, "toxicity-chosen"), "hash").groupBy("hash").agg(F.min("text").alias("text"), F.min("kinds").alias("kinds"))
+    n = F.lit(CLASSIFIERS)
+    parts = F.flatten(F.transform("kinds", lambda positive: F.transform(
+        F.when(positive, F.sequence(F.lit(0), n - 1)).otherwise(F.array(F.pmod("hash", n).cast("int"))),
+        lambda part: F.struct(positive.alias("positive"), part.alias("part")))))
+    return materialize(texts.select("hash", "text", parts.alias("uses")).repartition(SAMPLE_PARTS, "hash"), "toxicity-sample")
+
+
+def chosen_features(texts: DataFrame) -> dict[int, list[bytes]]:
+    """The features of each classifier: those that positives have clearly more
+    often than its unlabelled texts, FEATURES at most. Texts with a feature are
+    counted by (part, feature) in tasks."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in text_pieces(batch):
+                found: Counter[tuple[int, bytes]] = Counter()
+                for text, uses in zip(rows.column("text").to_pylist(), rows.column("uses").to_pylist(), strict=True):
+                    own = features(text)
+                    for part in {-1 if u["positive"] else u["part"] for u in uses}:
+                        found.update((part, f) for f in (b"", *own))  # the empty feature counts texts
+                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.int32()), pa.array([k[1] for k in found], pa.binary()),
+                                                  pa.array(list(found.values()), pa.int64())], ["part", "feature", "n"])
+
+    counts = materialize(texts.mapInArrow(count, "part int, feature binary, n bigint").groupBy("part", "feature").agg(F.sum("n").alias("n")), "toxicity-features")
+    in_p = counts.where((F.col("part") == -1) & (F.col("n") >= LEAST_POSITIVES)).select("feature", F.col("n").alias("in_p"))
+    in_u = counts.where("part >= 0").select("part", "feature", F.col("n").alias("in_u"))
+    sizes = {r.part: r.n for r in counts.where(F.octet_length("feature") == 0).collect()}
+    parts = sorted(p for p in sizes if p >= 0 and -1 in sizes)
+    if not parts:
+        return {}
+    n_p = F.lit(sizes[-1])
+    n_u = F.element_at(F.create_map(*(F.lit(x) for p in parts for x in (p, sizes[p]))), F.col("part"))
+    mean = (F.col("in_p") + F.col("in_u") + 1) / (n_p + n_u + 2)
+    apart = (F.col("in_p") / n_p - F.col("in_u") / n_u) / F.sqrt(mean * (1 - mean) * (1 / n_p + 1 / n_u))
+    rank = F.row_number().over(Window.partitionBy("part").orderBy(F.desc("apart"), "feature"))
+    best = in_p.where(F.octet_length("feature") > 0).withColumn("part", F.explode(F.array(*map(F.lit, parts)))) \
+        .join(in_u, ["part", "feature"], "left").fillna(0, ["in_u"]).withColumn("apart", apart) \
+        .where(F.col("apart") >= LEAST_APART).withColumn("rank", rank).where(F.col("rank") <= FEATURES)
+    out: dict[int, list[bytes]] = {p: [] for p in parts}
+    for r in best.select("part", "feature").collect():
+        out[r.part].append(bytes(r.feature))
+    return {p: sorted(fs) for p, fs in out.items()}
+
+
+def train(docs: DataFrame, labels: DataFrame, prior: float | None = None, most_positives: int = MAX_POSITIVES,
+          most_unlabelled: int = MAX_UNLABELLED, steps: int = STEPS) -> list[tuple[dict[bytes, float], float]]:
     """The classifiers, from ``docs`` (doc_id, text) and ``labels`` (doc_id,
     toxic) of the training rows; none if no text is known as toxic. The sample
-    is bounded by MAX_POSITIVES and MAX_UNLABELLED. Without a prior, the toxic
-    share of the labelled rows is taken."""
+    is bounded by ``most_positives`` and ``most_unlabelled`` distinct texts.
+    Without a prior, the toxic share of the labelled rows is taken. What goes to
+    the fitting tasks is numbers of a classifier's own features, not texts."""
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()) \
         .groupBy("doc_id").agg((F.max("toxic") == 1).alias("toxic"))
     known = marks.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("toxic").cast("int")), F.lit(0))).first()
@@ -127,25 +159,39 @@ def train(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> lis
         return []
     if prior is None:
         prior = min(0.5, known[1] / known[0])
-    texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text")
-    ids = marks.where("toxic").select("doc_id")
-    positives = sample(texts.join(ids, "doc_id", "left_semi"), MAX_POSITIVES)
-    n = F.lit(CLASSIFIERS)
-    # Positives stay among the unlabelled texts as well, for the prior is that of all texts.
-    unlabelled = sample(texts, MAX_UNLABELLED).withColumn("positive", F.lit(False)) \
-        .withColumn("part", F.pmod(F.xxhash64(F.col("doc_id"), F.lit(1)), n).cast("int"))
-    rows = unlabelled.unionByName(positives.withColumn("positive", F.lit(True)).withColumn(
-        "part", F.explode(F.sequence(F.lit(0), n - 1))))
+    texts = sampled_texts(docs, marks.where("toxic").select("doc_id"), most_positives, most_unlabelled)
+    names = chosen_features(texts)
+    sent = docs.sparkSession.sparkContext.broadcast(names)
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = {p: {f: i for i, f in enumerate(fs)} for p, fs in sent.value.items()}
+        for batch in batches:
+            for rows in text_pieces(batch):
+                cols: list[list] = [[] for _ in range(5)]
+                for key, text, uses in zip(*(rows.column(c).to_pylist() for c in ("hash", "text", "uses")), strict=True):
+                    own = features(text)
+                    for use in uses:
+                        at = places.get(use["part"], {})
+                        held = sorted((at[f], v) for f, v in own.items() if f in at)
+                        for c, v in zip(cols, (use["part"], key, use["positive"], [i for i, _ in held], [v for _, v in held]), strict=True):
+                            c.append(v)
+                kinds = (pa.int32(), pa.int64(), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.float32()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["part", "hash", "positive", "at", "share"])
 
     def fit(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["doc_id", "positive", "text"])
+        own = sent.value.get(int(part["part"].iloc[0]), [])
         positive = part["positive"].to_numpy(bool)
         if not positive.any() or positive.all():
             return pd.DataFrame({"part": [], "feature": [], "weight": []})
-        weights, bias = fit_texts(part["text"].tolist(), positive, prior)
-        return pd.DataFrame({"part": part["part"].iloc[0], "feature": [b"", *weights], "weight": [bias, *weights.values()]})
-
-    found = rows.groupBy("part").applyInPandas(fit, "part int, feature binary, weight double").toPandas()
+        order = np.lexsort((positive, part["hash"].to_numpy()))
+        x = np.zeros((len(part), len(own)), np.float32)
+        for row, i in zip(x, order, strict=True):
+            row[part["at"].iat[i]] = part["share"].iat[i]
+        w, bias = nnpu_fit(x, positive[order], prior, steps)
+        return pd.DataFrame({"part": part["part"].iloc[0], "feature": [b"", *own], "weight": [bias, *w]})
+
+    found = texts.mapInArrow(vectors, "part int, hash bigint, positive boolean, at array<int>, share array<float>") \
+        .groupBy("part").applyInPandas(fit, "part int, feature binary, weight double").toPandas()
     out = []
     for _, part in found.sort_values(["part", "feature"]).groupby("part"):
         weights = {bytes(f): w for f, w in zip(part["feature"], part["weight"], strict=True)}
@@ -158,10 +204,10 @@ def score(docs: DataFrame, models: list[tuple[dict[bytes, float], float]], id_co
     """id, kept columns, score of every whole text. Null and empty texts get
     the score of no words; without a model every score is 0. Repeated rows have
     a score each; columns not named are not read."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(models)
-    rows = docs.select(F.col(id_col), *keep, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    sent = docs.sparkSession.sparkContext.broadcast(models)
     named = [id_col, *keep]
+    read = named if text_col in named else [*named, text_col]
+    rows = docs.select(*(F.col(c).cast("string").alias(c) if c == text_col else F.col(c) for c in read))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
@@ -170,17 +216,19 @@ def score(docs: DataFrame, models: list[tuple[dict[bytes, float], float]], id_co
         bias = np.array([b for _, b in known])
         cache: dict[bytes, tuple[int, ...]] = {}
         for batch in batches:
-            for part in text_pieces(batch, "_text"):
+            for part in text_pieces(batch, text_col):
                 out = np.zeros(part.num_rows)
-                for i, text in enumerate(part.column("_text").to_pylist()) if known else ():
-                    words = text.lower().encode().split()
+                for i, text in enumerate(part.column(text_col)) if known else ():
+                    words = (text.as_py() or "").lower().encode().split()
                     total: dict[int, int] = {}
                     for word in words:
                         own = cache.get(word)
                         if own is None:
-                            if len(cache) > CACHE:
-                                cache.clear()
-                            own = cache[word] = tuple(at[f] for f in word_features(word) if f in at)
+                            own = tuple(at[f] for f in word_features(word) if f in at)
+                            if len(word) <= CACHED:
+                                if len(cache) >= CACHE:
+                                    cache.clear()
+                                cache[word] = own
                         for f in own:
                             total[f] = total.get(f, 0) + 1
                     z = bias

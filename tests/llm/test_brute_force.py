@@ -364,12 +364,14 @@ def test_most_frequent_strings_of_each_language(spark):
 
 def test_toxicity_sample_is_bounded_with_a_repeated_id(spark):
     rows = [(1, f"text {i}") for i in range(3000)] + [(2, "same")] * 3000
-    got = toxicity.sample(spark.createDataFrame(rows, "doc_id long, text string"), 500)
-    assert got.count() < 700
-    assert got.where("doc_id = 2").count() <= 1
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = toxicity.sampled_texts(df, df.where("doc_id = 2").select("doc_id"), 100, 500).collect()
+    assert len(got) < 700 and sum(r.text == "same" for r in got) == 1
 
 
 def test_toxicity_sample_is_not_made_smaller_by_repeats(spark):
     rows = [(i, f"text {i}") for i in range(3000)] + [(1, "same")] * 30000 + [(i, "copy") for i in range(30000)]
-    got = toxicity.sample(spark.createDataFrame(rows, "doc_id long, text string"), 500).collect()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = toxicity.sampled_texts(df, df.where("doc_id = 1").select("doc_id"), 100, 500).collect()
     assert 400 < len(got) < 600 and len({r.text for r in got}) == len(got)
+    assert {r.text for r in got if any(u.positive for u in r.uses)} == {"text 1", "same", "copy"}
