@@ -59,10 +59,19 @@ def local_date(ts, tz) -> Column:
     return F.to_date(F.from_utc_timestamp(col(ts), col(tz)))
 
 
-def month_starts(start, end) -> Column:
-    """FN9: first days of every calendar month from start's month to end's month."""
-    return F.sequence(F.trunc(col(start), "month"), F.trunc(col(end), "month"),
-                      F.expr("INTERVAL 1 MONTH"))
+def window_starts(start, end) -> Column:
+    """FN9: first days of one-month windows from ``start`` (any day of a month)
+    on, as long as they are not after ``end``. Each is one month after the one
+    before, so a day that a month lacks moves the later windows as well."""
+    months = F.greatest(F.floor(F.months_between(col(end), col(start))).cast("int"), F.lit(0)) + 1
+    every = F.aggregate(F.sequence(F.lit(1), months), F.array(col(start)),
+                        lambda done, _: F.concat(done, F.array(F.add_months(F.element_at(done, -1), F.lit(1)))))
+    return F.filter(every, lambda d: d <= col(end))
+
+
+def window_end(start) -> Column:
+    """FN9: last day of the window: the day before the same day of the next month."""
+    return F.date_sub(F.add_months(col(start), 1), 1)
 
 
 def seconds_between(a, b) -> Column:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import exprs as X
 from ..operators import flatten
 from ..sources import control, landing
+from ..sources import pages as PG
 from .registry import query
 
 
@@ -54,85 +56,184 @@ def order_items_legacy_names(spark, sf_dir):
     return schemas.conform(order_items_flat(spark, sf_dir), schemas.ORDER_ITEMS_LEGACY)
 
 
-def _error_for(page):
-    r = page % 17
-    return (F.when(r == 3, "rate_limited").when(r == 5, "access_denied")
-            .when(r == 7, "error").when(r == 11, "missing_data"))
+PAGE_NODES = 250
+_LANDED: dict[tuple, str] = {}
 
 
-def _landed_order_pages(spark, sf_dir):
-    """Order documents landed as API pages (JSON lines by store/month, some
-    pages carrying errors), read back through the page source with its schema."""
+def _error_for(page):
+    """Stand-in input: which pages come with an error, by store, month and page."""
+    month = F.coalesce(F.replace("month", F.lit("-"), F.lit("")).try_cast("bigint"), F.lit(0))
+    store = F.regexp_extract("store_name", "store-([0-9]+)", 1).try_cast("bigint")
+    r = F.pmod(month * 7 + F.coalesce(store, F.lit(0)) * 3 + page, F.lit(17))
+    return (F.when(r == 3, "rate_limited").when(r == 5, "access_denied").when(r == 7, "error")
+            .when(r == 11, "missing_data").when(r == 13, "malformed"))
+
+
+def _denied_again(page):
+    """Stand-in input of a second fetch: only what access was denied to fails again."""
+    return F.when(_error_for(page) == "access_denied", "access_denied")
+
+
+def _numbered(docs, order):
+    """Documents with the page of their store and month: PAGE_NODES a page, in ``order``."""
+    from ..operators.ranking import split_row_number
+    return split_row_number(docs, ["store_name", "month"], order, "_nth").withColumn("_page", F.floor((F.col("_nth") - 1) / PAGE_NODES)).drop("_nth")
+
+
+def _entity_docs(spark, sf_dir, entity):
+    """(documents with month, order_key and their order, node): what the API would deliver."""
+    dated = lambda c: F.coalesce(F.substring(c, 1, 7), F.lit(PG.UNDATED))
+    if entity == "orders":
+        docs, order = landing.order_docs(spark, sf_dir).withColumn("month", dated("processedAt")), ["order_key"]
+    elif entity == "order_items":
+        docs, order = landing.order_item_docs(spark, sf_dir).withColumn("month", dated("processedAt")), ["order_key", "doc_part"]
+    elif entity == "customers":
+        month = F.when(X.parse_ts("createdAt").isNull(), F.lit(PG.UNDATED)).otherwise(F.substring("createdAt", 1, 7))
+        docs = landing.customer_docs(spark, sf_dir).withColumn("month", month).withColumn("order_key", X.last_segment(F.col("id")).cast("bigint"))
+        order = ["order_key"]
+    else:
+        docs = landing.product_docs(spark, sf_dir).withColumn("month", F.lit("all")).withColumn("order_key", F.col("product_key").cast("bigint"))
+        return docs, ["order_key", "doc_part"], F.col("node")
+    own = [c for c in docs.columns if c not in ("store_name", "order_key", "doc_part", "month")]
+    return docs, order, F.struct(*own)
+
+
+def _landed(spark, sf_dir, entity, error_for=_error_for):
+    """Landed pages of an entity: at most PAGE_NODES documents each, some with
+    errors; landed once a session and table folder, read with the page schema."""
     from ..session import fresh_path
-    from ..sources import pages as PG
-    docs = landing.order_docs(spark, sf_dir).withColumn("month", F.substring("createdAt", 1, 7))
-    node_cols = [c for c in docs.columns if c not in ("store_name", "order_key", "month")]
-    env = PG.envelope(docs, "orders", F.floor(F.col("order_key") / 100), node_cols, _error_for)
-    path = PG.land(env, fresh_path(spark, "landing-orders"))
-    return PG.read_pages(spark, path, "orders")
+    from . import declared
+    key = (spark.sparkContext.applicationId, sf_dir, entity, error_for.__name__)
+    if key in _LANDED:
+        path, fs = declared._files(spark, _LANDED[key])
+        if fs.exists(path):
+            return PG.read_pages(spark, _LANDED[key], entity)
+    docs, order, node = _entity_docs(spark, sf_dir, entity)
+    env = PG.envelope(_numbered(docs, order), entity, F.col("_page"), node, error_for)
+    _LANDED[key] = PG.land(env, fresh_path(spark, f"landing-{entity}"))
+    return PG.read_pages(spark, _LANDED[key], entity)
 
 
 @query("orders_from_pages")
 def orders_from_pages(spark, sf_dir):
-    """SRC1 SRC12 UNN1 P1 end to end: landed pages -> nodes of all pages with
-    data -> order flatten (pages without data stay in quarantine)."""
-    from ..sources import pages as PG
-    nodes = PG.nodes(_landed_order_pages(spark, sf_dir), "orders")
-    return flatten.orders(nodes, control.store_config(spark, sf_dir)) \
-        .select("store_name", "name", "processed_at_store_date", "total_price", "order_level_tax_amount",
-                "line_items", "tags", "customer_id")
+    """SRC1 SRC12 UNN1 P1 end to end: landed pages of up to 250 orders -> nodes of
+    all pages with data -> order flatten, all columns (pages without data stay in quarantine)."""
+    return flatten.orders(PG.nodes(_landed(spark, sf_dir, "orders"), "orders"), control.store_config(spark, sf_dir))
+
+
+@query("order_items_from_pages")
+def order_items_from_pages(spark, sf_dir):
+    """SRC2 UNN1 UNN2 P2 end to end: landed order pages with their line items -> one row per line item."""
+    return flatten.order_items(PG.nodes(_landed(spark, sf_dir, "order_items"), "order_items"), control.store_config(spark, sf_dir))
+
+
+@query("customers_from_pages")
+def customers_from_pages(spark, sf_dir):
+    """SRC3 UNN1 P3 end to end: landed customer pages -> customer flatten."""
+    return flatten.customers(PG.nodes(_landed(spark, sf_dir, "customers"), "customers"))
+
+
+def _product_error(page):
+    return F.when(page == 3, "error")
 
 
 @query("products_from_pages")
 def products_from_pages(spark, sf_dir):
-    """SRC4 UNN1 UNN3 P4 end to end: product documents landed as API pages (some
-    with an error beside their data), read back, unnested and flattened."""
-    from ..session import fresh_path
-    from ..sources import pages as PG
-    docs = landing.product_docs(spark, sf_dir).withColumn("month", F.lit("all")) \
-        .withColumn("order_key", F.coalesce(F.xxhash64("node.id"), F.lit(0)))
-    env = PG.envelope(docs, "products", F.pmod("order_key", F.lit(8)), F.col("node"),
-                      lambda page: F.when(page == 3, "error"))
-    path = PG.land(env, fresh_path(spark, "landing-products"))
-    return flatten.products(PG.nodes(PG.read_pages(spark, path, "products"), "products"))
+    """SRC4 UNN1 UNN3 P4 end to end: product documents landed as API pages of a
+    bounded number of documents (some with an error beside their data), read back, unnested and flattened."""
+    return flatten.products(PG.nodes(_landed(spark, sf_dir, "products", _product_error), "products"))
 
 
 @query("page_triage")
 def page_triage(spark, sf_dir):
     """SRC1 SRC12 UNN1 SET1: orders landed as API pages (JSON, by store/month),
     read back with the page schema, triaged; page and edge counts per class."""
-    from ..sources import pages as PG
-    t = PG.triage(_landed_order_pages(spark, sf_dir), "orders")
+    t = PG.triage(_landed(spark, sf_dir, "orders"), "orders")
     return t.groupBy("store_name", "page_class").agg(
         F.count(F.lit(1)).alias("pages"),
-        F.sum(F.coalesce(F.size("data.orders.edges"), F.lit(0))).cast("bigint").alias("edges"))
+        F.sum(F.when(F.col(PG.CORRUPT).isNull(), F.coalesce(F.size("data.orders.edges"), F.lit(0))).otherwise(0)).cast("bigint").alias("edges"))
+
+
+@query("pages_quarantined")
+def pages_quarantined(spark, sf_dir):
+    """SRC12: pages with errors, without data or unreadable, written to the
+    quarantine with their key, text and file; counted there per store and class."""
+    from ..session import fresh_path
+    q = PG.write_quarantine(_landed(spark, sf_dir, "orders"), "orders", fresh_path(spark, "quarantine"))
+    return q.groupBy("store_name", "page_class").agg(
+        F.count_distinct("month", "page").alias("pages"), F.count_distinct("month").alias("months"),
+        F.count_if(F.length("page_text") > 0).alias("with_text"), F.count_if(F.col("page_file").contains(".txt")).alias("with_file"),
+        F.count_if("loaded").alias("loaded"))
+
+
+@query("pages_replayed")
+def pages_replayed(spark, sf_dir):
+    """SRC12: the quarantine replayed against a second fetch of the pages: orders
+    of the first load, orders recovered, pages settled without loading twice, pages left."""
+    from ..session import fresh_path
+    first = _landed(spark, sf_dir, "orders")
+    q = PG.write_quarantine(first, "orders", fresh_path(spark, "quarantine"))
+    again, left = PG.replay(q, _landed(spark, sf_dir, "orders", _denied_again), "orders")
+    per = lambda df, what: df.groupBy("store_name").agg(F.count(F.lit(1)).alias("n")).select("store_name", F.lit(what).alias("part"), "n")
+    stores = control.store_config(spark, sf_dir)
+    return per(flatten.orders(PG.nodes(first, "orders"), stores), "first load") \
+        .unionByName(per(flatten.orders(PG.nodes(again, "orders"), stores), "recovered")).unionByName(per(left, "pages left"))
 
 
 @query("orders_in_range")
 def orders_in_range(spark, sf_dir):
-    """FLT1: orders processed in a closed date range (half-open by day)."""
-    from ..functions import exprs as X
-    docs = landing.order_docs(spark, sf_dir)
-    ts = X.parse_ts("processedAt")
+    """FLT1: orders processed in a closed date range (half-open by day), from the
+    landed months that can hold them."""
+    pages = PG.in_months(_landed(spark, sf_dir, "orders"), RANGE_START, RANGE_END)
+    docs, ts = PG.nodes(pages, "orders"), X.parse_ts("processedAt")
     docs = docs.where((ts >= F.to_timestamp(F.lit(RANGE_START)))
                       & (ts < F.to_timestamp(F.lit(RANGE_END)) + F.expr("INTERVAL 1 DAY")))
     return flatten.orders(docs, control.store_config(spark, sf_dir)) \
         .select("store_name", "name", "processed_at", "processed_at_store_date")
 
 
+def _starts(spark, sf_dir):
+    """Each active store's own start date, from its config with the overlay."""
+    from ..operators import stores as S
+    cfg = S.config_records(control.store_config(spark, sf_dir))
+    return cfg.select(F.col("merchant").alias("store_name"), F.to_date(F.col("config")["BACKFILL_START_DATE"]).alias("start"))
+
+
+def _backfill(spark, sf_dir, entity, flat, day):
+    """FLT2: rows of an entity from each store's start on; months before it are not read."""
+    starts = _starts(spark, sf_dir)
+    pages = PG.from_store_start(_landed(spark, sf_dir, entity), starts, F.to_date(control.as_of_col()))
+    rows = flat(PG.nodes(pages, entity)).join(F.broadcast(starts), "store_name")  # one row a store
+    return rows.where(F.col(day) >= F.col("start").cast("timestamp_ntz"))
+
+
 @query("backfill_by_store")
 def backfill_by_store(spark, sf_dir):
     """FLT2 J9 SRC7 P12: each store's orders from its own backfill start date."""
-    from ..operators import stores as S
-    from ..operators.nesting import sized_broadcast
-    flat = flatten.orders(landing.order_docs(spark, sf_dir), control.store_config(spark, sf_dir))
-    cfg = S.config_records(control.store_config(spark, sf_dir)).select(
-        F.col("merchant").alias("store_name"),
-        F.to_date(F.col("config")["BACKFILL_START_DATE"]).alias("backfill_start"))
-    j = flat.join(sized_broadcast(cfg), "store_name").where(F.col("processed_at") >= F.col("backfill_start").cast("timestamp_ntz"))
-    return j.groupBy("store_name").agg(F.count(F.lit(1)).alias("orders"),
-                                       F.min("processed_at").alias("first_processed"),
-                                       F.max("processed_at").alias("last_processed"))
+    stores = control.store_config(spark, sf_dir)
+    rows = _backfill(spark, sf_dir, "orders", lambda d: flatten.orders(d, stores), "processed_at")
+    return rows.groupBy("store_name").agg(F.count(F.lit(1)).alias("orders"),
+                                          F.min("processed_at").alias("first_processed"),
+                                          F.max("processed_at").alias("last_processed"))
+
+
+@query("items_backfill")
+def items_backfill(spark, sf_dir):
+    """FLT2: each store's order items from its own start on (orders processed on that day or later)."""
+    stores, starts = control.store_config(spark, sf_dir), _starts(spark, sf_dir)
+    pages = PG.from_store_start(_landed(spark, sf_dir, "order_items"), starts, F.to_date(control.as_of_col()))
+    docs = PG.nodes(pages, "order_items").join(F.broadcast(starts), "store_name") \
+        .where(X.utc_naive(X.parse_ts("processedAt")) >= F.col("start").cast("timestamp_ntz"))
+    return flatten.order_items(docs, stores).groupBy("store_name").agg(
+        F.count(F.lit(1)).alias("items"), F.count_distinct("name").alias("orders"), F.sum("line_item_quantity").alias("quantity"))
+
+
+@query("customers_backfill")
+def customers_backfill(spark, sf_dir):
+    """FLT2: each store's customers created on its own start date or later."""
+    rows = _backfill(spark, sf_dir, "customers", flatten.customers, "created_at")
+    return rows.groupBy("store_name").agg(F.count(F.lit(1)).alias("customers"), F.min("created_at").alias("first_created"),
+                                          F.max("created_at").alias("last_created"))
 
 
 @query("orders_on_date")
@@ -147,20 +248,26 @@ def orders_on_date(spark, sf_dir):
 
 @query("month_windows")
 def month_windows(spark, sf_dir):
-    """FN9: per store, calendar-month load windows from the first to the last
-    processed month, with the number of orders in each window."""
-    from ..functions import exprs as X
+    """FN9 J9: per store, one-month load windows from its own start date to
+    today with the number of orders processed in each; orders before the first
+    window and orders without a date are counted apart. An order meets the
+    windows that touch its calendar month (two at most) in an equi-join."""
     flat = flatten.orders(landing.order_docs(spark, sf_dir), control.store_config(spark, sf_dir))
-    d = F.col("processed_at_store_date")
-    # one pass over the orders: counts per (store, month); the per-store bounds
-    # come from that small table
-    counts = flat.where(d.isNotNull()).groupBy("store_name", F.trunc(d, "month").alias("window_start")) \
-        .agg(F.count(F.lit(1)).alias("orders"))
-    bounds = counts.groupBy("store_name").agg(F.min("window_start").alias("_s"), F.max("window_start").alias("_e"))
-    windows = bounds.select("store_name", F.explode(X.month_starts("_s", "_e")).alias("window_start"))
-    return (windows.join(counts, ["store_name", "window_start"], "left")
-            .select("store_name", "window_start", F.last_day("window_start").alias("window_end"),
-                    F.coalesce("orders", F.lit(0).cast("bigint")).alias("orders")))
+    day = F.col("processed_at_store_date")
+    per_day = flat.groupBy("store_name", day.alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    starts = _starts(spark, sf_dir)
+    windows = starts.select("store_name", F.explode(X.window_starts("start", F.to_date(control.as_of_col()))).alias("window_start")) \
+        .withColumn("window_end", X.window_end("window_start"))
+    touched = windows.withColumn("month", F.explode(F.array_distinct(F.array(F.trunc("window_start", "month"), F.trunc("window_end", "month")))))
+    met = touched.join(per_day.withColumn("month", F.trunc("day", "month")), ["store_name", "month"]) \
+        .where(F.col("day").between(F.col("window_start"), F.col("window_end"))) \
+        .groupBy("store_name", "window_start").agg(F.sum("n").alias("orders"))
+    inside = windows.join(met, ["store_name", "window_start"], "left").select(
+        "store_name", F.lit("window").alias("part"), "window_start", "window_end", F.coalesce("orders", F.lit(0).cast("bigint")).alias("orders"))
+    apart = per_day.join(F.broadcast(starts), "store_name").withColumn(
+        "part", F.when(F.col("day").isNull(), "undated").when(F.col("day") < F.col("start"), "before the start")) \
+        .where(F.col("part").isNotNull()).groupBy("store_name", "part").agg(F.sum("n").alias("orders"))
+    return inside.unionByName(apart, allowMissingColumns=True)
 
 
 @query("load_roundtrip")

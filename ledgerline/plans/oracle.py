@@ -283,42 +283,99 @@ def _legacy_select() -> str:
 
 ORACLE["order_items_legacy_names"] = f"SELECT {_legacy_select()} FROM ({ORACLE['order_items_flat']}) t"
 
+def page_cte(rows: str, month: str, key: str) -> str:
+    """Pages of the stand-in landing: 250 documents of a store and month, and the class of each page."""
+    return f"""
+pg AS (SELECT *, {month} AS month, (row_number() OVER (PARTITION BY store_name, {month} ORDER BY {key}) - 1) // 250 AS page FROM {rows}),
+pc AS (SELECT *, CASE (coalesce(TRY_CAST(replace(month, '-', '') AS BIGINT), 0) * 7
+                       + CAST(regexp_extract(store_name, 'store-([0-9]+)', 1) AS BIGINT) * 3 + page) % 17
+         WHEN 3 THEN 'rate_limited' WHEN 5 THEN 'access_denied' WHEN 7 THEN 'error'
+         WHEN 11 THEN 'missing_data' WHEN 13 THEN 'malformed' ELSE 'good' END AS page_class FROM pg)"""
+
+
+ORDER_PAGES = f"{ORDERS_CTE}, {page_cte('o', "coalesce(strftime(processed, '%Y-%m'), 'undated')", 'o_orderkey')}"
+CUSTOMER_PAGES = f"""{CUSTOMER_CTE},
+cs AS (SELECT *, 'store-' || CAST(c_nationkey % 5 AS VARCHAR) || '.myshopify.com' AS store_name,
+              CASE WHEN c_custkey % 23 <> 0 THEN created END AS dated FROM cu),
+{page_cte('cs', "coalesce(strftime(dated, '%Y-%m'), 'undated')", 'c_custkey')}"""
+LOADED = "page_class IN ('good', 'error')"
+STARTS_CTE = """
+cfg AS (
+  SELECT 'store-' || CAST(n_nationkey AS VARCHAR) || '.myshopify.com' AS merchant,
+         CASE WHEN n_nationkey % 4 = 0 THEN DATE '2020-01-01'
+              ELSE DATE '1995-01-01' + CAST(n_nationkey * 30 AS INTEGER) END AS start
+  FROM nation WHERE n_nationkey % 6 <> 5
+)"""
+
+ORACLE["orders_from_pages"] = f"""
+WITH {ORDER_PAGES}
+SELECT t.* FROM ({ORACLE['orders_flat']}) t JOIN pc ON t.name = '#' || CAST(pc.o_orderkey + 1000 AS VARCHAR) WHERE {LOADED}
+"""
+
+ORACLE["order_items_from_pages"] = f"""
+WITH {ORDER_PAGES}
+SELECT t.* FROM ({ORACLE['order_items_flat']}) t JOIN pc ON t.name = '#' || CAST(pc.o_orderkey + 1000 AS VARCHAR) WHERE {LOADED}
+"""
+
+ORACLE["customers_from_pages"] = f"""
+WITH {CUSTOMER_PAGES}
+SELECT t.* FROM ({ORACLE['customers_flat']}) t JOIN pc ON t.id = CAST(pc.c_custkey AS VARCHAR) WHERE {LOADED}
+"""
+
 ORACLE["page_triage"] = f"""
-WITH {ORDERS_CTE},
-p AS (
-  SELECT store_name, strftime(o_orderdate, '%Y-%m') AS month, o_orderkey // 100 AS page, COUNT(*) AS n
-  FROM o GROUP BY 1, 2, 3
-)
-SELECT store_name,
-  CASE page % 17 WHEN 3 THEN 'rate_limited' WHEN 5 THEN 'access_denied' WHEN 7 THEN 'error'
-       WHEN 11 THEN 'missing_data' ELSE 'good' END AS page_class,
-  COUNT(*) AS pages,
-  CAST(SUM(CASE WHEN page % 17 IN (3, 5, 11) THEN 0 ELSE n END) AS BIGINT) AS edges
+WITH {ORDER_PAGES},
+p AS (SELECT store_name, month, page, page_class, COUNT(*) AS n FROM pc GROUP BY ALL)
+SELECT store_name, page_class, COUNT(*) AS pages, CAST(SUM(CASE WHEN {LOADED} THEN n ELSE 0 END) AS BIGINT) AS edges
+FROM p GROUP BY 1, 2
+"""
+
+ORACLE["pages_quarantined"] = f"""
+WITH {ORDER_PAGES},
+p AS (SELECT DISTINCT store_name, month, page, page_class FROM pc WHERE page_class <> 'good')
+SELECT store_name, page_class, COUNT(*) AS pages, COUNT(DISTINCT month) AS months, COUNT(*) AS with_text, COUNT(*) AS with_file,
+       COUNT(*) FILTER (page_class = 'error') AS loaded
 FROM p GROUP BY 1, 2
 """
 
+ORACLE["pages_replayed"] = f"""
+WITH {ORDER_PAGES}
+SELECT store_name, CASE WHEN {LOADED} THEN 'first load' ELSE 'recovered' END AS part, COUNT(*) AS n
+FROM pc WHERE page_class <> 'access_denied' GROUP BY 1, 2
+UNION ALL SELECT store_name, 'pages left', COUNT(DISTINCT month || ' ' || CAST(page AS VARCHAR)) FROM pc WHERE page_class = 'access_denied' GROUP BY 1
+"""
+
 ORACLE["orders_in_range"] = f"""
-WITH {STORES_CTE}, {ORDERS_CTE}
+WITH {STORES_CTE}, {ORDER_PAGES}
 SELECT o.store_name, '#' || CAST(o.o_orderkey + 1000 AS VARCHAR) AS name, o.processed AS processed_at,
        {LOCAL_DATE} AS processed_at_store_date
-FROM o LEFT JOIN st ON st.merchant = o.store_name
-WHERE o.processed >= TIMESTAMP '1997-01-01 00:00:00' AND o.processed < TIMESTAMP '1998-01-01 00:00:00'
+FROM pc o LEFT JOIN st ON st.merchant = o.store_name
+WHERE {LOADED} AND o.processed >= TIMESTAMP '1997-01-01 00:00:00' AND o.processed < TIMESTAMP '1998-01-01 00:00:00'
 """
 
 ORACLE["backfill_by_store"] = f"""
-WITH {ORDERS_CTE},
-cfg AS (
-  SELECT 'store-' || CAST(n_nationkey AS VARCHAR) || '.myshopify.com' AS merchant,
-         CASE WHEN n_nationkey % 4 = 0 THEN DATE '2020-01-01'
-              ELSE DATE '1995-01-01' + CAST(n_nationkey * 30 AS INTEGER) END AS backfill_start
-  FROM nation WHERE n_nationkey % 6 <> 5
-)
+WITH {ORDER_PAGES}, {STARTS_CTE}
 SELECT o.store_name, COUNT(*) AS orders, MIN(o.processed) AS first_processed, MAX(o.processed) AS last_processed
-FROM o JOIN cfg ON cfg.merchant = o.store_name
-WHERE o.processed >= CAST(cfg.backfill_start AS TIMESTAMP)
+FROM pc o JOIN cfg ON cfg.merchant = o.store_name
+WHERE {LOADED} AND o.processed >= CAST(cfg.start AS TIMESTAMP)
+GROUP BY o.store_name
+"""
+
+ORACLE["items_backfill"] = f"""
+WITH {ORDER_PAGES}, {STARTS_CTE}
+SELECT o.store_name, COUNT(*) AS items, COUNT(DISTINCT o.o_orderkey) AS orders, CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity
+FROM pc o JOIN cfg ON cfg.merchant = o.store_name JOIN lineitem ON l_orderkey = o.o_orderkey
+WHERE {LOADED} AND o.processed >= CAST(cfg.start AS TIMESTAMP)
 GROUP BY o.store_name
 """
 
+ORACLE["customers_backfill"] = f"""
+WITH {CUSTOMER_PAGES}, {STARTS_CTE}
+SELECT store_name, COUNT(*) AS customers, MIN(dated) AS first_created, MAX(dated) AS last_created
+FROM pc JOIN cfg ON cfg.merchant = store_name
+WHERE {LOADED} AND dated >= CAST(start AS TIMESTAMP)
+GROUP BY store_name
+"""
+
 ORACLE["orders_on_date"] = f"""
 WITH {ORDERS_CTE}
 SELECT store_name, COUNT(*) AS orders FROM o
@@ -327,14 +384,16 @@ GROUP BY store_name
 """
 
 ORACLE["month_windows"] = f"""
-WITH {STORES_CTE}, {ORDERS_CTE},
-f AS (SELECT o.store_name, {LOCAL_DATE} AS d FROM o LEFT JOIN st ON st.merchant = o.store_name),
-b AS (SELECT store_name, CAST(date_trunc('month', MIN(d)) AS DATE) AS s, CAST(date_trunc('month', MAX(d)) AS DATE) AS e
-      FROM f WHERE d IS NOT NULL GROUP BY 1),
-w AS (SELECT store_name, CAST(unnest(generate_series(s, e, INTERVAL 1 MONTH)) AS DATE) AS window_start FROM b),
-c AS (SELECT store_name, CAST(date_trunc('month', d) AS DATE) AS m, COUNT(*) AS n FROM f WHERE d IS NOT NULL GROUP BY 1, 2)
-SELECT w.store_name, w.window_start, CAST(last_day(w.window_start) AS DATE) AS window_end, coalesce(c.n, 0) AS orders
-FROM w LEFT JOIN c ON c.store_name = w.store_name AND c.m = w.window_start
+WITH RECURSIVE {STORES_CTE}, {ORDERS_CTE}, {STARTS_CTE},
+w AS (
+  SELECT merchant AS store_name, start AS window_start FROM cfg
+  UNION ALL SELECT store_name, CAST(window_start + INTERVAL 1 MONTH AS DATE) FROM w
+  WHERE window_start + INTERVAL 1 MONTH <= DATE '2024-01-31'),
+f AS (SELECT o.store_name, {LOCAL_DATE} AS d FROM o LEFT JOIN st ON st.merchant = o.store_name)
+SELECT w.store_name, 'window' AS part, window_start, CAST(window_start + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE) AS window_end, COUNT(f.d) AS orders
+FROM w LEFT JOIN f ON f.store_name = w.store_name AND f.d >= window_start AND f.d < window_start + INTERVAL 1 MONTH GROUP BY 1, 2, 3, 4
+UNION ALL SELECT f.store_name, CASE WHEN d IS NULL THEN 'undated' ELSE 'before the start' END, NULL, NULL, COUNT(*)
+FROM f JOIN cfg ON merchant = f.store_name WHERE d IS NULL OR d < start GROUP BY 1, 2
 """
 
 ORACLE["load_roundtrip"] = f"""
@@ -400,11 +459,6 @@ WHERE t.rn = 1
 
 ORACLE["products_from_pages"] = ORACLE["products_flat"]
 
-ORACLE["orders_from_pages"] = f"""
-SELECT store_name, name, processed_at_store_date, total_price, order_level_tax_amount, line_items, tags, customer_id
-FROM ({ORACLE['orders_flat']}) t
-WHERE (CAST(substr(name, 2) AS BIGINT) - 1000) // 100 % 17 NOT IN (3, 5, 11)
-"""
 
 
 def _derived() -> None:

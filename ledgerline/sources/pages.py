@@ -1,5 +1,5 @@
-"""Landed API pages: read with an explicit schema, triage, unnest (SRC1-SRC4,
-SRC12, UNN1, SET1).
+"""Landed API pages: read with an explicit schema, triage, unnest, quarantine and
+replay (SRC1-SRC4, SRC12, UNN1, SET1, FLT1, FLT2).
 
 Pages are landed as JSON lines under ``<root>/store_name=<s>/month=<m>/``
 (one record per page). Reading with an explicit schema avoids inference (a
@@ -15,14 +15,38 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import constants as K
 
-PAGE_CLASSES = ["rate_limited", "access_denied", "error", "missing_data", "good"]
+PAGE_CLASSES = ["malformed", "rate_limited", "access_denied", "error", "missing_data", "good"]
+CORRUPT = "_corrupt_record"
+UNDATED = "undated"
+PAGE_KEY = ["store_name", "month", "page"]
 
 
 def read_pages(spark: SparkSession, paths: str | list[str], entity: str) -> DataFrame:
-    """SRC1-SRC4 + SET1: one or many landing paths (bag union) with the entity's page schema."""
+    """SRC1-SRC4 + SET1: one or many landing paths (bag union) with the entity's
+    page schema. A line that is no JSON of that schema keeps its text in
+    ``_corrupt_record``; ``page_file`` is the file that a page came from."""
     paths = [paths] if isinstance(paths, str) else paths
     ddl = schemas.page_schema(entity).replace(", store_name string", "")
-    return spark.read.schema(ddl + ", store_name string, month string").json(paths)
+    return spark.read.schema(f"page bigint, {ddl}, {CORRUPT} string, store_name string, month string") \
+        .option("columnNameOfCorruptRecord", CORRUPT).json(paths).withColumn("page_file", F.col("_metadata.file_path"))
+
+
+def in_months(pages: DataFrame, start: str, end: str) -> DataFrame:
+    """FLT1: pages whose months can hold days from ``start`` to ``end``: a
+    condition on the partition column, so other months are not read. The rows'
+    own dates are still to be compared."""
+    return pages.where((F.col("month") >= start[:7]) & (F.col("month") <= end[:7]))
+
+
+def from_store_start(pages: DataFrame, starts: DataFrame, until: Column) -> DataFrame:
+    """FLT2: pages of each store from the month of its own start date on.
+    ``starts`` (store_name, start) is turned into (store, month) rows, whose join
+    on both partition columns prunes the scan at run time (dynamic partition
+    pruning). Undated pages and stores without a start are left out."""
+    months = F.sequence(F.trunc("start", "month"), F.trunc(until, "month"), F.expr("INTERVAL 1 MONTH"))
+    wanted = starts.where(F.col("start") <= until).select("store_name", F.explode(months).alias("_m")) \
+        .select("store_name", F.date_format("_m", "yyyy-MM").alias("month")).distinct()
+    return pages.join(F.broadcast(wanted), ["store_name", "month"], "left_semi")  # one row a store and month of its windows
 
 
 def _has_error(text: str) -> Column:
@@ -31,10 +55,11 @@ def _has_error(text: str) -> Column:
 
 
 def triage(pages: DataFrame, entity: str) -> DataFrame:
-    """SRC12: rate-limited, access-denied, other error, missing data, good."""
+    """SRC12: malformed, rate-limited, access-denied, other error, missing data, good."""
     field = schemas.ENTITY_FIELD[entity]
     has_errors = F.coalesce(F.size("errors"), F.lit(0)) > 0
-    cls = (F.when(_has_error(K.THROTTLED_TEXT), "rate_limited")
+    broken = F.col(CORRUPT).isNotNull() if CORRUPT in pages.columns else F.lit(False)
+    cls = (F.when(broken, "malformed").when(_has_error(K.THROTTLED_TEXT), "rate_limited")
            .when(_has_error(K.ACCESS_DENIED_TEXT), "access_denied")
            .when(has_errors, "error")
            .when(F.col(f"data.{field}").isNull(), "missing_data")
@@ -45,36 +70,59 @@ def triage(pages: DataFrame, entity: str) -> DataFrame:
 def nodes(pages: DataFrame, entity: str) -> DataFrame:
     """UNN1: one row per node of every page that has data (edges concatenated
     over pages). A page that reports errors beside its data loads its data and is
-    quarantined as well. Null nodes are skipped (FLT5). Products keep the node as
-    one column, as their flatten reads it; the other entities spread its fields."""
+    quarantined as well; of a malformed page nothing is loaded, whatever could be
+    read of it. Null nodes are skipped (FLT5). Products keep the node as one
+    column, as their flatten reads it; the other entities spread its fields."""
     field = schemas.ENTITY_FIELD[entity]
+    if CORRUPT in pages.columns:
+        pages = pages.where(F.col(CORRUPT).isNull())
     edges = pages.select("store_name", F.explode(f"data.{field}.edges").alias("_e")).where(F.col("_e.node").isNotNull())
     return edges.select("store_name", F.col("_e.node").alias("node") if entity == "products" else F.col("_e.node.*"))
 
 
 def quarantine(pages: DataFrame, entity: str) -> DataFrame:
-    """Pages that reported an error or lack data, kept for replay (instead of silently ending a month)."""
-    return triage(pages, entity).where(F.col("page_class") != "good")
+    """Pages that reported an error, lack data or could not be read, kept for
+    replay (instead of silently ending a month): the page's key and class, its
+    file, its text as landed (or written anew from what was read), and whether
+    its data was loaded all the same."""
+    t = triage(pages, entity).where(F.col("page_class") != "good")
+    field = schemas.ENTITY_FIELD[entity]
+    number = F.coalesce("page", F.regexp_extract(CORRUPT, r'"page"\s*:\s*(\d+)', 1).try_cast("bigint"))
+    return t.select("store_name", "month", number.alias("page"), "page_class", "page_file",
+                    F.coalesce(CORRUPT, F.to_json(F.struct("page", "data", "errors"))).alias("page_text"),
+                    (F.col(CORRUPT).isNull() & F.col(f"data.{field}.edges").isNotNull()).alias("loaded"))
+
+
+def write_quarantine(pages: DataFrame, entity: str, path: str) -> DataFrame:
+    """Append the pages to the quarantine at ``path``; returns it as written."""
+    quarantine(pages, entity).write.mode("append").partitionBy("page_class").parquet(path)
+    return pages.sparkSession.read.parquet(path)
+
+
+def replay(quarantined: DataFrame, fetched: DataFrame, entity: str) -> tuple[DataFrame, DataFrame]:
+    """Pages fetched again against the quarantine: (the pages to load now, the
+    quarantine that is left). A page is settled by a good page of its key; of
+    those, the ones whose data was loaded at first are not loaded again. Several
+    fetches of one page count once, as do several quarantine records of it."""
+    keys = quarantined.groupBy(*PAGE_KEY).agg(F.max("loaded").alias("_loaded"))
+    good = triage(fetched, entity).where(F.col("page_class") == "good").dropDuplicates(PAGE_KEY)
+    settled = good.join(keys, PAGE_KEY)
+    return (settled.where(~F.col("_loaded")).select(*fetched.columns),
+            quarantined.join(good.select(*PAGE_KEY), PAGE_KEY, "left_anti"))
 
 
 def envelope(docs: DataFrame, entity: str, page_key: Column, node_cols: list[str] | Column, error_for: Column) -> DataFrame:
     """Group documents into API-shaped pages (page_key bounds the page size).
 
-    ``error_for`` yields a page class to inject ('rate_limited', 'access_denied',
-    'error', 'missing_data') or null for a good page.
+    ``error_for`` yields a page class to inject ('malformed', 'rate_limited',
+    'access_denied', 'error', 'missing_data') or null for a good page.
     """
     field = schemas.ENTITY_FIELD[entity]
     node = node_cols if isinstance(node_cols, Column) else F.struct(*[F.col(c) for c in node_cols])
-    # Range partitioning on the page key also satisfies the grouping's
-    # clustering, so the aggregation adds no second shuffle, and each task then
-    # holds a contiguous range of store-months: the landing write produces
-    # few files per partition and a hot store-month spreads over several tasks.
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    g = (docs.withColumn("_page", page_key)
-         .repartitionByRange(n, "store_name", "month", "_page")
-         .groupBy("store_name", "month", "_page")
+    g = (docs.withColumn("page", page_key.cast("bigint")).repartition("store_name", "month", "page")
+         .groupBy("store_name", "month", "page")
          .agg(F.sort_array(F.collect_list(F.struct(F.col("order_key").alias("k"), node.alias("n")))).alias("_items")))
-    cls = error_for(F.col("_page"))
+    cls = error_for(F.col("page"))
     edges = F.transform("_items", lambda x: F.struct(F.concat(F.lit("c"), x["k"].cast("string")).alias("cursor"),
                                                      x["n"].alias("node")))
     data = F.struct(F.struct(edges.alias("edges"), F.struct(F.lit(False).alias("hasNextPage"),
@@ -84,12 +132,17 @@ def envelope(docs: DataFrame, entity: str, page_key: Column, node_cols: list[str
            .when(cls == "access_denied", F.concat(F.lit("This app is "), F.lit(K.ACCESS_DENIED_TEXT)))
            .when(cls == "error", F.lit("Internal error")))
     return g.select(
-        "store_name", "month",
+        "store_name", "month", "page",
         F.when(cls.isin("rate_limited", "access_denied", "missing_data"), F.lit(None)).otherwise(data).alias("data"),
-        F.when(msg.isNotNull(), F.array(F.struct(msg.alias("message")))).alias("errors"))
+        F.when(msg.isNotNull(), F.array(F.struct(msg.alias("message")))).alias("errors"),
+        F.coalesce(cls == "malformed", F.lit(False)).alias("broken"))
 
 
 def land(pages: DataFrame, path: str) -> str:
-    """Write pages as JSON lines partitioned by store and month (the landing zone)."""
-    pages.write.mode("overwrite").partitionBy("store_name", "month").json(path)
+    """Write pages as JSON lines partitioned by store and month (the landing
+    zone); a broken one as a line that ends too early."""
+    text = F.to_json(F.struct("page", "data", "errors"))
+    rows = pages.select("store_name", "month", "broken", text.alias("_t"))
+    rows.select("store_name", "month", F.when(F.col("broken"), F.expr("substring(_t, 1, length(_t) - 2)")).otherwise(F.col("_t")).alias("value")) \
+        .write.mode("overwrite").partitionBy("store_name", "month").text(path)
     return path
