@@ -405,17 +405,34 @@ _J = __import__("ledgerline.plans.oracle_jobs", fromlist=["BASE", "LEVEL", "COMP
 
 ORACLE["stream_log_classify"] = f"""
 WITH {_J.BASE}
-SELECT 'log-' || CAST(event_id AS VARCHAR) AS log_id,
-       'job-' || CAST(user_id AS VARCHAR) || '-' || CAST((dayofyear(ts) - 1) // 7 AS VARCHAR) AS job_id,
-       ts AS "timestamp", {_J.LEVEL} AS level, {_J.COMPONENT} AS component,
+SELECT log_id, job_id, "timestamp", {_J.LEVEL} AS level, {_J.COMPONENT} AS component,
        CASE WHEN contains(msg, '[PROCESSING]') THEN 25 WHEN contains(msg, '[FETCHING]') THEN 50
             WHEN contains(msg, '[SUCCESS]') THEN 75 WHEN contains(msg, '[COMPLETED]') THEN 100 END AS stage
-FROM msgs
+FROM (SELECT *, message AS msg FROM logs)
 """
 
+# Deliveries of the stand-in stream: number, watermark before each (newest event
+# of earlier ones, in milliseconds, less two days), and which arrivals are taken.
+DELIVERED_CTE = """
+arr AS (
+  SELECT *, unnest(CASE WHEN event_id % 101 = 5 THEN [least(own + 2, 3)] WHEN event_id % 97 = 0 THEN [own, own, least(own + 1, 3)] ELSE [own] END) AS d
+  FROM (SELECT *, least((dayofyear(ts) - 1) // 8, 3) AS own FROM events)),
+newest AS (SELECT d, max(ts) AS newest FROM arr GROUP BY d),
+wm AS (SELECT d, date_trunc('milliseconds', max(newest) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) - INTERVAL 2 DAY AS wm FROM newest),
+seen AS (SELECT arr.*, wm IS NULL OR ts > wm AS in_time, row_number() OVER (PARTITION BY event_id, (wm IS NULL OR ts > wm) ORDER BY arr.d) AS nth
+         FROM arr JOIN wm USING (d))"""
+
 ORACLE["stream_job_status"] = f"""
-WITH {_J.BASE}
-SELECT job_id, status, started_at AS status_at, event_seq FROM job_timeline WHERE rn = 1
+WITH {_J.BASE}, {DELIVERED_CTE}
+SELECT job_id, status, started_at AS status_at, event_seq
+FROM (SELECT j.*, row_number() OVER (PARTITION BY job_id ORDER BY started_at DESC, event_seq DESC) AS last_first
+      FROM jobs j WHERE event_seq IN (SELECT event_id FROM seen WHERE in_time)) WHERE last_first = 1
+"""
+
+ORACLE["stream_late_events"] = f"""
+WITH {_J.BASE}, {DELIVERED_CTE}
+SELECT job_id, event_seq, CASE WHEN in_time THEN 'repeated' ELSE 'late' END AS reason, count(*) AS times
+FROM seen JOIN jobs ON event_seq = event_id WHERE NOT in_time OR nth > 1 GROUP BY 1, 2, 3
 """
 
 ORACLE["stream_incremental_sync"] = """

@@ -15,11 +15,17 @@ def stream_log_classify(spark, sf_dir):
 
 @query("stream_job_status")
 def stream_job_status(spark, sf_dir):
-    """ST2: current job status over the event stream (update mode, versioned sink)."""
+    """ST2: current job status from events that come in several deliveries, some late or repeated."""
     return S.stream_job_status(spark, sf_dir)
 
 
+@query("stream_late_events")
+def stream_late_events(spark, sf_dir):
+    """ST2: events that came after the watermark or again, from the side table."""
+    return S.stream_late_events(spark, sf_dir)
+
+
 @query("stream_incremental_sync")
 def stream_incremental_sync(spark, sf_dir):
-    """ST3: incremental order sync, latest wins per (store, id), touched partitions rewritten."""
+    """ST3: incremental order sync over several batches into a change log, latest wins per (store, id)."""
     return S.stream_incremental_sync(spark, sf_dir)

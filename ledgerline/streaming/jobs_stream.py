@@ -1,14 +1,12 @@
 """Structured Streaming forms of the log classifier (ST1), current job status
 (ST2) and incremental entity sync (ST3).
 
-All three read the landed tables as file streams (new files = new data),
-checkpoint in the shared work folder, and are exactly-once: ST1 through the
-Parquet file sink's commit log, ST2/ST3 through ``foreachBatch`` writes that
-are idempotent per batch id (a replayed batch rewrites the same partitions
-with the same rows).
-
-Both stateful sinks use :func:`merge_latest`: latest wins per key, only the
-touched partitions are rewritten.
+All three read landed files as streams (new files = new data) and checkpoint in
+the shared work folder. ST1 is stateless and writes through the Parquet file
+sink, whose commit log makes it exactly-once. ST2 and ST3 append to a change log
+(:mod:`ledgerline.streaming.changelog`) by batch id: a batch counts once it is
+committed, comes again whole after a failure, and nothing is overwritten; the
+latest row of a key is resolved when the log is read or compacted.
 
 ``run_available_now`` drives a query over everything available and stops,
 which is how tests and the registry compare a stream with its batch form.
@@ -19,10 +17,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import constants as K
 from ..operators import quality as Q
 from ..session import configure, fresh_path
 from ..sources import control as C
 from ..sources.tables import read
+from . import changelog as L
 
 
 # Keyed streaming state (one buffer per job / entity key) can reach millions of
@@ -30,11 +30,14 @@ from ..sources.tables import read
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
-    """A driver table as a file stream (schema taken from the table, no inference)."""
-    configure(spark)
+def _state_store(spark: SparkSession) -> None:
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) != STATE_STORE:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+
+
+def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
+    """A driver table as a file stream (schema taken from the table, no inference)."""
+    _state_store(configure(spark))
     schema = read(spark, sf_dir, name).schema
     r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
     if max_files:
@@ -52,7 +55,8 @@ def run_available_now(writer, checkpoint: str) -> None:
 # --------------------------------------------------------------------------- ST1
 def classify_stream(events: DataFrame) -> DataFrame:
     """ST1: stateless per-line classification (same expressions as batch DQ2)."""
-    lines = C.log_lines_from(events.withColumn("ts", F.col("ts").cast("timestamp")))
+    e = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    lines = C.log_lines_from(e).unionByName(C.marker_lines_from(e))
     return Q.classify(lines).select("log_id", "job_id", "timestamp", "level",
                                     F.col("component_guess").alias("component"), "stage")
 
@@ -65,72 +69,124 @@ def stream_log_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- ST2
-def status_stream(events: DataFrame) -> DataFrame:
-    """ST2: current status per job over the event stream; the state is one
-    aggregation buffer per job (bounded by the number of jobs)."""
+STATUS_SCHEMA = "job_id string, status string, status_at timestamp, event_seq bigint"
+STATUS_KEYS, STATUS_ORDER = ["job_id"], ["status_at", "event_seq"]
+SIDE_SCHEMA = "job_id string, event_seq bigint, status string, status_at timestamp, reason string, times bigint"
+DELAY = "2 days"  # how far behind the newest event one may be
+
+
+def status_rows(events: DataFrame) -> DataFrame:
+    """One status row per event."""
     jobs = C.job_events_from(events.withColumn("ts", F.col("ts").cast("timestamp")))
-    return jobs.groupBy("job_id").agg(
-        F.max_by(F.struct("status", "started_at", "event_seq"), F.struct("started_at", "event_seq")).alias("s")) \
-        .select("job_id", F.col("s.status").alias("status"), F.col("s.started_at").alias("status_at"),
-                F.col("s.event_seq").alias("event_seq"))
+    return jobs.select("job_id", "status", F.col("started_at").alias("status_at"), "event_seq")
 
 
-STATUS_BUCKETS = 16      # raise with the number of jobs
+def status_stream(events: DataFrame, delay: str = DELAY) -> DataFrame:
+    """ST2: the rows as they arrive, and beside them (``accepted``) those that are
+    within the watermark and not repeated. Spark's state holds the ids of events
+    that are not older than the watermark, so it does not grow with the stream."""
+    rows = status_rows(events)
+    accepted = rows.withWatermark("status_at", delay).dropDuplicatesWithinWatermark(["job_id", "event_seq"])
+    return accepted.withColumn("accepted", F.lit(True)).unionByName(rows.withColumn("accepted", F.lit(False)))
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    from pyspark.errors import AnalysisException
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
+def status_sink(root: str, delay: str = DELAY):
+    """Appends the accepted rows (the latest of a job) to the log, and the rest to
+    a side table: late ones (at or before the watermark that held for the batch)
+    and repeated ones, with how often they came."""
 
+    def watermark(spark: SparkSession, batch_id: int):
+        newest = [m["newest_ms"] for b, m in L.committed(spark, root).items() if b < batch_id and m.get("newest_ms") is not None]
+        return F.timestamp_millis(F.lit(max(newest))) - F.expr(f"INTERVAL {delay}") if newest else F.lit(None).cast("timestamp")
 
-def merge_latest(target: str, keys: list[str], order: list[str], part_col: str | list[str]):
-    """foreachBatch sink: latest wins per key (by ``order``), rewriting only
-    the touched ``part_col`` partitions (dynamic partition overwrite). The
-    merged rows are checkpointed first, so the overwrite never reads the
-    files it replaces; replaying a batch id gives the same rows (idempotent)."""
-    parts = [part_col] if isinstance(part_col, str) else list(part_col)
-    def latest(df: DataFrame) -> DataFrame:
-        cols = [c for c in df.columns if c not in keys]
-        return (df.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_r"))
-                .select(*keys, "_r.*"))
+    def arrivals(spark: SparkSession, batch_id: int) -> DataFrame:
+        return spark.read.schema(f"{STATUS_SCHEMA}, accepted boolean").parquet(f"{root}/arrivals/batch={batch_id:012d}")
 
-    def fn(batch: DataFrame, batch_id: int) -> None:
+    def prepare(batch: DataFrame, batch_id: int) -> dict[str, DataFrame]:
         spark = batch.sparkSession
-        b = latest(batch)
-        if _table_exists(spark, target):
-            touched = b.select(*parts).distinct()
-            old = spark.read.parquet(target).join(touched, parts, "left_semi").select(*b.columns)
-            merged = latest(old.unionByName(b))
-        else:
-            merged = b
-        merged = merged.checkpoint(eager=True)
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*parts).parquet(target))
-    return fn
-
-
-def stream_job_status(spark: SparkSession, sf_dir: str, buckets: int = STATUS_BUCKETS) -> DataFrame:
-    """ST2 sink: the status table is bucketed by a hash of job_id, so a batch
-    rewrites only the buckets of the jobs it updated."""
+        batch.write.mode("overwrite").parquet(f"{root}/arrivals/batch={batch_id:012d}")  # the stateful plan runs once
+        rows = arrivals(spark, batch_id)
+        per = rows.groupBy("job_id", "event_seq").agg(F.max("status").alias("status"), F.max("status_at").alias("status_at"),
+                                                      F.count_if(~F.col("accepted")).alias("came"), F.count_if("accepted").alias("taken"))
+        late = F.coalesce(F.col("status_at") <= watermark(spark, batch_id), F.lit(False))
+        side = per.where("came > taken").select("job_id", "event_seq", "status", "status_at",
+                                                F.when(late, "late").otherwise("repeated").alias("reason"), (F.col("came") - F.col("taken")).alias("times"))
+        changes = rows.where("accepted").drop("accepted").withColumn("batch", F.lit(batch_id))
+        return {"changes": L.latest(changes, STATUS_KEYS, STATUS_ORDER).drop("batch"), "side": side}
+
+    def note(spark: SparkSession, batch_id: int) -> dict:
+        newest = arrivals(spark, batch_id).agg(F.max(F.unix_millis("status_at"))).first()[0]
+        return {"newest_ms": newest}
+
+    return L.commit_sink(root, prepare, note)
+
+
+def closed_before(spark: SparkSession, root: str, keep: str = "7 days"):
+    """Condition of :func:`changelog.compact`: a job has ended more than ``keep`` before the newest event."""
+    newest = max((m["newest_ms"] for m in L.committed(spark, root).values() if m.get("newest_ms") is not None), default=None)
+    if newest is None:
+        return F.lit(False)
+    return F.col("status").isin(*K.TERMINAL_STATUSES) & (F.col("status_at") < F.timestamp_millis(F.lit(newest)) - F.expr(f"INTERVAL {keep}"))
+
+
+def run_status(spark: SparkSession, source: str, schema, out: str) -> None:
+    """One run of ST2 over what has arrived in ``source``."""
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(source)
+    run_available_now(status_stream(stream).writeStream.outputMode("append").foreachBatch(status_sink(out)), out + "/_checkpoint")
+
+
+def job_status(spark: SparkSession, out: str) -> DataFrame:
+    return L.current(spark, out, STATUS_SCHEMA, STATUS_KEYS, STATUS_ORDER)
+
+
+DELIVERIES = 4
+
+
+def event_deliveries(events: DataFrame) -> list[DataFrame]:
+    """Stand-in input: events as they arrive, in deliveries of eight days; some
+    come two deliveries late, some twice in theirs and once more in the next."""
+    own = F.least(F.floor((F.dayofyear(F.col("ts").cast("timestamp")) - 1) / 8), F.lit(DELIVERIES - 1))
+    e = F.col("event_id")
+    at = F.when(e % 101 == 5, F.array(F.least(own + 2, F.lit(DELIVERIES - 1)))).when(
+        e % 97 == 0, F.array(own, own, F.least(own + 1, F.lit(DELIVERIES - 1)))).otherwise(F.array(own))
+    rows = events.withColumn("_at", F.explode(at))
+    return [rows.where(F.col("_at") == k).drop("_at") for k in range(DELIVERIES)]
+
+
+def _delivered_status(spark: SparkSession, sf_dir: str) -> str:
     out = fresh_path(spark, "stream-job-status")
-    src = status_stream(table_stream(spark, sf_dir, "events")) \
-        .withColumn("bucket", F.pmod(F.xxhash64("job_id"), F.lit(buckets)).cast("int"))
-    w = (src.writeStream.outputMode("update")
-         .foreachBatch(merge_latest(out + "/table", ["job_id"], ["status_at", "event_seq"], "bucket")))
-    run_available_now(w, out + "/_checkpoint")
-    return spark.read.parquet(out + "/table").drop("bucket")
+    _state_store(spark)
+    events = read(spark, sf_dir, "events")
+    for k, rows in enumerate(event_deliveries(events)):
+        rows.write.parquet(f"{out}/source/{k}")
+        run_status(spark, f"{out}/source", events.schema, out)
+        if k % 2:
+            L.compact(spark, out, STATUS_SCHEMA, STATUS_KEYS, STATUS_ORDER, closed_before(spark, out))
+    return out
+
+
+def stream_job_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST2 over several deliveries, each by a run that goes on where the last one
+    stopped, compacted after every second one."""
+    return job_status(spark, _delivered_status(spark, sf_dir))
+
+
+def stream_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST2: the side table of the same runs."""
+    return L.appended(spark, _delivered_status(spark, sf_dir), SIDE_SCHEMA, "side") \
+        .groupBy("job_id", "event_seq", "reason").agg(F.sum("times").alias("times"))
 
 
 # --------------------------------------------------------------------------- ST3
+SYNC_SCHEMA = "store_name string, order_id bigint, status string, updated_at timestamp"
+SYNC_KEYS, SYNC_ORDER = ["store_name", "order_id"], ["updated_at"]
+
+
 def order_versions(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """Order change records: every order is created 'pending'; orders that
-    moved on get a second record five days later with their final status."""
+    """Stand-in input: order change records. Every order is created 'pending';
+    orders that moved on get a second record five days later with their final status."""
     c = customers.select("c_custkey", C.merchant_of(F.col("c_nationkey") % 5).alias("store_name"))
-    o = orders.join(c, orders.o_custkey == c.c_custkey)           # stream-static join to the store dimension
+    o = orders.join(c, orders.o_custkey == c.c_custkey)
     ts = F.col("o_orderdate").cast("timestamp")
     v = F.array(F.struct(F.lit("pending").alias("status"), ts.alias("updated_at")),
                 F.when(F.col("o_orderstatus") != "O", F.struct(F.col("o_orderstatus").alias("status"),
@@ -139,17 +195,26 @@ def order_versions(orders: DataFrame, customers: DataFrame) -> DataFrame:
         .where(F.col("r").isNotNull()).select("store_name", "order_id", "r.status", "r.updated_at")
 
 
-SYNC_BUCKETS = 16        # per store; raise with the table size (a batch rewrites only touched buckets)
+def run_sync(spark: SparkSession, source: str, out: str) -> None:
+    """ST3: one run over the change records that have arrived in ``source``."""
+    stream = spark.readStream.schema(SYNC_SCHEMA).option("recursiveFileLookup", "true").parquet(source)
+    run_available_now(stream.writeStream.outputMode("append").foreachBatch(L.commit_sink(out)), out + "/_checkpoint")
+
 
+def synced(spark: SparkSession, out: str) -> DataFrame:
+    return L.current(spark, out, SYNC_SCHEMA, SYNC_KEYS, SYNC_ORDER)
 
-def stream_incremental_sync(spark: SparkSession, sf_dir: str, buckets: int = SYNC_BUCKETS) -> DataFrame:
-    """ST3 sink: partitioned by (store, hash bucket of the id), so a batch
-    rewrites only the buckets it touches, even inside a store that holds a
-    large share of all rows."""
+
+def stream_incremental_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST3 over three deliveries: a third of the orders each, and in the last one
+    the first records of all orders once more, older than what is known of them.
+    The log is compacted between them; a batch only adds its own rows."""
     out = fresh_path(spark, "stream-sync")
-    src = order_versions(table_stream(spark, sf_dir, "orders"), read(spark, sf_dir, "customer")) \
-        .withColumn("bucket", F.pmod(F.xxhash64("order_id"), F.lit(buckets)).cast("int"))
-    w = src.writeStream.outputMode("append").foreachBatch(
-        merge_latest(out + "/table", ["store_name", "order_id"], ["updated_at"], ["store_name", "bucket"]))
-    run_available_now(w, out + "/_checkpoint")
-    return spark.read.parquet(out + "/table").drop("bucket")
+    records = order_versions(read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer"))
+    third = F.pmod(F.col("order_id"), F.lit(3))
+    for k, rows in enumerate((records.where(third == 0), records.where(third == 1), records.where((third == 2) | (F.col("status") == "pending")))):
+        rows.write.parquet(f"{out}/source/{k}")
+        run_sync(spark, f"{out}/source", out)
+        if k == 1:
+            L.compact(spark, out, SYNC_SCHEMA, SYNC_KEYS, SYNC_ORDER)
+    return synced(spark, out)
