@@ -19,6 +19,8 @@ TERMINAL_STATUSES = ["completed", "failed", "cancelled"]
 STATUS_UPDATE = "status_update"
 CANCEL_MESSAGE = "Cancelled by user"
 CANCEL_CREATED_BY = "user_cancel"
+CANCEL_LOG_LINE = "Job cancelled by user"
+LOG_VIEW_CHARS = 1000
 SWEEP_CREATED_BY = "system_cleanup"
 SWEEP_MESSAGE = "Job timeout - stuck for over {hours} hours"
 RECONCILE_MESSAGE = "Status updated from Cloud Run: {status}"

@@ -123,15 +123,25 @@ def clear_history(jobs: DataFrame, logs: DataFrame) -> tuple[DataFrame, DataFram
 
 LOG_COLUMNS = ["log_id", "job_id", "timestamp", "log_level", "message", "store_url", "component",
                "is_error", "error_type"]
-LOG_MESSAGE_MAX = 1000
 
 
 def log_events(lines: DataFrame) -> DataFrame:
     """SNK4 rows for pipeline_logs from (job_id, timestamp, log_level, message,
-    store_url, component) requests: message cut at 1,000 characters (FN18),
-    deterministic log_id (FN27)."""
-    msg = X.left("message", LOG_MESSAGE_MAX)
+    store_url, component) requests: the whole message (views cut it), deterministic log_id (FN27)."""
     lid = F.sha2(F.concat_ws("|", F.col("job_id"), F.col("timestamp").cast("string"), F.col("message")), 256)
     return lines.select(lid.alias("log_id"), "job_id", F.col("timestamp").cast("timestamp").alias("timestamp"),
-                        "log_level", msg.alias("message"), "store_url", "component",
+                        "log_level", "message", "store_url", "component",
                         F.lit(None).cast("boolean").alias("is_error"), F.lit(None).cast("string").alias("error_type"))
+
+
+def cancel_log_lines(cancelled: DataFrame) -> DataFrame:
+    """MUT8: the log line of each cancel event (input: :func:`cancel_events` rows)."""
+    return log_events(cancelled.select("job_id", F.col("started_at").alias("timestamp"), F.lit("WARNING").alias("log_level"),
+                                       F.lit(K.CANCEL_LOG_LINE).alias("message"), "store_url", F.lit("main").alias("component")))
+
+
+def sweep_result(stuck: DataFrame, written: DataFrame) -> DataFrame:
+    """MUT9: (cleaned, found): stuck jobs whose failed event was written, and all stuck jobs."""
+    done = written.where(F.col("created_by") == K.SWEEP_CREATED_BY).select("job_id").distinct()
+    return stuck.select("job_id").join(done.withColumn("_done", F.lit(1)), "job_id", "left") \
+        .agg(F.count("_done").alias("cleaned"), F.count(F.lit(1)).alias("found"))

@@ -82,11 +82,12 @@ def job_logs(logs: DataFrame, job_id: str | None = None, limit: int = 100) -> Da
     if job_id is not None:
         logs = logs.where(F.col("job_id") == job_id)
     return top_per_group(logs, ["job_id"], [F.desc("timestamp"), F.desc("log_id")], limit) \
-        .select("job_id", "timestamp", "log_level", "message", "component")
+        .select("job_id", "timestamp", "log_level", X.left("message", K.LOG_VIEW_CHARS).alias("message"), "component")
 
 
 # --------------------------------------------------------------------------- V3
-def error_summary(logs: DataFrame, job_id: str | None = None, recent: int = 10) -> DataFrame:
+def recent_errors(logs: DataFrame, job_id: str | None = None, recent: int = 10) -> DataFrame:
+    """V3 A5: counts of error and warning lines of each job and its latest ones as an array, newest first."""
     ew = logs.where(F.col("log_level").isin("ERROR", "WARNING"))
     if job_id is not None:
         ew = ew.where(F.col("job_id") == job_id)
@@ -95,10 +96,16 @@ def error_summary(logs: DataFrame, job_id: str | None = None, recent: int = 10)
     top = (top_per_group(ew, ["job_id"], [F.desc("timestamp"), F.desc("log_id")], recent)
            .groupBy("job_id").agg(F.sort_array(F.collect_list(
                F.struct("timestamp", "log_id", "component", "message")), asc=False).alias("_r")))
-    text = F.array_join(F.transform("_r", lambda r: F.concat(
+    newest = F.transform("_r", lambda r: F.struct(r["timestamp"].alias("timestamp"), r["component"].alias("component"), r["message"].alias("message")))
+    return counts.join(top, "job_id").select("job_id", "error_count", "warning_count", newest.alias("recent_errors"))
+
+
+def error_summary(logs: DataFrame, job_id: str | None = None, recent: int = 10) -> DataFrame:
+    """V3 with the latest lines as one text."""
+    text = F.array_join(F.transform("recent_errors", lambda r: F.concat(
         F.date_format(r["timestamp"], "yyyy-MM-dd HH:mm:ss"), F.lit(" ["), F.coalesce(r["component"], F.lit("")),
         F.lit("] "), r["message"])), " | ")
-    return counts.join(top, "job_id").select("job_id", "error_count", "warning_count", text.alias("recent_errors"))
+    return recent_errors(logs, job_id, recent).withColumn("recent_errors", text)
 
 
 # --------------------------------------------------------------------------- V4

@@ -228,3 +228,37 @@ def reconcile_after_append(spark, sf_dir):
     """MUT12 + SNK4 + W1: every job's status once the runner's outcomes are stored."""
     jobs, logs = _tables(spark, sf_dir)
     return _state_after(spark, jobs, EV.reconcile_events(jobs, logs, C.runner_status(spark, sf_dir), C.as_of_col()))
+
+
+@query("job_cancel_log")
+def job_cancel_log(spark, sf_dir):
+    """MUT8 SNK4: the log lines of the cancelled jobs, stored with the job's other lines and read back."""
+    from ..session import fresh_path
+    from .load import append
+    jobs, logs = _tables(spark, sf_dir)
+    path = fresh_path(spark, "pipeline_logs")
+    append(logs.select(*EV.LOG_COLUMNS), path)
+    append(EV.cancel_log_lines(EV.cancel_events(jobs, C.as_of_col())), path)
+    return J.job_logs(spark.read.parquet(path), limit=1)
+
+
+@query("sweep_counts")
+def sweep_counts(spark, sf_dir):
+    """MUT9: (cleaned, found) of the sweep of stuck jobs, from the events as stored."""
+    from ..session import fresh_path
+    from .load import append
+    jobs, _ = _tables(spark, sf_dir)
+    path, stuck = fresh_path(spark, "pipeline_jobs"), J.stuck_jobs(jobs, C.as_of_col(), HOURS_STUCK)
+    append(EV.sweep_events(stuck, C.as_of_col(), HOURS_STUCK), path)
+    return EV.sweep_result(stuck, spark.read.parquet(path))
+
+
+@query("job_error_array")
+def job_error_array(spark, sf_dir):
+    """V3 A5: error and warning counts of each job with the array of its ten
+    latest lines, of which each element is a row here."""
+    from pyspark.sql import functions as F
+    _, logs = _tables(spark, sf_dir)
+    return J.recent_errors(logs).select("job_id", "error_count", "warning_count", F.size("recent_errors").alias("n_recent"),
+                                        F.posexplode("recent_errors").alias("nth", "e")) \
+        .select("job_id", "error_count", "warning_count", "n_recent", "nth", "e.timestamp", "e.component", "e.message")

@@ -1,4 +1,4 @@
-"""Sinks and the load runner (SNK1-SNK7, DQ4, DQ5).
+"""Sinks and the load runner (SNK1-SNK7, DQ5, A10).
 
 Layout: tables are Parquet, partitioned by (store_name, month of the store-local
 date) and sorted by (day, clustering columns) inside each partition. Day-level
@@ -129,7 +129,7 @@ def write_config_json(df: DataFrame, path: str) -> str:
     return path
 
 
-# --------------------------------------------------------------------------- DQ4 component isolation
+# --------------------------------------------------------------------------- A10 result of a run (its components: plans/components.py)
 @dataclass
 class ComponentResult:
     component: str
@@ -138,23 +138,12 @@ class ComponentResult:
     error: str | None
 
 
-def run_components(components: dict) -> list[ComponentResult]:
-    """DQ4: run each load component; one failing does not stop the others.
-    (A loop over the four entity jobs, each a distributed Spark job.)"""
-    out = []
-    for name, fn in components.items():
-        try:
-            out.append(ComponentResult(name, "completed", int(fn() or 0), None))
-        except Exception as e:  # noqa: BLE001 - isolation is the point
-            out.append(ComponentResult(name, "failed", 0, f"{name}: {e}"[:1000]))
-    return out
-
-
 def run_status(results: list[ComponentResult]) -> tuple[str, str | None, int]:
-    """A10 for one run: final status, message with the first three errors, records."""
+    """A10 for one run: final status, message with the first three errors,
+    records. A run without a failure but with a cancelled component is cancelled."""
     failed = [r for r in results if r.status == "failed"]
     total = sum(r.records for r in results)
     if not failed:
-        return "completed", None, total
+        return "cancelled" if any(r.status == "cancelled" for r in results) else "completed", None, total
     msg = f"Failed components: {', '.join(r.component for r in failed)}. " + " | ".join(r.error for r in failed[:3])
     return "failed", msg, total

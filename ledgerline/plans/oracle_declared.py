@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..schemas import ORDER_ITEMS_LEGACY
+from .oracle_jobs import BASE
 
 
 def build(oracle: dict[str, str]) -> dict[str, str]:
@@ -40,4 +41,28 @@ UNION ALL VALUES ('order_items_insights', 'older', 'date', 'missing', NULL, 'dat
                  ('customer_insights', 'older', 'default_address_country_name', 'missing', NULL, 'string', 0)
 UNION ALL SELECT 'customer_insights', 'older', 'tags', 'type', 'array<string>', 'string', count(tags) FROM ({customers}) t
 UNION ALL SELECT 'products_insights', 'older', 'variant_inventoryQuantity', 'type', 'bigint', 'string', count("variant_inventoryQuantity") FROM ({products}) t""",
+        "component_summary": f"""
+WITH c AS (SELECT 'customers' AS component, count(*) AS records FROM customer UNION ALL SELECT 'order_items', count(*) FROM lineitem),
+r AS (SELECT component, 'completed' AS status, records, CAST(NULL AS VARCHAR) AS error_message FROM c
+      UNION ALL VALUES ('orders', 'failed', 0, 'orders: no landed pages of orders'), ('products', 'cancelled', 0, NULL)
+      UNION ALL SELECT 'run', 'failed', CAST(sum(records) AS BIGINT), 'Failed components: orders. orders: no landed pages of orders' FROM c)
+SELECT 'nightly' AS run, * FROM r""",
+        "job_cancel_log": f"""
+WITH {BASE},
+gone AS (SELECT job_id FROM job_timeline WHERE rn = 1 AND status = 'pending'),
+lines AS (SELECT job_id, "timestamp", log_level, message, component, log_id FROM logs
+          UNION ALL SELECT job_id, TIMESTAMP '2024-01-31 00:00:00', 'WARNING', 'Job cancelled by user', 'main', '~' FROM gone)
+SELECT job_id, "timestamp", log_level, message, component
+FROM (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY "timestamp" DESC, log_id DESC) AS r FROM lines) WHERE r = 1""",
+        "sweep_counts": f"""
+WITH {BASE}
+SELECT count(*) AS cleaned, count(*) AS found FROM job_timeline
+WHERE rn = 1 AND status = 'pending' AND started_at < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 1 HOUR""",
+        "job_error_array": f"""
+WITH {BASE},
+ew AS (SELECT *, row_number() OVER of_job AS r, count(*) FILTER (log_level = 'ERROR') OVER (PARTITION BY job_id) AS error_count,
+              count(*) FILTER (log_level = 'WARNING') OVER (PARTITION BY job_id) AS warning_count, count(*) OVER (PARTITION BY job_id) AS lines
+       FROM logs WHERE log_level IN ('ERROR', 'WARNING') WINDOW of_job AS (PARTITION BY job_id ORDER BY "timestamp" DESC, log_id DESC))
+SELECT job_id, error_count, warning_count, CAST(least(lines, 10) AS INTEGER) AS n_recent, CAST(r - 1 AS INTEGER) AS nth, "timestamp", component, message
+FROM ew WHERE r <= 10""",
     }

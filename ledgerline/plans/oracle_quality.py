@@ -22,7 +22,12 @@ TABLE_COLUMNS = {
                  ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz")],
     "events": [("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "bigint"), ("event_type", "string"),
                ("value", "double"), ("props", "string")],
+    "documents": [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint")],
+    "embeddings": [("vec_id", "bigint"), ("embedding", "array<float>"), ("label", "int")],
     "pages": [("page_id", "bigint"), ("url", "string"), ("html", "string")],
+    "benchmark": [("item_id", "bigint"), ("text", "string")],
+    "labels": [("doc_id", "bigint"), ("quality", "int"), ("toxic", "int")],
+    "conversations": [("conv_id", "bigint"), ("turn", "bigint"), ("role", "string"), ("text", "string")],
 }
 
 ORACLE: dict[str, str] = {}
@@ -56,7 +61,7 @@ def _profile(table: str) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-ORACLE["table_profile"] = "\nUNION ALL\n".join(_profile(t) for t in ["customer", "lineitem"])
+ORACLE["table_profile"] = "\nUNION ALL\n".join(_profile(t) for t in TABLES)
 
 ORACLE["table_counts"] = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in TABLES)
@@ -87,3 +92,21 @@ SELECT rec.job_id, rec.total_records, coalesce(comps.comps, '') AS failed_compon
          AS error_message
 FROM rec LEFT JOIN comps ON comps.job_id = rec.job_id LEFT JOIN firsts ON firsts.job_id = rec.job_id
 """
+
+ORACLE["profile_incremental"] = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, '{ty}' AS dtype, COUNT(DISTINCT year(l_shipdate)) AS partitions, COUNT(*) AS row_count, "
+    f"COUNT(*) - COUNT({c}) AS null_count, CAST({f'max(length({c}))' if ty == 'string' else 'NULL'} AS BIGINT) AS max_length, "
+    f"true AS within_6_percent FROM lineitem" for c, ty in TABLE_COLUMNS["lineitem"])
+
+
+def _samples(table: str, column: str, kind: str) -> str:
+    text = {"double": f"CAST(CAST({column} AS DECIMAL(38,4)) AS VARCHAR)", "timestamp_ntz": f"strftime({column}, '%Y-%m-%d %H:%M:%S')"}.get(
+        kind, f"CAST({column} AS VARCHAR)")
+    return (f"SELECT '{table}' AS table_name, '{column}' AS column_name, coalesce(string_agg(t, ' | ' ORDER BY v), '') AS samples FROM "
+            f"(SELECT DISTINCT {column} AS v, left({text}, 200) AS t FROM {table} WHERE {column} IS NOT NULL ORDER BY v LIMIT 3)")
+
+
+ORACLE["profile_samples"] = "\nUNION ALL\n".join(
+    _samples(t, c, ty) for t in TABLES for c, ty in TABLE_COLUMNS[t] if not ty.startswith("array"))
+
+ORACLE["catalog_counts"] = ORACLE["table_counts"]

@@ -142,9 +142,9 @@ def test_config_overlay_metadata_wins(spark):
     assert cfg["BIGQUERY_TABLE_ORDER_INSIGHTS"] == "order_insights"
 
 
-def test_log_events_truncate_and_stable_ids(spark):
+def test_log_events_keep_text_and_stable_ids(spark):
     req = spark.createDataFrame([("j1", T("2024-01-30 10:00:00"), "ERROR", "x" * 1500, "s", "main")],
                                 "job_id string, timestamp timestamp, log_level string, message string, "
                                 "store_url string, component string")
     a, b = EV.log_events(req).first(), EV.log_events(req).first()
-    assert len(a.message) == 1000 and a.log_id == b.log_id and a.is_error is None
+    assert len(a.message) == 1500 and a.log_id == b.log_id and a.is_error is None

@@ -69,21 +69,6 @@ def test_parameterised_sql_and_contains(spark, sf_small):
     assert [r[0] for r in hits] == ["ERROR"]
 
 
-def test_profile_samples_are_bounded_values(spark, sf_small):
-    p = Q.profile(spark.read.parquet(f"{sf_small}/nation.parquet"), samples=True)
-    r = p.where("column_name = 'n_nationkey'").first()
-    assert r.min_value == "0" and r.max_value == "24" and r.sample is not None
-
-
-def test_component_isolation():
-    def boom():
-        raise RuntimeError("bad page")
-    res = load.run_components({"customers": lambda: 3, "orders": boom, "products": lambda: 4})
-    status, msg, total = load.run_status(res)
-    assert status == "failed" and total == 7
-    assert msg.startswith("Failed components: orders. orders: bad page")
-
-
 def test_output_contracts(spark, sf_small):
     from ledgerline.operators import events as EV
     from ledgerline.sources import pages as PG
