@@ -465,13 +465,10 @@ SELECT log_id, job_id, log_level FROM logs WHERE contains(message, '[ERROR]')
 
 ORACLE["jobs_after_sweep"] = f"""
 WITH {_J.BASE},
-stuck AS (SELECT job_id FROM job_timeline
-          WHERE rn = 1 AND status = 'pending' AND started_at < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 1 HOUR)
-SELECT t.job_id,
-       CASE WHEN s.job_id IS NOT NULL THEN 'failed' ELSE t.status END AS status,
-       CASE WHEN s.job_id IS NOT NULL THEN TIMESTAMP '2024-01-31 00:00:00' ELSE t.started_at END AS status_at
-FROM job_timeline t LEFT JOIN stuck s ON s.job_id = t.job_id
-WHERE t.rn = 1
+swept AS (SELECT *, cur.status = 'pending' AND cur.started_at < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 1 HOUR AS stuck FROM state)
+SELECT job_id, CASE WHEN stuck THEN 'failed' ELSE cur.status END AS status,
+       CASE WHEN stuck THEN TIMESTAMP '2024-01-31 00:00:00' ELSE cur.started_at END AS status_at
+FROM swept
 """
 
 ORACLE["products_from_pages"] = ORACLE["products_flat"]

@@ -49,15 +49,15 @@ r AS (SELECT component, 'completed' AS status, records, CAST(NULL AS VARCHAR) AS
 SELECT 'nightly' AS run, * FROM r""",
         "job_cancel_log": f"""
 WITH {BASE},
-gone AS (SELECT job_id FROM job_timeline WHERE rn = 1 AND status = 'pending'),
+gone AS (SELECT job_id FROM state WHERE cur.status = 'pending'),
 lines AS (SELECT job_id, "timestamp", log_level, message, component, log_id FROM logs
           UNION ALL SELECT job_id, TIMESTAMP '2024-01-31 00:00:00', 'WARNING', 'Job cancelled by user', 'main', '~' FROM gone)
 SELECT job_id, "timestamp", log_level, message, component
 FROM (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY "timestamp" DESC, log_id DESC) AS r FROM lines) WHERE r = 1""",
         "sweep_counts": f"""
 WITH {BASE}
-SELECT count(*) AS cleaned, count(*) AS found FROM job_timeline
-WHERE rn = 1 AND status = 'pending' AND started_at < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 1 HOUR""",
+SELECT count(*) AS cleaned, count(*) AS found FROM state
+WHERE cur.status = 'pending' AND cur.started_at < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 1 HOUR""",
         "job_error_array": f"""
 WITH {BASE},
 ew AS (SELECT *, row_number() OVER of_job AS r, count(*) FILTER (log_level = 'ERROR') OVER (PARTITION BY job_id) AS error_count,
