@@ -30,7 +30,8 @@ def _event(job_id: Column, store: Column, dataset: Column, job_type: Column, sta
 
 def _next_seq(nth: Column | int = 1) -> Column:
     """event_seq of an event appended to a job: above all the job has, so that
-    the event wins the tie on started_at that it inherits."""
+    the event wins the tie on started_at that it inherits. Of a sweep and a
+    cancel of one moment the cancel is the later one, whichever was written first."""
     return F.coalesce(F.col("max_seq"), F.lit(0)) + nth
 
 
@@ -72,7 +73,7 @@ def cancel_events(jobs: DataFrame, as_of: Column, job_ids: DataFrame | None = No
         F.col("job_id"), F.coalesce(F.col("first.store_url"), F.lit("unknown")),
         F.coalesce(F.col("first.dataset_name"), F.lit("unknown")), F.lit(K.STATUS_UPDATE), F.lit("cancelled"),
         as_of, F.lit(None), F.lit(K.CANCEL_MESSAGE), F.lit(None), F.lit(None), F.lit(K.CANCEL_CREATED_BY),
-        _next_seq()))
+        _next_seq(2)))
 
 
 def sweep_events(stuck: DataFrame, as_of: Column, hours: int = 1) -> DataFrame:

@@ -2,9 +2,9 @@
 
 The job table is event-sourced: a job's current state is a query. Instead of
 ranking all records of a job twice (first and latest, as window functions
-would), :func:`job_state` does it in one hash aggregation with ``min_by`` /
-``max_by`` over (started_at, event_seq): one shuffle, map-side partial
-aggregation, so a job with millions of records costs no more than its share.
+would), :func:`job_state` does it in one aggregation with ``min_by`` / ``max_by``
+over (started_at, event_seq): one shuffle, map-side partial aggregation (sorted,
+as whole records are kept), so a job with millions of records costs its share.
 
 Top-k per group uses ``row_number() <= k``, which Spark plans with a map-side
 WindowGroupLimit: each map task ships at most k rows per key.
@@ -58,7 +58,6 @@ def _store_of_job() -> Column:
 def active_jobs(jobs: DataFrame, as_of: Column, within_hours: int = 24) -> DataFrame:
     s = job_state(jobs)
     return (s.where(F.col("last.status").isin(*K.ACTIVE_STATUSES)
-                    & ~F.col("last.status").isin(*K.TERMINAL_STATUSES)
                     & (F.col("orig_started_at") >= X.hours_before(as_of, within_hours))
                     & F.col("orig_store_url").isNotNull() & F.col("orig_dataset_name").isNotNull())
             .select("job_id",
@@ -280,26 +279,23 @@ def active_guard(jobs: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- V15
 def hourly(jobs: DataFrame, logs: DataFrame) -> DataFrame:
-    h = jobs.groupBy(F.window("started_at", "1 hour").start.alias("hour")).agg(
-        F.count_if(F.col("status") == "completed").alias("jobs_completed"),
-        F.count_if(F.col("status") == "failed").alias("jobs_failed"),
-        F.sum("records_processed").alias("records_processed"))
-    e = logs.where(F.col("log_level") == "ERROR").groupBy(
-        F.window("timestamp", "1 hour").start.alias("hour")).agg(F.count(F.lit(1)).alias("error_logs"))
-    # average processing time: jobs whose latest record is terminal, from the
-    # creation record to that record, by hour of completion
-    s = job_state(jobs).where(F.col("last.status").isin("completed", "failed") & F.col("first").isNotNull())
-    secs = X.seconds_between(F.col("first.started_at"), F.col("last.completed_at"))
-    # exact integer sum / count (a floating-point running sum would depend on order)
-    dur = s.groupBy(F.window("last.completed_at", "1 hour").start.alias("hour")).agg(
-        (F.sum(secs).cast("double") / F.count(secs)).alias("avg_duration_seconds"))
-    # full outer: an hour with only error lines, or only completions, is an hour too
-    zero = F.lit(0).cast("bigint")
-    done = F.col("jobs_completed") + F.col("jobs_failed")
-    return (h.join(e, "hour", "full").join(dur, "hour", "full")
-            .withColumn("jobs_completed", F.coalesce("jobs_completed", zero))
-            .withColumn("jobs_failed", F.coalesce("jobs_failed", zero))
-            .select("hour", "jobs_completed", "jobs_failed",
-                    F.when(done > 0, F.col("jobs_completed") / done).alias("success_rate"),
-                    "records_processed", F.coalesce("error_logs", F.lit(0).cast("bigint")).alias("error_logs"),
-                    "avg_duration_seconds"))
+    """Jobs ended, records, error lines and mean processing time by hour. The
+    three inputs are counted into rows of one shape and summed up once by hour,
+    so an hour that only one of them knows is an hour too, and no join is made."""
+    zero, none = F.lit(0).cast("bigint"), F.lit(None).cast("bigint")
+
+    def part(hour, done=zero, lost=zero, records=none, errors=zero, seconds=none):
+        return [F.window(hour, "1 hour").start.alias("hour"), done.cast("bigint").alias("_done"), lost.cast("bigint").alias("_lost"),
+                records.alias("_records"), errors.alias("_errors"), seconds.alias("_seconds")]
+
+    # jobs whose latest record is terminal, from the creation record to that record, by hour of completion
+    ended = job_state(jobs).where(F.col("last.status").isin("completed", "failed") & F.col("first").isNotNull())
+    rows = jobs.select(*part(F.col("started_at"), F.col("status") == "completed", F.col("status") == "failed", F.col("records_processed"))) \
+        .unionByName(logs.where(F.col("log_level") == "ERROR").select(*part(F.col("timestamp"), errors=F.lit(1).cast("bigint")))) \
+        .unionByName(ended.select(*part(F.col("last.completed_at"), seconds=X.seconds_between(F.col("first.started_at"), F.col("last.completed_at")).cast("bigint"))))
+    done, lost = F.coalesce(F.sum("_done"), zero), F.coalesce(F.sum("_lost"), zero)
+    return rows.groupBy("hour").agg(
+        done.alias("jobs_completed"), lost.alias("jobs_failed"), F.when(done + lost > 0, done / (done + lost)).alias("success_rate"),
+        F.sum("_records").alias("records_processed"), F.sum("_errors").alias("error_logs"),
+        # exact integer sum / count (a floating-point running sum would depend on order)
+        (F.sum("_seconds").cast("double") / F.count("_seconds")).alias("avg_duration_seconds"))

@@ -8,6 +8,8 @@ folder (readers never see a half-written table).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -112,11 +114,16 @@ def insert_absent(target: DataFrame, incoming: DataFrame) -> DataFrame:
     return target.select(*CONFIG_COLUMNS).unionByName(new.select(*CONFIG_COLUMNS))
 
 
+REQUIRED = ["merchant", "token", "gcp_project_id", "bigquery_dataset"]
+
+
 def migration_summary(target: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Migrated / skipped counts of a config migration."""
+    """Counts of a config migration: skipped (there already), failed (a
+    required field is missing), migrated."""
     t = target.select("merchant").distinct().withColumn("_exists", F.lit(True))
+    lacking = reduce(Column.__or__, [F.coalesce(F.trim(c), F.lit("")) == "" for c in REQUIRED])
     o = incoming.join(t, "merchant", "left").select(
-        F.when(F.col("_exists"), "skipped").otherwise("migrated").alias("outcome"))
+        F.when(F.col("_exists"), "skipped").when(lacking, "failed").otherwise("migrated").alias("outcome"))
     return o.groupBy("outcome").agg(F.count(F.lit(1)).alias("stores"))
 
 

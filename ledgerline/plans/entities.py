@@ -87,9 +87,9 @@ def _entity_docs(spark, sf_dir, entity):
         docs, order = landing.order_docs(spark, sf_dir).withColumn("month", dated("processedAt")), ["order_key"]
     elif entity == "order_items":
         docs, order = landing.order_item_docs(spark, sf_dir).withColumn("month", dated("processedAt")), ["order_key", "doc_part"]
-    elif entity == "customers":
+    elif entity.startswith("customers"):
         month = F.when(X.parse_ts("createdAt").isNull(), F.lit(PG.UNDATED)).otherwise(F.substring("createdAt", 1, 7))
-        docs = landing.customer_docs(spark, sf_dir).withColumn("month", month).withColumn("order_key", X.last_segment(F.col("id")).cast("bigint"))
+        docs = landing.customer_docs(spark, sf_dir, include_pii=entity == "customers").withColumn("month", month).withColumn("order_key", X.last_segment(F.col("id")).cast("bigint"))
         order = ["order_key"]
     else:
         docs = landing.product_docs(spark, sf_dir).withColumn("month", F.lit("all")).withColumn("order_key", F.col("product_key").cast("bigint"))
@@ -133,6 +133,18 @@ def customers_from_pages(spark, sf_dir):
     return flatten.customers(PG.nodes(_landed(spark, sf_dir, "customers"), "customers"))
 
 
+def _no_error(page):
+    return F.lit(None).cast("string")
+
+
+@query("customers_access_denied")
+def customers_access_denied(spark, sf_dir):
+    """P9 SRC3 SRC12: customer pages; those to which access was denied come from
+    a second fetch without personal fields."""
+    reduced = _landed(spark, sf_dir, "customers_no_pii", _no_error)
+    return flatten.customers(PG.nodes_with_fallback(_landed(spark, sf_dir, "customers"), reduced, "customers", "customers_no_pii"))
+
+
 def _product_error(page):
     return F.when(page == 3, "error")
 

@@ -262,3 +262,11 @@ def job_error_array(spark, sf_dir):
     return J.recent_errors(logs).select("job_id", "error_count", "warning_count", F.size("recent_errors").alias("n_recent"),
                                         F.posexplode("recent_errors").alias("nth", "e")) \
         .select("job_id", "error_count", "warning_count", "n_recent", "nth", "e.timestamp", "e.component", "e.message")
+
+
+@query("job_logs_bound")
+def job_logs_bound(spark, sf_dir):
+    """FLT12: log lines of one job, the one with most lines, by SQL with bound parameters."""
+    _, logs = _tables(spark, sf_dir)
+    job = logs.groupBy("job_id").count().orderBy(F.desc("count"), "job_id").first().job_id
+    return J.job_logs_sql(logs, job, 100)

@@ -8,6 +8,7 @@ from .oracle_jobs import BASE
 
 def build(oracle: dict[str, str]) -> dict[str, str]:
     """From the SQL of the four flat tables."""
+    from .oracle import CUSTOMER_PAGES, LOADED
     orders, items, customers, products = (oracle[n] for n in ("orders_flat", "order_items_flat", "customers_flat", "products_flat"))
     renamed = ", ".join(f"('{old}', '{new}', '{typ}')" for old, typ, new in ORDER_ITEMS_LEGACY if new is not None and new != old)
     counts = ", ".join(f"count({new}) AS {new}" for old, _, new in ORDER_ITEMS_LEGACY if new is not None and new != old)
@@ -65,4 +66,13 @@ ew AS (SELECT *, row_number() OVER of_job AS r, count(*) FILTER (log_level = 'ER
        FROM logs WHERE log_level IN ('ERROR', 'WARNING') WINDOW of_job AS (PARTITION BY job_id ORDER BY "timestamp" DESC, log_id DESC))
 SELECT job_id, error_count, warning_count, CAST(least(lines, 10) AS INTEGER) AS n_recent, CAST(r - 1 AS INTEGER) AS nth, "timestamp", component, message
 FROM ew WHERE r <= 10""",
+        "job_logs_bound": f"""
+WITH {BASE}
+SELECT "timestamp", log_level, message, component FROM logs
+WHERE job_id = (SELECT job_id FROM logs GROUP BY job_id ORDER BY count(*) DESC, job_id LIMIT 1) ORDER BY "timestamp" DESC, log_id DESC LIMIT 100""",
+        "customers_access_denied": f"""
+WITH {CUSTOMER_PAGES}
+SELECT t.* FROM ({customers}) t JOIN pc ON t.id = CAST(pc.c_custkey AS VARCHAR) WHERE {LOADED}
+UNION ALL BY NAME
+SELECT t.* FROM ({oracle['customers_flat_no_pii']}) t JOIN pc ON t.id = CAST(pc.c_custkey AS VARCHAR) WHERE page_class = 'access_denied'""",
     }

@@ -88,9 +88,14 @@ WHERE merchant NOT IN (SELECT merchant FROM existing)
 
 ORACLE["store_migration_summary"] = f"""
 WITH {CFG}
-SELECT CASE WHEN merchant IN (SELECT merchant FROM existing) THEN 'skipped' ELSE 'migrated' END AS outcome,
-       COUNT(*) AS stores
-FROM incoming GROUP BY 1
+SELECT CASE WHEN n_regionkey <> 4 THEN 'skipped' WHEN n % 7 = 6 THEN 'failed' ELSE 'migrated' END AS outcome, COUNT(*) AS stores
+FROM cfg GROUP BY 1
+"""
+
+ORACLE["config_sources"] = f"""
+WITH {CFG}
+SELECT source, merchant, bigquery_dataset, backfill_start_date, is_active
+FROM cfg JOIN (VALUES ('inline'), ('table'), ('file')) v(source) ON source <> 'inline' OR n = 3
 """
 
 ORACLE["store_merge"] = f"""
@@ -189,3 +194,5 @@ SELECT c_custkey, store_name, base_name, version,
        CASE WHEN version = 1 THEN base_name ELSE base_name || '-v' || CAST(version AS VARCHAR) END AS job_name
 FROM v
 """
+
+ORACLE["store_target"] = f"SELECT * FROM ({ORACLE['store_config_overlay']}) t WHERE merchant = 'store-3.myshopify.com'"

@@ -111,6 +111,14 @@ def replay(quarantined: DataFrame, fetched: DataFrame, entity: str) -> tuple[Dat
             quarantined.join(good.select(*PAGE_KEY), PAGE_KEY, "left_anti"))
 
 
+def nodes_with_fallback(pages: DataFrame, reduced: DataFrame, entity: str, reduced_entity: str) -> DataFrame:
+    """Nodes of ``pages``, and for the pages to which access was denied those
+    of ``reduced``, the same pages asked for again without the personal fields."""
+    denied = triage(pages, entity).where(F.col("page_class") == "access_denied").select(*PAGE_KEY).distinct()
+    again = reduced.join(denied, PAGE_KEY, "left_semi")
+    return nodes(pages, entity).unionByName(nodes(again, reduced_entity), allowMissingColumns=True)
+
+
 def envelope(docs: DataFrame, entity: str, page_key: Column, node_cols: list[str] | Column, error_for: Column) -> DataFrame:
     """Group documents into API-shaped pages (page_key bounds the page size).
 

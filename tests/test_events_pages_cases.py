@@ -99,3 +99,25 @@ def test_inserted_store_keeps_its_metadata(spark):
     got = {r.merchant: r for r in merged.collect()}
     assert merged.count() == 2 and got["m1"].metadata == "old" and got["m2"].metadata == "new"
     assert got["m1"].created_at is None and got["m1"].created_by == "u"      # a stored null is still a stored store
+
+
+def test_a_cancel_outranks_a_sweep_of_the_same_moment(spark):
+    jobs = _jobs(spark, ("a", "s", "historical_load", "pending", 3))
+    sweep = EV.sweep_events(J.stuck_jobs(jobs, as_of(), 1), as_of(), 1)
+    cancel = EV.cancel_events(jobs, as_of())
+    assert sweep.count() == 1
+    assert _status(jobs, sweep.unionByName(cancel)) == _status(jobs, cancel.unionByName(sweep)) == {"a": "cancelled"}
+
+
+def test_denied_pages_come_without_personal_fields(spark, tmp_path):
+    def page(n, name, denied=False):
+        out = {"page": n, "errors": [{"message": "This app is " + K.ACCESS_DENIED_TEXT}]} if denied else {
+            "page": n, "data": {"customers": {"edges": [{"node": {"id": f"gid://x/Customer/{n}", "email": name} if name else {"id": f"gid://x/Customer/{n}"}}]}}}
+        return json.dumps(out)
+    for root, lines in (("a", [page(1, "x@e"), page(2, None, denied=True)]), ("b", [page(1, None), page(2, None)])):
+        part = tmp_path / root / "store_name=s1" / "month=2024-01"
+        part.mkdir(parents=True)
+        (part / "p.json").write_text("\n".join(lines))
+    got = PG.nodes_with_fallback(PG.read_pages(spark, str(tmp_path / "a"), "customers"), PG.read_pages(spark, str(tmp_path / "b"), "customers_no_pii"),
+                                 "customers", "customers_no_pii")
+    assert sorted((r.id, r.email) for r in flatten.customers(got).collect()) == [("1", "x@e"), ("2", "")]
