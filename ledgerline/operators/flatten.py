@@ -1,13 +1,13 @@
 """Flatten jobs: nested entity documents -> typed analytic tables.
 
-All four are narrow (no shuffle) apart from the size-checked broadcast join to
-the stores dimension that supplies each store's time zone (SRC7/J9). Nested
+All four are narrow (no shuffle) apart from the join to the stores dimension
+(broadcast while it is small) that supplies each store's time zone (SRC7/J9). Nested
 lists are handled with explode (inner: a parent with no children vanishes, as
 in the source) and higher-order functions (refund match, tax sums).
 
 Input: a DataFrame of documents with a ``store_name`` column and the entity
-node's fields either at top level (order documents) or under ``node``
-(product documents), exactly as :mod:`ledgerline.sources.pages` yields them.
+node's fields either at top level (orders, customers) or under ``node``
+(products), as :func:`ledgerline.sources.pages.nodes` yields them.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from .nesting import sized_broadcast
 
 STR = "string"
 
@@ -32,11 +31,12 @@ def _d(c: Column) -> Column:
 
 
 def with_timezone(docs: DataFrame, stores: DataFrame | None) -> DataFrame:
-    """SRC7: store time zone from the stores dimension, default UTC."""
+    """SRC7: store time zone from the stores dimension, default UTC. The planner
+    broadcasts the dimension by its size in bytes, and shuffles beyond that."""
     if stores is None:
         return docs.withColumn("_tz", F.lit("UTC"))
     tz = stores.select(F.col("merchant").alias("store_name"), F.col("iana_timezone").alias("_tz")).dropDuplicates(["store_name"])
-    return (docs.join(sized_broadcast(tz), "store_name", "left")
+    return (docs.join(tz, "store_name", "left")
             .withColumn("_tz", F.coalesce(F.col("_tz"), F.lit("UTC"))))
 
 
@@ -103,14 +103,11 @@ def order_items(docs: DataFrame, stores: DataFrame | None = None) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Orders (P5, P6, P8, A2, FN6-FN8, FN13)
 # ---------------------------------------------------------------------------
-ORDER_NAME_CAP = 10
-
-
 def orders(docs: DataFrame, stores: DataFrame | None = None) -> DataFrame:
     d = with_timezone(docs, stores)
     d = d.select("*", X.parse_ts("processedAt").alias("_processed"),
                  X.first(F.col("shippingLine.taxLines")).alias("_stax"))
-    first10 = F.slice(F.coalesce(F.col("lineItems.edges"), F.array()), 1, ORDER_NAME_CAP)
+    named = F.coalesce(F.col("lineItems.edges"), F.array())  # all that the page delivers
     j = lambda c: _s(X.json_list_text(c))
     return d.select(
         F.col("store_name"),
@@ -142,8 +139,8 @@ def orders(docs: DataFrame, stores: DataFrame | None = None) -> DataFrame:
         _d(X.amount(F.col("totalTipReceived.amount"))).alias("total_tip_received"),
         _s(X.gid_digits(F.col("customer.id"))).alias("customer_id"),
         _s(F.col("customer.defaultAddress.country")).alias("customer_country"),
-        j(F.transform(first10, lambda e: e["node"]["name"])).alias("line_items"),
-        j(F.transform(first10, lambda e: e["node"]["vendor"])).alias("vendor"),
+        j(F.transform(named, lambda e: e["node"]["name"])).alias("line_items"),
+        j(F.transform(named, lambda e: e["node"]["vendor"])).alias("vendor"),
         _d(X.sum_money(F.col("taxLines"), lambda t: t["priceSet"]["shopMoney"]["amount"])).alias("order_level_tax_amount"),
         _d(X.money("currentTotalDutiesSet")).alias("duties"),
         _d(X.money("currentTotalAdditionalFeesSet")).alias("additional_fees"),

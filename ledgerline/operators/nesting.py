@@ -1,4 +1,4 @@
-"""Shared physical-plan helpers: size-checked broadcast and split nesting.
+"""Split nesting of children into bounded documents.
 
 ``nest_split`` builds nested documents (parent row + array of children) the way
 a paged API delivers them: a parent with more than ``per_doc`` children is
@@ -16,16 +16,6 @@ from pyspark.sql import functions as F
 ITEMS_PER_DOC = 250
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast a dimension only after checking its size; otherwise a normal
-    shuffle join is planned. The check is a bounded count (reads at most
-    max_rows + 1 rows). Meant for cheap base dimensions (store config); for
-    derived aggregates the engine leaves the choice to AQE's runtime
-    statistics instead of computing them twice."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def nest_split(children: DataFrame, keys: list[str], child: Column, sort_key: Column,
                extra_aggs: list[Column] | None = None, per_doc: int = ITEMS_PER_DOC,
                name: str = "items", count_source: DataFrame | None = None,

@@ -189,9 +189,8 @@ def validate(candidates: DataFrame, existing_datasets: DataFrame) -> DataFrame:
 
     candidates: merchant_url, token, dataset_name, project_id, memory, accept_terms.
     """
-    from .nesting import sized_broadcast
     ex = existing_datasets.select(F.col("bigquery_dataset").alias("_ds")).distinct().withColumn("_exists", F.lit(True))
-    c = candidates.join(sized_broadcast(ex), candidates.dataset_name == ex._ds, "left")
+    c = candidates.join(ex, candidates.dataset_name == ex._ds, "left")
     url = X.normalize_url(F.col("merchant_url"))
     tok, ds, proj = F.col("token"), F.col("dataset_name"), F.col("project_id")
     empty = lambda v: F.coalesce(v, F.lit("")) == ""

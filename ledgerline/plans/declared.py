@@ -8,11 +8,12 @@ change in the catalog. Files of a published version are never touched again, so
 a reader sees one whole version, before, during and after the change. A store
 without rows in a load keeps the version it has.
 
-Tables by day are partitioned by month and bucketed and sorted by their
-clustering columns; rows are dealt to (store, month, bucket) before the write,
-so each of these is one file and a large store's month is written by as many
-tasks as there are buckets. Partitions are found by their folders, not listed
-in the catalog one by one, as a version's months change with it.
+Tables by day are partitioned by year and bucketed by their clustering columns;
+rows are dealt to (store, year, bucket) before the write, so each of these is one
+file, sorted by day (row groups are found by their least and largest day), and a
+large store's year is written by as many tasks as there are buckets. Partitions
+are found by their folders, not listed in the catalog one by one, as a version's
+years change with it.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ from .. import schemas
 from ..functions import constants as K
 
 STAGING = "ledgerline_staging"
-BUCKETS = 2  # raise with the rows of a store and month
-MONTH = "processed_month"
+BUCKETS = 2  # raise with the rows of a store and year
+YEAR = "processed_year"
 #: Table -> its day column and clustering columns (none: a plain table).
 LAYOUTS = {"order_items_insights": ("processed_at_store_date", ["name", "line_item_sku"]),
            "order_insights": ("processed_at_store_date", ["customer_id", "display_financial_status"]),
@@ -70,9 +71,9 @@ def database_of(store: str) -> str:
 def _table_sql(name: str, table: str, location: str, legacy: bool, buckets: int) -> str:
     day, cluster = LAYOUTS[table]
     cols = [f"`{f.name}` {f.dataType.simpleString()}" for f in schemas.contract(table, legacy) if f.name != "store_name"]
-    sql = f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(cols + ([f'{MONTH} string'] if day else []))}) USING parquet"
+    sql = f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(cols + ([f'{YEAR} string'] if day else []))}) USING parquet"
     if day:
-        sql += f" PARTITIONED BY ({MONTH})"
+        sql += f" PARTITIONED BY ({YEAR})"
     names = [c for c in cluster if not legacy or c in schemas.contract(table, True).names]
     if names:
         sql += f" CLUSTERED BY ({', '.join(names)}) SORTED BY ({', '.join([day, *names])}) INTO {buckets} BUCKETS"
@@ -102,8 +103,8 @@ def write_version(df: DataFrame, root: str, table: str, buckets: int = BUCKETS)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {STAGING} LOCATION '{root.rstrip('/')}/{STAGING}.db'")
     keys = ["store_name"]
     if day:
-        df = df.withColumn(MONTH, F.date_format(day, "yyyy-MM"))
-        keys.append(MONTH)
+        df = df.withColumn(YEAR, F.date_format(day, "yyyy"))
+        keys.append(YEAR)
     rows = df.repartition(*keys, *([F.pmod(F.hash(*cluster), F.lit(buckets))] if cluster else []))
     writer = rows.write.format("parquet").option("path", path).partitionBy(*keys)
     if cluster:

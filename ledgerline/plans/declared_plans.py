@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..operators import flatten
 from ..session import fresh_path
-from ..sources import control, landing
+from ..fixtures import control, landing
 from . import declared as D
 from . import entities
 from .registry import query

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..operators import flatten
-from ..sources import control, landing
+from ..fixtures import control, landing
+from ..fixtures import pages as FP
 from ..sources import pages as PG
 from .registry import query
 
@@ -109,8 +110,8 @@ def _landed(spark, sf_dir, entity, error_for=_error_for):
         if fs.exists(path):
             return PG.read_pages(spark, _LANDED[key], entity)
     docs, order, node = _entity_docs(spark, sf_dir, entity)
-    env = PG.envelope(_numbered(docs, order), entity, F.col("_page"), node, error_for)
-    _LANDED[key] = PG.land(env, fresh_path(spark, f"landing-{entity}"))
+    env = FP.envelope(_numbered(docs, order), entity, F.col("_page"), node, error_for)
+    _LANDED[key] = FP.land(env, fresh_path(spark, f"landing-{entity}"))
     return PG.read_pages(spark, _LANDED[key], entity)
 
 

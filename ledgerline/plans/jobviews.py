@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import events as EV
 from ..operators import jobs as J
-from ..sources import control as C
+from ..fixtures import control as C
 from .registry import query
 
 HOURS_STUCK = 1

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
-from ..sources import control as C
+from ..fixtures import control as C
 from ..sources.tables import TABLES, read, table_path
 from .registry import query
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import stores as S
-from ..sources import control as C
+from ..fixtures import control as C
 from ..sources.tables import read
 from .registry import query
 

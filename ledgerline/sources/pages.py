@@ -117,40 +117,3 @@ def nodes_with_fallback(pages: DataFrame, reduced: DataFrame, entity: str, reduc
     denied = triage(pages, entity).where(F.col("page_class") == "access_denied").select(*PAGE_KEY).distinct()
     again = reduced.join(denied, PAGE_KEY, "left_semi")
     return nodes(pages, entity).unionByName(nodes(again, reduced_entity), allowMissingColumns=True)
-
-
-def envelope(docs: DataFrame, entity: str, page_key: Column, node_cols: list[str] | Column, error_for: Column) -> DataFrame:
-    """Group documents into API-shaped pages (page_key bounds the page size).
-
-    ``error_for`` yields a page class to inject ('malformed', 'rate_limited',
-    'access_denied', 'error', 'missing_data') or null for a good page.
-    """
-    field = schemas.ENTITY_FIELD[entity]
-    node = node_cols if isinstance(node_cols, Column) else F.struct(*[F.col(c) for c in node_cols])
-    g = (docs.withColumn("page", page_key.cast("bigint")).repartition("store_name", "month", "page")
-         .groupBy("store_name", "month", "page")
-         .agg(F.sort_array(F.collect_list(F.struct(F.col("order_key").alias("k"), node.alias("n")))).alias("_items")))
-    cls = error_for(F.col("page"))
-    edges = F.transform("_items", lambda x: F.struct(F.concat(F.lit("c"), x["k"].cast("string")).alias("cursor"),
-                                                     x["n"].alias("node")))
-    data = F.struct(F.struct(edges.alias("edges"), F.struct(F.lit(False).alias("hasNextPage"),
-                                                            F.lit(None).cast("string").alias("endCursor")).alias("pageInfo"))
-                    .alias(field))
-    msg = (F.when(cls == "rate_limited", F.lit(K.THROTTLED_TEXT))
-           .when(cls == "access_denied", F.concat(F.lit("This app is "), F.lit(K.ACCESS_DENIED_TEXT)))
-           .when(cls == "error", F.lit("Internal error")))
-    return g.select(
-        "store_name", "month", "page",
-        F.when(cls.isin("rate_limited", "access_denied", "missing_data"), F.lit(None)).otherwise(data).alias("data"),
-        F.when(msg.isNotNull(), F.array(F.struct(msg.alias("message")))).alias("errors"),
-        F.coalesce(cls == "malformed", F.lit(False)).alias("broken"))
-
-
-def land(pages: DataFrame, path: str) -> str:
-    """Write pages as JSON lines partitioned by store and month (the landing
-    zone); a broken one as a line that ends too early."""
-    text = F.to_json(F.struct("page", "data", "errors"))
-    rows = pages.select("store_name", "month", "broken", text.alias("_t"))
-    rows.select("store_name", "month", F.when(F.col("broken"), F.expr("substring(_t, 1, length(_t) - 2)")).otherwise(F.col("_t")).alias("value")) \
-        .write.mode("overwrite").partitionBy("store_name", "month").text(path)
-    return path

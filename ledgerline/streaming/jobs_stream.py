@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..operators import quality as Q
 from ..session import configure, fresh_path
-from ..sources import control as C
+from ..fixtures import control as C
 from ..sources.tables import read
 from . import changelog as L
 

@@ -32,8 +32,8 @@ def test_a_reader_sees_one_whole_version(spark):
     assert shown(before) == sorted((s, n, t) for s, n, _, t in first)  # a reader that began before goes on with its version
     after = D.read_declared(spark, "order_insights", [A, B])
     assert shown(after) == sorted([(s, n, t) for s, n, _, t in second] + [(s, n, t) for s, n, _, t in first if s == B])
-    plan = after.where("store_name = 'ta.myshopify.com' and processed_month = '2020-02'")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(processed_month" in plan
+    plan = after.where("store_name = 'ta.myshopify.com' and processed_year = '2020'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(processed_year" in plan
 
 
 def test_empty_loads_keep_the_target_and_old_versions_go(spark):

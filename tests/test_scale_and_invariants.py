@@ -4,12 +4,13 @@ import os
 from pyspark.sql import functions as F
 
 from ledgerline.operators import jobs as J
-from ledgerline.operators.nesting import nest_split, sized_broadcast
+from ledgerline.operators.nesting import nest_split
 from ledgerline.plans import entities
 from ledgerline.plans.load import current_version, load_full_refresh, load_store
 from ledgerline.session import fresh_path
-from ledgerline.sources import control as C
-from ledgerline.sources import landing
+from ledgerline.fixtures import control as C
+from ledgerline.fixtures import landing
+from ledgerline.fixtures import pages as FP
 from ledgerline.sources import pages as PG
 from ledgerline.streaming import jobs_stream as ST
 
@@ -25,13 +26,6 @@ def test_hot_parent_is_split_and_nothing_is_lost(spark):
     assert g.where("p <> 0").agg(F.max("doc_part")).first()[0] == 0      # small parents stay whole
 
 
-def test_sized_broadcast_checks_rows(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    assert "BroadcastHashJoin" in _plan(spark.range(100).join(sized_broadcast(small, 100), "id"))
-    assert "Broadcast" not in _plan(spark.range(5000).join(sized_broadcast(big, 100), "id"), auto=False)
-
-
 def _plan(df, auto=True):
     spark = df.sparkSession
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -61,7 +55,7 @@ def test_pages_land_read_triage(spark, sf_small):
     docs = landing.order_docs(spark, sf_small).withColumn("month", F.substring("createdAt", 1, 7))
     cols = [c for c in docs.columns if c not in ("store_name", "order_key", "month")]
     err = lambda p: F.when(p % 4 == 1, "rate_limited").when(p % 4 == 2, "access_denied").when(p % 4 == 3, "missing_data")
-    path = PG.land(PG.envelope(docs, "orders", F.floor(F.col("order_key") / 10), cols, err), fresh_path(spark, "t-land"))
+    path = FP.land(FP.envelope(docs, "orders", F.floor(F.col("order_key") / 10), cols, err), fresh_path(spark, "t-land"))
     pages = PG.read_pages(spark, path, "orders")
     classes = {r.page_class for r in PG.triage(pages, "orders").select("page_class").distinct().collect()}
     assert classes == {"good", "rate_limited", "access_denied", "missing_data"}

@@ -10,7 +10,7 @@ from ledgerline.operators import quality as Q
 from ledgerline.operators import stores as S
 from ledgerline.plans import load
 from ledgerline.session import fresh_path
-from ledgerline.sources import control as C
+from ledgerline.fixtures import control as C
 
 
 def test_chunked_write_bounds_files(spark):
