@@ -17,7 +17,7 @@ from ledgerline.llm.common import reachable, table
 from ledgerline.llm.queries import token_file
 from ledgerline.session import configure, materialize
 
-#: Two stages are not expressible in SQL (a trained classifier, a tokenizer); tests/llm checks them by brute force.
+#: Two stages are not expressible in SQL (a trained classifier, a tokenizer); tests/llm holds run() against a plain version.
 ORACLE_SQL = None
 
 
@@ -31,10 +31,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that their source repeats; n_chars follows the text."""
-    out = site_lines.drop_site_lines(docs, F.col("source"))
-    chars = F.when(F.col("n_dropped_lines") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return out.withColumn("n_chars", chars).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """All documents, without the lines that their source repeats; n_chars
+    follows the text. A column named as the operator's count keeps its values."""
+    count, aside = "n_dropped_lines", "_n_dropped_lines"
+    while aside in docs.columns:
+        aside = "_" + aside
+    out = site_lines.drop_site_lines(docs.withColumnRenamed(count, aside), F.col("source"))
+    chars = F.when(F.col(count) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return out.withColumn("n_chars", chars).select(*[F.col(f"`{aside if c == count else c}`").alias(c) for c in docs.columns])
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
