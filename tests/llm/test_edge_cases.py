@@ -11,7 +11,7 @@ ROWS = [(1, "Some words here.\nAnd more words there.", "en", "s", 1), (1, "Some
         (3, "", "en", "s", 0), (None, "a text without a number", "de", "s", 3), (4, LONG, "en", "s", 5), (4, "another text of the same number", "fr", "t", 6),
         (5, "12 345 !!", "en", "t", 7), (None, None, None, None, None)]
 COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-CLASH = "score shard size word node a b k1 held_out n_words value ids bucket component _nth _site _row _k1 _text".split()
+CLASH = "score shard size word node a b k1 held_out n_words value ids bucket component _nth _site _row _k1 _text n_dropped_lines _n_dropped_lines".split()
 
 
 @pytest.fixture(scope="module")
@@ -95,6 +95,7 @@ def test_stages_handle_the_same_rows(spark, docs, nothing, tmp_path):
             rows = out.collect()
             if name != "packing":
                 assert out.columns == df.columns, name
+                assert all(r[c] == "x" for r in rows for c in CLASH if c in out.columns), name
                 kept = {(r.doc_id, r.text) for r in rows}
                 if df is docs and name == "decontamination":
                     assert (None, "a text without a number") not in kept and (5, "12 345 !!") in kept
