@@ -21,7 +21,9 @@ SPACES = " \t\n\x0b\x0c\r"
 
 def reachable(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package where it is not installed but
-    lies in a folder that they see."""
+    lies in a folder that they see; rows go to them in batches of about
+    PIECE_BYTES, not of a fixed number however long they are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(PIECE_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:

@@ -39,26 +39,33 @@ BANDS = 28
 ROWS = 5
 BATCH = 28  # hashes compared at a time
 MISS = 1e-6  # posterior chance of a link below which a pair is dropped
-CACHE = 500_000
+CACHE = 100_000  # words of at most CACHED bytes whose hashes a task remembers
+CACHED = 64
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
+class WordHashes(dict):
+    """64-bit hashes of words, remembered for CACHE short ones at most."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= CACHED and len(self) < CACHE:
+            self[word] = h
+        return h
+
+
 class Shingler:
     """64-bit hashes of the distinct shingles of ``n`` words, sorted."""
 
     def __init__(self, n: int):
-        self.n, self.cache = n, {}
+        self.n, self.cache = n, WordHashes()
 
     def words(self, text: str) -> np.ndarray:
-        import xxhash
         words = text.encode().lower().split()
-        cache = self.cache
-        if len(cache) > CACHE:
-            cache.clear()
-        for w in words:
-            if w not in cache:
-                cache[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
+        if len(self.cache) >= CACHE:
+            self.cache.clear()
+        return np.fromiter(map(self.cache.__getitem__, words), np.uint64, len(words))
 
     def __call__(self, text: str) -> np.ndarray:
         words = self.words(text)
