@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -262,11 +262,26 @@ def assign_others(texts: DataFrame, seeds: list[bytes], seed_classes: np.ndarray
         .repartition("word").sortWithinPartitions("word").mapInArrow(step, "word binary, n bigint, class int")
 
 
+def most_frequent(counts: DataFrame, most: int, name: str, ties: bool) -> DataFrame:
+    """Rows of ``counts`` (word, n, ...) with the largest n, written once: those
+    above the count at which they would be more than ``most``, or with ``ties``
+    exactly ``most`` of them, in the words' order. The count is found in the
+    table of how many words have which n, so what a task sends on does not
+    depend on how many tasks there are; the caller may read the result whole."""
+    sizes = counts.groupBy("n").agg(F.count(F.lit(1)).alias("_k"))
+    upto = sizes.withColumn("_upto", F.sum("_k").over(Window.orderBy(F.desc("n"))))
+    inside = F.col("_upto") - F.col("_k") < most if ties else F.col("_upto") <= most
+    least = upto.where(inside).agg(F.min("n")).first()[0]
+    rows = counts.where(F.lit(False) if least is None else F.col("n") >= least)
+    return materialize(rows.orderBy(F.desc("n"), "word").limit(most) if ties else rows, name)
+
+
 def train(texts: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """word, n and class of every word of ``texts``."""
     spark = texts.sparkSession
     schema = "word binary, n bigint, class int"
-    top = vocabulary.where(F.octet_length("word") > 0).orderBy(F.desc("n"), "word").limit(SEEDS).toPandas()
+    top = most_frequent(vocabulary.where(F.octet_length("word") > 0), SEEDS, "seeds", ties=True).toPandas() \
+        .sort_values(["n", "word"], ascending=[False, True])
     seeds, n = [bytes(w) for w in top["word"]], len(top)
     if not n:
         return spark.createDataFrame([], schema)
@@ -354,7 +369,7 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2, id_col: str = "d
         tokens[c], own_kinds[c] = n, k
     usual = int(tokens.argmax())
     tokens[CLASSES], own_kinds[CLASSES] = ends, ends > 0
-    top = classes.orderBy(F.desc("n"), "word").limit(HEAD).toPandas()
+    top = most_frequent(classes, HEAD, "head", ties=False).toPandas().sort_values(["n", "word"], ascending=[False, True])
     head = spark.sparkContext.broadcast(([bytes(w) for w in top["word"]], top["n"].to_numpy(np.int64), top["class"].to_numpy(np.uint8)))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
