@@ -48,12 +48,12 @@ def test_new_york_store_date_shifts_back_a_day(spark):
     assert r2.processed_at_store_date == dt.date(2024, 3, 1)
 
 
-def test_order_names_capped_at_ten(spark):
+def test_all_order_names_of_a_page_are_kept(spark):
     items = [{"node": {"name": f"n{i}", "vendor": f"v{i}"}} for i in range(12)]
     d = docs_from_json(spark, schemas.ORDER_NODE, [_order(lineItems={"edges": items})])
     r = flatten.orders(d).first()
-    assert json.loads(r.line_items) == [f"n{i}" for i in range(10)]
-    assert r.vendor == json.dumps([f"v{i}" for i in range(10)])
+    assert json.loads(r.line_items) == [f"n{i}" for i in range(12)]
+    assert r.vendor == json.dumps([f"v{i}" for i in range(12)])
 
 
 def test_order_without_items_vanishes_from_items_table(spark):
