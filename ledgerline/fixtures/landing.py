@@ -52,8 +52,7 @@ def _pick(values: list, idx: Column) -> Column:
     return e
 
 
-def line_key(l: str = "") -> Column:
-    c = lambda n: F.col(f"{l}{n}")
+def line_key(c=F.col) -> Column:
     return F.concat(c("l_orderkey").cast("string"),
                     F.lpad(c("l_linenumber").cast("string"), 4, "0"),
                     F.lpad(c("l_partkey").cast("string"), 10, "0"),
@@ -70,57 +69,57 @@ def _orders_with_store(spark, sf_dir) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Orders with line items, refunds and shipping lines (SRC2 shape)
 # ---------------------------------------------------------------------------
-def _item_node() -> Column:
-    price = F.col("l_extendedprice")
-    brand_no = F.regexp_extract(F.col("p_brand"), "([0-9]+)$", 1)
-    allocs = F.when(F.col("l_discount") == 0, F.array()).otherwise(
-        F.concat(F.array(F.struct(m(price * F.col("l_discount")).alias("allocatedAmountSet"))),
-                 F.when(F.col("l_linestatus") == "O",
-                        F.array(F.struct(m(F.col("l_quantity")).alias("allocatedAmountSet"))))
+def _item_node(c=F.col) -> Column:
+    price = c("l_extendedprice")
+    brand_no = F.regexp_extract(c("p_brand"), "([0-9]+)$", 1)
+    allocs = F.when(c("l_discount") == 0, F.array()).otherwise(
+        F.concat(F.array(F.struct(m(price * c("l_discount")).alias("allocatedAmountSet"))),
+                 F.when(c("l_linestatus") == "O",
+                        F.array(F.struct(m(c("l_quantity")).alias("allocatedAmountSet"))))
                  .otherwise(F.array())))
-    tax = F.when(F.col("l_tax") == 0, F.array()).otherwise(
-        F.concat(F.array(F.struct(m(price * F.col("l_tax")).alias("priceSet"), F.col("l_tax").alias("rate"))),
-                 F.when(F.col("l_returnflag") == "A",
-                        F.array(F.struct(m(F.col("l_quantity")).alias("priceSet"), F.lit(0.01).alias("rate"))))
+    tax = F.when(c("l_tax") == 0, F.array()).otherwise(
+        F.concat(F.array(F.struct(m(price * c("l_tax")).alias("priceSet"), c("l_tax").alias("rate"))),
+                 F.when(c("l_returnflag") == "A",
+                        F.array(F.struct(m(c("l_quantity")).alias("priceSet"), F.lit(0.01).alias("rate"))))
                  .otherwise(F.array())))
     return F.struct(
-        F.concat(F.lit("gid://shop/LineItem/"), line_key()).alias("id"),
-        F.when(F.col("l_returnflag") == "R", F.lit(0)).otherwise(F.col("l_quantity").cast("bigint")).alias("currentQuantity"),
-        F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.col("p_name").alias("title"),
-        F.when(F.col("l_partkey") % 13 == 0, F.lit(None)).otherwise(
-            F.concat(F.lit("SKU-"), F.col("l_partkey").cast("string"))).alias("sku"),
-        F.col("p_brand").alias("vendor"),
-        F.when(F.col("l_partkey") % 11 == 0, F.lit(None)).otherwise(
+        F.concat(F.lit("gid://shop/LineItem/"), line_key(c)).alias("id"),
+        F.when(c("l_returnflag") == "R", F.lit(0)).otherwise(c("l_quantity").cast("bigint")).alias("currentQuantity"),
+        c("l_quantity").cast("bigint").alias("quantity"),
+        c("p_name").alias("title"),
+        F.when(c("l_partkey") % 13 == 0, F.lit(None)).otherwise(
+            F.concat(F.lit("SKU-"), c("l_partkey").cast("string"))).alias("sku"),
+        c("p_brand").alias("vendor"),
+        F.when(c("l_partkey") % 11 == 0, F.lit(None)).otherwise(
             F.struct(F.concat(F.lit("gid://shop/Product/"), brand_no).alias("id"))).alias("product"),
-        F.struct(F.concat(F.lit("gid://shop/ProductVariant/"), F.col("l_partkey").cast("string")).alias("id")).alias("variant"),
+        F.struct(F.concat(F.lit("gid://shop/ProductVariant/"), c("l_partkey").cast("string")).alias("id")).alias("variant"),
         m(price).alias("originalTotalSet"),
-        m(price * (1 - F.col("l_discount"))).alias("discountedTotalSet"),
-        m(F.col("p_retailprice")).alias("originalUnitPriceSet"),
-        m(F.col("p_retailprice") * (1 - F.col("l_discount"))).alias("discountedUnitPriceSet"),
+        m(price * (1 - c("l_discount"))).alias("discountedTotalSet"),
+        m(c("p_retailprice")).alias("originalUnitPriceSet"),
+        m(c("p_retailprice") * (1 - c("l_discount"))).alias("discountedUnitPriceSet"),
         allocs.alias("discountAllocations"),
         tax.alias("taxLines"),
-        F.col("p_type").alias("variantTitle"),
+        c("p_type").alias("variantTitle"),
     )
 
 
-def _refund_item(restock: Column, subtotal: Column) -> Column:
+def _refund_item(restock: Column, subtotal: Column, c=F.col) -> Column:
     return F.struct(F.struct(restock.alias("restockType"), m(subtotal).alias("subtotalSet"),
-                             F.struct(F.concat(F.lit("gid://shop/LineItem/"), line_key()).alias("id")).alias("lineItem"))
+                             F.struct(F.concat(F.lit("gid://shop/LineItem/"), line_key(c)).alias("id")).alias("lineItem"))
                     .alias("node"))
 
 
-def _order_header(o: DataFrame) -> list[Column]:
-    k = F.col("o_orderkey")
-    ts = F.col("o_orderdate")
-    pri = F.col("o_orderpriority")
+def _order_header(c=F.col) -> list[Column]:
+    k = c("o_orderkey")
+    ts = c("o_orderdate")
+    pri = c("o_orderpriority")
     return [
         iso(ts).alias("createdAt"),
         F.when(k % 101 == 50, F.lit(None)).otherwise(iso(ts + F.make_interval(hours=(k % 24).cast("int")))).alias("processedAt"),
         F.when(k % 13 == 0, F.lit(None)).otherwise(iso(ts + F.expr("INTERVAL 2 DAYS"))).alias("updatedAt"),
         F.when(k % 17 == 0, F.lit(None)).otherwise(
-            F.concat(F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit(""))), F.lit("@example.com"))).alias("email"),
-        F.when(F.col("o_orderstatus") == "F", "PAID").when(F.col("o_orderstatus") == "O", "PENDING")
+            F.concat(F.lower(F.replace(c("c_name"), F.lit("#"), F.lit(""))), F.lit("@example.com"))).alias("email"),
+        F.when(c("o_orderstatus") == "F", "PAID").when(c("o_orderstatus") == "O", "PENDING")
         .otherwise("PARTIALLY_REFUNDED").alias("displayFinancialStatus"),
         F.concat(F.lit("#"), (k + 1000).cast("string")).alias("name"),
         F.when(pri == "1-URGENT", F.array(F.lit("card_payments"), F.lit("gift_card")))
@@ -128,54 +127,58 @@ def _order_header(o: DataFrame) -> list[Column]:
         .when(pri == "3-MEDIUM", F.array(F.lit("manual")))
         .when(pri == "4-NOT SPECIFIED", F.array().cast("array<string>"))
         .otherwise(F.lit(None).cast("array<string>")).alias("paymentGatewayNames"),
-        _pick(STORE_CURRENCIES, F.col("c_nationkey") % STORE_COUNT).alias("currencyCode"),
-        m(F.col("o_totalprice") * 0.05).alias("totalDiscountsSet"),
-        m(F.col("o_totalprice")).alias("totalPriceSet"),
+        _pick(STORE_CURRENCIES, c("c_nationkey") % STORE_COUNT).alias("currencyCode"),
+        m(c("o_totalprice") * 0.05).alias("totalDiscountsSet"),
+        m(c("o_totalprice")).alias("totalPriceSet"),
     ]
 
 
-def order_item_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (order, document part): the order node with nested lineItems,
-    refunds and shippingLines, plus ``store_name`` (added at landing)."""
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority", "c_name", "c_nationkey"]
+LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                "l_returnflag", "l_linestatus", "p_name", "p_brand", "p_type", "p_retailprice"]
+
+
+def order_items_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (order, document part) in plain columns: the order's own and
+    ``items``, an array of its lines in any order; :func:`order_item_node` nests them."""
     li = read(spark, sf_dir, "lineitem")
     p = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
-    items = li.join(p, li.l_partkey == p.p_partkey, "left")
-    is_r = F.col("l_returnflag") == "R"
-    refund_a = F.when(is_r, _refund_item(F.when(F.col("l_linestatus") == "O", F.lit("RETURN")),
-                                         F.col("l_extendedprice") * (1 - F.col("l_discount"))))
-    refund_b = F.when(is_r & (F.col("l_linestatus") == "F"),
-                      _refund_item(F.lit("NO_RESTOCK"), F.col("l_extendedprice") * F.col("l_tax")))
-    sk = line_key()
-    grouped = nest_split(
-        items, ["l_orderkey"], _item_node(), sk,
-        count_source=read(spark, sf_dir, "lineitem", spread=False),   # map-side combined count: no spread needed
-        extra_aggs=[F.array_sort(F.collect_list(F.when(is_r, F.struct(sk.alias("k"), refund_a.alias("v"))))).alias("_ra"),
-                    F.array_sort(F.collect_list(F.when(is_r & (F.col("l_linestatus") == "F"),
-                                                       F.struct(sk.alias("k"), refund_b.alias("v"))))).alias("_rb")])
-    o = _orders_with_store(spark, sf_dir)
-    k = F.col("o_orderkey")
-    ra = F.transform(F.coalesce("_ra", F.array()), lambda x: x["v"])
-    rb = F.transform(F.coalesce("_rb", F.array()), lambda x: x["v"])
+    items = li.join(p, li.l_partkey == p.p_partkey, "left").select(*LINE_COLUMNS)
+    grouped = nest_split(items, ["l_orderkey"], F.struct(*LINE_COLUMNS), line_key(), ordered=False,
+                         count_source=read(spark, sf_dir, "lineitem", spread=False))   # map-side combined count: no spread needed
+    o = _orders_with_store(spark, sf_dir).select("store_name", *ORDER_COLUMNS)
+    return o.join(grouped, o.o_orderkey == grouped.l_orderkey, "left") \
+        .withColumn("order_key", F.col("o_orderkey")).withColumn("doc_part", F.coalesce("doc_part", F.lit(0))) \
+        .withColumn("items", F.coalesce("items", F.array().cast(grouped.schema["items"].dataType))).drop("l_orderkey")
+
+
+def order_item_node(c=F.col) -> list[Column]:
+    """Fields of an order node (SRC2 shape) from the columns of :func:`order_items_plain`, of which ``c`` gives one by name."""
+    k = c("o_orderkey")
+    ordered = lambda arr, value: F.transform(F.array_sort(F.transform(arr, lambda x: F.struct(
+        line_key(x.getField).alias("k"), value(x.getField).alias("v")))), lambda x: x["v"])
+    is_r = lambda x: F.coalesce(x["l_returnflag"] == "R", F.lit(False))
+    refund_a = lambda l: _refund_item(F.when(l("l_linestatus") == "O", F.lit("RETURN")), l("l_extendedprice") * (1 - l("l_discount")), l)
+    refund_b = lambda l: _refund_item(F.lit("NO_RESTOCK"), l("l_extendedprice") * l("l_tax"), l)
+    ra = ordered(F.filter(c("items"), is_r), refund_a)
+    rb = ordered(F.filter(c("items"), lambda x: is_r(x) & F.coalesce(x["l_linestatus"] == "F", F.lit(False))), refund_b)
     refund = lambda kind, arr: F.struct(
-        F.concat(F.lit(f"gid://shop/Refund/{kind}"), k.cast("string"), F.lit("-"),
-                 F.coalesce(F.col("doc_part"), F.lit(0)).cast("string")).alias("id"),
+        F.concat(F.lit(f"gid://shop/Refund/{kind}"), k.cast("string"), F.lit("-"), c("doc_part").cast("string")).alias("id"),
         F.struct(arr.alias("edges")).alias("refundLineItems"))
-    empty_items = F.array().cast(grouped.schema["items"].dataType.simpleString())
-    doc = (o.join(grouped, o.o_orderkey == grouped.l_orderkey, "left")
-           .select(
-               "store_name", k.alias("order_key"), F.coalesce("doc_part", F.lit(0)).alias("doc_part"),
-               *_order_header(o),
-               F.when(F.col("o_orderpriority") == "1-URGENT", "URGENT10")
-               .when(F.col("o_orderpriority") == "2-HIGH", "HIGH5").alias("discountCode"),
-               F.struct(F.when(k % 7 == 0, F.array()).otherwise(F.array(F.struct(F.struct(
-                   F.when(F.col("o_orderstatus") == "O", "STANDARD").otherwise("EXPRESS").alias("code"),
-                   m(F.col("o_totalprice") * 0.01).alias("discountedPriceSet")).alias("node")))).alias("edges"))
-               .alias("shippingLines"),
-               F.filter(F.array(refund("A", ra), refund("B", rb)),
-                        lambda r: F.size(r["refundLineItems"]["edges"]) > 0).alias("refunds"),
-               F.struct(F.transform(F.coalesce(F.col("items"), empty_items),
-                                    lambda x: F.struct(x.alias("node"))).alias("edges")).alias("lineItems")))
-    return doc
+    return [
+        *_order_header(c),
+        F.when(c("o_orderpriority") == "1-URGENT", "URGENT10").when(c("o_orderpriority") == "2-HIGH", "HIGH5").alias("discountCode"),
+        F.struct(F.when(k % 7 == 0, F.array()).otherwise(F.array(F.struct(F.struct(
+            F.when(c("o_orderstatus") == "O", "STANDARD").otherwise("EXPRESS").alias("code"),
+            m(c("o_totalprice") * 0.01).alias("discountedPriceSet")).alias("node")))).alias("edges")).alias("shippingLines"),
+        F.filter(F.array(refund("A", ra), refund("B", rb)), lambda r: F.size(r["refundLineItems"]["edges"]) > 0).alias("refunds"),
+        F.struct(F.transform(ordered(c("items"), _item_node), lambda x: F.struct(x.alias("node"))).alias("edges")).alias("lineItems")]
+
+
+def order_item_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (order, document part): the order node with nested lineItems,
+    refunds and shippingLines, plus ``store_name`` (added at landing)."""
+    return order_items_plain(spark, sf_dir).select("store_name", "order_key", "doc_part", *order_item_node())
 
 
 # ---------------------------------------------------------------------------
@@ -207,7 +210,7 @@ def order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     money_struct = lambda x: F.struct(F.struct(x.cast("decimal(18,4)").cast("string").alias("amount")).alias("shopMoney"))
     return (o.join(grouped, o.o_orderkey == grouped.l_orderkey, "left").select(
         "store_name", k.alias("order_key"),
-        *_order_header(o),
+        *_order_header(),
         F.when(pri == "1-URGENT", F.array(F.lit("URGENT10"))).when(pri == "2-HIGH", F.array(F.lit("HIGH5"), F.lit("VIP")))
         .when(pri == "5-LOW", F.lit(None).cast("array<string>")).otherwise(F.array().cast("array<string>")).alias("discountCodes"),
         F.when(k % 7 == 0, F.lit(None)).otherwise(F.struct(

@@ -19,7 +19,7 @@ ITEMS_PER_DOC = 250
 def nest_split(children: DataFrame, keys: list[str], child: Column, sort_key: Column,
                extra_aggs: list[Column] | None = None, per_doc: int = ITEMS_PER_DOC,
                name: str = "items", count_source: DataFrame | None = None,
-               max_hot_broadcast: int = 1_000_000) -> DataFrame:
+               max_hot_broadcast: int = 1_000_000, ordered: bool = True) -> DataFrame:
     """Group child rows into arrays per parent, at most ~per_doc per document.
 
     Returns ``keys + [doc_part, <name>, *extra_aggs]``; ``<name>`` is sorted by
@@ -31,7 +31,15 @@ def nest_split(children: DataFrame, keys: list[str], child: Column, sort_key: Co
     is broadcast when its size is within ``max_hot_broadcast`` rows (else a
     shuffle join), and rows are repartitioned on (keys, doc_part) so one hot
     parent is processed by many tasks instead of one.
+
+    With ``ordered=False`` the arrays hold ``child`` alone, in any order: a
+    caller whose children are wide collects their few plain columns, joins them,
+    and builds and sorts the nested ones row by row after that, so that neither
+    the grouping nor the sort of the join holds them.
     """
+    collected = F.struct(sort_key.alias("k"), child.alias("v")) if ordered else child
+    arrays = F.array_sort(F.collect_list("_child")) if ordered else F.collect_list("_child")
+    built = F.transform("_sorted", lambda x: x["v"]) if ordered else F.col("_sorted")
     src = (count_source if count_source is not None else children).select(*keys)
     hot = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > per_doc)
     n_hot = hot.count()
@@ -40,11 +48,11 @@ def nest_split(children: DataFrame, keys: list[str], child: Column, sort_key: Co
         # so a following join on the same keys needs no second shuffle
         # shuffle first: collect_list gains nothing from a map-side partial
         # aggregate, and the nested structs are then built in parallel
-        tagged = children.repartition(*keys).withColumn("_child", F.struct(sort_key.alias("k"), child.alias("v")))
-        aggs = [F.array_sort(F.collect_list("_child")).alias("_sorted")] + list(extra_aggs or [])
+        tagged = children.repartition(*keys).withColumn("_child", collected)
+        aggs = [arrays.alias("_sorted")] + list(extra_aggs or [])
         return (tagged.groupBy(*keys).agg(*aggs)
                 .withColumn("doc_part", F.lit(0))
-                .withColumn(name, F.transform("_sorted", lambda x: x["v"]))
+                .withColumn(name, built)
                 .drop("_sorted"))
     else:
         side = F.broadcast(hot) if n_hot <= max_hot_broadcast else hot
@@ -53,8 +61,8 @@ def nest_split(children: DataFrame, keys: list[str], child: Column, sort_key: Co
                       F.pmod(F.xxhash64(sort_key), F.ceil(F.col("_n") / per_doc)).cast("int")))
                   .drop("_n")
                   .repartition(*keys, "doc_part"))
-    tagged = tagged.withColumn("_child", F.struct(sort_key.alias("k"), child.alias("v")))
-    aggs = [F.array_sort(F.collect_list("_child")).alias("_sorted")] + list(extra_aggs or [])
+    tagged = tagged.withColumn("_child", collected)
+    aggs = [arrays.alias("_sorted")] + list(extra_aggs or [])
     return (tagged.groupBy(*keys, "doc_part").agg(*aggs)
-            .withColumn(name, F.transform("_sorted", lambda x: x["v"]))
+            .withColumn(name, built)
             .drop("_sorted"))
