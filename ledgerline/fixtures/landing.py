@@ -109,13 +109,18 @@ def _refund_item(restock: Column, subtotal: Column, c=F.col) -> Column:
                     .alias("node"))
 
 
+def processed_at(c=F.col) -> Column:
+    return F.when(c("o_orderkey") % 101 == 50, F.lit(None)).otherwise(
+        iso(c("o_orderdate") + F.make_interval(hours=(c("o_orderkey") % 24).cast("int"))))
+
+
 def _order_header(c=F.col) -> list[Column]:
     k = c("o_orderkey")
     ts = c("o_orderdate")
     pri = c("o_orderpriority")
     return [
         iso(ts).alias("createdAt"),
-        F.when(k % 101 == 50, F.lit(None)).otherwise(iso(ts + F.make_interval(hours=(k % 24).cast("int")))).alias("processedAt"),
+        processed_at(c).alias("processedAt"),
         F.when(k % 13 == 0, F.lit(None)).otherwise(iso(ts + F.expr("INTERVAL 2 DAYS"))).alias("updatedAt"),
         F.when(k % 17 == 0, F.lit(None)).otherwise(
             F.concat(F.lower(F.replace(c("c_name"), F.lit("#"), F.lit(""))), F.lit("@example.com"))).alias("email"),
@@ -187,7 +192,17 @@ def order_item_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORDER_NAME_CAP = 10
 
 
-def order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order in plain columns, without its lines."""
+    o = _orders_with_store(spark, sf_dir)
+    n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    o = o.join(F.broadcast(n), o.c_nationkey == n.n_nationkey, "left")  # nation: 25 rows by TPC-H definition
+    return o.select("store_name", F.col("o_orderkey").alias("order_key"), *ORDER_COLUMNS, "n_name")
+
+
+def orders_plain(spark: SparkSession, sf_dir: str, heads: DataFrame | None = None) -> DataFrame:
+    """Orders (``heads``, default: all of :func:`order_heads`) with ``names``, the
+    names and vendors of their first lines; :func:`order_node` nests them."""
     from pyspark.sql.window import Window
     li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
     sk = line_key()
@@ -199,18 +214,21 @@ def order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = first10.join(p, first10.l_partkey == p.p_partkey, "left")
     grouped = named.groupBy("l_orderkey").agg(
         F.array_sort(F.collect_list(F.struct(F.col("_sk").alias("k"), F.struct(
-            F.col("p_name").alias("name"), F.col("p_brand").alias("vendor")).alias("v")))).alias("_s"))
-    o = _orders_with_store(spark, sf_dir)
-    n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    o = o.join(F.broadcast(n), o.c_nationkey == n.n_nationkey, "left")  # nation: 25 rows by TPC-H definition
-    k = F.col("o_orderkey")
-    tp = F.col("o_totalprice")
-    st = F.col("o_orderstatus")
-    pri = F.col("o_orderpriority")
+            F.col("p_name").alias("name"), F.col("p_brand").alias("vendor")).alias("v")))).alias("_s")) \
+        .select("l_orderkey", F.transform("_s", lambda x: x["v"]).alias("names"))
+    o = order_heads(spark, sf_dir) if heads is None else heads
+    return o.join(grouped, o.o_orderkey == grouped.l_orderkey, "left").drop("l_orderkey")
+
+
+def order_node(c=F.col) -> list[Column]:
+    """Fields of an order node (SRC1 shape) from the columns of :func:`orders_plain`, of which ``c`` gives one by name."""
+    k = c("o_orderkey")
+    tp = c("o_totalprice")
+    st = c("o_orderstatus")
+    pri = c("o_orderpriority")
     money_struct = lambda x: F.struct(F.struct(x.cast("decimal(18,4)").cast("string").alias("amount")).alias("shopMoney"))
-    return (o.join(grouped, o.o_orderkey == grouped.l_orderkey, "left").select(
-        "store_name", k.alias("order_key"),
-        *_order_header(),
+    return [
+        *_order_header(c),
         F.when(pri == "1-URGENT", F.array(F.lit("URGENT10"))).when(pri == "2-HIGH", F.array(F.lit("HIGH5"), F.lit("VIP")))
         .when(pri == "5-LOW", F.lit(None).cast("array<string>")).otherwise(F.array().cast("array<string>")).alias("discountCodes"),
         F.when(k % 7 == 0, F.lit(None)).otherwise(F.struct(
@@ -218,7 +236,7 @@ def order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
             (tp * 0.01).cast("decimal(18,4)").cast("string").alias("price"),
             F.when(k % 3 == 0, F.array()).otherwise(F.array(F.struct(
                 F.lit(0.05).alias("rate"), money_struct(tp * 0.02).alias("priceSet")))).alias("taxLines"))).alias("shippingLine"),
-        F.when((st == "P") & (k % 5 == 0), iso(F.col("o_orderdate") + F.expr("INTERVAL 3 DAYS"))).alias("cancelledAt"),
+        F.when((st == "P") & (k % 5 == 0), iso(c("o_orderdate") + F.expr("INTERVAL 3 DAYS"))).alias("cancelledAt"),
         F.concat(F.lit("C"), k.cast("string")).alias("confirmationNumber"),
         F.when(st == "F", "FULFILLED").when(st == "O", "UNFULFILLED").otherwise("PARTIALLY_FULFILLED").alias("displayFulfillmentStatus"),
         F.when(k % 4 == 0, F.lit(None)).otherwise(F.concat(F.lit("/products/p"), (k % 50).cast("string"))).alias("landingPageUrl"),
@@ -233,11 +251,15 @@ def order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .otherwise(F.array())).alias("taxLines"),
         F.when(k % 10 == 0, F.lit(None)).otherwise(
             F.struct((tp * 0.01).cast("decimal(18,4)").cast("string").alias("amount"))).alias("totalTipReceived"),
-        F.when(F.col("o_custkey") % 19 == 0, F.lit(None)).otherwise(F.struct(
-            F.concat(F.lit("gid://shop/Customer/"), F.col("o_custkey").cast("string")).alias("id"),
-            F.struct(F.col("n_name").alias("country")).alias("defaultAddress"))).alias("customer"),
-        F.struct(F.transform(F.coalesce(F.col("_s"), F.array().cast("array<struct<k:string,v:struct<name:string,vendor:string>>>")),
-                             lambda x: F.struct(x["v"].alias("node"))).alias("edges")).alias("lineItems")))
+        F.when(c("o_custkey") % 19 == 0, F.lit(None)).otherwise(F.struct(
+            F.concat(F.lit("gid://shop/Customer/"), c("o_custkey").cast("string")).alias("id"),
+            F.struct(c("n_name").alias("country")).alias("defaultAddress"))).alias("customer"),
+        F.struct(F.transform(F.coalesce(c("names"), F.array().cast("array<struct<name:string,vendor:string>>")),
+                             lambda x: F.struct(x.alias("node"))).alias("edges")).alias("lineItems")]
+
+
+def order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orders_plain(spark, sf_dir).select("store_name", "order_key", *order_node())
 
 
 # ---------------------------------------------------------------------------

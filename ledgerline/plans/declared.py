@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import time
 import uuid
-from contextlib import contextmanager
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +27,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import constants as K
+from ..session import setting as _setting
 
 STAGING = "ledgerline_staging"
 BUCKETS = 2  # raise with the rows of a store and year
@@ -38,16 +38,6 @@ LAYOUTS = {"order_items_insights": ("processed_at_store_date", ["name", "line_it
            "customer_insights": (None, []), "products_insights": (None, [])}
 
 
-@contextmanager
-def _setting(spark: SparkSession, key: str, value: str):
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-
-
 def _files(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -106,7 +96,7 @@ def write_version(df: DataFrame, root: str, table: str, buckets: int = BUCKETS)
         df = df.withColumn(YEAR, F.date_format(day, "yyyy"))
         keys.append(YEAR)
     rows = df.repartition(*keys, *([F.pmod(F.hash(*cluster), F.lit(buckets))] if cluster else []))
-    writer = rows.write.format("parquet").option("path", path).partitionBy(*keys)
+    writer = rows.write.format("parquet").option("path", path).option("compression", "zstd").partitionBy(*keys)
     if cluster:
         writer = writer.bucketBy(buckets, *cluster).sortBy(day, *cluster)
     name = f"{STAGING}.{table}_{version.replace('-', '_')}"

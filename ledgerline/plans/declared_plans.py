@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import flatten
-from ..session import fresh_path
+from ..session import fresh_path, materialize
 from ..fixtures import control, landing
 from . import declared as D
 from . import entities
@@ -38,7 +38,7 @@ def load_one_store(spark, sf_dir):
     """SNK1 SNK5: orders of all stores loaded, then one store alone from a later
     day on: its earlier days are gone, the other stores' tables are as before."""
     root = fresh_path(spark, "declared")
-    orders = entities.orders_flat(spark, sf_dir)
+    orders = materialize(entities.orders_flat(spark, sf_dir), "orders-flat", "zstd")  # made once for both loads
     stores = _stores_of(D.load_table(orders, root, "order_insights"))
     D.load_table(orders.where(F.col("processed_at_store_date") >= F.lit(FROM_DAY).cast("date")), root, "order_insights", [ONE_STORE])
     return D.read_declared(spark, "order_insights", stores).groupBy("store_name", "customer_country").agg(

@@ -82,21 +82,25 @@ def _numbered(docs, order):
 
 
 def _entity_docs(spark, sf_dir, entity):
-    """(documents with month, order_key and their order, node): what the API would deliver."""
+    """(documents with their month, order_key and page, node): what the API would
+    deliver. Orders are numbered before their lines are joined, and both kinds of
+    orders stay in plain columns until their page is made."""
     dated = lambda c: F.coalesce(F.substring(c, 1, 7), F.lit(PG.UNDATED))
     if entity == "orders":
-        docs, order = landing.order_docs(spark, sf_dir).withColumn("month", dated("processedAt")), ["order_key"]
-    elif entity == "order_items":
-        docs, order = landing.order_item_docs(spark, sf_dir).withColumn("month", dated("processedAt")), ["order_key", "doc_part"]
-    elif entity.startswith("customers"):
+        heads = landing.order_heads(spark, sf_dir).withColumn("month", dated(landing.processed_at()))
+        return landing.orders_plain(spark, sf_dir, _numbered(heads, ["order_key"])), lambda get: F.struct(*landing.order_node(get))
+    if entity == "order_items":
+        docs = landing.order_items_plain(spark, sf_dir).withColumn("month", dated(landing.processed_at()))
+        return _numbered(docs, ["order_key", "doc_part"]), lambda get: F.struct(*landing.order_item_node(get))
+    if entity.startswith("customers"):
         month = F.when(X.parse_ts("createdAt").isNull(), F.lit(PG.UNDATED)).otherwise(F.substring("createdAt", 1, 7))
         docs = landing.customer_docs(spark, sf_dir, include_pii=entity == "customers").withColumn("month", month).withColumn("order_key", X.last_segment(F.col("id")).cast("bigint"))
         order = ["order_key"]
     else:
         docs = landing.product_docs(spark, sf_dir).withColumn("month", F.lit("all")).withColumn("order_key", F.col("product_key").cast("bigint"))
-        return docs, ["order_key", "doc_part"], F.col("node")
+        return _numbered(docs, ["order_key", "doc_part"]), F.col("node")
     own = [c for c in docs.columns if c not in ("store_name", "order_key", "doc_part", "month")]
-    return docs, order, F.struct(*own)
+    return _numbered(docs, order), F.struct(*own)
 
 
 def _landed(spark, sf_dir, entity, error_for=_error_for):
@@ -109,8 +113,8 @@ def _landed(spark, sf_dir, entity, error_for=_error_for):
         path, fs = declared._files(spark, _LANDED[key])
         if fs.exists(path):
             return PG.read_pages(spark, _LANDED[key], entity)
-    docs, order, node = _entity_docs(spark, sf_dir, entity)
-    env = FP.envelope(_numbered(docs, order), entity, F.col("_page"), node, error_for)
+    docs, node = _entity_docs(spark, sf_dir, entity)
+    env = FP.envelope(docs, entity, F.col("_page"), node, error_for, pages_a_file=1 if entity == "products" else FP.PAGES_A_FILE)
     _LANDED[key] = FP.land(env, fresh_path(spark, f"landing-{entity}"))
     return PG.read_pages(spark, _LANDED[key], entity)
 

@@ -48,7 +48,7 @@ def write_table(df: DataFrame, path: str, partition_cols: list[str] = (), cluste
     (DQ5, collected with an observation in the same job: no second pass)."""
     obs = Observation("load")
     w = _layout(df, list(partition_cols), list(cluster_cols), files).observe(obs, F.count(F.lit(1)).alias("rows")).write
-    w = w.mode(mode).option("partitionOverwriteMode", "static")
+    w = w.mode(mode).option("partitionOverwriteMode", "static").option("compression", "zstd")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     if partition_cols:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import constants as K
+from ..session import materialize, setting
 
 PAGE_CLASSES = ["malformed", "rate_limited", "access_denied", "error", "missing_data", "good"]
 CORRUPT = "_corrupt_record"
@@ -95,7 +96,8 @@ def quarantine(pages: DataFrame, entity: str) -> DataFrame:
 
 def write_quarantine(pages: DataFrame, entity: str, path: str) -> DataFrame:
     """Append the pages to the quarantine at ``path``; returns it as written."""
-    quarantine(pages, entity).write.mode("append").partitionBy("page_class").parquet(path)
+    with setting(pages.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "16"):  # page texts are not sorted by class
+        quarantine(pages, entity).write.mode("append").option("compression", "zstd").partitionBy("page_class").parquet(path)
     return pages.sparkSession.read.parquet(path)
 
 
@@ -104,10 +106,11 @@ def replay(quarantined: DataFrame, fetched: DataFrame, entity: str) -> tuple[Dat
     quarantine that is left). A page is settled by a good page of its key; of
     those, the ones whose data was loaded at first are not loaded again. Several
     fetches of one page count once, as do several quarantine records of it."""
-    keys = quarantined.groupBy(*PAGE_KEY).agg(F.max("loaded").alias("_loaded"))
-    good = triage(fetched, entity).where(F.col("page_class") == "good").dropDuplicates(PAGE_KEY)
-    settled = good.join(keys, PAGE_KEY)
-    return (settled.where(~F.col("_loaded")).select(*fetched.columns),
+    keys = materialize(quarantined.groupBy(*PAGE_KEY).agg(F.max("loaded").alias("_loaded")), "quarantine-keys")
+    good = triage(fetched, entity).where(F.col("page_class") == "good")
+    # the keys first, a small table: only pages that are to be loaded go through the shuffle, of the others no more than the key
+    settled = good.join(keys.where(~F.col("_loaded")).select(*PAGE_KEY), PAGE_KEY, "left_semi").dropDuplicates(PAGE_KEY)
+    return (settled.select(*fetched.columns),
             quarantined.join(good.select(*PAGE_KEY), PAGE_KEY, "left_anti"))
 
 
