@@ -24,11 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import fresh_path
+from ..session import fresh_path, materialize
 from .common import reachable, text_pieces
 
 #: Bytes of payload in a file, on average.
 FILE_BYTES = 16 << 20
+#: Level of the files' gzip: less work than the usual one for somewhat more bytes.
+GZIP = {"compression": "gzip", "zlib.compress.level": "THREE"}
 #: Payloads shorter than this are stored again rather than revisited.
 LEAST_REVISIT = 100
 
@@ -121,7 +123,7 @@ def write_arc(pages: DataFrame, path: str, date: str = "20200101000000", file_by
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
     dealt.mapInArrow(run, "value binary").select(F.col("value").cast("string")) \
-        .write.option("lineSep", "\n").option("compression", "gzip").text(path)
+        .write.option("lineSep", "\n").options(**GZIP).text(path)
 
 
 def read_arc(spark: SparkSession, path: str) -> DataFrame:
@@ -198,7 +200,9 @@ def convert(records: DataFrame, files: int) -> DataFrame:
     the smallest page number (no number: last; then by record id) is the
     response, and the others revisit it. Digests are grouped and joined on
     narrow rows; payloads are moved once, by their own record id, so a payload
-    that a third of all records hold is in no task's way. Repeated records have
+    that a third of all records hold is in no task's way. The narrow rows are
+    written once, so records are read twice in all, and the join hashes the
+    revisits of a file instead of sorting its payloads. Repeated records have
     one record id and share their fate.
     """
     # A version-5 style id from what identifies the capture.
@@ -206,12 +210,12 @@ def convert(records: DataFrame, files: int) -> DataFrame:
     full = records.withColumn("digest", F.sha2("payload", 256)).withColumn("_h", name).withColumn("record_id", F.concat(
         F.lit("urn:uuid:"), F.substring("_h", 1, 8), F.lit("-"), F.substring("_h", 9, 4), F.lit("-5"), F.substring("_h", 14, 3),
         F.lit("-a"), F.substring("_h", 18, 3), F.lit("-"), F.substring("_h", 21, 12))).drop("_h")
-    narrow = full.where(F.octet_length("payload") >= LEAST_REVISIT).select("digest", "record_id", "page_id")
+    narrow = materialize(full.where(F.octet_length("payload") >= LEAST_REVISIT).select("digest", "record_id", "page_id"), "payload-digests")
     first = F.min(F.struct(F.col("page_id").isNull(), "page_id", "record_id"))
     firsts = narrow.groupBy("digest").agg(first.alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
     revisits = narrow.join(firsts, "digest").where(F.col("_first.record_id") != F.col("record_id")) \
         .select("record_id", F.col("_first.page_id").alias("refers_to"), F.col("_first.record_id").alias("refers_to_id")).distinct()
-    return full.repartition(files, "record_id").join(revisits.repartition(files, "record_id"), "record_id", "left") \
+    return full.repartition(files, "record_id").join(revisits.repartition(files, "record_id").hint("shuffle_hash"), "record_id", "left") \
         .withColumn("record_type", F.when(F.col("refers_to_id").isNotNull(), "revisit").otherwise(
             F.when(F.octet_length("head") == 0, "resource").otherwise("response")))
 
@@ -258,7 +262,7 @@ def write_warc(converted: DataFrame, path: str) -> None:
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
     converted.mapInArrow(run, "value binary").select(F.col("value").cast("string")) \
-        .write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
+        .write.option("lineSep", "\r\n\r\n").options(**GZIP).text(path)
 
 
 def parse_warc(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
