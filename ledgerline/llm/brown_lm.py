@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,6 +50,28 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
+def coded_words(column: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """:func:`words_of` all texts of a column at once: the words end to end as
+    places in a list of distinct words, that list, and the words of each text."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(column.cast(pa.string()).fill_null("")))
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = lists.flatten().cast(pa.binary()).dictionary_encode()
+    codes, kinds = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
+    if b"" in kinds:  # before white space that begins a text, behind white space that ends it
+        empty = kinds.index(b"")
+        full = codes != empty
+        sizes = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[full], minlength=len(sizes))
+        codes = codes[full]
+        codes -= codes > empty
+        del kinds[empty]
+    return codes, kinds, sizes
+
+
+def with_ends(row: np.ndarray, sizes: np.ndarray, end: int) -> np.ndarray:
+    """Texts of ``sizes`` values end to end, with an end before the first and after each."""
+    return np.concatenate([[end], np.insert(row, np.cumsum(sizes), end)])
+
+
 def count_words(texts: DataFrame) -> DataFrame:
     """word (binary), n over all texts, ends included; summed in each task first."""
 
@@ -60,8 +83,8 @@ def count_words(texts: DataFrame) -> DataFrame:
 
         for batch in batches:
             for part in text_pieces(batch):
-                for text in part.column("text").to_pylist():
-                    found.update(words_of(text))
+                codes, kinds, _ = coded_words(part.column("text"))
+                found.update(dict(zip(kinds, np.bincount(codes, minlength=len(kinds)).tolist(), strict=True)))
                 found[END] += part.num_rows
                 if len(found) > PARTIAL:
                     yield handed()
@@ -163,10 +186,8 @@ def seed_bigrams(texts: DataFrame, seeds: list[bytes]) -> np.ndarray:
         ids, table = Ids(sent.value, n - 2), np.zeros(n * n, np.int64)
         for batch in batches:
             for part in text_pieces(batch):
-                flat = [np.array([n - 1])]
-                for text in part.column("text").to_pylist():
-                    flat.append(np.array([*map(ids.__getitem__, words_of(text)), n - 1]))
-                row = np.concatenate(flat)
+                codes, kinds, sizes = coded_words(part.column("text"))
+                row = with_ends(np.array([ids[w] for w in kinds], np.int64)[codes], sizes, n - 1)
                 table += np.bincount(row[:-1] * n + row[1:], minlength=n * n)
         at = np.flatnonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(table[at])], ["pair", "n"])
@@ -216,10 +237,8 @@ def assign_others(texts: DataFrame, seeds: list[bytes], seed_classes: np.ndarray
 
         for batch in batches:
             for part in text_pieces(batch):
-                flat = [np.array([-1])]
-                for text in part.column("text").to_pylist():
-                    flat.append(np.array([*map(ids.__getitem__, words_of(text)), -1]))
-                row = np.concatenate(flat)
+                codes, kinds, sizes = coded_words(part.column("text"))
+                row = with_ends(np.array([ids[w] for w in kinds], np.int64)[codes], sizes, -1)
                 around = class_of[np.minimum(row, n)]
                 at = np.flatnonzero(row >= n)
                 if len(at):
@@ -379,13 +398,13 @@ def score_texts(docs: DataFrame, folds: int = 7, held: int = 2, id_col: str = "d
         for batch in batches:
             for part in text_pieces(batch):
                 out: list[list] = [[] for _ in range(5)]
-                for text in part.column("text").to_pylist():
-                    own = words_of(text)
-                    at = np.fromiter(map(ids.__getitem__, own), np.int64, len(own))
-                    tail = Numbers([])
-                    holes = [tail[own[i]] for i in np.flatnonzero(at == rare)]
+                codes, kinds, sizes = coded_words(part.column("text"))
+                places = np.array([ids[w] for w in kinds], np.int64)
+                for own in np.split(codes, np.cumsum(sizes)[:-1]):
+                    at = places[own]
+                    tail, holes = np.unique(own[at == rare], return_inverse=True)
                     for values, v in zip(out, (len(own) - len(holes) + (ends > 0), float(log_n[at].sum() + np.log10(ends + 1.0)),
-                                               class_of[at].tobytes(), np.array(holes, "<i4").tobytes(), list(tail)), strict=True):
+                                               class_of[at].tobytes(), holes.astype("<i4").tobytes(), [kinds[i] for i in tail]), strict=True):
                         values.append(v)
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), part.column("held_out"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.float64()),

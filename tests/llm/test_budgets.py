@@ -1,5 +1,19 @@
-"""op7: what keeps it inside its budget gives the results of the plain forms."""
-from ledgerline.llm import arc_warc
+"""op2 and op7: what keeps them inside their budgets gives the results of the plain forms."""
+import pyarrow as pa
+
+from ledgerline.llm import arc_warc, brown_lm
+
+
+def test_words_are_coded_as_they_are_cut():
+    texts = ["", " ", "a A  B\ta", " É é\x0bÉ ", "x\x1cy x y", "\n\r\x0c", "b", None, "a\x00 a\x00\x85"]
+    codes, kinds, sizes = brown_lm.coded_words(pa.array(texts))
+    assert b"" not in kinds and sorted(set(codes.tolist())) == list(range(len(kinds)))
+    at, got = 0, []
+    for n in sizes.tolist():
+        got.append([kinds[i] for i in codes[at:at + n]])
+        at += n
+    assert got == [brown_lm.words_of(t or "") for t in texts]
+    assert brown_lm.with_ends(codes[:0], sizes[:2], 9).tolist() == [9, 9, 9]
 
 
 def test_conversion_reads_records_twice_and_sorts_no_payloads(spark):
