@@ -47,8 +47,10 @@ def nest_split(children: DataFrame, keys: list[str], child: Column, sort_key: Co
         # group on the keys alone: the result stays hash-partitioned on them,
         # so a following join on the same keys needs no second shuffle
         # shuffle first: collect_list gains nothing from a map-side partial
-        # aggregate, and the nested structs are then built in parallel
-        tagged = children.repartition(*keys).withColumn("_child", collected)
+        # aggregate, and the nested structs are then built in parallel. Sorted
+        # rows are grouped as they come and stay sorted for the join: one sort
+        # instead of one for each half of the aggregate and one for the join
+        tagged = children.repartition(*keys).withColumn("_child", collected).select(*keys, "_child").sortWithinPartitions(*keys)
         aggs = [arrays.alias("_sorted")] + list(extra_aggs or [])
         return (tagged.groupBy(*keys).agg(*aggs)
                 .withColumn("doc_part", F.lit(0))
@@ -61,7 +63,7 @@ def nest_split(children: DataFrame, keys: list[str], child: Column, sort_key: Co
                       F.pmod(F.xxhash64(sort_key), F.ceil(F.col("_n") / per_doc)).cast("int")))
                   .drop("_n")
                   .repartition(*keys, "doc_part"))
-    tagged = tagged.withColumn("_child", collected)
+    tagged = tagged.withColumn("_child", collected).select(*keys, "doc_part", "_child").sortWithinPartitions(*keys, "doc_part")
     aggs = [arrays.alias("_sorted")] + list(extra_aggs or [])
     return (tagged.groupBy(*keys, "doc_part").agg(*aggs)
             .withColumn(name, built)

@@ -26,6 +26,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    # rows that are sorted by the grouping keys are grouped as they come (nest_split)
+    "spark.sql.execution.replaceHashWithSortAgg": "true",
 }
 
 _WORK_DIR: dict[str, str] = {}

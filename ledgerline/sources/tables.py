@@ -14,12 +14,26 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 FIXED_SIZE = {"region", "nation"}
 # split count per (session, table path): the driver's input tables are immutable
 _SPLITS: dict[tuple, tuple[int, int]] = {}
+#: Bytes of a table's files for which a shuffle gets one partition to begin with
+#: (about 250,000 order lines); the adaptive plan merges what turns out small.
+SHUFFLE_BYTES = 4 << 20
+MOST_PARTITIONS = 20_000  # to begin with; with more, the blocks of a map task get too small
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+def _size_shuffles(spark: SparkSession, size: int) -> None:
+    """Shuffles of the session begin with as many partitions as a table of
+    ``size`` bytes wants, if that is more than they have: a fixed number would
+    have tasks grow with the table, and their sorts spill."""
+    wanted = min(size // SHUFFLE_BYTES, MOST_PARTITIONS)
+    if wanted > int(spark.conf.get(INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(INITIAL, str(wanted))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """Parquet scan; projections and filters applied later are pushed into it
     (Catalyst pushes them below the repartition).
@@ -32,7 +46,12 @@ def read(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> Da
     """
     configure(spark)
     df = spark.read.parquet(table_path(sf_dir, name))
-    if name in FIXED_SIZE or not spread:           # e.g. counts gain nothing from spreading
+    if name in FIXED_SIZE:
+        return df
+    jdf = getattr(df, "_jdf", None)  # a Spark Connect session has no JVM view: its own setting holds
+    if jdf is not None:
+        _size_shuffles(spark, int(str(jdf.queryExecution().optimizedPlan().stats().sizeInBytes())))
+    if not spread:           # e.g. counts gain nothing from spreading
         return df
     key = (id(spark), table_path(sf_dir, name))
     if key not in _SPLITS:
