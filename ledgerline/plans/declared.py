@@ -9,9 +9,10 @@ a reader sees one whole version, before, during and after the change. A store
 without rows in a load keeps the version it has.
 
 Tables by day are partitioned by year and bucketed by their clustering columns;
-rows are dealt to (store, year, bucket) before the write, so each of these is one
-file, sorted by day (row groups are found by their least and largest day), and a
-large store's year is written by as many tasks as there are buckets. Partitions
+rows are dealt to (store, year, bucket) before the write, and the adaptive plan
+cuts those that are large, so each of these is one file, or several of bounded
+size, sorted by day (row groups are found by their least and largest day), and no
+task sorts more than it holds however large a store's year is. Partitions
 are found by their folders, not listed in the catalog one by one, as a version's
 years change with it.
 """
@@ -95,7 +96,8 @@ def write_version(df: DataFrame, root: str, table: str, buckets: int = BUCKETS)
     if day:
         df = df.withColumn(YEAR, F.date_format(day, "yyyy"))
         keys.append(YEAR)
-    rows = df.repartition(*keys, *([F.pmod(F.hash(*cluster), F.lit(buckets))] if cluster else []))
+    bucket = F.pmod(F.hash(*cluster), F.lit(buckets)) if cluster else F.lit(0)
+    rows = df.withColumn("_bucket", bucket).hint("rebalance", *keys, "_bucket").drop("_bucket")
     writer = rows.write.format("parquet").option("path", path).option("compression", "zstd").partitionBy(*keys)
     if cluster:
         writer = writer.bucketBy(buckets, *cluster).sortBy(day, *cluster)

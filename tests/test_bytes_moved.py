@@ -1,9 +1,13 @@
 """What the order, declared-table and status-stream queries move: shuffles sized by the tables, one sort a grouping, bounded writers, one pass over events."""
+import datetime as dt
+import glob
 
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerline import schemas
 from ledgerline.operators.nesting import nest_split
+from ledgerline.plans import declared as D
 from ledgerline.session import configure, fresh_path, setting
 from ledgerline.sources import tables
 
@@ -41,3 +45,16 @@ def test_children_are_sorted_once_for_grouping_and_join(spark):
         plan = joined._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "ObjectHashAggregate" not in plan and plan.count("Sort [") == 2  # one a side of the join
     assert len(rows) == 1000 and sorted(x.id for r in rows for x in r["items"] or []) == list(range(4000))
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark):
+    n, root = 60_000, fresh_path(spark, "decl")
+    df = schemas.reconcile(spark.range(0, n, 1, 8).select(
+        F.lit("th.myshopify.com").alias("store_name"), F.lit("7").alias("customer_id"), F.lit("PAID").alias("display_financial_status"),
+        F.sha2(F.col("id").cast("string"), 256).alias("name"), F.lit(dt.date(2022, 3, 4)).alias("processed_at_store_date")), schemas.contract("order_insights"))
+    with setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k"):
+        path = D.write_version(df, root, "order_insights")
+    files = glob.glob(f"{path.removeprefix('file:')}/store_name=*/processed_year=2022/*.parquet")
+    assert len(files) > 1 and len({f.rsplit("_", 1)[1] for f in files}) == 1  # one bucket
+    assert D.publish(spark, root, "order_insights", path, ["th.myshopify.com"]) == {"th.myshopify.com": "published"}
+    assert D.read_declared(spark, "order_insights", ["th.myshopify.com"]).agg(F.count_distinct("name"), F.count("name")).first() == (n, n)
