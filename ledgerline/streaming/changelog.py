@@ -27,6 +27,15 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def deliver(spark: SparkSession, folder: str, to: str) -> None:
+    """A written folder takes its place among those that a stream reads."""
+    source, fs = _fs(spark, folder)
+    target, _ = _fs(spark, to)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise RuntimeError(f"cannot move {folder} to {to}")
+
+
 def _mark(spark: SparkSession, folder: str, name: str, content: dict) -> None:
     """A small file that appears whole: written beside its place, then renamed."""
     draft, fs = _fs(spark, f"{folder}/_draft-{uuid.uuid4().hex}")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..operators import quality as Q
-from ..session import configure, fresh_path
+from ..session import configure, fresh_path, setting
 from ..fixtures import control as C
 from ..sources.tables import read
 from . import changelog as L
@@ -30,6 +30,10 @@ from . import changelog as L
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+# Counting the rows of the state for the progress report reads each key once more when it is put.
+COUNT_STATE = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+
+
 def _state_store(spark: SparkSession) -> None:
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) != STATE_STORE:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
@@ -142,24 +146,38 @@ def job_status(spark: SparkSession, out: str) -> DataFrame:
 DELIVERIES = 4
 
 
-def event_deliveries(events: DataFrame) -> list[DataFrame]:
-    """Stand-in input: events as they arrive, in deliveries of eight days; some
-    come two deliveries late, some twice in theirs and once more in the next."""
+def event_deliveries(events: DataFrame) -> DataFrame:
+    """Stand-in input: events as they arrive, with the number of their delivery
+    (``_at``; one is of eight days); some come two deliveries late, some twice in
+    theirs and once more in the next."""
     own = F.least(F.floor((F.dayofyear(F.col("ts").cast("timestamp")) - 1) / 8), F.lit(DELIVERIES - 1))
     e = F.col("event_id")
     at = F.when(e % 101 == 5, F.array(F.least(own + 2, F.lit(DELIVERIES - 1)))).when(
         e % 97 == 0, F.array(own, own, F.least(own + 1, F.lit(DELIVERIES - 1)))).otherwise(F.array(own))
-    rows = events.withColumn("_at", F.explode(at))
-    return [rows.where(F.col("_at") == k).drop("_at") for k in range(DELIVERIES)]
+    return events.withColumn("_at", F.explode(at))
+
+
+def land_deliveries(events: DataFrame, path: str) -> list[str]:
+    """Write all deliveries in one pass, a folder each; returns the folders. A delivery
+    without events is an empty folder."""
+    spark = events.sparkSession
+    with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(DELIVERIES)):
+        event_deliveries(events).write.partitionBy("_at").parquet(path)
+    folders = [f"{path}/_at={k}" for k in range(DELIVERIES)]
+    for folder in folders:
+        p, fs = L._fs(spark, folder)
+        fs.mkdirs(p)
+    return folders
 
 
 def _delivered_status(spark: SparkSession, sf_dir: str) -> str:
     out = fresh_path(spark, "stream-job-status")
     _state_store(spark)
     events = read(spark, sf_dir, "events")
-    for k, rows in enumerate(event_deliveries(events)):
-        rows.write.parquet(f"{out}/source/{k}")
-        run_status(spark, f"{out}/source", events.schema, out)
+    for k, folder in enumerate(land_deliveries(events, f"{out}/deliveries")):
+        L.deliver(spark, folder, f"{out}/source/{k}")
+        with setting(spark, COUNT_STATE, "false"):
+            run_status(spark, f"{out}/source", events.schema, out)
         if k % 2:
             L.compact(spark, out, STATUS_SCHEMA, STATUS_KEYS, STATUS_ORDER, closed_before(spark, out))
     return out

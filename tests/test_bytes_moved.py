@@ -10,6 +10,8 @@ from ledgerline.operators.nesting import nest_split
 from ledgerline.plans import declared as D
 from ledgerline.session import configure, fresh_path, setting
 from ledgerline.sources import tables
+from ledgerline.streaming import changelog as L
+from ledgerline.streaming import jobs_stream as ST
 
 
 @pytest.fixture
@@ -58,3 +60,19 @@ def test_a_large_bucket_is_written_by_several_tasks(spark):
     assert len(files) > 1 and len({f.rsplit("_", 1)[1] for f in files}) == 1  # one bucket
     assert D.publish(spark, root, "order_insights", path, ["th.myshopify.com"]) == {"th.myshopify.com": "published"}
     assert D.read_declared(spark, "order_insights", ["th.myshopify.com"]).agg(F.count_distinct("name"), F.count("name")).first() == (n, n)
+
+
+def test_deliveries_are_landed_in_one_pass(spark):
+    start = dt.datetime(2024, 1, 1)
+    events = spark.createDataFrame([(i, start + dt.timedelta(days=i % 20) if i % 50 else None, i % 7, "click", 1.0, "{}") for i in range(300)],
+                                   "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string")
+    base = fresh_path(spark, "deliveries")
+    folders = ST.land_deliveries(events, f"{base}/all")
+    want = sorted((r["_at"], r.event_id) for r in ST.event_deliveries(events).collect())
+    got = []
+    for k, folder in enumerate(folders):
+        L.deliver(spark, folder, f"{base}/source/{k}")
+        got += [(k, r.event_id) for r in spark.read.schema(events.schema).parquet(f"{base}/source/{k}").collect()]
+    assert sorted(got) == want and len(want) > 300
+    first = events.where("event_id % 20 = 0 and event_id % 101 <> 5 and ts is not null and event_id % 97 <> 0")
+    assert spark.read.schema(events.schema).parquet(ST.land_deliveries(first, f"{base}/first")[1]).count() == 0  # an empty folder
