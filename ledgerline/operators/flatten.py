@@ -192,16 +192,15 @@ def without_pii(docs: DataFrame) -> DataFrame:
 # Products -> one row per variant (UNN3, P7, FLT5, FN3, FN10)
 # ---------------------------------------------------------------------------
 def products(docs: DataFrame) -> DataFrame:
+    """Variant flatten. A product's own columns are made before its variants are
+    exploded: a row of a variant then carries those, not the whole product with
+    all its variants, which would grow with the square of their number."""
     d = docs.where(F.col("node").isNotNull())                          # FLT5 (product)
-    n = F.col("node")
-    media_url = F.get(F.filter(F.transform(F.coalesce(n["media"]["nodes"], F.array()),
+    p = F.col("node")
+    media_url = F.get(F.filter(F.transform(F.coalesce(p["media"]["nodes"], F.array()),
                                            lambda x: x["image"]["url"]),
                                lambda u: F.coalesce(u, F.lit("")) != ""), 0)
-    d = d.select("store_name", n.alias("p"), F.coalesce(media_url, F.lit("")).alias("_img"),
-                 F.explode(F.coalesce(n["variants"]["edges"], F.array())).alias("_v"))
-    d = d.where(F.col("_v.node").isNotNull())                          # FLT5 (variant)
-    p, v = F.col("p"), F.col("_v.node")
-    return d.select(
+    own = d.select(
         F.col("store_name"),
         X.utc_naive(X.parse_ts(p["createdAt"])).alias("created_at"),
         X.utc_naive(X.parse_ts(p["updatedAt"])).alias("updated_at"),
@@ -213,6 +212,14 @@ def products(docs: DataFrame) -> DataFrame:
         X.utc_naive(X.parse_ts(p["publishedAt"])).alias("published_at"),
         F.array_join(F.coalesce(p["tags"], F.array()), ", ").alias("tags"),
         _s(p["vendor"]).alias("vendor"),
+        F.coalesce(media_url, F.lit("")).alias("_img"),
+        F.coalesce(p["variants"]["edges"], F.array()).alias("_edges"))
+    kept = [c for c in own.columns if c not in ("_img", "_edges")]
+    d = own.select(*kept, "_img", F.explode("_edges").alias("_v"))
+    d = d.where(F.col("_v.node").isNotNull())                          # FLT5 (variant)
+    v = F.col("_v.node")
+    return d.select(
+        *kept,
         _s(X.gid_tail(v["id"])).alias("variant_id"),
         _s(v["sku"]).alias("variant_sku"),
         _s(v["title"]).alias("variant_title"),
