@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.nesting import nest_split
-from ..sources.tables import read
+from ..session import fresh_path, shuffles_go_with_writes
+from ..sources.tables import read, slices_of
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 STORE_COUNT = 5
@@ -143,20 +144,39 @@ LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipd
                 "l_returnflag", "l_linestatus", "p_name", "p_brand", "p_type", "p_retailprice"]
 
 
-def order_items_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_items_plain(spark: SparkSession, sf_dir: str, part: tuple[int, int] | None = None) -> DataFrame:
     """One row per (order, document part) in plain columns: the order's own and
-    ``items``, an array of its lines in any order; :func:`order_item_node` nests them."""
-    li = read(spark, sf_dir, "lineitem")
+    ``items``, an array of its lines in any order; :func:`order_item_node` nests them.
+    With ``part`` (number, of how many) those orders alone whose key hashes to it."""
+    some = lambda df, key: df if part is None else df.where(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(part[1])) == part[0])
+    li = some(read(spark, sf_dir, "lineitem"), "l_orderkey")
     p = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
     items = li.join(p, li.l_partkey == p.p_partkey, "left").select(*LINE_COLUMNS)
     grouped = nest_split(items, ["l_orderkey"], F.struct(*LINE_COLUMNS), line_key(), ordered=False,
-                         count_source=read(spark, sf_dir, "lineitem", spread=False))   # map-side combined count: no spread needed
-    o = _orders_with_store(spark, sf_dir).select("store_name", *ORDER_COLUMNS)
+                         count_source=some(read(spark, sf_dir, "lineitem", spread=False), "l_orderkey"))   # map-side combined count: no spread needed
+    o = some(_orders_with_store(spark, sf_dir), "o_orderkey").select("store_name", *ORDER_COLUMNS)
     return o.join(grouped, o.o_orderkey == grouped.l_orderkey, "left") \
         .withColumn("order_key", F.col("o_orderkey")).withColumn("doc_part", F.coalesce("doc_part", F.lit(0))) \
         .withColumn("items", F.coalesce("items", F.array().cast(grouped.schema["items"].dataType))).drop("l_orderkey")
 
 
+#: Bytes of lineitem whose shuffles are on disk at once in :func:`order_items_kept`, and the most slices that it is read in.
+SLICE_BYTES = 512 << 20
+MOST_SLICES = 16
+
+
+def order_items_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of :func:`order_items_plain`, written once (zstd Parquet) by slices
+    of the order key, and read back: for a query that reads them more than once or
+    moves them again. On disk are the rows, and the shuffles of one slice at a time."""
+    n, path = slices_of(spark, sf_dir, "lineitem", SLICE_BYTES, MOST_SLICES), fresh_path(spark, "order-items")
+    with shuffles_go_with_writes(spark):
+        for k in range(n):
+            rows = order_items_plain(spark, sf_dir, (k, n) if n > 1 else None)
+            rows.write.option("compression", "zstd").parquet(f"{path}/slice-{k}")
+    return spark.read.schema(rows.schema).parquet(*[f"{path}/slice-{k}" for k in range(n)])
+
+
 def order_item_node(c=F.col) -> list[Column]:
     """Fields of an order node (SRC2 shape) from the columns of :func:`order_items_plain`, of which ``c`` gives one by name."""
     k = c("o_orderkey")
@@ -180,10 +200,12 @@ def order_item_node(c=F.col) -> list[Column]:
         F.struct(F.transform(ordered(c("items"), _item_node), lambda x: F.struct(x.alias("node"))).alias("edges")).alias("lineItems")]
 
 
-def order_item_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_item_docs(spark: SparkSession, sf_dir: str, kept: bool = False) -> DataFrame:
     """One row per (order, document part): the order node with nested lineItems,
-    refunds and shippingLines, plus ``store_name`` (added at landing)."""
-    return order_items_plain(spark, sf_dir).select("store_name", "order_key", "doc_part", *order_item_node())
+    refunds and shippingLines, plus ``store_name`` (added at landing). ``kept``:
+    made from rows that are written first (:func:`order_items_kept`)."""
+    plain = order_items_kept if kept else order_items_plain
+    return plain(spark, sf_dir).select("store_name", "order_key", "doc_part", *order_item_node())
 
 
 # ---------------------------------------------------------------------------

@@ -13,9 +13,9 @@ from .registry import query
 
 
 @query("order_items_flat")
-def order_items_flat(spark, sf_dir):
+def order_items_flat(spark, sf_dir, kept=False):
     """SRC2 UNN2 P2 J5 A2 FN1 FN4 FN7 FN10 FN11: order documents -> one row per line item."""
-    docs = landing.order_item_docs(spark, sf_dir)
+    docs = landing.order_item_docs(spark, sf_dir, kept)
     return flatten.order_items(docs, control.store_config(spark, sf_dir))
 
 
@@ -294,7 +294,7 @@ def load_roundtrip(spark, sf_dir):
     from ..session import fresh_path
     from .load import load_full_refresh
     root = fresh_path(spark, "order_items_insights")
-    _, path = load_full_refresh(order_items_flat(spark, sf_dir), root)
+    _, path = load_full_refresh(order_items_flat(spark, sf_dir, kept=True), root)
     back = spark.read.parquet(path)
     return back.groupBy("store_name", "processed_at_store_date").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("line_item_quantity").alias("quantity"))

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
+from .passes import in_passes
 
 ORDER_ITEMS_LAYOUT = (["store_name", "processed_month"], ["processed_at_store_date", "name", "line_item_sku"])
 ORDERS_LAYOUT = (["store_name", "processed_month"], ["processed_at_store_date", "customer_id", "display_financial_status"])
@@ -60,9 +61,11 @@ def write_table(df: DataFrame, path: str, partition_cols: list[str] = (), cluste
 def load_full_refresh(df: DataFrame, table_root: str, layout=ORDER_ITEMS_LAYOUT) -> tuple[int, str | None]:
     """SNK1 + SNK3: full refresh as a new table version.
 
-    The rows are written once into a fresh version folder under table_root
-    and counted by an observation of that same write (no separate emptiness
-    probe, which would run the whole upstream plan a second time). A version
+    The rows are laid out in passes (:func:`~.passes.in_passes`), so that their
+    shuffle needs the disk for a part of them at a time, each written once into a
+    fresh version folder under table_root and counted by an observation of that
+    same write (no separate emptiness probe, which would run the whole upstream
+    plan a second time). A version
     with rows becomes current (its path is returned and a record of it added
     to ``_PUBLISHED``); empty input leaves the current version untouched (SNK3).
     """
@@ -72,7 +75,10 @@ def load_full_refresh(df: DataFrame, table_root: str, layout=ORDER_ITEMS_LAYOUT)
     root = table_root.rstrip("/")
     version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     path = f"{root}/version={version}"
-    rows = write_table(with_month(df), path, *layout)
+    counts = []
+    in_passes(with_month(df), [F.col(c) for c in layout[0]],
+              lambda part, first: counts.append(write_table(part, path, *layout, mode="overwrite" if first else "append")))
+    rows = sum(counts)
     if rows == 0:
         return 0, None
     spark.createDataFrame([(version, path)], "version string, path string").coalesce(1).write.mode("append").parquet(f"{root}/_PUBLISHED")

@@ -18,9 +18,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 def query(name: str):
     def deco(fn):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        def run(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
             configure(spark)
-            return publish(fn(spark, sf_dir))
+            return publish(fn(spark, sf_dir, **options))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         QUERIES[name] = run

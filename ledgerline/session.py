@@ -100,6 +100,13 @@ def setting(spark: SparkSession, key: str, value: str):
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+def shuffles_go_with_writes(spark: SparkSession):
+    """Inside the block the shuffle files of a write are deleted when it ends,
+    not when the driver happens to collect its garbage: several large writes of
+    one query then need the disk one after the other."""
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def materialize(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to a new folder of the work dir as Parquet and read it
     back: cuts the lineage with files that outlive any executor."""

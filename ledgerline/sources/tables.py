@@ -34,6 +34,13 @@ def _size_shuffles(spark: SparkSession, size: int) -> None:
         spark.conf.set(INITIAL, str(wanted))
 
 
+def slices_of(spark: SparkSession, sf_dir: str, name: str, slice_bytes: int, most: int) -> int:
+    """In how many slices a table is to be read so that each holds about ``slice_bytes`` of its files; ``most`` at most."""
+    jdf = getattr(spark.read.parquet(table_path(sf_dir, name)), "_jdf", None)
+    size = 0 if jdf is None else int(str(jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return min(max(1, -(-size // slice_bytes)), most)
+
+
 def read(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """Parquet scan; projections and filters applied later are pushed into it
     (Catalyst pushes them below the repartition).

@@ -1,10 +1,44 @@
 """What large products and full loads hold in memory and on disk at once."""
+import datetime as dt
+import glob
 import json
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.fixtures import landing
 from ledgerline.operators import flatten
+from ledgerline.plans import load, passes
+from ledgerline.session import fresh_path, work_dir
 from ledgerline.sources import pages as PG
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _local(path):
+    return path.removeprefix("file:")
+
+
+@pytest.fixture
+def tables(spark):
+    """Orders with and without lines, lines twice and without an order, null keys."""
+    folder, day = fresh_path(spark, "tables"), dt.datetime(1997, 3, 4)
+    put = lambda name, rows, ddl: spark.createDataFrame(rows, ddl).write.parquet(f"{folder}/{name}.parquet")
+    put("orders", [(k, k % 4, "O", 10.0 * (k or 0), day + dt.timedelta(days=40 * (k or 0)), "1-URGENT") for k in [*range(60), 7]]
+        + [(None, 1, "F", 1.0, day, "5-LOW")],
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string")
+    put("customer", [(k, f"Customer#{k}", k + 3, 0.0, "S") for k in range(3)],
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
+    line = lambda k, n: (k, n % 6, 2, n, 3.0 + n, 9.5, 0.1, 0.02, "R" if n % 2 else "A", "F" if n % 3 else "O", day)
+    put("lineitem", [line(k % 50, k // 50) for k in range(170)] + [line(5, 1), line(999, 1), line(None, 1)] + [line(11, n) for n in range(300)],
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+        "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp")
+    put("part", [(k, f"part {k}", f"Brand#{k}", "LARGE", 1, 900.0 + k) for k in range(5)],
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double")
+    put("nation", [(k, f"N{k}", 0) for k in range(8)], "n_nationkey int, n_name string, n_regionkey int")
+    return folder
+
 
 def test_a_variants_row_does_not_carry_its_whole_product(spark, tmp_path):
     variants = [{"node": {"id": f"gid://shop/ProductVariant/{i}", "sku": f"S{i}"}} for i in range(40)] + [{"node": None}]
@@ -20,3 +54,48 @@ def test_a_variants_row_does_not_carry_its_whole_product(spark, tmp_path):
     plan = flat._jdf.queryExecution().executedPlan().toString()
     carried = re.findall(r"Generate explode\(.*?\), \[([^\]]*)\], false, \[_v#", plan)
     assert carried and "node#" not in carried[0] and "title#" in carried[0]
+
+
+def _plain(df):
+    return sorted(repr((r.store_name, r.o_orderkey, r.o_orderdate, r.doc_part, r.o_totalprice, sorted(map(repr, r["items"])))) for r in df.collect())
+
+
+def test_order_items_written_by_slices_are_all_order_items(spark, tables, monkeypatch):
+    want = _plain(landing.order_items_plain(spark, tables))
+    assert len(want) > 60 and any("Row" in w for w in want)
+    for slice_bytes in (1, landing.SLICE_BYTES):  # sixteen slices; one
+        monkeypatch.setattr(landing, "SLICE_BYTES", slice_bytes)
+        before = set(glob.glob(f"{_local(work_dir(spark))}/order-items-*"))
+        assert _plain(landing.order_items_kept(spark, tables)) == want
+        new, = set(glob.glob(f"{_local(work_dir(spark))}/order-items-*")) - before
+        assert len(glob.glob(f"{new}/slice-*")) == (landing.MOST_SLICES if slice_bytes == 1 else 1)
+
+
+def test_passes_hold_all_rows_once_and_equal_keys_together(spark, monkeypatch):
+    monkeypatch.setattr(passes, "PASS_BYTES", 1)
+    df = spark.range(0, 3000, 1, 4).select((F.col("id") % 40).alias("k"), "id").withColumn("k", F.when(F.col("k") != 7, F.col("k")))
+    seen, firsts = [], []
+    passes.in_passes(df, [F.col("k")], lambda rows, first: (seen.append([(r.k, r.id) for r in rows.collect()]), firsts.append(first)))
+    assert len(seen) > 4 and firsts == [True] + [False] * (len(seen) - 1)
+    assert sorted(i for part in seen for _, i in part) == list(range(3000))
+    assert sum(len({k for k, _ in part}) for part in seen) == 40
+    assert spark.conf.get(CLEANUP) == "false" and not glob.glob(f"{_local(work_dir(spark))}/passes-*")
+    calls = []
+    passes.in_passes(df.where("id < 0"), [F.col("k")], lambda rows, first: calls.append((rows.count(), first)))
+    assert calls == [(0, True)]
+
+
+def test_a_full_refresh_needs_the_disk_for_a_part_of_its_rows_at_a_time(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(load, "write_table", lambda df, *a, put=load.write_table, **b: written.append(put(df, *a, **b)) or written[-1])
+    df = spark.range(0, 4000, 1, 4).select(
+        F.concat(F.lit("s"), F.col("id") % 3).alias("store_name"), F.date_add(F.lit(dt.date(2020, 1, 1)), (F.col("id") % 900).cast("int")).alias("processed_at_store_date"),
+        F.sha2(F.col("id").cast("string"), 256).alias("name"), F.lit("x").alias("line_item_sku"), "id")
+    monkeypatch.setattr(passes, "PASS_BYTES", 1)
+    root = fresh_path(spark, "refresh")
+    rows, path = load.load_full_refresh(df, root)
+    assert rows == 4000 and len(written) > 4 and sum(written) == 4000 and max(written) < 2000
+    back = spark.read.parquet(path)
+    assert sorted(r.id for r in back.collect()) == list(range(4000)) and load.current_version(spark, root) == path
+    folders = back.select("store_name", "processed_month").distinct().count()
+    assert len(glob.glob(f"{_local(path)}/*/*/*.parquet")) == folders  # as from one shuffle: a file a partition
