@@ -12,7 +12,8 @@ Tables by day are partitioned by year and bucketed by their clustering columns;
 rows are dealt to (store, year, bucket) before the write, and the adaptive plan
 cuts those that are large, so each of these is one file, or several of bounded
 size, sorted by day (row groups are found by their least and largest day), and no
-task sorts more than it holds however large a store's year is. Partitions
+task sorts more than it holds however large a store's year is. The rows are moved
+in passes (:mod:`.passes`), so their shuffle needs the disk for a part at a time. Partitions
 are found by their folders, not listed in the catalog one by one, as a version's
 years change with it.
 """
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import constants as K
 from ..session import setting as _setting
+from .passes import in_passes
 
 STAGING = "ledgerline_staging"
 BUCKETS = 2  # raise with the rows of a store and year
@@ -97,13 +99,16 @@ def write_version(df: DataFrame, root: str, table: str, buckets: int = BUCKETS)
         df = df.withColumn(YEAR, F.date_format(day, "yyyy"))
         keys.append(YEAR)
     bucket = F.pmod(F.hash(*cluster), F.lit(buckets)) if cluster else F.lit(0)
-    rows = df.withColumn("_bucket", bucket).hint("rebalance", *keys, "_bucket").drop("_bucket")
-    writer = rows.write.format("parquet").option("path", path).option("compression", "zstd").partitionBy(*keys)
-    if cluster:
-        writer = writer.bucketBy(buckets, *cluster).sortBy(day, *cluster)
     name = f"{STAGING}.{table}_{version.replace('-', '_')}"
+
+    def write(part: DataFrame, first: bool) -> None:
+        rows = part.withColumn("_bucket", bucket).hint("rebalance", *keys, "_bucket").drop("_bucket")
+        writer = rows.write.format("parquet").option("path", path).option("compression", "zstd").partitionBy(*keys)
+        if cluster:
+            writer = writer.bucketBy(buckets, *cluster).sortBy(day, *cluster)
+        writer.mode("errorifexists" if first else "append").saveAsTable(name)
     with _setting(spark, "spark.sql.hive.manageFilesourcePartitions", "false"):
-        writer.saveAsTable(name)
+        in_passes(df, [*map(F.col, keys), bucket], write)
     spark.sql(f"DROP TABLE {name}")  # the entry alone: the files are the version
     return path
 

@@ -25,7 +25,7 @@ def load_declared_table(spark, sf_dir):
     """SNK1 SNK5 DQ5: order items of all stores written as one version, each
     store's declared table pointed at its part, read back through the tables."""
     root = fresh_path(spark, "declared")
-    stores = _stores_of(D.load_table(entities.order_items_flat(spark, sf_dir), root, "order_items_insights"))
+    stores = _stores_of(D.load_table(entities.order_items_flat(spark, sf_dir, kept=True), root, "order_items_insights"))
     return D.read_declared(spark, "order_items_insights", stores).groupBy("store_name", "processed_at_store_date").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("line_item_quantity").alias("quantity"))
 

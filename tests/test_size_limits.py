@@ -7,8 +7,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerline import schemas
 from ledgerline.fixtures import landing
 from ledgerline.operators import flatten
+from ledgerline.plans import declared as D
 from ledgerline.plans import load, passes
 from ledgerline.session import fresh_path, work_dir
 from ledgerline.sources import pages as PG
@@ -99,3 +101,22 @@ def test_a_full_refresh_needs_the_disk_for_a_part_of_its_rows_at_a_time(spark, m
     assert sorted(r.id for r in back.collect()) == list(range(4000)) and load.current_version(spark, root) == path
     folders = back.select("store_name", "processed_month").distinct().count()
     assert len(glob.glob(f"{_local(path)}/*/*/*.parquet")) == folders  # as from one shuffle: a file a partition
+
+
+def test_a_declared_version_is_written_in_passes(spark, monkeypatch):
+    monkeypatch.setattr(passes, "PASS_BYTES", 1)
+    parts = []
+    monkeypatch.setattr(D, "in_passes", lambda df, keys, write: passes.in_passes(df, keys, lambda rows, first: (parts.append(first), write(rows, first))))
+    n, root, stores = 3000, fresh_path(spark, "decl"), [f"pass{k}.myshopify.com" for k in range(3)]
+    df = schemas.reconcile(spark.range(0, n, 1, 4).select(
+        F.concat(F.lit("pass"), F.col("id") % 3, F.lit(".myshopify.com")).alias("store_name"), F.col("id").cast("string").alias("name"),
+        (F.col("id") % 40).cast("string").alias("customer_id"), F.lit("PAID").alias("display_financial_status"),
+        F.when(F.col("id") % 50 != 0, F.date_add(F.lit(dt.date(2019, 1, 1)), (F.col("id") % 1700).cast("int"))).alias("processed_at_store_date")),
+        schemas.contract("order_insights"))
+    assert D.load_table(df, root, "order_insights") == dict.fromkeys(stores, "published")
+    assert len(parts) > 4 and parts == [True] + [False] * (len(parts) - 1)
+    back = D.read_declared(spark, "order_insights", stores)
+    assert sorted((r.store_name, r.name, r.processed_at_store_date or dt.date.min) for r in back.collect()) \
+        == sorted((r.store_name, r.name, r.processed_at_store_date or dt.date.min) for r in df.collect())
+    assert D.load_table(df.where("name = '-'"), root, "order_insights", stores[:1]) == {stores[0]: "kept"}
+    assert back.count() == n
