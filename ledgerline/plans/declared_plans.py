@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import flatten
-from ..session import fresh_path, materialize
+from ..session import fresh_path, materialize, shuffles_go_with_writes
 from ..fixtures import control, landing
 from . import declared as D
 from . import entities
@@ -88,11 +88,13 @@ def mixed_order_items(spark, sf_dir):
     """P10 SNK6: order items of some stores in files of the older schema set, of
     the others in files of the current one, read together as the current table."""
     table, root = "order_items_insights", fresh_path(spark, "mixed")
-    items = flatten.order_items(landing.order_item_docs(spark, sf_dir), control.store_config(spark, sf_dir))
+    # made once for both sets; each flattens its own stores' documents alone
+    items = flatten.order_items(landing.order_item_docs(spark, sf_dir, kept=True), control.store_config(spark, sf_dir))
     old = F.col("store_name").isin(MIXED_OLD)
-    schemas.reconcile(items.where(old), schemas.contract(table, legacy=True), schemas.renames(table, False), ("store_name",)) \
-        .write.partitionBy("store_name").parquet(f"{root}/old")
-    items.where(~old | F.col("store_name").isNull()).write.partitionBy("store_name").parquet(f"{root}/new")
+    write = lambda df, path: df.write.option("compression", "zstd").partitionBy("store_name").parquet(path)
+    with shuffles_go_with_writes(spark):
+        write(schemas.reconcile(items.where(old), schemas.contract(table, legacy=True), schemas.renames(table, False), ("store_name",)), f"{root}/old")
+        write(items.where(~old | F.col("store_name").isNull()), f"{root}/new")
     both = schemas.read_mixed(spark, table, [(f"{root}/old", True), (f"{root}/new", False)], keep=("store_name",))
     return both.groupBy("store_name", "currency_code", "refund_restock_type").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("line_item_quantity").alias("quantity"),

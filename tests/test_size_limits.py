@@ -7,11 +7,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from ledgerline import schemas
 from ledgerline.fixtures import landing
 from ledgerline.operators import flatten
 from ledgerline.plans import declared as D
-from ledgerline.plans import load, passes
+from ledgerline.plans import entities, load, passes
 from ledgerline.session import fresh_path, work_dir
 from ledgerline.sources import pages as PG
 
@@ -120,3 +121,15 @@ def test_a_declared_version_is_written_in_passes(spark, monkeypatch):
         == sorted((r.store_name, r.name, r.processed_at_store_date or dt.date.min) for r in df.collect())
     assert D.load_table(df.where("name = '-'"), root, "order_insights", stores[:1]) == {stores[0]: "kept"}
     assert back.count() == n
+
+
+def test_mixed_order_items_make_their_documents_once(spark, tables):
+    found = lambda: set(glob.glob(f"{_local(work_dir(spark))}/order-items-*"))
+    before = found()
+    got = {tuple(r) for r in E.queries()["mixed_order_items"](spark, tables).collect()}
+    assert len(found() - before) == 1  # both schema sets are written from the same rows
+    want = entities.order_items_flat(spark, tables).groupBy("store_name", "currency_code", "refund_restock_type").agg(
+        F.count(F.lit(1)), F.sum("line_item_quantity"), F.min("processed_at_store_date"), F.max("line_item_price"))
+    assert got == {tuple(r) for r in want.collect()} and len(got) > 4
+    assert {r[0] for r in got} >= {"store-0.myshopify.com", "store-3.myshopify.com", None}
+    assert not [f for f in glob.glob(f"{_local(work_dir(spark))}/mixed-*/*/*/*.parquet") if ".zstd." not in f]
